@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from . import simhash
+from . import bpe, packing, simhash
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary(name):
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_bpe(spark, sf_dir):
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
+
+
+def op9_packing(spark, sf_dir):
+    """The json file holds the same vocabulary as these ranks; tests hold the ids against its library."""
+    return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
+
+
 def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op10_simhash": op10_simhash}
+QUERIES = {"op1_bpe": op1_bpe, "op9_packing": op9_packing, "op10_simhash": op10_simhash}
 ORACLES: dict[str, str] = {}
