@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, simhash
+from . import bpe, packing, quality_rules, simhash
 
 
 def _table(spark, sf_dir, name):
@@ -19,6 +19,10 @@ def op1_bpe(spark, sf_dir):
     return bpe.round_trip(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def op6_quality_rules(spark, sf_dir):
+    return quality_rules.counts(_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark, sf_dir):
     """The json file holds the same vocabulary as these ranks; tests hold the ids against its library."""
     return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
@@ -28,5 +32,5 @@ def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op9_packing": op9_packing, "op10_simhash": op10_simhash}
+QUERIES = {"op1_bpe": op1_bpe, "op6_quality_rules": op6_quality_rules, "op9_packing": op9_packing, "op10_simhash": op10_simhash}
 ORACLES: dict[str, str] = {}
