@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, quality_rules, simhash
+from pyspark.sql import functions as F
+
+from . import bpe, packing, quality_rules, simhash, toxicity
 
 
 def _table(spark, sf_dir, name):
@@ -19,6 +21,19 @@ def op1_bpe(spark, sf_dir):
     return bpe.round_trip(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def _part(id_col: str, of: int):
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % of
+
+
+def op3_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_part("doc_id", 3) == 1, F.lit(False))
+    labels = _table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic")
+    model = toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "neighbours", "cosines")
+
+
 def op6_quality_rules(spark, sf_dir):
     return quality_rules.counts(_table(spark, sf_dir, "documents"))
 
@@ -32,5 +47,5 @@ def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op6_quality_rules": op6_quality_rules, "op9_packing": op9_packing, "op10_simhash": op10_simhash}
+QUERIES = {"op1_bpe": op1_bpe, "op3_toxicity": op3_toxicity, "op6_quality_rules": op6_quality_rules, "op9_packing": op9_packing, "op10_simhash": op10_simhash}
 ORACLES: dict[str, str] = {}
