@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, quality_rules, simhash, toxicity
+from . import bpe, embedding_dedup, langid, packing, quality_rules, simhash, toxicity
 
 
 def _table(spark, sf_dir, name):
@@ -34,6 +34,10 @@ def op3_toxicity(spark, sf_dir):
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "neighbours", "cosines")
 
 
+def op4_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_langid(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(_part("doc_id", 4) == 2, F.lit(False))
@@ -54,5 +58,5 @@ def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op3_toxicity": op3_toxicity, "op5_langid": op5_langid, "op6_quality_rules": op6_quality_rules, "op9_packing": op9_packing, "op10_simhash": op10_simhash}
+QUERIES = {"op1_bpe": op1_bpe, "op3_toxicity": op3_toxicity, "op4_embedding_dedup": op4_embedding_dedup, "op5_langid": op5_langid, "op6_quality_rules": op6_quality_rules, "op9_packing": op9_packing, "op10_simhash": op10_simhash}
 ORACLES: dict[str, str] = {}
