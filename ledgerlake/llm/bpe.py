@@ -48,12 +48,16 @@ def _classes() -> np.ndarray:
 
 @dataclass
 class Encoded:
-    """ids: flat int32; docs: first id of each document and the end; pieces: bytes, offsets and codes of slices."""
+    """ids: flat int32; docs: first id of each document and the end. Slices: first byte, codepoint and id of
+    each, and the ends; doc_slices: first slice of each document and the end.
+    """
 
     ids: np.ndarray
     docs: np.ndarray
     slice_bytes: np.ndarray
+    slice_points: np.ndarray
     slice_ids: np.ndarray
+    doc_slices: np.ndarray
 
 
 class Codec:
@@ -171,7 +175,6 @@ class Codec:
 
     def encode(self, texts: pa.Array) -> Encoded:
         """Encode each text (null: empty) of a string array."""
-        sizes = np.zeros(len(texts) + 1, np.int64)
         plain = texts.cast(pa.large_binary()).fill_null(b"")
         offsets = np.frombuffer(plain.buffers()[1], np.int64)[plain.offset : plain.offset + len(plain) + 1]
         data = (plain.buffers()[2] or pa.py_buffer(b""))[int(offsets[0]) : int(offsets[-1])].to_pybytes()
@@ -182,7 +185,8 @@ class Codec:
         if len(byte_at) != len(points):
             raise ValueError("texts must be valid UTF-8")
         begins = offsets[:-1][offsets[1:] > offsets[:-1]]
-        cut = byte_at[pretokens.boundaries(points, np.searchsorted(byte_at, begins), _classes())]
+        point = pretokens.boundaries(points, np.searchsorted(byte_at, begins), _classes())
+        cut = byte_at[point]
         slices = pa.Array.from_buffers(pa.large_binary(), len(cut), [None, pa.py_buffer(np.append(cut, len(raw)).astype(np.int64)), pa.py_buffer(data)])
         coded = slices.dictionary_encode()
         row = self._lookup(coded.dictionary)[coded.indices.to_numpy()]
@@ -191,8 +195,8 @@ class Codec:
         total = int(end[-1]) if len(end) else 0
         ids = self.flat[np.repeat(self.at[row] - (end - many), many) + np.arange(total)]
         slice_ids = np.append(0, end)
-        sizes[:] = slice_ids[np.searchsorted(cut, offsets)]
-        return Encoded(ids, sizes, np.append(cut, len(raw)), slice_ids)
+        doc_slices = np.searchsorted(cut, offsets)
+        return Encoded(ids, slice_ids[doc_slices], np.append(cut, len(raw)), np.append(point, len(points)), slice_ids, doc_slices)
 
     def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Bytes of the ids one after another, and where each id's bytes begin."""
@@ -255,7 +259,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
             for lo, hi in runs(b.column(1)):
                 part = b.column(1).slice(lo, hi - lo)
                 e = codec.encode(part)
-                s = np.searchsorted(e.slice_ids, e.docs)
+                s = e.doc_slices
                 rows = [(e.ids[e.docs[k] : e.docs[k + 1]], e.slice_bytes[s[k] : s[k + 1] + 1] - e.slice_bytes[s[k]], e.slice_ids[s[k] : s[k + 1] + 1] - e.docs[k]) for k in range(hi - lo)]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), *(pa.array([r[c] for r in rows], pa.list_(t)) for c, t in enumerate((pa.int32(), pa.int64(), pa.int32())))],

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, langid, packing, quality_rules, simhash, toxicity
+from . import bpe, embedding_dedup, langid, packing, quality_classifier, quality_rules, simhash, token_counts, toxicity, warc
+from .scratch import cut
 
 
 def _table(spark, sf_dir, name):
@@ -21,6 +22,10 @@ def op1_bpe(spark, sf_dir):
     return bpe.round_trip(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def op2_warc(spark, sf_dir):
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def _part(id_col: str, of: int):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % of
 
@@ -49,6 +54,30 @@ def op6_quality_rules(spark, sf_dir):
     return quality_rules.counts(_table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark, sf_dir):
+    """Two edits per document, made from its own text: a span near its first third gives way to the text's
+    first words, and one near its second third is dropped.
+    """
+    docs = _table(spark, sf_dir, "documents")
+    ranks = _vocabulary("byte_bpe_50k.tiktoken")
+    trees = cut(token_counts.build(docs, ranks), "trees")
+    n, h = F.length("text"), F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary"))
+    edit = lambda start, length, insert: F.struct(start.cast("long").alias("start"), length.cast("long").alias("length"), insert.alias("insert"))
+    edits = F.array(edit(n / 3 + h % 7, h % 11, F.substring("text", 1, 24)), edit(2 * n / 3, 1 + h % 29, F.lit("")))
+    told = token_counts.recount(trees.withColumn("edits", edits), "edits", ranks)
+    return told.select(F.col("id").alias("doc_id"), "n_tokens", "n_tokens_edited", "n_chars_edited", "n_chars_encoded")
+
+
+def op8_quality_classifier(spark, sf_dir):
+    """Grades: 0 low quality, 1 good but toxic, 2 good. Learned where crc32(doc_id as text) mod 5 is not 3."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_part("doc_id", 5) == 3, F.lit(False))
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+    ratings = _table(spark, sf_dir, "labels").where(~held_out).select("doc_id", grade.alias("grade"))
+    told = quality_classifier.score(docs, quality_classifier.fit(docs, ratings, 3), tail=1)
+    return told.select("doc_id", held_out.alias("held_out"), "expected_grade", "tail_probability", (F.col("tail_probability") >= 0.5).alias("selected"))
+
+
 def op9_packing(spark, sf_dir):
     """The json file holds the same vocabulary as these ranks; tests hold the ids against its library."""
     return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
@@ -58,5 +87,5 @@ def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op3_toxicity": op3_toxicity, "op4_embedding_dedup": op4_embedding_dedup, "op5_langid": op5_langid, "op6_quality_rules": op6_quality_rules, "op9_packing": op9_packing, "op10_simhash": op10_simhash}
+QUERIES = {"op1_bpe": op1_bpe, "op2_warc": op2_warc, "op3_toxicity": op3_toxicity, "op4_embedding_dedup": op4_embedding_dedup, "op5_langid": op5_langid, "op6_quality_rules": op6_quality_rules, "op7_token_counts": op7_token_counts, "op8_quality_classifier": op8_quality_classifier, "op9_packing": op9_packing, "op10_simhash": op10_simhash}
 ORACLES: dict[str, str] = {}

@@ -36,6 +36,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that is no longer needed, through Hadoop's file system API."""
     jvm = spark.sparkContext._jvm
