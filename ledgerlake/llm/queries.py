@@ -12,14 +12,14 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _vocabulary(name):
+def vocabulary(name):
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
 def op1_bpe(spark, sf_dir):
-    return bpe.round_trip(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
 
 
 def op2_warc(spark, sf_dir):
@@ -34,7 +34,7 @@ def op3_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(_part("doc_id", 3) == 1, F.lit(False))
     labels = _table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic")
-    model = toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
+    model = toxicity.fit(docs, labels)
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "neighbours", "cosines")
 
@@ -59,7 +59,7 @@ def op7_token_counts(spark, sf_dir):
     first words, and one near its second third is dropped.
     """
     docs = _table(spark, sf_dir, "documents")
-    ranks = _vocabulary("byte_bpe_50k.tiktoken")
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
     trees = cut(token_counts.build(docs, ranks), "trees")
     n, h = F.length("text"), F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary"))
     edit = lambda start, length, insert: F.struct(start.cast("long").alias("start"), length.cast("long").alias("length"), insert.alias("insert"))
@@ -80,7 +80,7 @@ def op8_quality_classifier(spark, sf_dir):
 
 def op9_packing(spark, sf_dir):
     """The json file holds the same vocabulary as these ranks; tests hold the ids against its library."""
-    return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
 
 
 def op10_simhash(spark, sf_dir):

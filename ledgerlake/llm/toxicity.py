@@ -167,16 +167,19 @@ class Scorer:
             yield (1 / (1 + np.exp(-np.clip(z, -30, 30))) if self.slope else self.prior), near, cosine
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", examples: int = 1500) -> Scorer:
-    """Fit on the ``examples`` labelled rows of each label (0 and 1) with the smallest hash of their id.
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", examples: int = 1500) -> Scorer:
+    """Fit on the ``examples`` labelled documents of each label (0 and 1) with the smallest hash of their id.
 
-    labelled: id, text, label; rows with another or null label are left out. The label's share is counted over all rows.
+    labels: id and label; rows with another or null label, or without a document, are left out. Only ids are
+    shuffled to pick the examples; their texts are then found by a broadcast of at most 2 * examples
+    ids. The share of label 1 is counted over all labels.
     """
-    rows = labelled.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("y"))
-    n = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
-    picked = [rows.where(F.col("y") == y).orderBy(F.xxhash64(F.col("id").cast("string")), "id", "text").limit(examples) for y in (0, 1)]
-    found = picked[0].unionByName(picked[1]).toPandas()  # at most 2 * examples rows
-    found = found.sort_values(["y", "id"], kind="stable")
+    known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
+    known = known.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi").distinct()
+    n = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    picked = [known.where(F.col("y") == y).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(examples) for y in (0, 1)]
+    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(picked[0].unionByName(picked[1])), "id")
+    found = chosen.toPandas().sort_values(["y", "id"], kind="stable")  # at most 2 * examples ids
     return Scorer(list(found["text"]), list(found["y"]), list(found["id"]), n.get(1, 0) / max(1, sum(n.values())))
 
 
