@@ -1,6 +1,7 @@
 """A corpus pipeline out of the operators of ``ledgerlake.llm``.
 
-Each stage is ``(name, function)``; a function takes ``(spark, docs, sf_dir)`` and returns a DataFrame.
+Each stage is ``(name, function)``; a function takes ``(spark, docs, sf_dir)`` and returns a DataFrame. All but
+the last return the columns of documents.
 """
 
 from __future__ import annotations
@@ -8,19 +9,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import simhash
+from ledgerlake.llm import packing, quality_rules, simhash, toxicity
+from ledgerlake.llm.queries import vocabulary
 from ledgerlake.llm.scratch import cut
 
 
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: documents that fail the base rules or lie beyond their group's fences go."""
+    return quality_rules.keep(docs)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3, learned from the labels of the documents that are left: scores of 0.7 and more go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.keep(docs, toxicity.fit(docs, labels))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: of each group of near copies the document with the smallest id stays."""
-    first = simhash.near_duplicates(docs).where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi")
+    """Operator 10: of each group of near copies the document with the smallest id stays, repeated rows once."""
+    first = simhash.near_duplicates(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_first")).distinct()
+    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi").dropDuplicates(["doc_id", "text"])
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9 with the vocabulary and row length of its own query."""
+    return packing.pack(docs, vocabulary("byte_bpe_50k.tiktoken"))
 
 
-STAGES = [("simhash near-dedup", drop_near_copies)]
+STAGES = [("quality rules", drop_low_quality), ("toxicity", drop_toxic), ("simhash near-dedup", drop_near_copies), ("packing", pack)]
 
-#: The packing stage has no SQL form (merges of byte pairs); tests hold the stages against brute force.
+#: SQL has no byte-pair merges, nearest examples or fingerprint links: tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
