@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import symbols as S
 from . import asof
 
-BY_DATE = Window.partitionBy("symbol").orderBy("trade_date")
+def by_date():
+    return Window.partitionBy("symbol").orderBy("trade_date")
 
 
 def align_factors(bars: DataFrame, events: DataFrame) -> DataFrame:
@@ -51,7 +52,7 @@ def factor_crosscheck(bars: DataFrame, factors: DataFrame, actions: DataFrame, t
     Returns symbol, n_days, worst_bps, worst_date.
     """
     steps = bars.select("symbol", "trade_date", "close").join(factors.select("symbol", "trade_date", "factor"), ["symbol", "trade_date"])
-    steps = steps.select("symbol", "trade_date", F.lag("close").over(BY_DATE).alias("p"), F.try_divide("factor", F.lag("factor").over(BY_DATE)).alias("step"))
+    steps = steps.select("symbol", "trade_date", F.lag("close").over(by_date()).alias("p"), F.try_divide("factor", F.lag("factor").over(by_date())).alias("step"))
     t = action_terms(actions).withColumnRenamed("ex_date", "trade_date")
     reference = F.try_divide(F.col("p") - F.col("cash") + F.col("allotment_cash"), F.lit(1) + F.col("bonus") + F.col("transfer") + F.col("allotment"))
     expected = F.try_divide(F.col("p"), reference)
@@ -61,14 +62,14 @@ def factor_crosscheck(bars: DataFrame, factors: DataFrame, actions: DataFrame, t
 
 def degenerate_action(bars: DataFrame, actions: DataFrame) -> DataFrame:
     """Ex-dates whose implied reference price is not positive: the first per symbol, and how many."""
-    prior = bars.select("symbol", F.col("trade_date").alias("ex_date"), F.lag("close").over(BY_DATE).alias("p"))
+    prior = bars.select("symbol", F.col("trade_date").alias("ex_date"), F.lag("close").over(by_date()).alias("p"))
     bad = prior.join(action_terms(actions), ["symbol", "ex_date"]).where("p - cash + allotment_cash <= 0")
     return bad.groupBy("symbol").agg(F.count("*").alias("n_days"), F.min("ex_date").alias("first_date"))
 
 
 def factor_continuity(factors: DataFrame, most: float = 20) -> DataFrame:
     """Factor series that jump by more than ``most`` either way: the worst step per symbol."""
-    r = F.try_divide("factor", F.lag("factor").over(BY_DATE))
+    r = F.try_divide("factor", F.lag("factor").over(by_date()))
     rows = factors.withColumn("jump", F.greatest(r, F.try_divide(F.lit(1.0), r))).where(F.col("jump") > most)
     return rows.groupBy("symbol").agg(F.max("jump").alias("worst"), F.max_by("trade_date", F.struct("jump", "trade_date")).alias("worst_date"))
 
@@ -101,7 +102,7 @@ def market_breadth(bars: DataFrame, calendar: DataFrame, status: DataFrame) -> D
 
 def hfq_returns(adjusted: DataFrame, calendar: DataFrame) -> DataFrame:
     """Returns of exact, traded rows between adjacent sessions; amounts under 1 count as unknown."""
-    rows = adjusted.where("adj_is_exact AND volume > 0").withColumns({"_p": F.lag("adj_close").over(BY_DATE), "_d": F.lag("trade_date").over(BY_DATE)})
+    rows = adjusted.where("adj_is_exact AND volume > 0").withColumns({"_p": F.lag("adj_close").over(by_date()), "_d": F.lag("trade_date").over(by_date())})
     out = rows.join(F.broadcast(successors(calendar)), "trade_date").where(F.col("_d") == F.col("prior_date"))
     return out.select("symbol", "trade_date", (F.try_divide("adj_close", "_p") - 1).alias("ret"), F.when(F.col("amount") >= 1, F.col("amount")).alias("amount")).where("ret IS NOT NULL")
 
@@ -161,7 +162,7 @@ def ending_pattern(bars: DataFrame, window: int = 60, least: int = 30, drop: flo
     """
     back = Window.partitionBy("symbol").orderBy(F.col("trade_date").desc())
     rows = bars.withColumn("_k", F.row_number().over(back)).where(F.col("_k") <= window)
-    rows = rows.withColumns({"_gap": F.datediff("trade_date", F.lag("trade_date").over(BY_DATE)), "_ret": F.try_divide("close", F.lag("close").over(BY_DATE)) - 1})
+    rows = rows.withColumns({"_gap": F.datediff("trade_date", F.lag("trade_date").over(by_date())), "_ret": F.try_divide("close", F.lag("close").over(by_date())) - 1})
     agg = rows.groupBy("symbol").agg(F.count("*").alias("n_bars"), F.max("_gap").alias("longest_gap"), F.min("_ret").alias("worst_return"), (F.try_divide(F.max_by("close", "trade_date"), F.min_by("close", "trade_date")) - 1).alias("window_return"), F.max_by("close", "trade_date").alias("last_close"))
     kind = F.when(F.col("n_bars") < least, "insufficient").when(F.col("window_return") <= drop, "abrupt_decline").when(F.col("longest_gap") > 30, "abrupt_stable").otherwise("consolidation")
     return agg.withColumn("pattern", kind)

@@ -90,8 +90,8 @@ def orphans(rows: DataFrame, bars: DataFrame) -> DataFrame:
 
 def adjusted_returns(adjusted: DataFrame) -> DataFrame:
     """Adjusted and raw return of consecutive bars, and how far they differ."""
-    lag = lambda c: F.try_divide(F.col(c), F.lag(c).over(derive.BY_DATE)) - 1
-    out = adjusted.select("symbol", "trade_date", F.lag("trade_date").over(derive.BY_DATE).alias("prior_date"), lag("close").alias("raw"), lag("adj_close").alias("adj"))
+    lag = lambda c: F.try_divide(F.col(c), F.lag(c).over(derive.by_date())) - 1
+    out = adjusted.select("symbol", "trade_date", F.lag("trade_date").over(derive.by_date()).alias("prior_date"), lag("close").alias("raw"), lag("adj_close").alias("adj"))
     return out.where("raw IS NOT NULL").withColumn("divergence", F.abs(F.col("adj") - F.col("raw")))
 
 
