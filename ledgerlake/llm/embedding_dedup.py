@@ -122,7 +122,8 @@ def _blocks(reps: DataFrame, eps: float, block: int, leading: int) -> DataFrame:
 def _interval_pairs(blocks: DataFrame, eps: float, leading: int) -> DataFrame:
     """Pairs ``a, b`` of blocks (a not after b in the order) that the recursive interval join could not part."""
     own = Window.partitionBy("label", "dim").orderBy("block")  # one row per block of up to `block` vectors
-    leaf = cut(blocks.select("label", "dim", "block", (F.row_number().over(own) - 1).alias("node"), "low", "high"), "intervals")
+    n = blocks.count()
+    leaf = cut(blocks.select("label", "dim", "block", (F.row_number().over(own) - 1).alias("node"), "low", "high"), "intervals", n)
     top = leaf.agg(F.max("node")).first()[0]
     if top is None:
         return leaf.select(F.col("block").alias("a"), F.col("block").alias("b"))
@@ -131,7 +132,7 @@ def _interval_pairs(blocks: DataFrame, eps: float, leading: int) -> DataFrame:
         top >>= _FANOUT_BITS
         corners = [F.min(F.col("low")[k]).alias(f"l{k}") for k in range(leading)] + [F.max(F.col("high")[k]).alias(f"h{k}") for k in range(leading)]
         up = levels[-1].groupBy("label", "dim", F.shiftright("node", _FANOUT_BITS).alias("node")).agg(*corners)
-        levels.append(cut(up.select("label", "dim", "node", F.array(*[f"l{k}" for k in range(leading)]).alias("low"), F.array(*[f"h{k}" for k in range(leading)]).alias("high")), "level"))
+        levels.append(cut(up.select("label", "dim", "node", F.array(*[f"l{k}" for k in range(leading)]).alias("low"), F.array(*[f"h{k}" for k in range(leading)]).alias("high")), "level", n))
     gap = lambda k: F.greatest(F.lit(0.0), F.col("b_low")[k] - F.col("a_high")[k], F.col("a_low")[k] - F.col("b_high")[k])
     apart = sum((gap(k) * gap(k) for k in range(leading)), F.lit(0.0))
     pairs = levels[-1].select("label", "dim", F.col("node").alias("a"), F.col("node").alias("b"))

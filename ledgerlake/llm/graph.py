@@ -34,13 +34,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     mark = _mark(now)
     for _ in range(MAX_ROUNDS):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
+        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low", 2 * mark[0])
         large = now.select(F.col("v").alias("u"), F.col("u").alias("v")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u != v").distinct()
-        large = cut(large, "large")
-        low = cut(large.groupBy("u").agg(F.min("v").alias("m")), "low")
+        large = cut(large, "large", mark[0])
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m")), "low", mark[0])
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        now = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        now = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", 2 * mark[0])
         before, mark = mark, _mark(now)
         if mark == before:
             break

@@ -13,6 +13,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows that one task may well write when a bound on all rows is known.
+ROWS_A_FILE = 200_000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; where it is unset (tests, one machine) an own one is set."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -29,9 +33,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet and read back: later plans start from the stored rows."""
+def cut(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """``df`` written once as Parquet and read back: later plans start from the stored rows.
+
+    rows: how many it has at most, where that is known; few rows then go to few files instead of one per partition.
+    """
     path = new_path(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(1 + rows // ROWS_A_FILE)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -167,13 +167,13 @@ def _forest(radius: int, buffer: int = 1 << 17):
     return run
 
 
-def links(reps: DataFrame, radius: int = 4, chunk: int = 512, bucket: int = 64, scheme: int | None = None) -> DataFrame:
+def links(reps: DataFrame, radius: int = 4, chunk: int = 512, bucket: int = 64, scheme: int | None = None, n: int | None = None) -> DataFrame:
     """Forest edges ``a, b`` between distinct fingerprints (column fp) within radius bits.
 
     scheme: index into SCHEMES; by default the first whose expected bucket holds at most ``bucket``.
     """
     spark = reps.sparkSession
-    n = reps.count()
+    n = reps.count() if n is None else n
     if scheme is None:
         scheme = next((k for k, (bands, m) in enumerate(SCHEMES) if n <= bucket << (64 * m // bands)), len(SCHEMES) - 1)
     bands, match = SCHEMES[scheme]
@@ -205,8 +205,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     fps = cut(fingerprints(docs, id_col, text_col, width), "fingerprints")
     reps = cut(fps.groupBy("fp").agg(F.min("id").alias("low")), "reps")
-    comp = components(links(reps, radius, **how)).withColumnsRenamed({"vertex": "fp"})
-    root = cut(reps.join(comp, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root")), "rooted")
-    low = cut(root.groupBy("root").agg(F.min("low").alias("component_id")), "lowest")
-    member = cut(root.select("fp", "root").join(low, "root").select("fp", "component_id"), "members")
+    n = reps.count()
+    comp = components(links(reps, radius, n=n, **how)).withColumnsRenamed({"vertex": "fp"})
+    root = cut(reps.join(comp, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root")), "rooted", n)
+    low = cut(root.groupBy("root").agg(F.min("low").alias("component_id")), "lowest", n)
+    member = cut(root.select("fp", "root").join(low, "root").select("fp", "component_id"), "members", n)
     return fps.join(member, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
