@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from .. import fixtures
 from ..functions import periods
 from ..functions import symbols as S
-from ..operators import asof, canonical, derive, quality, research, snapshots, stats
+from ..operators import canonical, derive, load, quality, reconcile, research, snapshots, stats
 from ..registry import DATASETS
-from ..sources import lake
+from ..sources import lake, versions
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -361,3 +361,109 @@ q("prior_factor", lambda x: snapshots.prior_factor(x.factor_events, "2024-01-20"
 q("latest_boards", lambda x: x.members.join(x.members.agg(F.max("as_of_date").alias("as_of_date")), "as_of_date").select("industry_code").distinct(), "SELECT DISTINCT industry_code FROM members WHERE as_of_date = (SELECT max(as_of_date) FROM members)")
 q("master_recovered_rows", lambda x: snapshots.recovered(x.instruments, x.spans), "SELECT b.symbol, coalesce(list_date, a) AS list_date, CASE WHEN m.name IS NOT NULL THEN delist_date ELSE z END AS delist_date, m.name IS NULL AS recovered FROM (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z FROM bars GROUP BY 1) b LEFT JOIN instruments m USING (symbol)")
 q("retired_orphans", lambda x: snapshots.retired_orphans(x.bars_raw, x.instruments, "2024-01-30", 2, 1), "SELECT symbol, last FROM (SELECT symbol, max(trade_date) FILTER (volume > 0) AS last, max(trade_date) AS z FROM bars_raw GROUP BY 1) WHERE DATE '2024-01-30' - last > 2 AND z = last AND symbol NOT IN (SELECT symbol FROM instruments WHERE delist_date IS NOT NULL)")
+
+# Versions and writes: through Parquet in the shared folder
+TICKS = DATASETS["trade_ticks"]
+
+
+@query("write_partition", "SELECT symbol, trade_date, CASE WHEN day(trade_date) = 10 THEN close + 1 ELSE close END AS close FROM bars")
+def _write_partition(x):
+    path = versions.shared_folder(x.spark, "write")
+    lake.write(x.bars, TICKS, path)
+    lake.write(x.bars.where("dayofmonth(trade_date) = 10").withColumn("close", F.col("close") + 1), TICKS, path)
+    return x.spark.read.parquet(path).select("symbol", "trade_date", "close")
+
+
+@query("stage_batch", "SELECT symbol, trade_date, source, close FROM bars_raw WHERE isodow(trade_date) < 6 AND fetched_at IS NOT NULL")
+def _stage_batch(x):
+    path = versions.shared_folder(x.spark, "stage")
+    rows = canonical.sanitize(canonical.validate(x.bars_raw, BARS))
+    rows.where(~canonical.invalid(rows, BARS)).withColumn("run_id", F.lit("r1")).write.mode("append").option("compression", "zstd").partitionBy("run_id").parquet(path)
+    return x.spark.read.parquet(path).select("symbol", "trade_date", "source", "close")
+
+
+@query("repartition", "SELECT strftime(trade_date, '%Y-%m') AS period, count(*) AS n FROM bars GROUP BY 1")
+def _repartition(x):
+    day, month = versions.shared_folder(x.spark, "days"), versions.shared_folder(x.spark, "months")
+    lake.write(x.bars, TICKS, day)
+    lake.write(x.spark.read.parquet(day).drop(lake.PERIOD), BARS, month)
+    return x.spark.read.parquet(month).groupBy(F.col(lake.PERIOD).cast("string").alias("period")).agg(F.count("*").alias("n"))
+
+
+q("repartition_candidates", lambda x: reconcile.mixed_granularity(lake.list_partitions(lake.by_period(x.bars, TICKS).unionByName(lake.by_period(x.bars, BARS))).select("period"), 7), "SELECT DISTINCT strftime(trade_date, '%Y-%m-%d') AS period FROM bars")
+q("mixed_granularity", lambda x: reconcile.mixed_granularity(lake.list_partitions(lake.by_period(x.bars, TICKS).unionByName(lake.by_period(x.bars, BARS))).select("period"), 10), "SELECT DISTINCT strftime(trade_date, '%Y-%m') AS period FROM bars")
+
+
+def _two_versions(x):
+    root = versions.shared_folder(x.spark, "versions")
+    versions.commit(root, BARS, x.canon)
+    versions.commit(root, BARS, x.canon.withColumn("close", F.col("close") * 2), 1)
+    return root
+
+
+q("commit_version", lambda x: versions.manifest(x.spark, _two_versions(x)).select("dataset", "version", "parent", "n_rows"), "SELECT 'daily_bars' AS dataset, v AS version, v - 1 AS parent, count(*) AS n_rows FROM canon CROSS JOIN (VALUES (1), (2)) t(v) GROUP BY v", CANON)
+q("dataset_state", lambda x: versions.state(x.spark, _two_versions(x), BARS).select("dataset", "version", "n_rows"), "SELECT 'daily_bars' AS dataset, 2 AS version, count(*) AS n_rows FROM canon", CANON)
+q("read_version", lambda x: (lambda root: versions.read(x.spark, root, BARS, 1).select(*KEYS, F.col("close").alias("one")).join(versions.read(x.spark, root, BARS).select(*KEYS, F.col("close").alias("two")), KEYS))(_two_versions(x)), "SELECT symbol, trade_date, close AS one, close * 2 AS two FROM canon", CANON)
+q("watermark_max", lambda x: x.bars_raw.groupBy("source").agg(F.greatest(F.max("trade_date"), F.lit("2024-01-15").cast("date")).alias("watermark")), "SELECT source, greatest(max(trade_date), DATE '2024-01-15') AS watermark FROM bars_raw GROUP BY 1")
+q("watermark_reconcile", lambda x: x.bars_raw.groupBy("source").agg(F.least(F.max("trade_date"), F.lit("2024-02-15").cast("date")).alias("watermark")), "SELECT source, least(max(trade_date), DATE '2024-02-15') AS watermark FROM bars_raw GROUP BY 1")
+q("purge_placeholders", lambda x: x.instruments.where(~S.placeholder_name(F.when(F.col("name").startswith("ST"), F.concat("name", F.lit("退"))).otherwise(F.col("name")))).select("symbol"), "SELECT symbol FROM instruments WHERE name NOT LIKE 'ST%'")
+q("pit_normalize", lambda x: research.pit_normalize(x.facts).select("fact_id", F.col("available_at").isNull().alias("no_available"), F.date_format("observed_at", "yyyy-MM-dd").alias("observed")), "SELECT fact_id, TRUE AS no_available, strftime(fetched_at, '%Y-%m-%d') AS observed FROM facts")
+q("pit_migration", lambda x: research.pit_normalize(research.pit_normalize(x.facts)).select("fact_id", F.col("source_published_at").isNull().alias("unknown"), F.length("revision_id").alias("n")), "SELECT fact_id, TRUE AS unknown, 32 AS n FROM facts")
+q("status_migration", lambda x: canonical.split_legacy_status(x.status).groupBy("status", "risk_warning").agg(F.count("*").alias("n")), "SELECT CASE WHEN status = 'st' THEN 'normal' ELSE status END AS status, CASE WHEN status = 'st' THEN TRUE ELSE risk_warning END AS risk_warning, count(*) AS n FROM status GROUP BY 1, 2")
+
+# The main read
+VALID = "valid AS (SELECT * FROM bars_raw r ANTI JOIN (SELECT * FROM status WHERE " + BAD + ") s ON s.symbol = r.symbol AND s.trade_date = r.trade_date LEFT JOIN (SELECT symbol AS sym, list_date, delist_date FROM instruments) i ON i.sym = r.symbol WHERE " + CLASS.replace("symbol", "r.symbol") + " AND coalesce(list_date <= r.trade_date, TRUE) AND coalesce(r.trade_date <= delist_date, TRUE)), " + CANON.replace("FROM bars_raw", "FROM valid").replace("canon AS", "vcanon AS")
+q("read_validated", lambda x: load.read_validated(x.bars_raw, BARS, "2024-01-04", "2024-01-25", None, x.instruments, x.status).select(*KEYS, "source", "close"), "SELECT symbol, trade_date, source, close FROM vcanon WHERE trade_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'", VALID)
+raw_factors = lambda x: x.factor_events.select("symbol", "trade_date", "factor")
+q("load", lambda x: load.load(x.bars_raw, BARS, "2024-01-04", "2024-01-25", adjust="hfq", factors=raw_factors(x), master=x.instruments, status=x.status).select(*KEYS, "source", "adj_close", "adj_is_exact"), "SELECT v.symbol, v.trade_date, source, close * coalesce(factor, 1) AS adj_close, factor IS NOT NULL AS adj_is_exact FROM vcanon v LEFT JOIN factor_events f ON f.symbol = v.symbol AND f.trade_date = v.trade_date WHERE v.trade_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'", VALID)
+q("query_bars", lambda x: load.load(x.bars_raw, BARS, "2024-01-04", "2024-01-25", adjust="hfq", factors=raw_factors(x)).agg(F.count("*").alias("n"), F.count_if(~F.col("adj_is_exact")).alias("n_inexact")), "SELECT count(*) AS n, count(*) FILTER (factor IS NULL) AS n_inexact FROM canon LEFT JOIN factor_events USING (symbol, trade_date) WHERE trade_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'", CANON)
+q("daily_bars_qfq", lambda x: load.load(x.bars_raw, BARS, None, "2024-01-20", adjust="qfq", factors=raw_factors(x)).select(*KEYS, r9("adj_close").alias("adj_close"), "adj_is_exact"), "SELECT c.symbol, c.trade_date, round(close * coalesce(factor / anchor, 1), 9) AS adj_close, factor IS NOT NULL AND anchor IS NOT NULL AS adj_is_exact FROM canon c LEFT JOIN factor_events f USING (symbol, trade_date) LEFT JOIN (SELECT f.symbol, max_by(factor, f.trade_date) AS anchor FROM factor_events f JOIN (SELECT symbol, max(trade_date) AS last FROM canon WHERE trade_date <= DATE '2024-01-20' GROUP BY 1) l ON l.symbol = f.symbol AND f.trade_date <= last GROUP BY 1) a ON a.symbol = c.symbol WHERE c.trade_date <= DATE '2024-01-20'", CANON)
+FACTS = DATASETS["financial_statement_items"]
+q("query_fundamentals", lambda x: load.load(x.facts, FACTS, as_of="1997-06-30", items=["1-URGENT", "2-HIGH"]).select("symbol", "report_period", "item_code", "item_value", "pit_is_exact"), "SELECT symbol, report_period, item_code, item_value, pit_is_exact FROM vis WHERE item_code IN ('1-URGENT', '2-HIGH') QUALIFY row_number() OVER (PARTITION BY symbol, report_period, item_code ORDER BY announce_date DESC, observed_at DESC, fetched_at DESC, item_value DESC) = 1", VISIBLE)
+q("all_vintages", lambda x: load.load(x.facts, FACTS, as_of="1997-06-30", all_vintages=True).select("fact_id"), "SELECT fact_id FROM vis", VISIBLE)
+q("query_dataset", lambda x: lake.scan(x.members, DATASETS["industry_members"], "2024-01-10").select("symbol", "industry_code"), "SELECT symbol, industry_code FROM members WHERE as_of_date >= DATE '2024-01-10'")
+q("browse_rows", lambda x: research.page(lake.scan(x.canon, BARS, "2024-01-10", "2024-01-10"), ["symbol"], 40).select(*KEYS, "close", "source"), "SELECT symbol, trade_date, close, source FROM canon WHERE trade_date = DATE '2024-01-10' ORDER BY symbol LIMIT 40", CANON)
+
+
+def _sql(x, text, limit=10**9):
+    load.views(x.spark, {"daily_bars": x.bars_raw, "trading_status": x.status}, DATASETS)
+    return load.run_sql(x.spark, text, limit)
+
+
+q("sql_views", lambda x: _sql(x, "SELECT source, count(*) AS n, sum(volume) AS volume FROM daily_bars GROUP BY source"), "SELECT source, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume FROM canon GROUP BY 1", CANON)
+q("sql_canonical_view", lambda x: _sql(x, "SELECT symbol, trade_date, close FROM daily_bars"), "SELECT symbol, trade_date, close FROM canon", CANON)
+q("run_sql", lambda x: _sql(x, "SELECT b.symbol, b.trade_date, status FROM daily_bars b JOIN trading_status s ON b.symbol = s.symbol AND b.trade_date = s.trade_date WHERE b.volume > 100 ORDER BY 1, 2;", 25), "SELECT symbol, trade_date, status FROM canon JOIN status USING (symbol, trade_date) WHERE volume > 100 ORDER BY 1, 2 LIMIT 25", CANON)
+
+# Matching, evidence, gaps
+boards = lambda x: x.table("part").select(F.col("p_type").alias("kind"), (F.col("p_partkey") % 997).cast("string").alias("code"), F.col("p_name").alias("name"))
+others = lambda x: x.table("part").where("p_size > 25").groupBy(F.col("p_type").alias("kind"), (F.col("p_partkey") % 997).cast("string").alias("code")).agg(F.min(F.concat(F.lit("Concept "), "p_name")).alias("name"))
+q("norm_name", lambda x: x.table("part").select("p_partkey", reconcile.norm_name(F.concat(F.lit("Brand 7 "), "p_name")).alias("n")), "SELECT p_partkey, replace(lower(p_name), ' ', '') AS n FROM part")
+q("sector_code_map", lambda x: reconcile.sector_code_map(boards(x), others(x)), "SELECT b.kind, lpad(b.code, 6, '0') AS code, b.name, o.name AS other_name, CASE WHEN o.name IS NULL THEN 'predicted' WHEN replace(lower(b.name), ' ', '') = replace(replace(lower(o.name), 'concept ', ''), ' ', '') THEN 'identity' ELSE 'name_mismatch' END AS state FROM (SELECT p_type AS kind, CAST(p_partkey % 997 AS VARCHAR) AS code, p_name AS name FROM part) b LEFT JOIN (SELECT p_type AS kind, CAST(p_partkey % 997 AS VARCHAR) AS code, min('Concept ' || p_name) AS name FROM part WHERE p_size > 25 GROUP BY 1, 2) o ON o.kind = b.kind AND o.code = b.code")
+q("sector_routing", lambda x: reconcile.sector_routing(x.table("supplier").select(F.col("s_suppkey").alias("board"), F.concat(F.lit("zone"), F.col("s_nationkey").cast("string"), F.substring("s_name", 17, 2)).alias("name")).withColumn("name", F.translate("name", "0123456789", "abcdefghij")), x.table("nation").select(F.col("n_nationkey").alias("index"), F.translate(F.concat(F.lit("zone"), F.col("n_nationkey").cast("string")), "0123456789", "abcdefghij").alias("name")), "zoneb"), """SELECT b.board, CASE WHEN n LIKE '%zoneb%' THEN 'exclusive' WHEN ne = 1 THEN 'exact' WHEN nh = 1 THEN 'contains' WHEN nh > 1 THEN 'ambiguous' ELSE 'none' END AS tier, CASE WHEN n LIKE '%zoneb%' THEN NULL WHEN ne = 1 THEN ex WHEN nh = 1 THEN he END AS "index"
+ FROM (SELECT b.board, any_value(b.n) AS n, count(DISTINCT i."index") FILTER (b.n = i.m) AS ne, min(i."index") FILTER (b.n = i.m) AS ex, count(DISTINCT i."index") FILTER (contains(b.n, i.m) OR contains(i.m, b.n)) AS nh, min(i."index") FILTER (contains(b.n, i.m) OR contains(i.m, b.n)) AS he
+ FROM (SELECT s_suppkey AS board, translate('zone' || s_nationkey || substr(s_name, 17, 2), '0123456789', 'abcdefghij') AS n FROM supplier) b CROSS JOIN (SELECT n_nationkey AS "index", translate('zone' || n_nationkey, '0123456789', 'abcdefghij') AS m FROM nation) i GROUP BY 1) b""")
+q("elapsed_fraction", lambda x: lake.list_partitions(lake.by_period(x.facts.withColumnRenamed("announce_date", "trade_date"), BARS)).select("period", r9(reconcile.elapsed_fraction(F.col("start"), F.col("end"), F.lit("1998-03-10").cast("date"))).alias("share")), "SELECT DISTINCT strftime(announce_date, '%Y-%m') AS period, round(greatest(0.0, least(1.0, (DATE '1998-03-10' - CAST(date_trunc('month', announce_date) AS DATE) + 1) / (last_day(announce_date) - CAST(date_trunc('month', announce_date) AS DATE) + 1))), 9) AS share FROM facts")
+q("dataset_audit", lambda x: reconcile.dataset_audit(x.bars_raw, BARS, "vendor_c"), "SELECT * FROM (SELECT 'mock_rows' AS \"check\", count(*) FILTER (source = 'vendor_c') AS n FROM bars_raw UNION ALL SELECT 'required_nulls', count(*) FILTER (fetched_at IS NULL) FROM bars_raw UNION ALL SELECT 'duplicate_keys', count(*) - count(DISTINCT (symbol, trade_date)) FROM bars_raw) WHERE n > 0")
+q("schema_contract", lambda x: canonical.validate(x.bars_raw.withColumn("close", F.concat(F.when(F.col("volume") % 13 == 0, "x").otherwise(""), F.col("close").cast("string"))), BARS).groupBy("source").agg(F.count_if(F.col("close").isNull()).alias("n_bad")), "SELECT source, count(*) FILTER (volume % 13 = 0) AS n_bad FROM bars_raw GROUP BY 1")
+q("last_em_tip", lambda x: quality.last_dense(x.bars_raw.where("source = 'vendor_b'"), x.bars, 0.2), "SELECT max(trade_date) AS trade_date FROM (SELECT b.trade_date FROM bars b LEFT JOIN (SELECT symbol, trade_date FROM bars_raw WHERE source = 'vendor_b') v ON v.symbol = b.symbol AND v.trade_date = b.trade_date GROUP BY 1 HAVING count(v.symbol) / count(*) >= 0.2)")
+q("structural_adjustments", lambda x: reconcile.structural(x.table("part").select("p_partkey", F.col("p_name").alias("change_reason")), "gear|widget"), "SELECT p_partkey, p_name AS change_reason FROM part WHERE p_name LIKE '%gear%' OR p_name LIKE '%widget%'")
+q("authority_macro", lambda x: x.facts.groupBy("item_code").agg(F.max_by("item_value", F.struct("announce_date", "fact_id")).alias("published"), F.max_by("item_value", F.struct("announce_date", F.col("fact_id") * -1)).alias("curated")).select("item_code", (F.abs(F.col("published") - F.col("curated")) > 0.05).alias("off")), "SELECT item_code, abs(max_by(item_value, (announce_date, fact_id)) - max_by(item_value, (announce_date, -fact_id))) > 0.05 AS \"off\" FROM facts GROUP BY 1")
+q("complete_derived_days", lambda x: x.index.groupBy("trade_date").agg(F.count_distinct("level").alias("n_levels"), F.count_distinct("weighting").alias("n_weightings")).where("n_levels = 3 AND n_weightings = 2").select("trade_date"), "SELECT DISTINCT trade_date FROM idx", INDEX)
+GAPS = "cov AS (SELECT symbol AS dataset, min(trade_date) AS lo, max(trade_date) AS hi FROM bars GROUP BY 1), vg AS (SELECT dataset, 'stale' AS kind, hi + 1 AS start, DATE '2024-01-30' AS \"end\" FROM cov WHERE DATE '2024-01-30' - hi > 2 UNION ALL SELECT dataset, 'shallow', DATE '2024-01-02', lo - 1 FROM cov WHERE lo > DATE '2024-01-02' UNION ALL SELECT dataset, 'interior', min(c.trade_date), max(c.trade_date) FROM cov JOIN calendar c ON is_trading AND c.trade_date BETWEEN lo AND hi ANTI JOIN bars b ON b.symbol = dataset AND b.trade_date = c.trade_date GROUP BY 1)"
+verify = lambda x: reconcile.verify_gaps(x.bars.select(F.col("symbol").alias("dataset"), "trade_date"), x.calendar, "2024-01-30", 2, "2024-01-02")
+q("verify_gaps", verify, "SELECT * FROM vg", GAPS)
+q("repairable_gaps", lambda x: reconcile.repairable(verify(x), ["600000.SH", "600004.SH", "600008.SH", "600012.SH"]), "SELECT * FROM vg WHERE kind = 'stale' OR dataset IN ('600000.SH', '600004.SH', '600008.SH', '600012.SH')", GAPS)
+q("historical_validity", lambda x: reconcile.historical_validity(x.bars.where("trade_date <> date'2024-01-11'"), x.calendar, x.status, "2024-01-05", "2024-02-15"), "SELECT 'window_not_covered' AS blocker, 1 AS n UNION ALL SELECT 'sessions_without_bars', 1")
+q("delisting_evidence_gate", lambda x: quality.delisting_coverage(x.instruments.where("delist_date IS NOT NULL"), x.spans, x.instruments).agg((F.count_if(F.col("kind") != "verified") == 0).alias("verified"), F.count("*").alias("n")), "SELECT count(*) FILTER (z IS NULL OR z > delist_date OR delist_date - z > 7) = 0 AS verified, count(*) AS n FROM instruments LEFT JOIN (SELECT symbol, max(trade_date) AS z FROM bars GROUP BY 1) USING (symbol) WHERE delist_date IS NOT NULL")
+gone = lambda x: x.bars.select("symbol").distinct().withColumn("delist_date", F.lit("2024-01-20").cast("date"))
+q("delisting_reconcile", lambda x: reconcile.delisting_reconcile(gone(x), x.spans, x.instruments), "SELECT symbol, kind, CASE WHEN kind = 'master_wrong' AND z <= DATE '2024-01-20' THEN 'correct' ELSE 'unresolved' END AS action FROM (SELECT symbol, z, CASE WHEN m.name IS NULL THEN 'master_missing' WHEN delist_date IS NULL THEN 'master_wrong' WHEN z > DATE '2024-01-20' THEN 'bars_after_end' WHEN DATE '2024-01-20' - z > 7 THEN 'terminal_gap' ELSE 'verified' END AS kind FROM (SELECT symbol, max(trade_date) AS z FROM bars GROUP BY 1) b LEFT JOIN instruments m USING (symbol)) WHERE kind <> 'verified'")
+q("delisting_events", lambda x: canonical.dedupe(x.bars_raw.select("symbol", F.col("trade_date").alias("delist_date"), "source", "data_version", "fetched_at"), DATASETS["instruments"]).select("symbol", "delist_date"), "SELECT symbol, trade_date AS delist_date FROM bars_raw QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY fetched_at DESC NULLS LAST, source DESC, data_version DESC, trade_date DESC) = 1")
+receipts = lambda x: x.status.where("source <> 'gap'").groupBy((F.col("source")).alias("source"), "symbol").agg(F.count("*").alias("n_rows")).select(F.concat(F.lit("r-"), "source").alias("receipt"), "source", F.lit("2024-01-01").cast("date").alias("start"), F.lit("2024-01-30").cast("date").alias("end"), "symbol", "n_rows")
+q("st_evidence", lambda x: reconcile.st_evidence(receipts(x), x.status.where("source = 'history'"), x.status.groupBy("symbol", "source").agg(F.count("*").alias("n")), "2024-01-05", "2024-01-25"), "SELECT source, 'r-' || source AS receipt FROM status WHERE source <> 'gap' AND symbol IN (SELECT symbol FROM status WHERE source = 'history') GROUP BY 1 HAVING count(DISTINCT symbol) = (SELECT count(DISTINCT symbol) FROM status WHERE source = 'history')")
+receipt = lambda x, name, a, z, cond: x.status.where(cond).groupBy("source").agg(F.lit(name).alias("receipt"), F.lit(a).cast("date").alias("start"), F.lit(z).cast("date").alias("end"), F.collect_set("symbol").alias("symbols"))
+q("st_receipt_compose", lambda x: reconcile.compose_receipts(receipt(x, "deep", "2024-01-01", "2024-01-15", "trade_date < date'2024-01-03'"), receipt(x, "tail", "2024-01-10", "2024-01-30", "true")), "SELECT source, 'deep' AS \"old\", 'tail' AS tail, DATE '2024-01-01' AS start, DATE '2024-01-30' AS \"end\", CAST(count(DISTINCT symbol) - count(DISTINCT symbol) FILTER (trade_date < DATE '2024-01-03') AS INT) AS n_added FROM status GROUP BY 1 HAVING count(*) FILTER (trade_date < DATE '2024-01-03') > 0")
+q("sw_complete_dates", lambda x: x.members.groupBy("as_of_date").agg(F.count("*").alias("n")).where("n >= 14").select("as_of_date"), "SELECT as_of_date FROM members GROUP BY 1 HAVING count(*) >= 14")
+q("daily_ownership", lambda x: reconcile.daily_ownership(x.bars, x.spans, x.instruments, x.status, x.calendar, "2024-01-15", "2024-01-25"), """SELECT symbol, CASE WHEN i.name IS NULL THEN 'unknown' WHEN list_date > DATE '2024-01-25' OR delist_date < DATE '2024-01-15' THEN 'expected_no_data' WHEN delist_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25' THEN 'delegated' WHEN n_shut >= (SELECT count(*) FROM calendar WHERE is_trading AND trade_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25') THEN 'expected_no_data' WHEN n_open > 0 THEN 'generic' WHEN n_shut > 0 THEN 'unknown' ELSE 'generic' END AS owner
+ FROM (SELECT DISTINCT symbol FROM bars) b LEFT JOIN instruments i USING (symbol) LEFT JOIN (SELECT symbol, count(*) FILTER (status IN ('suspended', 'delisted') OR NOT is_trading) AS n_shut, count(*) FILTER (NOT (status IN ('suspended', 'delisted') OR NOT is_trading)) AS n_open FROM status WHERE trade_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25' GROUP BY 1) s USING (symbol)""")
+q("master_enrich", lambda x: reconcile.master_enrich(x.instruments, x.spans.select("symbol", F.col("first_date").alias("list_date"), F.when(F.col("last_date") < "2024-01-29", F.col("last_date")).alias("delist_date"))), "SELECT symbol, coalesce(list_date, a) AS list_date, delist_date FROM instruments LEFT JOIN (SELECT symbol, min(trade_date) AS a FROM bars GROUP BY 1) USING (symbol) UNION ALL SELECT symbol, a, z FROM (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z FROM bars GROUP BY 1) WHERE z < DATE '2024-01-29' AND symbol NOT IN (SELECT symbol FROM instruments)")
+q("list_datasets", lambda x: lake.union_by_name([stats.bounds(r, d).select(F.lit(n).alias("dataset"), F.lit(layer).alias("layer"), F.lit(pit).alias("pit"), "first_date", "last_date") for n, r, d, layer, pit in (("daily_bars", x.bars_raw, "trade_date", "curated", False), ("financial_statement_items", x.facts, "announce_date", "curated", True), ("industry_members", x.members, "as_of_date", "curated", False))]), "SELECT 'daily_bars' AS dataset, 'curated' AS layer, FALSE AS pit, min(trade_date) AS first_date, max(trade_date) AS last_date FROM bars_raw UNION ALL SELECT 'financial_statement_items', 'curated', TRUE, min(announce_date), max(announce_date) FROM facts UNION ALL SELECT 'industry_members', 'curated', FALSE, min(as_of_date), max(as_of_date) FROM members")

@@ -48,7 +48,7 @@ def by_period(rows: DataFrame, dataset: Dataset) -> DataFrame:
 
 def write(rows: DataFrame, dataset: Dataset, path: str) -> None:
     """Replace the periods that occur in rows; others stay. zstd Parquet, one folder per period."""
-    rows = by_period(rows, dataset).repartition(PERIOD, F.pmod(F.xxhash64(*dataset.key), F.lit(8)))  # a large period is dealt to several tasks
+    rows = by_period(rows, dataset).repartition(PERIOD, F.pmod(F.xxhash64(*[k for k in dataset.key if k in rows.columns]), F.lit(8)))  # a large period is dealt to several tasks
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(PERIOD).parquet(path)
 
 
