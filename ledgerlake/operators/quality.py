@@ -318,3 +318,12 @@ def delisting_coverage(catalog: DataFrame, spans: DataFrame, master: DataFrame)
     j = catalog.select("symbol", F.col("delist_date").alias("gone")).join(spans, "symbol", "left").join(master.select("symbol", "delist_date", F.lit(True).alias("_m")), "symbol", "left")
     kind = F.when(F.col("_m").isNull(), "master_missing").when(F.col("delist_date").isNull() | (F.col("delist_date") != F.col("gone")), "master_wrong").when(F.col("first_date").isNull(), "bars_missing").when(F.col("last_date") > F.col("gone"), "bars_after_end").when(F.datediff("gone", "last_date") > 7, "terminal_gap").otherwise("verified")
     return j.select("symbol", kind.alias("kind"))
+
+
+def schema_report(rows: DataFrame, dataset) -> DataFrame:
+    """The contract's columns and types, and how many values of each cast to it."""
+    kinds = dataset.schema
+    have = [c for c in kinds if c in rows.columns]
+    agg = rows.agg(*[F.count(F.col(c).try_cast(kinds[c])).alias(c) for c in have]).unpivot([], have, "column", "n_valid")
+    names = F.create_map(*[F.lit(x) for c in have for x in (c, kinds[c])])
+    return agg.select("column", F.element_at(names, F.col("column")).alias("type"), "n_valid")

@@ -467,3 +467,7 @@ q("daily_ownership", lambda x: reconcile.daily_ownership(x.bars, x.spans, x.inst
  FROM (SELECT DISTINCT symbol FROM bars) b LEFT JOIN instruments i USING (symbol) LEFT JOIN (SELECT symbol, count(*) FILTER (status IN ('suspended', 'delisted') OR NOT is_trading) AS n_shut, count(*) FILTER (NOT (status IN ('suspended', 'delisted') OR NOT is_trading)) AS n_open FROM status WHERE trade_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25' GROUP BY 1) s USING (symbol)""")
 q("master_enrich", lambda x: reconcile.master_enrich(x.instruments, x.spans.select("symbol", F.col("first_date").alias("list_date"), F.when(F.col("last_date") < "2024-01-29", F.col("last_date")).alias("delist_date"))), "SELECT symbol, coalesce(list_date, a) AS list_date, delist_date FROM instruments LEFT JOIN (SELECT symbol, min(trade_date) AS a FROM bars GROUP BY 1) USING (symbol) UNION ALL SELECT symbol, a, z FROM (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z FROM bars GROUP BY 1) WHERE z < DATE '2024-01-29' AND symbol NOT IN (SELECT symbol FROM instruments)")
 q("list_datasets", lambda x: lake.union_by_name([stats.bounds(r, d).select(F.lit(n).alias("dataset"), F.lit(layer).alias("layer"), F.lit(pit).alias("pit"), "first_date", "last_date") for n, r, d, layer, pit in (("daily_bars", x.bars_raw, "trade_date", "curated", False), ("financial_statement_items", x.facts, "announce_date", "curated", True), ("industry_members", x.members, "as_of_date", "curated", False))]), "SELECT 'daily_bars' AS dataset, 'curated' AS layer, FALSE AS pit, min(trade_date) AS first_date, max(trade_date) AS last_date FROM bars_raw UNION ALL SELECT 'financial_statement_items', 'curated', TRUE, min(announce_date), max(announce_date) FROM facts UNION ALL SELECT 'industry_members', 'curated', FALSE, min(as_of_date), max(as_of_date) FROM members")
+q("dataset_schema", lambda x: quality.schema_report(x.bars_raw, BARS), "SELECT \"column\", type, n AS n_valid FROM (SELECT count(symbol) AS symbol, count(trade_date) AS trade_date, count(open) AS open, count(high) AS high, count(low) AS low, count(close) AS close, count(volume) AS volume, count(amount) AS amount, count(source) AS source, count(data_version) AS data_version, count(fetched_at) AS fetched_at FROM bars_raw) UNPIVOT (n FOR \"column\" IN (symbol, trade_date, open, high, low, close, volume, amount, source, data_version, fetched_at)) JOIN (VALUES ('symbol', 'string'), ('trade_date', 'date'), ('open', 'double'), ('high', 'double'), ('low', 'double'), ('close', 'double'), ('volume', 'bigint'), ('amount', 'double'), ('source', 'string'), ('data_version', 'string'), ('fetched_at', 'timestamp')) t(\"column\", type) USING (\"column\")")
+q("empty_typed_view", lambda x: lake.union_by_name([lake.empty(x.spark, BARS), x.bars]).select(*KEYS, "close", "source"), "SELECT symbol, trade_date, close, NULL::VARCHAR AS source FROM bars")
+q("canonical_dedupe_lazy", lambda x: canonical.dedupe(x.status, STATUS, [canonical.evidence_rank(F.col("source"), F.col("fetched_at"), F.col("trade_date"))]).groupBy("source").agg(F.count("*").alias("n")), "SELECT source, count(*) AS n FROM status GROUP BY 1")
+q("gate_breadth", lambda x: quality.breadth_days(x.breadth).select("trade_date", (F.col("n") == 7).alias("seven")), "SELECT trade_date, count(DISTINCT metric_id) = 7 AS seven FROM breadth GROUP BY 1", BREADTH)
