@@ -68,7 +68,7 @@ def _axes(reps: DataFrame, many: int) -> dict[int, np.ndarray]:
     return axes
 
 
-def _blocks(reps: DataFrame, eps: float, block: int, leading: int) -> DataFrame:
+def _blocks(reps: DataFrame, eps: float, block: int, leading: int, n: int) -> DataFrame:
     """Sequence intervals of the grid order: block, label, dim, ids, copies, vectors, low and high corner."""
     axes = _axes(reps, leading)
     cells = [f"c{k}" for k in range(leading)]
@@ -84,7 +84,7 @@ def _blocks(reps: DataFrame, eps: float, block: int, leading: int) -> DataFrame:
     base = "rep long, copies long, label long, dim int, v array<float>"
     order = ["label", "dim", *cells, "rep"]
     placed = reps.select("rep", "copies", "label", "dim", "v").mapInArrow(project, base + "".join(f", {c} int" for c in cells) + ", y array<double>")
-    placed = cut(placed, "grid").repartitionByRange(tasks_for(reps.sparkSession), *order).sortWithinPartitions(*order)
+    placed = cut(placed, "grid", n).repartitionByRange(tasks_for(reps.sparkSession), *order).sortWithinPartitions(*order)
 
     def gather(batches):
         from pyspark import TaskContext
@@ -187,15 +187,16 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.93, id_col: str = "vec_id
     sound = F.coalesce(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & finite, F.lit(False))
     keyed = rows.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), v.alias("v"), sound.alias("sound"), *[F.when(sound, F.xxhash64(F.lit(k), v)).alias(f"h{k}") for k in (1, 2)])
     reps = keyed.where("sound").groupBy("label", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("v").alias("v"))
-    reps = cut(reps.withColumn("dim", F.size("v")), "vectors")
-    blocks = _blocks(reps, eps, block, leading)
+    n = rows.count()
+    reps = cut(reps.withColumn("dim", F.size("v")), "vectors", n)
+    blocks = _blocks(reps, eps, block, leading, n)
     side = lambda s: blocks.select(F.col("block").alias(s), *([] if s == "b" else ["dim"]), F.col("ids").alias(f"{s}ids"), F.col("copies").alias(f"{s}copies"), F.col("v").alias(f"{s}v"))
     pairs = _interval_pairs(blocks, eps, leading).join(side("a"), "a").join(side("b"), "b")
     found = cut(pairs.mapInArrow(_compare(cosine), "a long, b long, n long"), "links")
     comp = components(found.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("vertex", "rep")
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     told = reps.select("label", "h1", "h2", "rep", "copies").join(counts, "rep", "left").join(comp, "rep", "left")
-    told = cut(told.select("label", "h1", "h2", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("root")), "told")
+    told = cut(told.select("label", "h1", "h2", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("root")), "told", n)
     out = keyed.select("id", "label", "h1", "h2").join(told, ["label", "h1", "h2"], "left")
     mine = F.coalesce("root", "id")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), mine.alias("component_id"), F.col("id").eqNullSafe(mine).alias("kept"))
