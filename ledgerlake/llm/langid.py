@@ -86,10 +86,11 @@ class Model:
         return [self.langs[b] if ok else UNKNOWN for b, ok in zip(best, letters, strict=True)], np.where(letters, cosine, 0), ~letters | (cosine < self.floor[best])
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_lang: int = 1000, clusters: int = 4, reject: float = 0.002) -> Model:
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_lang: int = 1000, clusters: int = 4, reject: float = 0.002, least_share: float = 0.08) -> Model:
     """Learn from rows with text and language. per_lang: expected number of rows of a language (those of
     the smallest hashes) that its centroids are clustered from; idf counts all rows. reject: share of a
-    centroid's own learning texts that its distance bound would reject.
+    centroid's own learning texts that its distance bound would reject. least_share: clusters with a smaller
+    share of the language's sample are dropped (the largest always stays).
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(id_col).cast("string"), text_col).alias("h"))
 
@@ -115,6 +116,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
         x = np.concatenate([vectors(grams(texts.slice(lo, hi - lo))[0], idf) for lo, hi in _runs(texts)])
         x = x[x.any(1)] if x.any() else x
         c = spherical_kmeans(x, clusters)
+        # a few texts that are labelled wrong or mix languages must not stand for the language
+        share = np.bincount(np.argmax(x @ c.T, 1), minlength=len(c)) / len(x)
+        c = c[share >= min(least_share, share.max())]
         near = x @ c.T
         own = np.argmax(near, 1)
         floor = [float(np.quantile(near[own == j, j], reject)) * 0.9 if (own == j).any() else 0.0 for j in range(len(c))]

@@ -26,7 +26,7 @@ RATIOS = {
     "marks_per_word": (0.05, False),
     "chars_per_word": (0.25, True),
     "dup_lines_per_10_words": (0.05, False),
-    "repeat_share": (0.04, False),
+    "repeat_share": (0.07, False),
 }
 
 
