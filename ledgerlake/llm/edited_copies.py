@@ -1,0 +1,144 @@
+"""Edited copies: texts whose sets of word shingles have a Jaccard similarity of ``least`` or more.
+
+1. Each text becomes its sorted set of XXH64 shingle hashes, stored once with a digest of the set.
+2. Sets of sizes up to ``hi`` that are similar enough differ in at most ``D = 2 * hi * (1 - least) / (1 + least)``
+   shingles. Hashes are dealt to more than D parts; each part that holds any makes one key of its contents.
+   A set with more than D such parts shares a key with every set similar to it; sets with fewer share one
+   extra key. No similar pair is without a common key, and a passage that many texts hold makes no hot key.
+   Sizes form classes; a set makes keys for its own class and the next, where its larger partners are.
+3. Sets under one key are first held against the smallest of them, and similar ones are contracted: a family of
+   copies takes rows in proportion to its size. What is left is then compared pair by pair, on the sets themselves.
+"""
+
+from __future__ import annotations
+
+from bisect import bisect_left
+from math import ceil
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .graph import components
+from .scratch import cut, tasks_for
+from .simhash import SEED
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def shingles(text: bytes, width: int = 5) -> np.ndarray:
+    """Sorted distinct hashes of the word shingles of one UTF-8 text; shorter texts are one shingle, texts without a word none."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined, n = b" ".join(words), len(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))[: max(1, n - width + 1)]
+    h64 = xxhash.xxh64_intdigest
+    return np.unique(np.array([h64(joined[s:e], SEED) for s, e in zip(starts.tolist(), ends[min(width, n) - 1 :].tolist(), strict=True)], np.uint64))
+
+
+def classes(least: float, most: int = 1 << 31) -> list[int]:
+    """Upper sizes of the classes: a set's similar partners lie in its own class or one beside it."""
+    out = [1]
+    while out[-1] < most:
+        out.append(max(out[-1] + 1, ceil(out[-1] / least + 1e-9)))
+    return out
+
+
+def keys(h: np.ndarray, least: float, tops: list[int]) -> np.ndarray:
+    """Keys of a set (distinct uint64): any two sets with a Jaccard similarity of ``least`` or more share one."""
+    if not len(h):
+        return np.zeros(0, np.uint64)
+    own, out = bisect_left(tops, len(h)), []
+    for c in (own, own + 1):
+        apart = int(2 * tops[c] * (1 - least) / (1 + least) + 1e-9)
+        part = h % np.uint64(int(1.15 * (apart + 1)) + 4)
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        made = np.add.reduceat(h[order], first) ^ (part[first] + np.array([1 + (c << 40)], np.uint64)) * _MIX
+        out.append(made)
+        if len(first) <= apart:
+            out.append(np.array([c + 1], np.uint64) * _MIX)
+    return np.concatenate(out)
+
+
+def _buckets(batches):
+    """mapInArrow body: rows sorted by key -> ``key, digest, lead`` of keys with two different digests or more."""
+
+    def found(key: np.ndarray, digest: np.ndarray):
+        new = np.append(True, (key[1:] != key[:-1]) | (digest[1:] != digest[:-1]))
+        key, digest = key[new], digest[new]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(first, len(key)))
+        many = np.repeat(size > 1, size)
+        return pa.RecordBatch.from_arrays([pa.array(key[many]), pa.array(digest[many]), pa.array(np.repeat(digest[first], size)[many])], ["key", "digest", "lead"])
+
+    held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for b in batches:
+        held = tuple(np.concatenate([x, c.to_numpy(zero_copy_only=False)]) for x, c in zip(held, b.columns, strict=True))
+        if len(held[0]) and (end := int(np.searchsorted(held[0], held[0][-1]))):  # the last key may go on in the next batch
+            yield found(held[0][:end], held[1][:end])
+            held = held[0][end:], held[1][end:]
+    if len(held[0]):
+        yield found(*held)
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs ``a, b`` of digests whose sets are similar enough, compared whole."""
+    one = lambda k: sets.select(F.col("digest").alias(k), F.col("hashes").alias(f"{k}_hashes"))
+
+    def run(batches):
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(2), b.column(3), strict=True):
+                p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                both = len(np.intersect1d(p, q, assume_unique=True)) if min(len(p), len(q)) >= least * max(len(p), len(q)) - 1e-9 else 0
+                keep.append(both + 1e-9 >= least * (len(p) + len(q) - both))
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "a_hashes", "b_hashes").mapInArrow(run, "a long, b long")
+
+
+def _firsts(reps: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows ``digest, low`` of reps that have the smallest low of their component."""
+    comp = components(links).withColumnRenamed("vertex", "digest")
+    rooted = reps.join(comp, "digest", "left").select("digest", "low", F.coalesce("root", "digest").alias("root"))
+    return rooted.groupBy("root").agg(F.min(F.struct(F.col("low").isNull().alias("no"), "low", "digest")).alias("m")).select("m.digest", "m.low")
+
+
+def first_of_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
+    """Ids (``id_col``) of the documents that stay: no two of them are similar, each that goes is linked to one by similar texts.
+
+    The smallest id of linked documents stays; a null id only if all are null. Null and empty texts count as one text.
+    """
+    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    tops = classes(least)
+
+    def make(batches):
+        for b in batches:
+            h = [shingles(t.as_py() or b"", width) for t in b.column(1)]
+            digest = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in h], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest), pa.array([x.tobytes() for x in h], pa.binary())], ["id", "digest", "hashes"])
+
+    def deal(batches):
+        for b in batches:
+            k = [keys(np.frombuffer(x.as_py(), np.uint64), least, tops) for x in b.column(1)]
+            if len(k):
+                many = np.repeat(b.column(0).to_numpy(), [len(x) for x in k])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(k).view(np.int64)), pa.array(many)], ["key", "digest"])
+
+    sets = cut(kept.mapInArrow(make, f"id {dict(kept.dtypes)['id']}, digest long, hashes binary"), "shingle-sets")
+    reps = cut(sets.groupBy("digest").agg(F.min("id").alias("low")), "distinct-sets")
+    dealt = sets.select("digest", "hashes").mapInArrow(deal, "key long, digest long").repartition(tasks_for(docs.sparkSession), "key").sortWithinPartitions("key", "digest")
+    buckets = cut(dealt.mapInArrow(_buckets, "key long, digest long, lead long"), "shared-keys")
+    wanted = buckets.select("digest").distinct()
+    sets = cut(sets.select("digest", "hashes").join(wanted, "digest", "left_semi").dropDuplicates(["digest"]), "candidate-sets")
+    led = buckets.where("lead <> digest").select(F.col("lead").alias("a"), F.col("digest").alias("b")).distinct()
+    reps = cut(_firsts(reps, cut(_similar(led, sets, least), "led-links")), "contracted")
+    left = cut(buckets.select("key", "digest").join(reps.select("digest"), "digest", "left_semi"), "keys-left")
+    pairs = left.withColumnRenamed("digest", "a").join(left.withColumnRenamed("digest", "b"), "key").where("a < b").select("a", "b").distinct()
+    return _firsts(reps, cut(_similar(pairs, sets, least), "links-left")).select(F.col("low").alias(id_col))
