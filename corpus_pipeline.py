@@ -39,7 +39,7 @@ def drop_edited_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9 with the vocabulary and row length of its own query."""
-    return packing.pack(docs, vocabulary("byte_bpe_50k.tiktoken"))
+    return packing.pack(docs, vocabulary("byte_bpe_50k.tiktoken"), added=packing.added_tokens(vocabulary("byte_bpe_50k.json")))
 
 
 STAGES = [("quality rules", drop_low_quality), ("toxicity", drop_toxic), ("simhash near-dedup", drop_near_copies), ("edited copies", drop_edited_copies), ("packing", pack)]

@@ -13,6 +13,8 @@
 from __future__ import annotations
 
 import heapq
+import json
+import re
 import zlib
 
 import numpy as np
@@ -73,7 +75,38 @@ def rank_ranges(patterns: list[tuple[int, list[int]]]) -> dict[str, np.ndarray]:
     return dict(zip(("length", "low", "sequence", "offset"), cols, strict=True))
 
 
-def pieces(docs: DataFrame, ranks_path: str, width: int, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def added_tokens(json_path: str) -> dict[str, int]:
+    """The tokens that a ``tokenizers`` json adds to its vocabulary and matches in texts, with their ids."""
+    with open(json_path, encoding="utf-8") as f:
+        found = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in found):
+        raise ValueError("added tokens that match whole words or take in blanks are not supported")
+    return {t["content"]: t["id"] for t in found}
+
+
+def ids_of(codec: bpe.Codec, texts: pa.Array, added: dict[str, int]):
+    """Ids of each text (null: none): one for each added token in it, the longest where several begin, and ordinary ids between."""
+    plain = texts.to_pylist() if added else []
+    if not any(t in x for x in plain if x for t in added):
+        e = codec.encode(texts)
+        yield from (e.ids[a:z] for a, z in zip(e.docs[:-1].tolist(), e.docs[1:].tolist(), strict=True))
+        return
+    mark = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+    parts = [mark.split(x or "") for x in plain]  # every second one is an added token
+    e = codec.encode(pa.array([s for p in parts for s in p[::2]], pa.large_string()))
+    at = 0
+    for p in parts:
+        out = []
+        for k, s in enumerate(p):
+            if k % 2:
+                out.append(np.array([added[s]], np.int32))
+            else:
+                out.append(e.ids[e.docs[at] : e.docs[at + 1]])
+                at += 1
+        yield np.concatenate(out)
+
+
+def pieces(docs: DataFrame, ranks_path: str, width: int, end_id: int, id_col: str = "doc_id", text_col: str = "text", added: dict[str, int] | None = None) -> DataFrame:
     """``id, start, length, ids_crc32, doc_tokens`` for each piece of each document's ids plus the end id."""
     raw = bpe.shipped(docs.sparkSession, ranks_path)
     kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -82,10 +115,9 @@ def pieces(docs: DataFrame, ranks_path: str, width: int, end_id: int, id_col: st
         codec = bpe.codec_of(raw.value)
         for b in batches:
             for lo, hi in bpe.runs(b.column(1)):
-                e = codec.encode(b.column(1).slice(lo, hi - lo))
                 out: list[tuple] = []
-                for k, (a, z) in enumerate(zip(e.docs[:-1].tolist(), e.docs[1:].tolist(), strict=True)):
-                    ids = np.append(e.ids[a:z], end_id).astype("<u4")
+                for k, own in enumerate(ids_of(codec, b.column(1).slice(lo, hi - lo), added or {})):
+                    ids = np.append(own, end_id).astype("<u4")
                     view, n = memoryview(ids).cast("B"), len(ids)
                     out += [(lo + k, s, min(width, n - s), zlib.crc32(view[4 * s : 4 * min(s + width, n)]), n) for s in range(0, n, width)]
                 cols = list(zip(*out, strict=True))
@@ -106,15 +138,16 @@ def ranked(rows: DataFrame, shares: int) -> DataFrame:
     return rows.join(base, ["length", "share"]).withColumn("rank", F.col("own") + F.col("base")).drop("own", "base", "share")
 
 
-def pack(docs: DataFrame, ranks_path: str, width: int = 1024, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, ranks_path: str, width: int = 1024, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", added: dict[str, int] | None = None) -> DataFrame:
     """Sequences of at most ``width`` tokens out of all documents' ids, each document closed by ``end_id``.
 
     One row per piece: id column, ``start, length, ids_crc32, doc_tokens, sequence_id, offset``. Null and empty
     texts give the end id alone. Repeated rows and equal or null ids are packed as documents of their
-    own. An empty table gives an empty one. Other columns are not read.
+    own. An empty table gives an empty one. Other columns are not read. added: tokens beyond the ranks, with their
+    ids, that are matched in texts.
     """
     spark = docs.sparkSession
-    rows = cut(pieces(docs, ranks_path, width, end_id, id_col, text_col), "pieces")
+    rows = cut(pieces(docs, ranks_path, width, end_id, id_col, text_col, added), "pieces")
     counts = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}  # at most `width` rows
     slots = spark.sparkContext.broadcast(rank_ranges(pack_histogram(counts, width)))  # bounded by the histogram
     placed = ranked(rows, tasks_for(spark, 64))

@@ -79,8 +79,8 @@ def op8_quality_classifier(spark, sf_dir):
 
 
 def op9_packing(spark, sf_dir):
-    """The json file holds the same vocabulary as these ranks; tests hold the ids against its library."""
-    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+    """The json file holds these ranks and added tokens; tests hold the ids against its library."""
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), added=packing.added_tokens(vocabulary("byte_bpe_50k.json")))
 
 
 def op10_simhash(spark, sf_dir):

@@ -1,4 +1,5 @@
 import hashlib
+import zlib
 
 import numpy as np
 import public_tokenizers as P
@@ -69,6 +70,16 @@ def test_same_ids_as_the_json_vocabulary():
         assert e.ids[e.docs[k] : e.docs[k + 1]].tolist() == t.encode(x, add_special_tokens=False).ids
 
 
+def test_packed_ids_hold_the_added_tokens(spark):
+    t, end = Tokenizer.from_file(P.path("byte_bpe_50k.json")), "<|endoftext|>"
+    texts = [f"one {end} two", end, f"{end}{end} x", f"a{end}", f"  {end}  's", f"<|endof{end}text|>", "<|endoftext|", "plain", None]
+    added = packing.added_tokens(P.path("byte_bpe_50k.json"))
+    want = {k: t.encode(x or "", add_special_tokens=False).ids for k, x in enumerate(texts)}
+    assert {k: x.tolist() for k, x in enumerate(packing.ids_of(CODEC, pa.array(texts), added))} == want
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), RANKS, added=added).collect()
+    assert {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in rows} == {k: (len(x) + 1, zlib.crc32(np.array([*x, 0], "<u4").tobytes())) for k, x in want.items()}
+
+
 def check_packing(rows, width):
     by_doc, by_sequence = {}, {}
     for r in rows:
