@@ -5,7 +5,7 @@ too short or too repetitive. Beyond them there are no fixed cutoffs: per languag
 go into quantile sketches (KLL). Sketches of salted shares of a group are merged into the group's, those of
 the groups into their language's, and those into the corpus's. A ratio is rejected beyond a fence around the median that is as
 many lower half-spreads away as ``reach`` says; the half-spread below the median is not moved by the junk above
-it. Groups with fewer than ``least`` documents take their language's fences, those the corpus's.
+it. The ratio of repeated words leaves out one passage that a text holds twice. Groups with fewer than ``least`` documents take their language's fences, those the corpus's.
 Fences are joined back by a key of few distinct values and applied as a filter or a verdict.
 """
 
@@ -26,7 +26,7 @@ RATIOS = {
     "marks_per_word": (0.05, False),
     "chars_per_word": (0.25, True),
     "dup_lines_per_10_words": (0.05, False),
-    "repeat_share": (0.07, False),
+    "repeat_share": (0.04, False),
 }
 
 
@@ -42,11 +42,12 @@ def _without(text: Column, chars: str) -> Column:
 
 
 def _repeat_words(words: Column) -> Column:
-    """Words inside windows of three words that occur at least twice.
+    """Struct ``n``: words inside windows of three words that occur at least twice; ``spread``: those without one passage held twice.
 
     Windows are compared by a 64-bit hash of their three words. Sorted hashes show which occur twice; where
     those are few, every window is held against them, else hashes are sorted with their places. Either
-    way the starts of such windows, in order, cover min(3, distance to the next start) words each.
+    way the starts of such windows, in order, cover min(3, distance to the next start) words each. The passage is the
+    longest run of such starts; it and its copy are taken off unless a window occurs twice within the run itself.
     """
     n = F.greatest(F.size(words) - 2, F.lit(0))
     hashed = F.zip_with(
@@ -68,13 +69,23 @@ def _repeat_words(words: Column) -> Column:
         reach = F.transform(starts, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(starts, k + 1) - x, F.lit(3))))
         return F.aggregate(reach, F.lit(0), lambda a, b: a + b)
 
+    def told(windows: Column, starts: Column) -> Column:
+        def step(run: Column, x: Column) -> Column:
+            n = F.when(x == run["last"] + 1, run["n"] + 1).otherwise(F.lit(1))
+            longer = n > run["best"]
+            return F.struct(x.alias("last"), n.alias("n"), F.when(longer, n).otherwise(run["best"]).alias("best"), F.when(longer, x - n + 1).otherwise(run["at"]).alias("at"))
+
+        none = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("n"), F.lit(0).alias("best"), F.lit(0).alias("at"))
+        passage = _let(F.aggregate(starts, none, step), lambda run: F.when(F.size(F.array_distinct(F.slice(windows, run["at"] + 1, run["best"]))) == run["best"], 2 * (run["best"] + 2)).otherwise(F.lit(0)))
+        return _let(covered(starts), lambda n: F.struct(n.alias("n"), F.greatest(n - passage, F.lit(0)).alias("spread")))
+
     def of(windows: Column) -> Column:
         equal_next = _let(F.sort_array(windows), lambda s: F.filter(s, lambda x, k: F.coalesce(F.get(s, k + 1) == x, F.lit(False))))
         return _let(
             F.array_distinct(equal_next),
-            lambda twice: F.when(F.size(twice) == 0, F.lit(0))
-            .when(F.size(twice) <= FEW, _let(among(windows, twice), covered))
-            .otherwise(_let(by_place(windows), covered)),
+            lambda twice: F.when(F.size(twice) == 0, F.struct(F.lit(0).alias("n"), F.lit(0).alias("spread")))
+            .when(F.size(twice) <= FEW, _let(among(windows, twice), lambda s: told(windows, s)))
+            .otherwise(_let(by_place(windows), lambda s: told(windows, s))),
         )
 
     return _let(hashed, of)
@@ -90,9 +101,10 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
         lambda w: F.struct(
             F.size(w).cast("long").alias("n_words"),
             F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-            _repeat_words(w).cast("long").alias("n_repeat_words"),
+            _repeat_words(w).alias("r"),
         ),
     )
+    counts = _let(counts, lambda c: F.struct(c["n_words"].alias("n_words"), c["word_chars"].alias("word_chars"), c["r"]["n"].cast("long").alias("n_repeat_words"), c["r"]["spread"].cast("long").alias("n_spread_words")))
     dup = _let(lines, lambda s: F.size(s) - F.size(F.array_distinct(s)))
     symbols = F.octet_length(text) - F.octet_length(_without(text, SYMBOLS))
     marks = F.octet_length(text) - F.octet_length(_without(text, "!?"))
@@ -109,7 +121,7 @@ def _ratios() -> dict[str, Column]:
         "marks_per_word": F.try_divide("_m.n_marks", words),
         "chars_per_word": F.try_divide("_m.c.word_chars", words),
         "dup_lines_per_10_words": F.try_divide(F.col("_m.n_dup_lines") * 10, words),
-        "repeat_share": F.try_divide("_m.c.n_repeat_words", words),
+        "repeat_share": F.try_divide("_m.c.n_spread_words", words),
     }
 
 

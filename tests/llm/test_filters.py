@@ -46,6 +46,21 @@ def test_rules_part_low_from_good(spark):
     assert share[1] > 0.97 and share.get(0, 0) < 0.1
 
 
+def test_spread_repetition_goes_and_one_passage_stays(spark):
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(100)), "en", "a") for k in range(300)]
+    word = iter(f"v{j}" for j in range(1000))
+    phrases = [f"p{k} q{k} r{k}" for k in range(8)]
+    spread = " ".join(f"{p} {next(word)} {next(word)} {next(word)} {next(word)}" for _ in range(2) for p in phrases)  # 48 of 112 words, in scattered windows
+    buys = " ".join(["buy it now"] * 15 + [f"u{j}" for j in range(60)])  # 45 of 105, in one run
+    passage = " ".join([*(f"s{j}" for j in range(22)), *(f"t{j}" for j in range(60)), *(f"s{j}" for j in range(22))])  # 44 of 104
+    docs = spark.createDataFrame([*rows, (1000, spread, "en", "a"), (1001, buys, "en", "a"), (1002, passage, "en", "a")], "doc_id long, text string, lang string, source string")
+    for few in (24, 0):
+        quality_rules.FEW = few
+        got = {r.doc_id: (r.base_failed, r.kept) for r in quality_rules.counts(docs).where("doc_id >= 1000").collect()}
+        assert got == {1000: (False, False), 1001: (False, False), 1002: (False, True)}
+    quality_rules.FEW = 24
+
+
 def test_nearest_examples_are_exact():
     rng = np.random.default_rng(5)
     vocabulary = [f"word{k}" for k in range(60)] + ["vile", "foul"]
