@@ -40,25 +40,33 @@ def words(points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, ends, np.searchsorted(at, starts, "right") - 1
 
 
-def word_features(points: np.ndarray, at: np.ndarray, prefixes: tuple[int, ...] = (4, 5, 6), longest: int = 24) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, feature) of each word and of its prefixes of the given lengths (for longer words); words by document.
+#: Runs of more word characters than this (of scripts without blanks, or run together) also count by their inner grams.
+LONG, GRAM = 24, 4
 
-    A word of more than ``longest`` characters counts by its first ``longest`` and its length.
+
+def _span_hash(points: np.ndarray):
+    """hash(starts, ends) of any spans of a run of codepoints, each in a few operations however long it is.
+
+    A polynomial over the mixed codepoints, from prefix sums modulo 2**64: its base is odd, so powers have inverses.
     """
+    n = len(points)
+    power = np.ones(n + 1, np.uint64)
+    np.cumprod(np.full(n, _K), out=power[1:])
+    back = np.ones(n + 1, np.uint64)
+    np.cumprod(np.full(n, np.uint64(pow(int(_K), -1, 1 << 64))), out=back[1:])
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(mixed(points.astype(np.uint64) * _M + _K) * power[:-1], out=sums[1:])
+    return lambda starts, ends: mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _M)
+
+
+def word_features(points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, feature) of each whole word, and of each inner gram of ``GRAM`` characters of words beyond ``LONG``."""
     starts, ends, doc = words(points, at)
-    size = ends - starts
-    h = np.zeros(len(starts), np.uint64)
-    docs, feats = [], []
-    for k in range(min(longest, int(size.max()) if len(size) else 0)):
-        more = size > k
-        h[more] = (h[more] ^ points[starts[more] + k].astype(np.uint64)) * _K + np.uint64(k + 1)
-        if k + 1 in prefixes:
-            at_k = size > k + 1
-            docs.append(doc[at_k])
-            feats.append(mixed(h[at_k] ^ np.uint64(0x5DEECE66D * (k + 2))))
-    docs.append(doc)
-    feats.append(mixed(h + size.astype(np.uint64)))
-    return np.concatenate(docs), np.concatenate(feats), np.bincount(doc, minlength=len(at) - 1)
+    of = _span_hash(points)
+    long = ends - starts > LONG
+    many = (ends - starts)[long] - GRAM + 1
+    inner = np.repeat(starts[long] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+    return np.concatenate([doc, np.repeat(doc[long], many)]), np.concatenate([of(starts, ends), of(inner, inner + GRAM)])
 
 
 def counted(doc: np.ndarray, feat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -1,13 +1,17 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Learning takes a bounded sample of labelled documents of each label (``examples``, the rows with the smallest
-hash of the id), keeps word and word-prefix features that go with a label (chi-square), and weighs them by
-TF-IDF within the sample. The examples form an inverted index in blocks: per feature and block the largest weight
-is stored. For a document the block bounds are summed first; blocks are scored exactly from the highest
-bound down until the k-th best cosine is at least the next bound, so the k neighbours are exact.
-Neighbours vote with a weight that falls with their distance; a logistic curve
-fitted on the examples' own leave-one-out votes turns the vote into a calibrated score. The neighbours'
-ids and cosines are returned as evidence. The index is some MB, bounded by the sample.
+Learning takes a bounded sample of labelled documents of each label (``examples``, those with the smallest hash of
+their id). Every term of the examples is kept: a term is a whole word, and the space of the vectors is spanned by all
+of them. A term weighs (1 + log tf) * idf * relevance, where idf counts the examples that hold it and relevance (the
+relevance frequency of text categorisation) rises with how much oftener examples of label 1 hold it than others do; it
+is 1 for a term that tells nothing.
+
+The examples form an inverted index in blocks of ``BLOCK``. Terms of few examples have their postings added up at once.
+For terms of many examples the largest weight in each block is stored: the sum of these bounds and of the best sum so
+far in the block bounds every cosine in it. Blocks are scored, for all documents of a run that still need them, until
+no bound exceeds a document's k-th best cosine; so the k neighbours are exact. Neighbours vote with a weight that falls
+with their distance; a logistic curve fitted on the examples' own leave-one-out votes turns the vote into a calibrated
+score. The neighbours' ids and cosines are returned as evidence. The index is some MB, bounded by the sample.
 """
 
 from __future__ import annotations
@@ -19,88 +23,103 @@ from pyspark.sql import functions as F
 
 from . import bpe, textvec
 
-BLOCK, SMOOTH, REST = 64, 50, 3.0
+BLOCK = 64
+#: Terms of more examples than this are scored by block products instead of postings; either gives the same cosine.
+FREQUENT = 256
+_RUN_DOCS, _RUN_BYTES = 256, 1 << 20
 
 
-class Index:
-    """Block-max inverted index over example vectors: postings by feature, and block bounds.
+def _runs(texts: pa.Array):
+    for lo, hi in bpe.runs(texts, _RUN_BYTES):
+        yield from ((a, min(a + _RUN_DOCS, hi)) for a in range(lo, hi, _RUN_DOCS))
+
+
+def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (document, term hash) of the texts in order, and how often each occurs."""
+    return textvec.counted(*textvec.word_features(*textvec.lowered(texts)))
 
-    A vector holds, per feature, its rate in the text (a per cent of the words, with ``SMOOTH`` words added) times
-    the feature's idf, and one more coordinate, ``REST``, for the text that carries no feature, so that one stray
-    hit in a long text and many in a short one point in different directions.
-    """
 
-    def __init__(self, doc: np.ndarray, feat: np.ndarray, tf: np.ndarray, n_words: np.ndarray, chosen: dict[str, np.ndarray], labels: np.ndarray, ids: np.ndarray):
-        self.features, self.idf = chosen["features"], chosen["idf"]
-        n, width = len(labels), len(self.features) + 1
-        self.sieve = np.zeros(1 << 16, bool)
-        self.sieve[(self.features & np.uint64(0xFFFF)).astype(np.int64)] = True
-        doc, feat, weight = self.weigh(doc, feat, tf, n_words)
-        # examples of one main feature and like strength share a block, which keeps bounds tight
-        main, share = np.full(n, width), np.zeros(n)
-        order = np.lexsort((weight, doc))
-        main[doc[order]] = feat[order]  # the last one written is the heaviest
-        share[doc[feat == width - 1]] = weight[feat == width - 1]
-        place = np.lexsort((ids, -share, main))
-        rank = np.empty(n, np.int64)
-        rank[place] = np.arange(n)
-        self.place, self.labels, self.ids = rank, labels[place], ids[place]
-        doc = rank[doc]
-        blocks = -(-max(n, 1) // BLOCK)
-        self.bound = np.zeros((width, blocks))
-        np.maximum.at(self.bound, (feat, doc // BLOCK), weight)
-        key = (doc // BLOCK) * width + feat
-        order = np.lexsort((doc, key))
-        self.key, self.doc, self.weight, self.width = key[order], doc[order], weight[order], width
-
-    def known(self, doc: np.ndarray, feat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Those (document, feature) whose feature may be one of the index's: a table of low bits decides."""
-        hit = self.sieve[(feat & np.uint64(0xFFFF)).astype(np.int64)]
-        return doc[hit], feat[hit]
-
-    def weigh(self, doc: np.ndarray, feat: np.ndarray, tf: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Unit vectors (document, coordinate, weight) in order of documents; the last coordinate is the rest."""
-        at = np.minimum(np.searchsorted(self.features, feat), max(len(self.features) - 1, 0))
-        hit = self.features[at] == feat if len(self.features) else np.zeros(len(feat), bool)
-        doc, at, tf, n = doc[hit], at[hit], tf[hit], len(n_words)
-        w = 100 * tf / (n_words[doc] + SMOOTH) * self.idf[at]
-        doc, at, w = np.append(doc, np.arange(n)), np.append(at, np.full(n, len(self.features))), np.append(w, np.full(n, REST))
-        order = np.argsort(doc, kind="stable")
-        doc, at, w = doc[order], at[order], w[order]
-        return doc, at, w / np.sqrt(np.bincount(doc, w * w, n))[doc]
-
-    def nearest(self, feat: np.ndarray, weight: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Examples with the k largest cosines above 0 (ties: the earlier example), best first; leave is left out."""
-        bounds = weight @ self.bound[feat]
-        order = np.argsort(-bounds, kind="stable")
-        best_doc, best = np.zeros(0, np.int64), np.zeros(0)
-        for b in order.tolist():
-            if bounds[b] <= 0 or len(best) >= k and best[k - 1] > bounds[b] + 1e-9:
-                break
-            lo = np.searchsorted(self.key, b * self.width + feat, "left")
-            hi = np.searchsorted(self.key, b * self.width + feat, "right")
-            many = hi - lo
-            at = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-            score = np.bincount(self.doc[at] - b * BLOCK, self.weight[at] * np.repeat(weight, many), BLOCK)
-            if leave // BLOCK == b and leave >= 0:
-                score[leave % BLOCK] = 0
-            hit = np.flatnonzero(score > 1e-12)
-            best_doc, best = np.concatenate([best_doc, hit + b * BLOCK]), np.concatenate([best, score[hit]])
-            top = np.lexsort((best_doc, -best))[:k]
-            best_doc, best = best_doc[top], best[top]
-        return best_doc, best
-
-
-def select_features(doc, feat, labels, least: int, chi2: float) -> dict[str, np.ndarray]:
-    """Features of at least ``least`` examples whose presence goes with a label (chi-square above ``chi2``), sorted, with idf."""
-    names, at, df = np.unique(feat, return_inverse=True, return_counts=True)
-    n, pos = len(labels), labels.sum()
+def term_weights(doc: np.ndarray, term: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted terms of all examples and the weight of each: idf times relevance.
+
+    Two examples of label 1 that hold a term may do so by chance: relevance counts those beyond two.
+    """
+    names, at, df = np.unique(term, return_inverse=True, return_counts=True)
+    n, toxic = len(labels), labels.sum()
     a = np.bincount(at, labels[doc], len(names))
-    expected = df * pos / n
-    with np.errstate(divide="ignore", invalid="ignore"):
-        x = (a - expected) ** 2 * n / (expected * (n - pos) * (1 - df / n))
-    keep = (df >= least) & (np.nan_to_num(x) > chi2)
-    return {"features": names[keep], "idf": np.log((1 + n) / (1 + df[keep])) + 1}
+    odds = max(toxic, 1) / max(n - toxic, 1)
+    relevance = np.log2(2 + np.maximum(a - 2, 0) / odds / np.maximum(df - a, 1))
+    return names, (np.log((1 + n) / (1 + df)) + 1) * relevance**1.5
+
+
+class Index:
+    """Block-max inverted index over unit vectors of the examples; rows are examples in the order of their blocks."""
+
+    def __init__(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, labels: np.ndarray):
+        self.n = len(labels)
+        self.names, self.idf = term_weights(doc, term, labels)
+        doc, at, w = self.weigh(doc, term, tf, self.n)
+        # examples whose heaviest term is the same share a block, which keeps bounds tight
+        main = np.full(self.n, len(self.names))
+        order = np.lexsort((w, doc))
+        main[doc[order]] = at[order]  # the last one written is the heaviest
+        self.order = np.lexsort((np.arange(self.n), main))
+        self.row = np.empty(self.n, np.int64)
+        self.row[self.order] = np.arange(self.n)
+        doc = self.row[doc]
+        df = np.bincount(at, minlength=len(self.names))
+        self.column = np.full(len(self.names), -1)
+        self.column[df > FREQUENT] = np.arange(int((df > FREQUENT).sum()))
+        often = self.column[at] >= 0
+        self.blocks = -(-self.n // BLOCK)
+        self.dense = np.zeros((int((df > FREQUENT).sum()), self.blocks * BLOCK))
+        self.dense[self.column[at[often]], doc[often]] = w[often]
+        self.bound = self.dense.reshape(len(self.dense), self.blocks, BLOCK).max(2) if self.n else np.zeros((0, 0))
+        order = np.lexsort((doc[~often], at[~often]))
+        self.doc, self.weight = doc[~often][order], w[~often][order]
+        self.first = np.searchsorted(at[~often][order], np.arange(len(self.names) + 1))
+
+    def weigh(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Unit vectors (document, place of the term, weight) of n documents over the index's terms."""
+        at = np.minimum(np.searchsorted(self.names, term), max(len(self.names) - 1, 0))
+        hit = self.names[at] == term if len(self.names) else np.zeros(len(term), bool)
+        doc, at = doc[hit], at[hit]
+        w = (1 + np.log(tf[hit])) * self.idf[at]
+        return doc, at, w / np.maximum(np.sqrt(np.bincount(doc, w * w, n)), 1e-300)[doc]
+
+    def nearest(self, doc: np.ndarray, at: np.ndarray, weight: np.ndarray, n: int, k: int, leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Per document the k examples of largest cosine (n by k: their numbers, and cosines; 0 where none is left).
+
+        Ties go to the example of the smaller row. leave: an example for each document that is left out.
+        """
+        if not self.n:
+            return np.zeros((n, 0), np.int64), np.zeros((n, 0))
+        k = min(k, self.n)
+        often = self.column[at] >= 0
+        rare_doc, rare_at, rare_w = doc[~often], at[~often], weight[~often]
+        many = self.first[rare_at + 1] - self.first[rare_at]
+        post = np.repeat(self.first[rare_at] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        width = self.blocks * BLOCK
+        sums = np.bincount(np.repeat(rare_doc, many) * width + self.doc[post], self.weight[post] * np.repeat(rare_w, many), n * width).astype(np.float64).reshape(n, width)
+        if leave is not None:
+            sums[np.arange(n), leave] = -np.inf
+        sums[:, self.n :] = -np.inf
+        query = np.zeros((n, len(self.dense)))
+        query[doc[often], self.column[at[often]]] = weight[often]
+        bounds = sums.reshape(n, self.blocks, BLOCK).max(2) + query @ self.bound
+        best, found = np.full((n, k), -np.inf), np.full((n, k), width)
+        for turn in np.argsort(-bounds, axis=1, kind="stable").T:
+            need = np.flatnonzero(bounds[np.arange(n), turn] >= best[:, -1] - 1e-12)
+            if not len(need):
+                break  # bounds only fall from here on
+            for b in np.unique(turn[need]):
+                q = need[turn[need] == b]
+                rows = slice(b * BLOCK, (b + 1) * BLOCK)
+                score = np.concatenate([best[q], sums[q, rows] + query[q] @ self.dense[:, rows]], axis=1)
+                row = np.concatenate([found[q], np.broadcast_to(np.arange(b * BLOCK, (b + 1) * BLOCK), (len(q), BLOCK))], axis=1)
+                top = np.lexsort((row, -score), axis=1)[:, :k]
+                best[q], found[q] = np.take_along_axis(score, top, 1), np.take_along_axis(row, top, 1)
+        return self.order[np.minimum(found, self.n - 1)], np.clip(best, 0, 1)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, steps: int = 50) -> tuple[float, float]:
@@ -116,78 +135,81 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, steps: int = 50) -> tu
 
 
 class Scorer:
-    """Index, vote and calibration; score() works on one run of texts."""
-
-    def __init__(self, texts: list, labels: list, ids: list, share: float, k: int = 15, least: int = 4, chi2: float = 25.0):
-        self.k, self.prior, self.plain = k, share, None
-        labels = np.array(labels, np.float64)
-        doc, feat, tf, n_words = self._sample(pa.array(texts, pa.string()))
-        chosen = select_features(doc, feat, labels, least, chi2) if len(labels) else {"features": np.zeros(0, np.uint64), "idf": np.zeros(0)}
-        self.index = Index(doc, feat, tf, n_words, chosen, labels, np.array(ids))
+    """Index, vote and calibration. doc, term, tf: the counted terms of the examples, whose labels and ids follow."""
+
+    def __init__(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, labels: np.ndarray, ids: pa.Array, share: float, k: int = 15):
+        self.k, self.prior, self.ids, self.labels = k, share, ids, labels.astype(np.float64)
+        self.index = Index(doc, term, tf, self.labels)
         self.slope = self.intercept = 0.0
-        if 0 < labels.sum() < len(labels):
-            votes = np.array([self._vote(*found)[0] for found in self._each(doc, feat, tf, n_words, leave=True)])
-            w = np.where(labels == 1, share / labels.mean(), (1 - share) / (1 - labels.mean()))
-            self.slope, self.intercept = logistic(votes, labels, w)
-
-    @staticmethod
-    def _sample(texts: pa.Array):
-        """(document, feature, times) of all examples, counted in runs of texts, and the words of each."""
-        parts = []
-        for lo, hi in bpe.runs(texts, 1 << 20):
-            doc, feat, n_words = textvec.word_features(*textvec.lowered(texts.slice(lo, hi - lo)))
-            doc, feat, tf = textvec.counted(doc, feat)
-            parts.append((doc + lo, feat, tf, n_words))
-        none = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-        return tuple(np.concatenate(c) for c in zip(*parts or [none], strict=True))
-
-    def _each(self, doc, feat, tf, n_words, leave: bool = False):
-        """Neighbours of each document; a text without a feature always has the same ones."""
-        doc, feat, weight = self.index.weigh(doc, feat, tf, n_words)
-        at = np.searchsorted(doc, np.arange(len(n_words) + 1))
-        for d in range(len(n_words)):
-            lo, hi = at[d], at[d + 1]
-            if hi - lo > 1 or leave:
-                yield self.index.nearest(feat[lo:hi], weight[lo:hi], self.k, int(self.index.place[d]) if leave else -1)
-            else:
-                self.plain = self.plain or self.index.nearest(feat[lo:hi], weight[lo:hi], self.k)
-                yield self.plain
-
-    def _vote(self, found: np.ndarray, cosine: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """Share of label 1 among the neighbours, each weighted by its nearness; the overall share has the weight of 1."""
-        w = 1 / (0.05 + 1 - np.minimum(cosine, 1))
-        return float((w @ self.index.labels[found] + self.prior) / (w.sum() + 1)), found, cosine
-
-    def score(self, texts: pa.Array):
-        """(score, neighbours, cosines) per text."""
-        doc, feat, n_words = textvec.word_features(*textvec.lowered(texts))
-        for found in self._each(*textvec.counted(*self.index.known(doc, feat)), n_words):
-            vote, near, cosine = self._vote(*found)
-            z = self.slope * vote + self.intercept
-            yield (1 / (1 + np.exp(-np.clip(z, -30, 30))) if self.slope else self.prior), near, cosine
+        n = len(labels)
+        if 0 < labels.sum() < n:
+            votes = []
+            doc, at, w = self.index.weigh(doc, term, tf, n)
+            begin = np.searchsorted(doc, np.arange(n + 1))
+            for lo in range(0, n, _RUN_DOCS):
+                hi = min(lo + _RUN_DOCS, n)
+                part = slice(begin[lo], begin[hi])
+                votes.append(self.vote(*self.index.nearest(doc[part] - lo, at[part], w[part], hi - lo, k, self.index.row[lo:hi])))
+            weight = np.where(self.labels == 1, share / self.labels.mean(), (1 - share) / (1 - self.labels.mean()))
+            self.slope, self.intercept = logistic(np.concatenate(votes), self.labels, weight)
+
+    def vote(self, found: np.ndarray, cosine: np.ndarray) -> np.ndarray:
+        """Share of label 1 among the neighbours of each document, weighted by the squares of their cosines.
+
+        The overall share has the weight of a cosine of 0.01, so it decides where no example has a term in common.
+        """
+        w = cosine**2
+        return ((w * self.labels[found]).sum(1) + 1e-4 * self.prior) / (w.sum(1) + 1e-4)
+
+    def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Score, neighbours (numbers of examples, best first) and cosines of each text."""
+        n = len(texts)
+        found, cosine = self.index.nearest(*self.index.weigh(*terms(texts), n), n, self.k)
+        z = self.slope * self.vote(found, cosine) + self.intercept
+        return (1 / (1 + np.exp(-np.clip(z, -30, 30))) if self.slope else np.full(n, self.prior)), found, cosine
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", examples: int = 1500) -> Scorer:
     """Fit on the ``examples`` labelled documents of each label (0 and 1) with the smallest hash of their id.
 
-    labels: id and label; rows with another or null label, or without a document, are left out. Only ids are
-    shuffled to pick the examples; their texts are then found by a broadcast of at most 2 * examples
-    ids. The share of label 1 is counted over all labels.
+    labels: id and label. Rows with another or null label or a null id, ids that are labelled both ways, and ids without
+    a document are left out; of rows of docs that share an id the text with the smallest hash counts, once. Only ids are
+    shuffled to pick the examples; the texts of at most 2 * examples ids are then found by a broadcast of these, counted
+    in tasks, and only their distinct terms with counts reach the driver. The share of label 1 is counted over all labels.
     """
-    known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
-    known = known.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi").distinct()
+    ids = docs.select(F.col(id_col).alias("id"))
+    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).cast(ids.schema[0].dataType).alias("id"), F.col(label_col).cast("int").alias("y"))
+    known = known.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("most")).where("y = most").select("id", "y").join(ids, "id", "left_semi")
     n = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     picked = [known.where(F.col("y") == y).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(examples) for y in (0, 1)]
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(picked[0].unionByName(picked[1])), "id")
-    found = chosen.toPandas().sort_values(["y", "id"], kind="stable")  # at most 2 * examples ids
-    return Scorer(list(found["text"]), list(found["y"]), list(found["id"]), n.get(1, 0) / max(1, sum(n.values())))
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    chosen = texts.join(F.broadcast(picked[0].unionByName(picked[1])), "id").withColumn("h", F.xxhash64("text"))
+
+    def count(batches):
+        for b in batches:
+            for lo, hi in _runs(b.column(3)):
+                part = b.slice(lo, hi - lo)
+                doc, term, tf = terms(part.column(3))
+                at = pa.array(np.searchsorted(doc, np.arange(hi - lo + 1)), pa.int32())
+                lists = [pa.ListArray.from_arrays(at, pa.array(x)) for x in (term.view(np.int64), tf)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *lists], ["id", "y", "h", "term", "tf"])
+
+    kind = ids.schema[0].dataType.simpleString()
+    counted = chosen.select("id", "y", "h", "text").mapInArrow(count, f"id {kind}, y int, h long, term array<long>, tf array<long>")
+    one = counted.groupBy("id", "y").agg(F.min(F.struct("h", "term", "tf")).alias("c")).select("id", "y", "c.term", "c.tf")
+    found = one.toArrow().sort_by([("y", "ascending"), ("id", "ascending")]).combine_chunks()  # at most 2 * examples rows
+    term, tf = (found.column(c).combine_chunks() if found.num_rows else pa.array([], pa.list_(pa.int64())) for c in ("term", "tf"))
+    size = term.value_lengths().to_numpy(zero_copy_only=False) if len(term) else np.zeros(0, np.int64)
+    ids = found.column("id").combine_chunks()
+    return Scorer(np.repeat(np.arange(found.num_rows), size), term.flatten().to_numpy().view(np.uint64), tf.flatten().to_numpy(), found.column("y").to_numpy(), ids, n.get(1, 0) / max(1, sum(n.values())))
 
 
 def score(docs: DataFrame, model: Scorer, id_col: str = "doc_id", text_col: str = "text", evidence: int = 3) -> DataFrame:
     """Id, ``score, neighbours`` (ids of the nearest examples, best first) and their ``cosines`` per row of docs.
 
-    Null and empty texts count as texts without any of the index's features: they are near the examples
-    that have none. Without examples of both labels every score is the share of label 1. Rows repeat as given.
+    Null and empty texts, and others without a term of any example, have no neighbours; the share of label 1 stands for
+    their vote. Without examples of both labels every score is the share of label 1. Ids may be of any type, rows repeat
+    as given, and other columns are not read.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # some MB, bounded by the sample
     kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -195,19 +217,17 @@ def score(docs: DataFrame, model: Scorer, id_col: str = "doc_id", text_col: str
     def run(batches):
         m = shipped.value
         for b in batches:
-            for lo, hi in bpe.runs(b.column(1)):
-                rows = list(m.score(b.column(1).slice(lo, hi - lo)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column(0).slice(lo, hi - lo),
-                        pa.array([float(r[0]) for r in rows]),
-                        pa.array([m.index.ids[r[1][:evidence]].tolist() for r in rows], pa.list_(pa.int64())),
-                        pa.array([r[2][:evidence].tolist() for r in rows], pa.list_(pa.float64())),
-                    ],
-                    ["id", "score", "neighbours", "cosines"],
-                )
-
-    made = kept.mapInArrow(run, f"id {dict(kept.dtypes)['id']}, score double, neighbours array<long>, cosines array<double>")
+            for lo, hi in _runs(b.column(1)):
+                scores, found, cosine = m.score(b.column(1).slice(lo, hi - lo))
+                found, cosine = found[:, :evidence], cosine[:, :evidence]
+                near = cosine > 0
+                at = pa.array(np.append(0, np.cumsum(near.sum(1))), pa.int32())
+                ids = m.ids.take(pa.array(found[near])).cast(b.schema.field(0).type)
+                lists = [pa.ListArray.from_arrays(at, x) for x in (ids, pa.array(cosine[near]))]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(scores), *lists], ["id", "score", "neighbours", "cosines"])
+
+    kind = kept.schema[0].dataType.simpleString()
+    made = kept.mapInArrow(run, f"id {kind}, score double, neighbours array<{kind}>, cosines array<double>")
     return made.withColumnRenamed("id", id_col)
 
 
@@ -219,8 +239,8 @@ def keep(docs: DataFrame, model: Scorer, text_col: str = "text", cutoff: float =
     def run(batches):
         m = shipped.value
         for b in batches:
-            for lo, hi in bpe.runs(b.column(at)):
+            for lo, hi in _runs(b.column(at)):
                 part = b.slice(lo, hi - lo)
-                yield part.filter(pa.array([r[0] < cutoff for r in m.score(part.column(at))]))
+                yield part.filter(pa.array(m.score(part.column(at))[0] < cutoff))
 
     return docs.mapInArrow(run, docs.schema)

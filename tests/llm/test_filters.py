@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -6,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import langid, quality_classifier, quality_rules, textvec, toxicity
+from ledgerlake.llm import langid, quality_classifier, quality_rules, toxicity
 
 from .conftest import SF
 
@@ -61,22 +62,74 @@ def test_spread_repetition_goes_and_one_passage_stays(spark):
     quality_rules.FEW = 24
 
 
-def test_nearest_examples_are_exact():
+def dense_cosines(texts, labels, queries):
+    """TF-IDF cosines of all queries to all examples by dictionaries of whole words, and the words' weights."""
+    count = lambda t: Counter(w for w in re.findall(r"[^\W_]+", (t or "").lower()))
+    bags, n, toxic = [count(t) for t in texts], len(texts), sum(labels)
+    df = Counter(w for b in bags for w in b)
+    both = Counter(w for b, y in zip(bags, labels, strict=True) if y for w in b)
+    ratio = {w: max(both[w] - 2, 0) * max(n - toxic, 1) / max(toxic, 1) / max(df[w] - both[w], 1) for w in df}
+    weight = {w: (math.log((1 + n) / (1 + df[w])) + 1) * math.log2(2 + ratio[w]) ** 1.5 for w in df}
+    unit = lambda b: {w: (1 + math.log(m)) * weight[w] for w, m in b.items() if w in weight}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values())) or 1.0
+    known = [unit(b) for b in bags]
+    out = np.zeros((len(queries), n))
+    for i, q in enumerate(unit(count(t)) for t in queries):
+        for j, e in enumerate(known):
+            out[i, j] = sum(x * e[w] for w, x in q.items() if w in e) / norm(q) / norm(e)
+    return out
+
+
+def test_neighbours_and_scores_against_dense_cosines(spark, docs):
+    corpus = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.fit(corpus, labels)
+    text = {r.doc_id: r.text for r in corpus.collect()}
+    own = {r.doc_id: r.toxic for r in labels.collect() if r.toxic is not None}
+    ids = model.ids.to_pylist()
+    assert sorted(ids) == sorted(k for k in own if k in text) and [own[k] for k in ids] == model.labels.tolist()
+    rows = docs.where("doc_id IN (1, 2, 3, 4, 9)").select("doc_id", "text").unionByName(corpus.where("doc_id < 40").selectExpr("doc_id + 1000 AS doc_id", "text")).collect()
+    cosines = dense_cosines([text[k] for k in ids], [own[k] for k in ids], [r.text for r in rows])
+    votes = dense_cosines([text[k] for k in ids], [own[k] for k in ids], [text[k] for k in ids])
+    np.fill_diagonal(votes, -1)
+    y, share = np.array([own[k] for k in ids], float), sum(own[k] for k in ids) / len(ids)
+
+    def vote(row):
+        top = np.argsort(-row, kind="stable")[:15]
+        w = np.maximum(row[top], 0) ** 2
+        return (w @ y[top] + 1e-4 * share) / (w.sum() + 1e-4)
+
+    slope, cut = toxicity.logistic(np.array([vote(v) for v in votes]), y, np.ones(len(y)))
+    assert np.allclose([slope, cut], [model.slope, model.intercept], rtol=1e-6)
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(rows), model, evidence=15).collect()}
+    for r, row in zip(rows, cosines, strict=True):
+        want = np.sort(row[row > 0])[::-1][:15]
+        assert np.allclose(got[r.doc_id].cosines, want, atol=1e-9)
+        assert np.allclose([row[ids.index(k)] for k in got[r.doc_id].neighbours], got[r.doc_id].cosines, atol=1e-9)
+        assert abs(got[r.doc_id].score - 1 / (1 + math.exp(-(slope * vote(row) + cut)))) < 1e-6
+
+
+def test_block_products_and_postings_agree(monkeypatch):
     rng = np.random.default_rng(5)
     vocabulary = [f"word{k}" for k in range(60)] + ["vile", "foul"]
-    texts = [" ".join(rng.choice(vocabulary[:60], 40)) + (" vile foul" * int(k % 3 + 1) if k % 4 == 0 else "") for k in range(300)]
-    model = toxicity.Scorer(texts, [int(k % 4 == 0) for k in range(300)], list(range(300)), 0.25, chi2=5.0)
-    assert len(model.index.features)
-    doc, feat, n_words = textvec.word_features(*textvec.lowered(pa.array(texts)))
-    d, f, w = model.index.weigh(*textvec.counted(*model.index.known(doc, feat)), n_words)
-    dense = np.zeros((300, model.index.width))
-    dense[d, f] = w
-    near = dense @ dense.T
-    for k in range(300):
-        lo, hi = np.searchsorted(d, [k, k + 1])
-        found, cosine = model.index.nearest(f[lo:hi], w[lo:hi], 15)
-        assert np.allclose(np.sort(cosine), np.sort(near[k])[-15:])
-        assert np.allclose(near[k][model.index.ids[found]], cosine)
+    texts = [" ".join(rng.choice(vocabulary[:60], 12)) + (" vile foul" * int(k % 3 + 1) if k % 4 == 0 else "") for k in range(300)]
+    texts[7] = texts[8]  # a tie
+    found = []
+    for most in (0, 60, 10_000):  # all terms in blocks, some, none
+        monkeypatch.setattr(toxicity, "FREQUENT", most)
+        doc, term, tf = toxicity.terms(pa.array(texts))
+        model = toxicity.Scorer(doc, term, tf, np.array([int(k % 4 == 0) for k in range(300)]), pa.array(range(300)), 0.25)
+        found.append(model.score(pa.array([*texts, "", None, "nothing known"])))
+    for score, _, cosine in found[1:]:
+        assert np.allclose(score, found[0][0]) and np.allclose(cosine, found[0][2])
+    assert np.allclose(found[0][2][:300, 0], 1)
+
+
+def test_whole_words_count():
+    long = ["a" * 30 + "bad", "a" * 30 + "god", "一二三四五六七八九十" * 4 + "坏", "x" + "一二三四五六七八九十" * 4]
+    doc, term, _ = toxicity.terms(pa.array([*long, *long]))
+    sets = [set(term[doc == k].tolist()) for k in range(8)]
+    assert sets[:4] == sets[4:] and sets[0] != sets[1] and len(sets[2] & sets[3]) >= 10
 
 
 def test_toxicity_held_out(spark, docs):
@@ -84,7 +137,10 @@ def test_toxicity_held_out(spark, docs):
     common, vile = [f"plain{k}" for k in range(300)], ["zukar", "zukel", "zukom", "brakk"]
     rows = [(k, " ".join([*rng.choice(common, 80), *(rng.choice(vile, 3) if k % 5 == 0 else [])]), int(k % 5 == 0)) for k in range(600)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    model = toxicity.fit(frame, frame.where("doc_id < 400").select("doc_id", "toxic").unionByName(spark.createDataFrame([(1, None), (10_000, 1)], "doc_id long, toxic int")))
+    odd_labels = spark.createDataFrame([(1, None), (10_000, 1), (None, 1), (2, 1), (2, 0), (3, 0), (3, 0), (4, 7)], "doc_id long, toxic int")
+    again = frame.unionByName(frame.where("doc_id = 6")).unionByName(frame.where("doc_id = 6"))
+    model = toxicity.fit(again, frame.where("doc_id < 400").select("doc_id", "toxic").unionByName(odd_labels))
+    assert sorted(model.ids.to_pylist()) == [k for k in range(400) if k != 2]  # labelled both ways: left out; repeated rows: once
     got = toxicity.score(frame, model).join(frame.select("doc_id", "toxic"), "doc_id").where("doc_id >= 400").collect()
     assert sum((r.score >= 0.7) == r.toxic for r in got) / len(got) > 0.97
     assert all(0 <= r.score <= 1 and len(r.neighbours) == len(r.cosines) == 3 for r in got)
@@ -93,6 +149,10 @@ def test_toxicity_held_out(spark, docs):
     assert toxicity.keep(docs, model).columns == docs.columns and toxicity.keep(docs.limit(0), model).count() == 0
     nothing = toxicity.fit(frame, frame.limit(0).select("doc_id", "toxic"))
     assert toxicity.score(docs, nothing).count() == docs.count()
+    named = frame.selectExpr("concat('d', doc_id) AS doc_id", "text", "toxic")
+    model = toxicity.fit(named, named.select("doc_id", "toxic"), examples=50)
+    assert len(model.labels) == 100
+    assert all(n.startswith("d") for r in toxicity.score(named.limit(20), model).collect() for n in r.neighbours)
 
 
 def test_language_held_out(spark, docs):
