@@ -23,7 +23,7 @@ def op1_bpe(spark, sf_dir):
 
 
 def op2_warc(spark, sf_dir):
-    return warc.round_trip(_table(spark, sf_dir, "pages"))
+    return warc.round_trip(_table(spark, sf_dir, "pages")).drop("url")
 
 
 def _part(id_col: str, of: int):
@@ -88,4 +88,29 @@ def op10_simhash(spark, sf_dir):
 
 
 QUERIES = {"op1_bpe": op1_bpe, "op2_warc": op2_warc, "op3_toxicity": op3_toxicity, "op4_embedding_dedup": op4_embedding_dedup, "op5_langid": op5_langid, "op6_quality_rules": op6_quality_rules, "op7_token_counts": op7_token_counts, "op8_quality_classifier": op8_quality_classifier, "op9_packing": op9_packing, "op10_simhash": op10_simhash}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_warc": """
+        WITH page AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+        told AS (SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM page),
+        seen AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM told),
+        kind AS (SELECT *, payload_bytes >= 100 AND page_id <> first_id AS again FROM seen)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN again THEN first_id END AS refers_to
+        FROM kind""",
+    "op4_embedding_dedup": """
+        WITH RECURSIVE vec AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        sound AS (
+            SELECT * FROM vec
+            WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(v, lambda x: x <> 0)) > 0
+        ),
+        link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+        ),
+        reach AS (SELECT vec_id, vec_id AS root FROM vec UNION SELECT reach.vec_id, link.b FROM reach JOIN link ON link.a = reach.root),
+        low AS (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id),
+        many AS (SELECT a, count(*) AS n_links FROM link GROUP BY a)
+        SELECT low.vec_id, coalesce(n_links, 0) AS n_links, component_id, low.vec_id = component_id AS kept
+        FROM low LEFT JOIN many ON many.a = low.vec_id""",
+}
