@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,14 +19,18 @@ ROWS_A_FILE = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; where it is unset (tests, one machine) an own one is set."""
+    """The session's ``spark.checkpoint.dir``; where it is unset (tests, one machine) a folder of this process."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return _own()
+
+
+@lru_cache(1)
+def _own() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="spark-shared-")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -38,11 +43,16 @@ def cut(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
 
     rows: how many it has at most, where that is known; few rows then go to few files instead of one per partition.
     """
+    return stored(df, name, rows)[0]
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None) -> tuple[DataFrame, str]:
+    """cut(), and the path of its table: for steps that remove() it once a later step is stored."""
     path = new_path(df.sparkSession, name)
     if rows is not None:
         df = df.coalesce(1 + rows // ROWS_A_FILE)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def exists(spark: SparkSession, path: str) -> bool:

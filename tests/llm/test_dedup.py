@@ -1,9 +1,13 @@
 import re
 
+import duckdb
 import numpy as np
+import pytest
 import xxhash
 
-from ledgerlake.llm import embedding_dedup, graph, simhash
+from ledgerlake.llm import embedding_dedup, graph, queries, simhash
+
+from .conftest import SF
 
 
 def classes(n, pairs):
@@ -88,10 +92,13 @@ def vector_rows():
     return [*rows, (500, None, 1, "x"), (501, [0.0] * 8, 1, "x"), (502, [float("nan")] * 8, 1, "x"), (503, [1.0, None] + [0.0] * 6, 1, "x"), (504, [1.0, 2.0], 1, "x"), (505, [2.0, 4.0], 1, "x"), (None, [1.0] * 8, 1, "x"), (506, [], 1, "x")]
 
 
-def test_embedding_join_against_all_pairs(spark):
+@pytest.mark.parametrize("kind, tile_bytes", [("float", 64), ("float", embedding_dedup.TILE_BYTES), ("double", 500)])
+def test_embedding_join_against_all_pairs(spark, kind, tile_bytes):
     rows = vector_rows()
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, n_links string")
-    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(frame, 0.93, block=4, leading=3).collect()}
+    if kind == "double":  # beyond the range of floats, and whose squares are beyond that of doubles
+        rows += [(600 + k, [float(x) for x in v], 1, "x") for k, v in enumerate([(1e-60, 0), (1e-60, 1e-70), (1e200, 1e190), (3e200, 0), (1e-200, 1e-200), (2e-300, 2e-300)])]
+    frame = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label int, n_links string")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(frame, 0.93, block=4, leading=3, tile_bytes=tile_bytes).collect()}
 
     def sound(r):
         return r[0] is not None and r[2] is not None and r[1] and None not in r[1] and np.isfinite(r[1]).all() and any(r[1])
@@ -99,8 +106,8 @@ def test_embedding_join_against_all_pairs(spark):
     def linked(a, b):
         if not (sound(a) and sound(b)) or a[2] != b[2] or len(a[1]) != len(b[1]):
             return False
-        x, y = np.array(a[1], np.float32).astype(float), np.array(b[1], np.float32).astype(float)
-        return x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= 0.93
+        x, y = (np.array(v, np.float32 if kind == "float" else np.float64).astype(np.longdouble) for v in (a[1], b[1]))
+        return x @ y / (np.sqrt(x @ x) * np.sqrt(y @ y)) >= 0.93
 
     pairs = [(i, j) for i in range(len(rows)) for j in range(len(rows)) if i != j and linked(rows[i], rows[j])]
     own = classes(len(rows), [(max(p), min(p)) for p in pairs])
@@ -108,3 +115,17 @@ def test_embedding_join_against_all_pairs(spark):
         assert got[r[0]] == (sum(p[0] == i for p in pairs), rows[own[i]][0], rows[own[i]][0] == r[0])
     assert len(pairs) > 50
     assert embedding_dedup.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_labels_of_any_type(spark):
+    rows = [(1, [1.0, 2.0], "a"), (2, [1.0, 2.1], "a"), (3, [1.0, 2.0], "b"), (4, [1.0, 2.0], None)]
+    for kind, label in (("string", str), ("double", lambda x: {"a": 1.5, "b": 1.0}[x])):
+        frame = spark.createDataFrame([(k, v, None if x is None else label(x)) for k, v, x in rows], f"vec_id int, embedding array<double>, label {kind}")
+        assert {r.vec_id: r.component_id for r in embedding_dedup.near_duplicates(frame).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_query_against_its_sql(spark):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    told, got = con.sql(queries.ORACLES["op4_embedding_dedup"]), queries.op4_embedding_dedup(spark, SF)
+    assert got.columns == told.columns and sorted(map(tuple, got.collect())) == sorted(told.fetchall())
