@@ -71,3 +71,11 @@ def remove(spark: SparkSession, path: str) -> None:
 def tasks_for(spark: SparkSession, least: int = 1) -> int:
     """Partitions to deal rows out to by a key: the session's shuffle width."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """name, with underscores in front until no column of df has it (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

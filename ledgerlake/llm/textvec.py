@@ -28,15 +28,16 @@ WORD = np.fromiter((chr(c).isalnum() for c in range(0x110000)), bool, 0x110000)
 
 def words(points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and document of each run of word characters."""
-    inside = WORD[points]
-    edge = np.zeros(len(points) + 1, bool)
+    return runs_of(WORD[points], at)
+
+
+def runs_of(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and document of each run of places that are inside and of one document."""
+    edge = np.zeros(len(inside) + 1, bool)
     edge[at] = True
-    begin = inside & np.concatenate(([True], ~inside[:-1])) if len(points) else inside
-    begin |= inside & edge[:-1]
-    end = np.zeros(len(points), bool)
-    if len(points):
-        end = inside & (np.concatenate((~inside[1:], [True])) | edge[1:])
-    starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    before = np.concatenate(([False], inside[:-1])) if len(inside) else inside
+    after = np.concatenate((inside[1:], [False])) if len(inside) else inside
+    starts, ends = np.flatnonzero(inside & (~before | edge[:-1])), np.flatnonzero(inside & (~after | edge[1:])) + 1
     return starts, ends, np.searchsorted(at, starts, "right") - 1
 
 
@@ -44,8 +45,8 @@ def words(points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 LONG, GRAM = 24, 4
 
 
-def _span_hash(points: np.ndarray):
-    """hash(starts, ends) of any spans of a run of codepoints, each in a few operations however long it is.
+def span_hash(points: np.ndarray):
+    """hash(starts, ends) of any spans of a run of codepoints or bytes, each in a few operations however long it is.
 
     A polynomial over the mixed codepoints, from prefix sums modulo 2**64: its base is odd, so powers have inverses.
     """
@@ -59,10 +60,31 @@ def _span_hash(points: np.ndarray):
     return lambda starts, ends: mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _M)
 
 
+def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (document, shingle hash) of the texts in order: ``width`` words in a row with A-Z lowered, or all words where
+    there are fewer. Words are parted by the blanks of ASCII; a null text has none.
+    """
+    plain = texts.cast(pa.large_binary()).fill_null(b"")
+    at = np.frombuffer(plain.buffers()[1], np.int64)[plain.offset : plain.offset + len(plain) + 1]
+    raw = np.frombuffer(plain.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
+    at = at - at[0]
+    raw = raw + np.uint8(32) * ((raw >= 65) & (raw <= 90))
+    starts, ends, doc = runs_of((raw != 32) & ((raw < 9) | (raw > 13)), at)
+    n = len(starts)
+    word = np.append(span_hash(raw)(starts, ends), np.zeros(width, np.uint64))
+    owner = np.append(doc, np.full(width, -1))
+    h = np.zeros(n, np.uint64)
+    for k in range(width):
+        h += np.where(owner[k : n + k] == doc, mixed(word[k : n + k] + np.uint64(k + 1)) * np.uint64(int(_K) * (2 * k + 1) & (1 << 64) - 1), np.uint64(0))
+    whole = (owner[width - 1 : n + width - 1] == doc) | (np.append(-1, doc[:-1]) != doc if n else np.zeros(0, bool))
+    doc, h, _ = counted(doc[whole], mixed(h[whole]))
+    return doc, h
+
+
 def word_features(points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(document, feature) of each whole word, and of each inner gram of ``GRAM`` characters of words beyond ``LONG``."""
     starts, ends, doc = words(points, at)
-    of = _span_hash(points)
+    of = span_hash(points)
     long = ends - starts > LONG
     many = (ends - starts)[long] - GRAM + 1
     inner = np.repeat(starts[long] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))

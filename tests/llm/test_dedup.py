@@ -1,11 +1,14 @@
+import random
 import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import embedding_dedup, graph, queries, simhash
+from ledgerlake.llm import embedding_dedup, graph, queries, simhash, textvec
 
 from .conftest import SF
 
@@ -72,9 +75,76 @@ def test_counters_hold_exact_distances():
     fp = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
     fp[1::2] = fp[::2] ^ np.array([(1 << int(k)) - 1 for k in rng.integers(0, 9, 150)], np.uint64)
     group = np.repeat([0, 1], [130, 170])
-    for radius in (0, 3, 4, 6):
+    for radius in (0, 1, 3, 4, 6, 8, 30):
         got = {(int(i), int(j)) for a, b in simhash.sliced_links(group, fp, radius, slab=50) for i, j in zip(a, b, strict=True)}
         assert got == {(i, j) for i in range(300) for j in range(i + 1, 300) if group[i] == group[j] and bin(int(fp[i] ^ fp[j])).count("1") <= radius}
+        wide = np.stack([fp, fp ^ np.uint64(5)], axis=1)  # every distance twice
+        assert {(int(i), int(j)) for a, b in simhash.sliced_links(group, wide, 2 * radius) for i, j in zip(a, b, strict=True)} == got
+
+
+def plain_shingles(text, width=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[k : k + width]) for k in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def edited_documents(spark):
+    """Documents of the tables and copies of some with words changed: similarities on both sides of 0.8."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rng = random.Random(5)
+    made = []
+    for r in docs.where(F.size(F.split("text", " ")) >= 50).orderBy("doc_id").limit(60).collect():
+        words = r.text.split(" ")
+        for k, share in enumerate((0.01, 0.02, 0.03, 0.05)):
+            made.append((10_000 * (k + 1) + r.doc_id, " ".join(f"edit{rng.random()}" if rng.random() < share else w for w in words)))
+    hot = made[0][1].split(" ")
+    made += [(90_000 + k, " ".join([*hot[:k], "x", *hot[k + 1 :]])) for k in range(min(150, len(hot)))]  # one large group
+    return docs.unionByName(spark.createDataFrame(made, docs.schema))
+
+
+@pytest.mark.parametrize("chunk", [7, 512])
+def test_similar_against_all_pairs(spark, docs, chunk):
+    rows = edited_documents(spark).unionByName(docs.select("doc_id", "text"))
+    texts = rows.collect()
+    sets = [plain_shingles(r.text) for r in texts]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] == sets[j] or 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]) > 0]
+    own = classes(len(sets), links)
+    low = {c: min((r.doc_id for r, o in zip(texts, own, strict=True) if o == c and r.doc_id is not None), default=None) for c in own}
+    got = simhash.similar(rows, chunk=chunk, exact_chunk=chunk).collect()
+    assert len(links) > 500
+    assert sorted(str((r.id, r.component_id)) for r in got) == sorted(str((r.doc_id, low[o])) for r, o in zip(texts, own, strict=True))
+
+
+def test_keep_first_of_odd_rows(spark, docs):
+    rows = docs.withColumnRenamed("fp", "id").withColumnRenamed("component_id", "set")
+    kept = simhash.keep_first(rows)
+    assert kept.columns == rows.columns
+    # 3 and 8 are as empty as 2; 6 is as 5, twice; 10 and the row without id share 19 of 21 shingles with 5
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "4", "5", "9"]
+    clash = spark.createDataFrame([(1, "a b c d e f g"), (1, "a b c d e f g"), (1, "A b c  d e f g"), (1, "quite another text"), (2, "quite another text"), (0, "a b c d e f g")], "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_first(clash).collect())) == [(0, "a b c d e f g"), (1, "quite another text")]
+    assert simhash.keep_first(docs.limit(0)).count() == 0
+
+
+def test_majority_bits():
+    rng = np.random.default_rng(9)
+    size = [0, 1, 2, 3, 255, 256, 700, 0, 20_000, 5]
+    doc = np.repeat(np.arange(len(size)), size)
+    h = rng.integers(0, 1 << 63, len(doc), dtype=np.uint64)
+    got = simhash.majority(doc, h, len(size), 2)
+    words = [textvec.mixed((h + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15 + 2 * k * 0x632BE59BD9B4E019 & (1 << 64) - 1)) for k in range(2)]
+    bits = np.concatenate([np.unpackbits(w.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little") for w in words], axis=1)
+    for k, n in enumerate(size):
+        assert (got[k] == (2 * bits[doc == k].sum(0, np.int64) > n)).all()
+    again = np.random.default_rng(1).integers(0, 1 << 63, 5000, dtype=np.uint64)
+    assert abs(simhash.majority(np.arange(5000), again, 5000, 3).mean() - 0.5) < 0.01
+
+
+def test_shingles_of_odd_texts():
+    texts = ["", None, "one", "One TWO", "a b c d e", "a b c d e f", "b c d e f g", "a  b\tc\nd e", "x" * 100_000, "é ß 中 d e f"]
+    doc, h = textvec.shingles(pa.array(texts), 5)
+    sets = [set(h[doc == k].tolist()) for k in range(len(texts))]
+    assert [len(s) for s in sets] == [len(plain_shingles(t)) for t in texts]
+    assert sets[4] == sets[7] and len(sets[5] & sets[6]) == 1 and sets[4] < sets[5]
 
 
 def test_components(spark):
