@@ -7,9 +7,8 @@ the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ledgerlake.llm import edited_copies, packing, quality_rules, simhash, toxicity
+from ledgerlake.llm import packing, quality_rules, simhash, toxicity
 from ledgerlake.llm.queries import vocabulary
 from ledgerlake.llm.scratch import cut
 
@@ -26,15 +25,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: of each group of near copies the document with the smallest id stays, repeated rows once."""
-    first = simhash.near_duplicates(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_first")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi").dropDuplicates(["doc_id", "text"])
-
-
-def drop_edited_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Copies with edits beyond the bits of operator 10: of texts linked by 80 % common five-word shingles the smallest id stays."""
-    first = edited_copies.first_of_copies(docs).select(F.col("doc_id").alias("_first")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi").dropDuplicates(["doc_id", "text"])
+    """Operator 10 for texts of 80 % common five-word shingles: of each group the document with the smallest id stays, repeated rows once."""
+    return simhash.keep_first(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +34,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary("byte_bpe_50k.tiktoken"), added=packing.added_tokens(vocabulary("byte_bpe_50k.json")))
 
 
-STAGES = [("quality rules", drop_low_quality), ("toxicity", drop_toxic), ("simhash near-dedup", drop_near_copies), ("edited copies", drop_edited_copies), ("packing", pack)]
+STAGES = [("quality rules", drop_low_quality), ("toxicity", drop_toxic), ("simhash near-dedup", drop_near_copies), ("packing", pack)]
 
 #: SQL has no byte-pair merges, nearest examples or fingerprint links: tests hold the stages against brute force.
 ORACLE_SQL = None
