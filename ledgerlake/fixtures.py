@@ -42,11 +42,24 @@ SELECT DISTINCT symbol, CASE WHEN user_id % 7 = 0 THEN 'ST name ' || CAST(user_i
        CASE WHEN user_id % 13 = 0 THEN DATE '2024-01-20' END AS delist_date
 FROM ticks WHERE user_id % 17 <> 3""",
     "status": """
-SELECT symbol, trade_date, volume % 6 <> 0 AS is_trading, CASE WHEN volume % 6 = 0 THEN 'suspended' WHEN volume % 5 = 0 THEN 'st' ELSE 'normal' END AS status,
+SELECT symbol, trade_date, CASE WHEN volume % 23 <> 0 THEN volume % 6 <> 0 END AS is_trading, CASE WHEN volume % 6 = 0 THEN 'suspended' WHEN volume % 5 = 0 THEN 'st' ELSE 'normal' END AS status,
        CASE WHEN volume % 7 = 0 THEN TRUE WHEN volume % 7 = 1 THEN FALSE END AS risk_warning,
        CASE WHEN volume % 2 = 0 THEN 'history' WHEN volume % 3 = 0 THEN 'gap' ELSE 'snapshot' END AS source, 'v1' AS data_version,
        CAST(trade_date AS TIMESTAMP) + INTERVAL 9 HOUR AS fetched_at
 FROM bars WHERE volume % 10 <> 9""",
+    # several sources a day: a snapshot of a later day, one of the closed session, a later gap row over history
+    "status_raw": """
+SELECT * FROM status
+UNION ALL
+SELECT symbol, trade_date, TRUE, 'normal', NULL, 'snapshot', 'v1', CAST(trade_date AS TIMESTAMP) + INTERVAL 40 HOUR FROM status WHERE source = 'gap'
+UNION ALL
+SELECT symbol, trade_date, TRUE, 'normal', FALSE, 'snapshot', 'v2', CAST(trade_date AS TIMESTAMP) + INTERVAL 450 MINUTE FROM status WHERE source = 'gap' AND day(trade_date) % 3 = 0
+UNION ALL
+SELECT symbol, trade_date, FALSE, 'suspended', NULL, 'gap', 'v1', CAST(trade_date AS TIMESTAMP) + INTERVAL 50 HOUR FROM status WHERE source = 'history' AND day(trade_date) % 2 = 0""",
+    "codes": """
+SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'SH' WHEN 1 THEN 'SZ' WHEN 2 THEN 'sh' ELSE NULL END AS exchange,
+       CASE WHEN p_partkey % 10 = 9 THEN NULL ELSE CAST(CASE WHEN p_partkey % 3 = 0 THEN 689000 + p_partkey % 40 WHEN p_partkey % 7 < 3 THEN 159990 + p_partkey % 60 WHEN p_partkey % 11 < 4 THEN 510000 + p_partkey ELSE 15 + p_partkey % 7000 END AS STRING) END AS code
+FROM {part}""",
     "facts": """
 SELECT CAST(o_custkey AS STRING) AS symbol, CAST(year(o_orderdate) AS STRING) || 'Q' || CAST(quarter(o_orderdate) AS STRING) AS report_period, 'income' AS statement_type,
        o_orderpriority AS item_code, o_totalprice AS item_value, CAST(o_orderdate AS DATE) AS announce_date, CASE o_orderstatus WHEN 'F' THEN 'history_backfill' WHEN 'O' THEN 'live' ELSE 'snapshot_store' END AS source, 'v1' AS data_version,
@@ -68,7 +81,7 @@ SELECT * FROM bars WHERE volume % 5 <> 0""",
     "holed_ticks": """
 SELECT * FROM ticks WHERE event_id % 17 <> 0""",
     "minutes": """
-SELECT symbol, trade_date, date_trunc('minute', trade_time) AS bar_time, '1m' AS frequency, max(price) AS high, min(price) AS low, CAST(sum(volume) AS BIGINT) AS volume,
+SELECT symbol, trade_date, date_trunc('minute', trade_time) AS bar_time, '1m' AS frequency, min_by(price, tick_seq) AS open, max_by(price, tick_seq) AS close, max(price) AS high, min(price) AS low, CAST(sum(volume) AS BIGINT) AS volume,
        CAST(sum(CAST(round(price * 100) AS BIGINT) * volume) AS DOUBLE) / 100 AS amount
 FROM ticks GROUP BY symbol, trade_date, date_trunc('minute', trade_time)""",
     "headlines": """

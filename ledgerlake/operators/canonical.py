@@ -15,19 +15,24 @@ def source_rank(dataset: Dataset, source: Column) -> Column:
 
 
 def evidence_rank(source: Column, fetched_at: Column, trade_date: Column) -> Column:
-    """Trading status: 0 authority, 1 a row derived from a gap, 2 a snapshot taken before its session had closed at 15:00."""
-    final = (F.to_date(F.from_utc_timestamp(fetched_at, "Asia/Shanghai")) > trade_date) | (F.date_format(F.from_utc_timestamp(fetched_at, "Asia/Shanghai"), "HH:mm") >= "15:00")
+    """Trading status: 0 authority, 1 a row derived from a gap, 2 a snapshot of the current state.
+
+    A snapshot is an authority only for the session in which it was taken, once that has closed at 15:00: one that was
+    fetched earlier, or on a later day and stamped onto this one, is not.
+    """
+    local = F.from_utc_timestamp(fetched_at, "Asia/Shanghai")
+    final = (F.to_date(local) == trade_date) & (F.date_format(local, "HH:mm") >= "15:00")
     return F.when(source == "gap", 1).when((source == "snapshot") & ~F.coalesce(final, F.lit(False)), 2).otherwise(0)
 
 
-def dedupe(rows: DataFrame, dataset: Dataset, first: list[Column] | None = None) -> DataFrame:
+def dedupe(rows: DataFrame, dataset: Dataset) -> DataFrame:
     """One row per key: newest fetch (null last), then source rank, source, version; all other columns settle full ties.
 
-    first: sort keys that come before freshness (as evidence_rank).
+    Datasets whose rows differ in evidence (trading status) rank that before freshness, wherever rows are merged or read.
     """
     known = {"source", "data_version", "fetched_at", *dataset.key}
     order = [
-        *(first or []),
+        *([evidence_rank(F.col("source"), F.col("fetched_at"), F.col("trade_date"))] if dataset.evidence else []),
         F.col("fetched_at").desc_nulls_last(),
         source_rank(dataset, F.col("source")).desc(),
         F.col("source").desc_nulls_last(),
@@ -61,6 +66,28 @@ def invalid(rows: DataFrame, dataset: Dataset) -> Column:
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
+class ContractError(ValueError):
+    """Rows that a research read must not return."""
+
+
+def faults(rows: DataFrame, dataset: Dataset) -> DataFrame:
+    """``check, n``: rows that break the contract: a required value missing, not finite, or a bar rule broken."""
+    numbers = [c for c, t in dataset.schema.items() if t == "double" and c in rows.columns]
+    odd = reduce(lambda a, b: a | b, [F.coalesce(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(False)) for c in numbers], F.lit(False))
+    rules = {"required_missing": invalid(rows, dataset), "not_finite": odd}
+    if {"open", "high", "low", "close", "volume", "amount"} <= set(rows.columns):
+        rules |= bar_faults()
+    return rows.agg(*[F.count_if(v).alias(k) for k, v in rules.items()]).unpivot([], list(rules), "check", "n").where("n > 0")
+
+
+def check(rows: DataFrame, dataset: Dataset) -> DataFrame:
+    """rows, if they keep the contract of their dataset; else an error that names what they break, and how often."""
+    found = faults(rows, dataset).collect()  # one row a rule
+    if found:
+        raise ContractError(f"{dataset.name}: " + ", ".join(f"{r['check']} {r['n']}" for r in sorted(found, key=lambda r: r["check"])))
+    return rows
+
+
 def bar_faults() -> dict[str, Column]:
     """Broken bar rules by name; the order of prices counts on traded rows only."""
     live = F.coalesce(F.col("volume") > 0, F.lit(True))
@@ -114,7 +141,8 @@ def risk_warned() -> Column:
 
 
 def not_trading() -> Column:
-    return F.coalesce(F.col("status").isin("suspended", "delisted"), F.lit(False)) | ~F.coalesce("is_trading", F.lit(True))
+    """Whether a row says that the name did not trade; an unknown is_trading is no evidence that it did."""
+    return F.coalesce(F.col("status").isin("suspended", "delisted"), F.lit(False)) | ~F.coalesce("is_trading", F.lit(False))
 
 
 def split_legacy_status(rows: DataFrame) -> DataFrame:
@@ -123,13 +151,24 @@ def split_legacy_status(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"risk_warning": F.when(legacy, True).otherwise(F.col("risk_warning")), "status": F.when(legacy, "normal").otherwise(F.col("status"))})
 
 
+def encoded(columns: list[Column | str]) -> Column:
+    """Values as one text that no other values give: each with its length in bytes before it, nulls as a dash."""
+    text = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text])
+
+
+def summed(code: Column) -> Column:
+    """Order-free digest of a group of rows: two sums of 60-bit pieces of their SHA-256, as text."""
+    piece = lambda at: F.conv(F.substring(F.sha2(code, 256), at, 15), 16, 10).cast("decimal(38,0)")
+    total = lambda at: F.coalesce(F.sum(piece(at)), F.lit(0)).cast("string")
+    return F.concat_ws("-", total(1), total(16))
+
+
 def scope_hash(symbols: DataFrame, column: str = "symbol") -> DataFrame:
-    """One row ``hash``: MD5 of the distinct symbols' MD5s summed by place, whatever their order."""
-    return symbols.select(column).distinct().agg(F.coalesce(F.sum(F.conv(F.substring(F.md5(column), 1, 12), 16, 10).cast("decimal(38,0)")), F.lit(0)).alias("hash"), F.count("*").alias("n"))
+    """One row ``hash, n`` for the distinct symbols, whatever their order."""
+    return symbols.select(column).distinct().agg(summed(encoded([column])).alias("hash"), F.count("*").alias("n"))
 
 
 def digest(rows: DataFrame, by: list[str], leave: tuple[str, ...] = ("fetched_at",)) -> DataFrame:
-    """Content of each group of rows without their fetch times: count, and sum of row hashes; order-free."""
-    cols = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in rows.columns if c not in leave]
-    row = F.conv(F.substring(F.md5(F.concat_ws("|", *cols)), 1, 12), 16, 10).cast("decimal(38,0)")
-    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.sum(row).alias("hash"))
+    """Content of each group of rows without their fetch times: ``n`` and an order-free ``hash``."""
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), summed(encoded([c for c in rows.columns if c not in leave])).alias("hash"))

@@ -155,16 +155,19 @@ def delisted_status_rows(master: DataFrame, calendar: DataFrame) -> DataFrame:
     return gone.join(days, F.col("trade_date") >= F.col("delist_date")).select("symbol", "trade_date", F.lit("delisted").alias("status"), F.lit(False).alias("is_trading"))
 
 
-def ending_pattern(bars: DataFrame, window: int = 60, least: int = 30, drop: float = -0.3) -> DataFrame:
+def ending_pattern(bars: DataFrame, window: int = 60, least: int = 30, halt: int = 10, drop: float = -0.25, decline: float = -0.4, low: float = 2.0) -> DataFrame:
     """How a series ends, by its last bars: longest calendar gap, worst return, return over the window, last close.
 
-    consolidation: it lost no third in total; abrupt_decline: a third or more; abrupt_stable: with a gap of over 30 days.
+    insufficient: fewer than ``least`` bars in all. consolidation: a halt of more than ``halt`` days and a day worse than ``drop``.
+    abrupt_decline: the window lost more than ``decline`` and closed below ``low``. abrupt_stable: all others.
     """
     back = Window.partitionBy("symbol").orderBy(F.col("trade_date").desc())
     rows = bars.withColumn("_k", F.row_number().over(back)).where(F.col("_k") <= window)
     rows = rows.withColumns({"_gap": F.datediff("trade_date", F.lag("trade_date").over(by_date())), "_ret": F.try_divide("close", F.lag("close").over(by_date())) - 1})
     agg = rows.groupBy("symbol").agg(F.count("*").alias("n_bars"), F.max("_gap").alias("longest_gap"), F.min("_ret").alias("worst_return"), (F.try_divide(F.max_by("close", "trade_date"), F.min_by("close", "trade_date")) - 1).alias("window_return"), F.max_by("close", "trade_date").alias("last_close"))
-    kind = F.when(F.col("n_bars") < least, "insufficient").when(F.col("window_return") <= drop, "abrupt_decline").when(F.col("longest_gap") > 30, "abrupt_stable").otherwise("consolidation")
+    halted = (F.col("longest_gap") > halt) & (F.col("worst_return") < drop)
+    fell = (F.col("window_return") < decline) & (F.col("last_close") < low)
+    kind = F.when(F.col("n_bars") < least, "insufficient").when(halted, "consolidation").when(fell, "abrupt_decline").otherwise("abrupt_stable")
     return agg.withColumn("pattern", kind)
 
 
@@ -182,16 +185,31 @@ def headline_sentiment(rows: DataFrame, lexicon: dict[str, float], pattern: str
 
 
 def trading_calendar(start: str, end: str, spark, seed: DataFrame, closed: DataFrame, bars: DataFrame) -> DataFrame:
-    """One row per calendar day: the seed wins, then the closed list, then a bar; within the bars' era no bar means closed; else weekdays."""
+    """One row per calendar day: the seed wins, then the closed list, then a bar; within the bars' era no bar means closed.
+
+    Beyond all of these a weekend is closed, and a weekday before the bars' era is open; one after it is not known: the read fails.
+    """
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("trade_date"))
     seen = bars.select("trade_date").distinct().withColumn("_bar", F.lit(True))
     era = bars.agg(F.min("trade_date").alias("_a"), F.max("trade_date").alias("_z"))
     rows = days.join(F.broadcast(seed.select("trade_date", F.col("is_trading").alias("_seed"))), "trade_date", "left").join(F.broadcast(closed.select("trade_date", F.lit(True).alias("_shut"))), "trade_date", "left")
     rows = rows.join(seen, "trade_date", "left").join(F.broadcast(era))  # one row
-    open_ = F.when(F.col("_seed").isNotNull(), F.col("_seed")).when(F.col("_shut"), False).when(F.col("_bar"), True).when(F.col("trade_date").between(F.col("_a"), F.col("_z")), False).otherwise(F.weekday("trade_date") < 5)
+    open_ = F.when(F.col("_seed").isNotNull(), F.col("_seed")).when(F.col("_shut"), False).when(F.col("_bar"), True).when(F.col("trade_date").between(F.col("_a"), F.col("_z")), False).when(F.weekday("trade_date") >= 5, False).when(F.col("trade_date") < F.col("_a"), True)
+    open_ = open_.otherwise(F.raise_error(F.concat(F.lit("no evidence whether a session is held on "), F.col("trade_date").cast("string"))).cast("boolean"))
     return rows.select("trade_date", open_.alias("is_trading"))
 
 
+def sessions(calendar: DataFrame, start: str, end: str) -> DataFrame:
+    """The trading days of a window."""
+    return calendar.where(F.col("is_trading") & F.col("trade_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))).select("trade_date")
+
+
+def event_symbols(actions: DataFrame, master: DataFrame, day: str) -> DataFrame:
+    """Names with an ex-date on a day or listed on it: those whose factors may move."""
+    d = F.lit(day).cast("date")
+    return actions.where(F.col("ex_date") == d).select("symbol").unionByName(master.where(F.col("list_date") == d).select("symbol")).distinct()
+
+
 def gapfill(primary: DataFrame, backup: DataFrame, key: list[str]) -> DataFrame:
     """Primary rows, and backup rows for keys that it lacks."""
     return primary.unionByName(backup.join(primary, key, "left_anti").select(*primary.columns))
@@ -212,10 +230,15 @@ def incremental_window(calendar: DataFrame, day: str, sessions: int) -> DataFram
     return back.agg(F.min("trade_date").alias("start"), F.lit(day).cast("date").alias("end"))
 
 
+def resampled() -> list[Column]:
+    """What a longer bar says of its bars: first open, highest high, lowest low, last close, sums of volume and amount, their number."""
+    return [F.min_by("open", "bar_time").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "bar_time").alias("close"), F.sum("volume").alias("volume"), F.sum("amount").alias("amount"), F.count("*").alias("n")]
+
+
 def resample(bars: DataFrame, minutes: int) -> DataFrame:
     """Bars of more minutes; a bar is named by its closing minute, so it belongs to the window of the minute before."""
     w = F.window(F.col("bar_time") - F.expr("INTERVAL 1 MINUTE"), f"{minutes} minutes")
-    agg = bars.groupBy("symbol", "trade_date", w.alias("w")).agg(F.max("high").alias("high"), F.min("low").alias("low"), F.sum("volume").alias("volume"), F.count("*").alias("n"))
+    agg = bars.groupBy("symbol", "trade_date", w.alias("w")).agg(*resampled())
     return agg.withColumn("bar_time", F.col("w.end")).drop("w")
 
 

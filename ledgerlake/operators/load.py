@@ -10,43 +10,74 @@ from ..sources import lake
 from . import canonical, research
 
 
-def read_validated(rows: DataFrame, dataset: Dataset, start=None, end=None, symbols=None, master=None, status=None) -> DataFrame:
-    """Scan, then the universe (and no rows without a positive price), then validation, then one row per key."""
+def read_validated(rows: DataFrame, dataset: Dataset, start=None, end=None, symbols=None, master=None, status=None, strict_universe: bool = False) -> DataFrame:
+    """Scan, then the universe (and no rows without a positive price), then validation, then one row per key.
+
+    Rows outside the universe are gone before validation, so they cannot fail it. strict_universe: a day and symbol of the
+    window without a status row is an error, as is a read without a master.
+    """
     out = lake.scan(rows, dataset, start, end, symbols)
     if status is not None:
+        if strict_universe and (master is None or not research.missing_status(out, status).isEmpty()):
+            raise ValueError("the universe of some rows is not known")
         out = research.universe(out, master, status).where("open > 0 AND high > 0 AND low > 0 AND close > 0")
-    return canonical.dedupe(canonical.validate(out, dataset, allow_missing=True), dataset)
+    return canonical.dedupe(canonical.check(canonical.validate(out, dataset, allow_missing=True), dataset), dataset)
+
+
+def ordered(rows: DataFrame, dataset: Dataset) -> DataFrame:
+    """Rows in the order of their kind: ticks by sequence and intraday bars by time within a symbol, facts by announcement, others by day."""
+    kinds = (("tick_seq", ("symbol", "trade_date", "tick_seq")), ("bar_time", ("symbol", "bar_time")), ("report_period", ("announce_date", "symbol", "report_period", "item_code")))
+    by = next((order for mark, order in kinds if mark in rows.columns), (dataset.date_col, "symbol"))
+    by = [c for c in by if c in rows.columns]
+    return rows.orderBy(*by) if by else rows
+
 
+ADJUSTABLE = ("daily_bars", "minute_bars", "minute_bars_5m", "trade_ticks")
 
-def load(rows: DataFrame, dataset: Dataset, start=None, end=None, symbols=None, adjust=None, factors=None, master=None, status=None, as_of=None, items=None, all_vintages=False, pit_mode="best_effort", strict_adj=False) -> DataFrame:
-    """Rows of a dataset as a research read. Arguments that do not go together raise."""
+
+def load(rows: DataFrame, dataset: Dataset, start=None, end=None, symbols=None, adjust=None, factors=None, master=None, status=None, as_of=None, items=None, all_vintages=False, pit_mode="best_effort", strict_adj=False, strict_universe=False) -> DataFrame:
+    """Rows of a dataset as a research read, in the order of their kind. Arguments that do not go together raise.
+
+    Facts need as_of; start and end are then quarters of their report periods. Ticks and intraday bars take their day's factor.
+    """
     if adjust and as_of:
         raise ValueError("adjust is for prices, as_of for facts")
+    if adjust and dataset.name not in ADJUSTABLE:
+        raise ValueError(f"{dataset.name} holds no prices per share")
+    if status is not None and dataset.name != "daily_bars":
+        raise ValueError(f"a universe is for daily bars, not for {dataset.name}")
+    if pit_mode not in ("strict", "best_effort", "observed"):
+        raise ValueError(f"unknown pit_mode {pit_mode}")
     if dataset.pit:
         if not as_of:
             raise ValueError(f"{dataset.name} needs as_of")
         seen = research.pit_classify(research.pit_normalize(lake.scan(rows, dataset, start, end, symbols)), as_of, pit_mode)
         seen = seen.where(F.col("item_code").isin(items)) if items else seen
         key = [k for k in dataset.key if k != "announce_date"]
-        return seen if all_vintages else research.pit_collapse(seen, key, ["item_value"])
+        return ordered(seen if all_vintages else research.pit_collapse(seen, key, ["item_value"]), dataset)
     if as_of or items or all_vintages:
         raise ValueError(f"{dataset.name} has no vintages")
-    out = read_validated(rows, dataset, start, end, symbols, master, status)
+    out = read_validated(rows, dataset, start, end, symbols, master, status, strict_universe)
     if adjust is None:
-        return out
+        return ordered(out, dataset)
     known = lake.scan(factors, dataset, start, end)
-    out = {"hfq": research.adjust_hfq, "qfq": research.adjust_qfq}[adjust](out, known)
-    if strict_adj and out.where("NOT adj_is_exact").limit(1).count():
+    out = {"hfq": research.adjust_hfq, "qfq": research.adjust_qfq}[adjust](out, known, (*research.PRICES, "price"))
+    if strict_adj and not out.where("NOT adj_is_exact").isEmpty():
         raise ValueError("some rows have no exact factor")
-    return out
+    return ordered(out, dataset)
+
+
+def query_dataset(rows: DataFrame, dataset: Dataset, start=None, end=None, symbols=None, limit: int = 200, offset: int = 0) -> DataFrame:
+    """One page of a dataset that has no read of its own; prices and facts are refused, whose reads adjust and date them."""
+    if dataset.pit or dataset.name in ADJUSTABLE:
+        raise ValueError(f"{dataset.name} has a read of its own")
+    return research.paged(canonical.dedupe(lake.scan(rows, dataset, start, end, symbols), dataset), list(dataset.key), limit, offset)
 
 
 def views(spark: SparkSession, frames: dict[str, DataFrame], registry: dict[str, Dataset]) -> None:
-    """One canonical temp view per dataset; trading status ranks evidence before freshness, here as everywhere."""
-    for name, rows in frames.items():
-        d = registry[name]
-        first = [canonical.evidence_rank(F.col("source"), F.col("fetched_at"), F.col("trade_date"))] if name == "trading_status" else None
-        canonical.dedupe(rows, d, first).createOrReplaceTempView(name)
+    """One canonical temp view per registered dataset: of its rows where frames has some, else empty with its types."""
+    for name, dataset in registry.items():
+        canonical.dedupe(frames.get(name, lake.empty(spark, dataset)), dataset).createOrReplaceTempView(name)
 
 
 def run_sql(spark: SparkSession, text: str, limit: int) -> DataFrame:

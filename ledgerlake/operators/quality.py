@@ -44,12 +44,21 @@ def required_nulls(rows: DataFrame, required: list[str]) -> DataFrame:
     return rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).unpivot([], required, "column", "n")
 
 
-def row_mutation(rows: DataFrame, date_col: str, period: str, least: int = 50, share: float = 0.5) -> DataFrame:
-    """Periods with under ``share`` of the rows or symbols of the period before, where that had at least ``least`` rows."""
+def row_mutation(rows: DataFrame, date_col: str, period: str, least: int = 50, share: float = 0.5, today: str | None = None) -> DataFrame:
+    """Periods with under ``share`` of the rows or symbols of the period before, where that had at least ``least`` rows.
+
+    The rows of the period that ``today`` lies in are held against the share of it that has passed; symbols are not.
+    """
     agg = rows.groupBy(periods.label(F.col(date_col), period).alias("period")).agg(F.count("*").alias("n_rows"), F.count_distinct("symbol").alias("n_symbols"))
     w = Window.partitionBy(F.lit(1)).orderBy("period")  # one row a period
     agg = agg.withColumns({"prior_rows": F.lag("n_rows").over(w), "prior_symbols": F.lag("n_symbols").over(w)})
-    return agg.where((F.col("prior_rows") >= least) & ((F.col("n_rows") < share * F.col("prior_rows")) | (F.col("n_symbols") < share * F.col("prior_symbols"))))
+    passed = F.lit(1.0)
+    if today:
+        d, a, z = F.lit(today).cast("date"), periods.start(F.col("period")), periods.end(F.col("period"))
+        passed = F.when((d >= a) & (d < z), F.try_divide(F.datediff(d, a) + 1, F.datediff(z, a) + 1)).otherwise(1.0)
+    agg = agg.withColumn("elapsed", passed)
+    short = (F.col("n_rows") < share * F.col("prior_rows") * F.col("elapsed")) | (F.col("n_symbols") < share * F.col("prior_symbols"))
+    return agg.where((F.col("prior_rows") >= least) & short)
 
 
 def fragmentation(rows: DataFrame, date_col: str, period: str) -> DataFrame:
@@ -124,10 +133,18 @@ def bar_spans(bars: DataFrame, positive_only: bool = True) -> DataFrame:
     return rows.groupBy("symbol").agg(F.min("trade_date").alias("first_date"), F.max("trade_date").alias("last_date"))
 
 
-def survivorship_check(bars: DataFrame, master: DataFrame, day: str, silent: int = 180) -> DataFrame:
-    """Symbols silent for longer than ``silent`` days without a delisting date."""
-    s = bar_spans(bars).where(F.datediff(F.lit(day).cast("date"), F.col("last_date")) > silent)
-    return s.join(master.select("symbol", "delist_date"), "symbol", "left").where("delist_date IS NULL").select("symbol", "last_date")
+def survivorship_check(bars: DataFrame, master: DataFrame, silent: int = 180, least_span: int = 730) -> DataFrame:
+    """``symbol, last_date, severity``: names of stocks that fell silent without a delisting date are warnings.
+
+    Silent: no bar for more than ``silent`` days before the last bar of all. Where all bars span at least ``least_span``
+    days and no name is silent, the lake holds survivors only: one error without a symbol. A shorter span says nothing.
+    """
+    stocks = master.where("asset_type = 'stock'").select("symbol", "delist_date")
+    spans = bar_spans(bars).join(stocks, "symbol")
+    whole = spans.agg(F.min("first_date").alias("_a"), F.max("last_date").alias("_z")).where(F.datediff("_z", "_a") >= least_span)
+    quiet = spans.join(F.broadcast(whole)).where(F.datediff("_z", "last_date") > silent)  # one row
+    none = whole.join(quiet.agg(F.count("*").alias("_n"))).where("_n = 0").select(F.lit(None).cast("string").alias("symbol"), F.col("_z").alias("last_date"), F.lit("error").alias("severity"))
+    return quiet.where("delist_date IS NULL").select("symbol", "last_date", F.lit("warning").alias("severity")).unionByName(none)
 
 
 def liquid_symbols(bars: DataFrame, day: str, k: int) -> DataFrame:
@@ -155,9 +172,20 @@ def active_on(master: DataFrame, day: str) -> DataFrame:
     return master.where(F.coalesce(F.col("list_date") <= d, F.lit(True)) & F.coalesce(F.col("delist_date") >= d, F.lit(True)))
 
 
-def volume_unit(bars: DataFrame, low: float = 0.5, high: float = 2.0) -> DataFrame:
-    """Per source, the median of amount / (close * volume), and whether it lies outside the band."""
-    r = bars.where("volume > 0").groupBy("source").agg(F.median(F.try_divide("amount", F.col("close") * F.col("volume"))).alias("ratio"), F.count("*").alias("n"))
+#: Rank error of medians: one in so many rows. Their sketches merge, so no task holds a source's values.
+MEDIAN_ACCURACY = 20_000
+
+
+def median(value: Column) -> Column:
+    return F.percentile_approx(value, 0.5, MEDIAN_ACCURACY)
+
+
+def volume_unit(bars: DataFrame, low: float = 0.5, high: float = 2.0, least: int = 20) -> DataFrame:
+    """Per source, the median of amount / (close * volume) over rows where all three are above 0, and whether it lies
+    outside the band; sources with fewer than ``least`` such rows are not judged.
+    """
+    rows = bars.where("volume > 0 AND amount > 0 AND close > 0")
+    r = rows.groupBy("source").agg(median(F.col("amount") / F.col("close") / F.col("volume")).alias("ratio"), F.count("*").alias("n")).where(F.col("n") >= least)
     return r.withColumn("outside", ~F.col("ratio").between(low, high))
 
 
@@ -189,7 +217,7 @@ def reconcile(part: DataFrame, daily: DataFrame, bands: dict[str, tuple[float, f
     """Intraday sums over the daily figure: median ratio per measure, its band, and a severity (info below ``least`` days)."""
     agg = part.groupBy("symbol", "trade_date").agg(*[F.sum(m).alias(f"_{m}") for m in bands])
     j = agg.join(daily.select("symbol", "trade_date", *bands), ["symbol", "trade_date"])
-    med = j.agg(F.count("*").alias("n"), *[F.median(F.try_divide(f"_{m}", m)).alias(m) for m in bands]).unpivot(["n"], list(bands), "measure", "ratio")
+    med = j.agg(F.count("*").alias("n"), *[median(F.try_divide(f"_{m}", m)).alias(m) for m in bands]).unpivot(["n"], list(bands), "measure", "ratio")
     ok = reduce(lambda a, b: a | b, [(F.col("measure") == m) & F.col("ratio").between(lo, hi) for m, (lo, hi) in bands.items()])
     return med.withColumn("severity", F.when(ok, "none").when(F.col("n") < least, "info").otherwise("warning"))
 
@@ -200,16 +228,41 @@ def seq_gaps(ticks: DataFrame) -> DataFrame:
     return g.where("a <> 0 OR z <> n - 1 OR d <> n").select("symbol", "trade_date", "n")
 
 
-def truncation(ticks: DataFrame, opening: str = "09:25:59") -> DataFrame:
-    """Symbol-days whose first tick comes after the opening auction."""
+def truncation(ticks: DataFrame, opening: str = "09:25:00", alert: float = 0.1) -> DataFrame:
+    """Symbol-days whose first tick comes after the opening auction, and whether they are at least the share ``alert``."""
     g = ticks.groupBy("symbol", "trade_date").agg(F.min(clock("trade_time")).alias("first"))
-    return g.agg(F.count("*").alias("n_days"), F.count_if(F.col("first") > opening).alias("n_late"))
+    n = g.agg(F.count("*").alias("n_days"), F.count_if(F.col("first") > opening).alias("n_late"))
+    return n.withColumn("alert", (F.col("n_late") > 0) & (F.col("n_late") >= alert * F.col("n_days")))
+
+
+def directions(ticks: DataFrame, buy: str, sell: str, low: float = 0.1, high: float = 0.9) -> DataFrame:
+    """Unknown direction codes, the share of buys, and whether that lies outside the band of a market."""
+    known = F.coalesce(F.col("direction").isin(buy, sell), F.lit(False))
+    n = ticks.agg(F.count_if(~known).alias("n_unknown"), F.try_divide(F.count_if(F.col("direction") == buy), F.count_if(known)).alias("buy_share"))
+    return n.withColumn("outside", ~F.col("buy_share").between(low, high))
+
+
+def calendar_horizon(calendar: DataFrame, day: str) -> DataFrame:
+    """How many sessions the calendar knows after a day, and the last of them."""
+    return calendar.where(F.col("is_trading") & (F.col("trade_date") > F.lit(day).cast("date"))).agg(F.count("*").alias("n"), F.max("trade_date").alias("last"))
+
+
+def authority_labels(status: DataFrame, master: DataFrame, day: str) -> DataFrame:
+    """Labels of a day against the names of the master: how many are compared, how many disagree."""
+    rows = status.where(F.col("trade_date") == F.lit(day).cast("date")).join(master.select("symbol", "name"), "symbol")
+    return rows.agg(F.count("*").alias("n"), F.count_if(canonical.risk_warned() != F.upper("name").rlike(r"^\*?ST")).alias("n_off"))
+
+
+def authority_macro(published: DataFrame, curated: DataFrame, key: str, order: list[str], value: str, apart: float = 0.05) -> DataFrame:
+    """The latest published value of each series against the latest curated one: whether they are ``apart``."""
+    latest = lambda rows, name: rows.groupBy(key).agg(F.max_by(value, F.struct(*order)).alias(name))
+    return latest(published, "published").join(latest(curated, "curated"), key).select(key, (F.abs(F.col("published") - F.col("curated")) > apart).alias("off"))
 
 
-def directions(ticks: DataFrame, buy: str, sell: str) -> DataFrame:
-    """Unknown direction codes, and the share of buys."""
-    known = F.col("direction").isin(buy, sell)
-    return ticks.agg(F.count_if(~known).alias("n_unknown"), F.try_divide(F.count_if(F.col("direction") == buy), F.count_if(known)).alias("buy_share"))
+def complete_derived_days(index: DataFrame, levels: int = 3, weightings: int = 2) -> DataFrame:
+    """Days of a derived index that have all levels and weightings."""
+    days = index.groupBy("trade_date").agg(F.count_distinct("level").alias("n_levels"), F.count_distinct("weighting").alias("n_weightings"))
+    return days.where((F.col("n_levels") == levels) & (F.col("n_weightings") == weightings)).select("trade_date")
 
 
 def latest_by(rows: DataFrame, key: str, date_col: str) -> DataFrame:

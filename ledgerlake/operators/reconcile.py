@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import symbols as S
 from . import canonical, quality
 
 
@@ -57,22 +58,32 @@ def mixed_granularity(periods: DataFrame, length: int) -> DataFrame:
     return periods.where(F.length("period") != length)
 
 
-def verify_gaps(covered: DataFrame, calendar: DataFrame, anchor: str, tolerance: int, first: str) -> DataFrame:
-    """Gap rows of a dataset (dataset, day): empty, stale at the end, missing within, shallow at the start, with the window to repair."""
-    a = F.lit(anchor).cast("date")
-    sessions = calendar.where("is_trading").select("trade_date")
+def verify_gaps(covered: DataFrame, calendar: DataFrame, anchor: str, tolerance: int, first: str, expected: DataFrame | None = None) -> DataFrame:
+    """Gaps (dataset, kind, start, end): empty, stale at the end, shallow at the start, and each run of sessions missing within.
+
+    covered: dataset and day. expected: the datasets that should be there; one without any row is ``empty`` from first to anchor.
+    """
+    a, f = F.lit(anchor).cast("date"), F.lit(first).cast("date")
+    order = Window.partitionBy(F.lit(1)).orderBy("trade_date")  # a calendar is some hundred rows a year
+    sessions = calendar.where("is_trading").select("trade_date").distinct().withColumn("_k", F.row_number().over(order))
     have = covered.select("dataset", "trade_date").distinct()
     span = have.groupBy("dataset").agg(F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"))
-    stale = span.where(F.datediff(a, F.col("hi")) > tolerance).select("dataset", F.lit("stale").alias("kind"), F.date_add("hi", 1).alias("start"), a.alias("end"))
-    shallow = span.where(F.col("lo") > F.lit(first).cast("date")).select("dataset", F.lit("shallow").alias("kind"), F.lit(first).cast("date").alias("start"), F.date_sub("lo", 1).alias("end"))
-    want = span.join(F.broadcast(sessions), F.col("trade_date").between(F.col("lo"), F.col("hi"))).select("dataset", "trade_date")
-    hole = want.join(have, ["dataset", "trade_date"], "left_anti").groupBy("dataset").agg(F.min("trade_date").alias("start"), F.max("trade_date").alias("end")).select("dataset", F.lit("interior").alias("kind"), "start", "end")
-    return stale.unionByName(shallow).unionByName(hole)
+    gap = lambda rows, kind, start, end: rows.select("dataset", F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"))
+    stale = gap(span.where(F.datediff(a, F.col("hi")) > tolerance), "stale", F.date_add("hi", 1), a)
+    shallow = gap(span.where(F.col("lo") > f), "shallow", f, F.date_sub("lo", 1))
+    want = span.join(F.broadcast(sessions), F.col("trade_date").between(F.col("lo"), F.col("hi"))).select("dataset", "trade_date", "_k")
+    run = F.col("_k") - F.row_number().over(Window.partitionBy("dataset").orderBy("_k"))  # the same within a run of missing sessions
+    hole = want.join(have, ["dataset", "trade_date"], "left_anti").withColumn("_run", run)
+    hole = hole.groupBy("dataset", "_run").agg(F.min("trade_date").alias("start"), F.max("trade_date").alias("end"))
+    out = stale.unionByName(shallow).unionByName(gap(hole, "interior", F.col("start"), F.col("end")))
+    if expected is None:
+        return out
+    return out.unionByName(gap(expected.select("dataset").distinct().join(span, "dataset", "left_anti"), "empty", f, a))
 
 
 def repairable(gaps: DataFrame, by_date: list[str]) -> DataFrame:
-    """Gaps with an honest way to fill them: any of a dataset with history by date, a stale end of the others."""
-    return gaps.where(F.col("dataset").isin(by_date) | (F.col("kind") == "stale"))
+    """Gaps with an honest way to fill them: any of a dataset with history by date, a stale end or an empty one of the others."""
+    return gaps.where(F.col("dataset").isin(by_date) | F.col("kind").isin("stale", "empty"))
 
 
 def historical_validity(bars: DataFrame, calendar: DataFrame, status: DataFrame, start: str, end: str) -> DataFrame:
@@ -140,3 +151,45 @@ def delisting_reconcile(catalog: DataFrame, spans: DataFrame, master: DataFrame)
 def structural(events: DataFrame, pattern: str) -> DataFrame:
     """Events whose reason speaks of restructuring."""
     return events.where(F.col("change_reason").rlike(pattern))
+
+
+def purge_orphans(rows: DataFrame, bars: DataFrame, dataset) -> DataFrame:
+    """rows without those of symbols that never had a traded bar; all of them where there are no bars to judge by."""
+    if bars.isEmpty():
+        return rows
+    return rows.join(canonical.traded_symbols(bars, dataset), "symbol", "left_semi")
+
+
+def purge_placeholders(master: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The master without subscription stubs, and one row ``n`` of how many those are."""
+    stub = S.placeholder_name(F.col("name"))
+    return master.where(~stub), master.agg(F.count_if(stub).alias("n"))
+
+
+def watermark_max(marks: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``dataset, watermark``: the later of the stored mark and the candidate of each dataset; a mark never falls here."""
+    both = marks.select("dataset", "watermark").unionByName(candidates.select("dataset", "watermark"))
+    return both.groupBy("dataset").agg(F.max("watermark").alias("watermark"))
+
+
+def watermark_reconcile(marks: DataFrame, days: DataFrame, gate: float = 0.7, gated: tuple[str, ...] = ("valuation_metrics",)) -> DataFrame:
+    """``dataset, watermark``: marks ahead of the data are lowered to the last complete day; none is ever raised.
+
+    days: dataset, trade_date, ratio (how complete a day is, 0 to 1; of datasets that are not gated any day counts). A gated
+    dataset without a day that reaches the gate has its mark cleared, as has any dataset without a day.
+    """
+    counts = ~F.col("dataset").isin(*gated) | (F.col("ratio") >= gate)
+    last = days.where(counts).groupBy("dataset").agg(F.max("trade_date").alias("_last"))
+    mark = F.when(F.col("_last").isNotNull(), F.least("watermark", "_last"))
+    return marks.join(last, "dataset", "left").select("dataset", mark.alias("watermark"))
+
+
+def volume_unit_migration(bars: DataFrame, lots: list[str], old: str = "v1", new: str = "v2", denormal: float = 1e-300) -> DataFrame:
+    """Bars whose volumes are all in shares: old rows of sources that count in lots times 100, and every old row marked new.
+
+    Amounts below ``denormal`` are zeros that were decoded badly and become 0. A second run changes nothing.
+    """
+    touched = F.coalesce(F.col("data_version") == old, F.lit(False))
+    volume = F.when(touched & F.col("source").isin(lots), S.lots_to_shares(F.col("volume"))).otherwise(F.col("volume"))
+    amount = F.when(F.abs("amount") < denormal, 0.0).otherwise(F.col("amount"))
+    return bars.withColumns({"volume": volume, "amount": amount, "data_version": F.when(touched, new).otherwise(F.col("data_version"))})

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import symbols as S
-from .canonical import not_trading, risk_warned
+from .canonical import encoded, not_trading, risk_warned
 
 PRICES = ("open", "high", "low", "close")
 
@@ -69,7 +69,7 @@ def pit_normalize(facts: DataFrame) -> DataFrame:
 
 def revision_id(facts: DataFrame, columns: list[str]) -> Column:
     """Content hash of a fact without its observation times."""
-    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(columns)]))
+    return F.md5(encoded(sorted(columns)))
 
 
 def pit_classify(facts: DataFrame, as_of: str, mode: str = "best_effort", cutoff: str | None = None) -> DataFrame:
@@ -128,6 +128,25 @@ def page(rows: DataFrame, order: list[str], limit: int, offset: int = 0) -> Data
     return rows.orderBy(*order).offset(offset).limit(limit)
 
 
+def page_info(rows: DataFrame, limit: int, offset: int = 0) -> DataFrame:
+    """One row beside a page: ``total`` matches, ``returned`` rows, ``truncated``, and the ``sources`` of all matches."""
+    sources = F.sort_array(F.collect_set("source")) if "source" in rows.columns else F.array().cast("array<string>")  # some dozens
+    n = F.greatest(F.lit(0), F.least(F.lit(limit), F.col("total") - offset))
+    told = rows.agg(F.count("*").alias("total"), sources.alias("sources"))
+    return told.select("total", n.cast("long").alias("returned"), (F.lit(offset) + n < F.col("total")).alias("truncated"), "sources")
+
+
+def paged(rows: DataFrame, order: list[str], limit: int, offset: int = 0) -> DataFrame:
+    """A page with the true ``total`` and whether it is ``truncated`` beside every row."""
+    return page(rows, order, limit, offset).join(F.broadcast(page_info(rows, limit, offset).select("total", "truncated")))  # one row
+
+
+def top_k_avg(adjusted: DataFrame, k: int, price: str = "adj_close") -> DataFrame:
+    """The k names of highest mean over exact rows, with their last day (a report)."""
+    mean = adjusted.where("adj_is_exact").groupBy("symbol").agg(F.max("trade_date").alias("last"), F.round(F.avg(price), 4).alias("mean"))
+    return mean.orderBy(F.col("mean").desc(), "symbol").limit(k)
+
+
 def resolve_symbol(master: DataFrame, query: str, limit: int = 10) -> DataFrame:
     """Names by code prefix or by part of the name, listed ones first."""
     q = F.lit(query)

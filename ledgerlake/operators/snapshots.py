@@ -48,7 +48,7 @@ def gate_membership(rows: DataFrame, group: list[str], least: int, distinct: lis
 
 def drop_thin(rows: DataFrame, group: list[str], least: int) -> DataFrame:
     thin = gate_membership(rows, group, least).where("NOT passed")
-    return rows.join(F.broadcast(thin), group, "left_anti")  # groups are snapshots of indexes
+    return rows.join(thin, group, "left_anti")
 
 
 def gate_legs(rows: DataFrame, date_col: str, channel: str, expected: list[str], floor: int, leg_floor: int) -> DataFrame:
@@ -110,6 +110,21 @@ def prior_factor(factors: DataFrame, before: str, days: int = 35) -> DataFrame:
     return factors.where((F.col("trade_date") < d) & (F.col("trade_date") >= F.date_sub(d, days))).groupBy("symbol").agg(F.max_by("factor", "trade_date").alias("factor"))
 
 
+def new_listings(master: DataFrame, day: str) -> DataFrame:
+    return master.where(F.col("list_date") == F.lit(day).cast("date")).select("symbol").distinct()
+
+
+def latest_boards(members: DataFrame, code: str = "industry_code") -> DataFrame:
+    """Codes of the latest snapshot."""
+    last = members.agg(F.max("as_of_date").alias("as_of_date"))
+    return members.join(F.broadcast(last), "as_of_date").select(code).distinct()  # one row
+
+
+def complete_snapshots(members: DataFrame, least: int) -> DataFrame:
+    """Snapshot dates with at least ``least`` members."""
+    return members.groupBy("as_of_date").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("as_of_date")
+
+
 def recovered(master: DataFrame, spans: DataFrame) -> DataFrame:
     """The master with names appended that only the bars know; null dates from their spans."""
     j = master.select("symbol", "list_date", "delist_date").withColumn("_m", F.lit(True)).join(spans, "symbol", "full_outer")

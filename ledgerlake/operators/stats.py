@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import periods
+from ..registry import Dataset
+from . import canonical
 
 
 def partition_stats(rows: DataFrame, date_col: str, period: str) -> DataFrame:
@@ -75,7 +77,7 @@ def source_incidents(probes: DataFrame, run: int = 3) -> DataFrame:
     """Open incidents: ``run`` or more failures since the last success of a probe and vantage."""
     rows = probes.where("state <> 'skipped'").withColumn("_k", F.struct("at", "event_id"))
     ok = rows.groupBy("probe", "vantage").agg(F.max(F.when(F.col("state") == "ok", F.col("_k"))).alias("_ok"))
-    since = rows.join(F.broadcast(ok), ["probe", "vantage"]).where("_ok IS NULL OR _k > _ok")  # one row per probe and vantage
+    since = rows.join(ok, ["probe", "vantage"]).where("_ok IS NULL OR _k > _ok")
     return since.groupBy("probe", "vantage").agg(F.count("*").alias("n_failures")).where(F.col("n_failures") >= run)
 
 
@@ -90,8 +92,41 @@ def yearly_counts(rows: DataFrame, date_col: str) -> DataFrame:
     return rows.groupBy(F.year(date_col).alias("year")).agg(F.count("*").alias("n_rows"), F.count_distinct("symbol").alias("n_symbols"), F.count_distinct(date_col).alias("n_days"))
 
 
-def bounds(rows: DataFrame, date_col: str) -> DataFrame:
-    return rows.agg(F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"))
+def bounds(rows: DataFrame, date_col: str, complete: DataFrame | None = None) -> DataFrame:
+    """First and last date of a dataset; of a derived one no later than its last complete day (``complete``: such days)."""
+    out = rows.agg(F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"))
+    if complete is None:
+        return out
+    safe = complete.agg(F.max("trade_date").alias("_safe"))  # one row
+    return out.join(F.broadcast(safe)).select("first_date", F.least("last_date", "_safe").alias("last_date"))
+
+
+def row_count(rows: DataFrame) -> DataFrame:
+    return rows.agg(F.count("*").alias("n"))
+
+
+def mock_row_count(rows: DataFrame, mock: str = "mock") -> DataFrame:
+    """Rows of a source that only stands in for data."""
+    return rows.agg(F.count_if(F.col("source") == mock).alias("n"))
+
+
+def n_unique(rows: DataFrame, column: str = "symbol") -> DataFrame:
+    return rows.agg(F.count_distinct(column).alias("n"))
+
+
+def coverage(bars: DataFrame, dataset: Dataset) -> DataFrame:
+    """First and last day with a canonical traded bar: ``start, end``."""
+    return canonical.traded(canonical.dedupe(bars, dataset)).agg(F.min("trade_date").alias("start"), F.max("trade_date").alias("end"))
+
+
+def label_coverage_start(status: DataFrame, dataset: Dataset) -> DataFrame:
+    """First day on which any canonical row carries a risk warning."""
+    return canonical.dedupe(status, dataset).where(canonical.risk_warned()).agg(F.min("trade_date").alias("d"))
+
+
+def spot_check(adjusted: DataFrame, symbols: list[str]) -> DataFrame:
+    """Raw and adjusted closes of some names, to be looked at."""
+    return adjusted.where(F.col("symbol").isin(symbols)).select("symbol", "trade_date", "close", "adj_close")
 
 
 def stale_by(day: Column, mark: Column, tolerance: Column, retired: Column) -> Column:

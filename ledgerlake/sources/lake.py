@@ -19,9 +19,14 @@ def empty(spark: SparkSession, dataset: Dataset) -> DataFrame:
 
 def scan(rows: DataFrame, dataset: Dataset, start: str | None = None, end: str | None = None, symbols: list[str] | DataFrame | None = None) -> DataFrame:
     """Rows of a window (ends included) and of some symbols. A period column is filtered as well, which prunes folders;
-    the row's own date decides at the edges.
+    the row's own date decides at the edges. Facts are windowed by the quarters of their report periods.
     """
-    if dataset.date_col:
+    if dataset.label_col:
+        axis = [dataset.label_col] + [PERIOD] * (PERIOD in rows.columns)
+        for c in axis:
+            rows = rows.where(F.col(c) >= periods.label(F.lit(start).cast("date"), dataset.period)) if start else rows
+            rows = rows.where(F.col(c) <= periods.label(F.lit(end).cast("date"), dataset.period)) if end else rows
+    elif dataset.date_col:
         for bound, value in (("a", start), ("z", end)):
             if value:
                 d = F.lit(value).cast("date")
@@ -43,7 +48,18 @@ def union_by_name(parts: list[DataFrame]) -> DataFrame:
 
 
 def by_period(rows: DataFrame, dataset: Dataset) -> DataFrame:
-    return rows.withColumn(PERIOD, periods.label(F.col(dataset.date_col), dataset.period))
+    """rows with the label of the period that each belongs to: of its date, or the label that is its axis."""
+    return rows.withColumn(PERIOD, F.col(dataset.label_col) if dataset.label_col else periods.label(F.col(dataset.date_col), dataset.period))
+
+
+def labels_of(rows: DataFrame, dataset: Dataset) -> list[str]:
+    """The periods that some rows touch: a batch touches few, a whole dataset some thousand."""
+    return sorted(r[0] for r in by_period(rows, dataset).select(PERIOD).distinct().collect())
+
+
+def stored_periods(spark: SparkSession, path: str, labels: list[str]) -> DataFrame:
+    """The rows of some periods of a table; only their folders are read."""
+    return spark.read.parquet(path).where(F.col(PERIOD).cast("string").isin(labels)).drop(PERIOD)
 
 
 def write(rows: DataFrame, dataset: Dataset, path: str) -> None:
@@ -59,29 +75,38 @@ def list_partitions(rows: DataFrame) -> DataFrame:
 
 
 def merge(stored: DataFrame, staged: DataFrame, dataset: Dataset) -> DataFrame:
-    """The merged rows of the periods that a batch touches: stored and staged rows, one per key."""
-    touched = by_period(staged, dataset).select(PERIOD).distinct()
-    old = by_period(stored, dataset).join(F.broadcast(touched), PERIOD, "left_semi").drop(PERIOD)  # a batch touches few periods
-    return dedupe(old.unionByName(staged, allowMissingColumns=True), dataset)
+    """The merged rows of the periods that a batch touches: stored and staged rows, one per key.
+
+    A stored table with a period column is pruned to those periods' folders.
+    """
+    labels = labels_of(staged, dataset)
+    old = stored.where(F.col(PERIOD).cast("string").isin(labels)) if PERIOD in stored.columns else by_period(stored, dataset).where(F.col(PERIOD).isin(labels))
+    return dedupe(old.drop(PERIOD).unionByName(staged, allowMissingColumns=True), dataset)
 
 
 def changed_periods(stored: DataFrame, merged: DataFrame, dataset: Dataset) -> DataFrame:
-    """Periods of merged whose content differs from the stored one: add or replace."""
+    """Periods of merged whose content differs from the stored one: add or replace, with their rows."""
     old, new = (digest(by_period(r, dataset), [PERIOD]) for r in (stored, merged))
     j = new.join(old.select(PERIOD, F.col("hash").alias("_h"), F.col("n").alias("_n")), PERIOD, "left")
     kind = F.when(F.col("_h").isNull(), "add").when((F.col("_h") != F.col("hash")) | (F.col("_n") != F.col("n")), "replace")
-    return j.select(F.col(PERIOD).alias("period"), kind.alias("kind")).where("kind IS NOT NULL")
+    return j.select(F.col(PERIOD).alias("period"), kind.alias("kind"), "n").where("kind IS NOT NULL")
+
 
+def compact_merge(spark: SparkSession, dataset: Dataset, path: str, staged: DataFrame, scratch: str) -> DataFrame:
+    """Merge a batch into the table at path: periods whose content changes are replaced, others stay untouched.
 
-def compact_merge(spark: SparkSession, dataset: Dataset, path: str, staged: DataFrame, publish: str) -> DataFrame:
-    """Merge a batch into the table at path and write the changed periods to ``publish``; returns them. A second merge of
-    the same batch changes nothing.
+    Only the folders of the periods that the batch touches are read and digested. Merged rows are stored below ``scratch``
+    first, so the table may be its own target. Returns the changed periods as a receipt: ``period, kind, n``; a second merge
+    of the same batch changes nothing.
     """
-    stored = spark.read.parquet(path).drop(PERIOD)
-    merged = merge(stored, staged, dataset)
-    changed = changed_periods(stored, merged, dataset)
-    write(by_period(merged, dataset).join(F.broadcast(changed.select(F.col("period").alias(PERIOD))), PERIOD, "left_semi").drop(PERIOD), dataset, publish)
-    return changed
+    labels = labels_of(staged, dataset)
+    stored = stored_periods(spark, path, labels)
+    by_period(dedupe(stored.unionByName(staged, allowMissingColumns=True), dataset), dataset).write.partitionBy(PERIOD).parquet(scratch)
+    merged = stored_periods(spark, scratch, labels)
+    changed = changed_periods(stored, merged, dataset).collect()  # at most one row a touched period
+    if changed:
+        write(stored_periods(spark, scratch, [r["period"] for r in changed]), dataset, path)
+    return spark.createDataFrame(changed, "period string, kind string, n long")
 
 
 def delta(base: DataFrame, target: DataFrame, dataset: Dataset) -> DataFrame:
@@ -95,6 +120,10 @@ def delta(base: DataFrame, target: DataFrame, dataset: Dataset) -> DataFrame:
 def delta_apply(base: DataFrame, target: DataFrame, changes: DataFrame, dataset: Dataset) -> DataFrame:
     """base with a delta's periods taken from target; applying it again changes nothing."""
     names = F.broadcast(changes.select(F.col("period").alias(PERIOD), "kind"))
+    if "base" in changes.columns:  # made for this very state?
+        now = digest(base, []).first()
+        if changes.where((F.col("base") != F.lit(f"{now['n']}-{now['hash']}"))).limit(1).count():
+            raise ValueError("the delta was made for another base")
     kept = by_period(base, dataset).join(names, PERIOD, "left_anti")
     new = by_period(target, dataset).join(names.where("kind <> 'delete'"), PERIOD, "left_semi")
     return kept.unionByName(new).drop(PERIOD)

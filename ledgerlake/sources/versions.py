@@ -1,52 +1,118 @@
-"""Immutable versions of a dataset behind a manifest: a version is published by its manifest row, appended last."""
+"""Immutable versions of a dataset: a version is a list of period folders, and a commit writes only the periods that change.
+
+``<root>/<dataset>/_versions/v<n>`` holds a version's manifest, one row per period with the folder of its rows, their count
+and digest. It is written last and never again: the folder's name is the lock that lets one writer publish a number.
+"""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.canonical import digest
+from ..operators.canonical import dedupe, digest
 from ..registry import Dataset
-from .lake import PERIOD, by_period
+from .lake import PERIOD, by_period, labels_of
+
+MANIFEST = "dataset string, version long, parent long, tag string, period string, folder string, n_rows long, hash string"
 
-MANIFEST = "dataset string, version long, folder string, parent long, n_rows long, hash string"
+
+class Conflict(RuntimeError):
+    """The version that a commit was made for is no longer the current one."""
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share; an own one where that is unset on one machine."""
+    """A new folder below spark.checkpoint.dir, which driver and executors share; one of this process where that is unset on one machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-lake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def manifest(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(MANIFEST).json(f"{root}/_manifest_rows")
+@lru_cache(1)
+def _own() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="spark-lake-")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def manifest(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
+    """All committed versions' manifest rows; none before the first commit."""
+    path = f"{root}/{dataset.name}/_versions"
+    return spark.read.schema(MANIFEST).parquet(f"{path}/v*") if _exists(spark, path) else spark.createDataFrame([], MANIFEST)
 
 
 def state(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
-    """The latest committed version's manifest row."""
-    rows = manifest(spark, root).where(F.col("dataset") == dataset.name)
+    """The current version: ``dataset, version, parent, tag, n_periods, n_rows``; no row before the first commit."""
+    rows = manifest(spark, root, dataset).groupBy("dataset", "version", "parent", "tag").agg(F.count("period").alias("n_periods"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
     return rows.orderBy(F.col("version").desc()).limit(1)
 
 
-def commit(root: str, dataset: Dataset, rows: DataFrame, parent: int = 0) -> int:
-    """Write rows as the version after ``parent`` and publish it; returns its number."""
+def current(spark: SparkSession, root: str, dataset: Dataset) -> int:
+    found = state(spark, root, dataset).first()
+    return found["version"] if found else 0
+
+
+def committed(spark: SparkSession, root: str, dataset: Dataset, tag: str) -> bool:
+    """Whether a commit of this tag has been published."""
+    return not manifest(spark, root, dataset).where(F.col("tag") == tag).isEmpty()
+
+
+def commit(root: str, dataset: Dataset, rows: DataFrame, parent: int = 0, tag: str | None = None, periods: list[str] | None = None) -> int:
+    """Publish rows as the version after ``parent``; returns its number.
+
+    rows are the whole dataset, or the whole of the given periods (others stay as they are in parent). Periods whose content
+    is that of parent keep their folder; only the others are written. Raises Conflict if parent is not the current version.
+    """
     spark, version = rows.sparkSession, parent + 1
-    folder = f"{root}/{dataset.name}/v{version}-{uuid.uuid4().hex}"
-    by_period(rows, dataset).write.option("compression", "zstd").partitionBy(PERIOD).parquet(folder)
-    whole = digest(spark.read.parquet(folder).drop(PERIOD), []).select(F.lit(dataset.name).alias("dataset"), F.lit(version).cast("long").alias("version"), F.lit(folder).alias("folder"), F.lit(parent).cast("long").alias("parent"), F.col("n").alias("n_rows"), F.col("hash").cast("string").alias("hash"))
-    whole.write.mode("append").json(f"{root}/_manifest_rows")
+    if current(spark, root, dataset) != parent:
+        raise Conflict(f"{dataset.name} is no longer at version {parent}")
+    old = manifest(spark, root, dataset).where(F.col("version") == parent).where(F.col("period").isNotNull())
+    folder = f"{root}/{dataset.name}/data/{uuid.uuid4().hex}"
+    new = digest(by_period(rows, dataset), [PERIOD]).select(F.col(PERIOD).alias("period"), F.col("n").alias("n_rows"), "hash")
+    new = new.join(old.select("period", "hash", F.col("folder").alias("_kept")), ["period", "hash"], "left").collect()  # one row a period
+    changed = [r["period"] for r in new if r["_kept"] is None]
+    if changed:
+        part = by_period(rows, dataset).where(F.col(PERIOD).isin(changed))
+        part.write.option("compression", "zstd").partitionBy(PERIOD).parquet(folder)
+    entries = [(r["period"], r["_kept"] or f"{folder}/{PERIOD}={r['period']}", r["n_rows"], r["hash"]) for r in new]
+    if periods is not None:
+        entries += [(r["period"], r["folder"], r["n_rows"], r["hash"]) for r in old.where(~F.col("period").isin(periods)).collect()]
+    table = spark.createDataFrame([(dataset.name, version, parent, tag, *e) for e in entries or [(None, None, 0, None)]], MANIFEST)
+    target = f"{root}/{dataset.name}/_versions/v{version}"
+    if _exists(spark, target):
+        raise Conflict(f"{dataset.name} version {version} is published already")
+    table.coalesce(1).write.mode("errorifexists").parquet(target)
     return version
 
 
-def read(spark: SparkSession, root: str, dataset: Dataset, version: int | None = None) -> DataFrame:
-    rows = manifest(spark, root).where(F.col("dataset") == dataset.name)
-    rows = state(spark, root, dataset) if version is None else rows.where(F.col("version") == version)
-    return spark.read.parquet(rows.select("folder").first()[0]).drop(PERIOD)
+def commit_merge(root: str, dataset: Dataset, batch: DataFrame, tag: str | None = None) -> int:
+    """Merge a batch into the current version and publish the result; reads and writes only the periods that it touches."""
+    spark = batch.sparkSession
+    parent, labels = current(spark, root, dataset), labels_of(batch, dataset)
+    if parent:
+        folders = manifest(spark, root, dataset).where((F.col("version") == parent) & F.col("period").isin(labels)).select("folder").collect()
+        if folders:
+            batch = spark.read.parquet(*[r["folder"] for r in folders]).unionByName(batch, allowMissingColumns=True)
+    return commit(root, dataset, dedupe(batch, dataset), parent, tag, labels)
+
+
+def read(spark: SparkSession, root: str, dataset: Dataset, version: int | None = None, periods: list[str] | None = None) -> DataFrame:
+    """The rows of a version (by default the current one), of all or of some periods; only their folders are read."""
+    version = current(spark, root, dataset) if version is None else version
+    rows = manifest(spark, root, dataset).where((F.col("version") == version) & F.col("period").isNotNull())
+    rows = rows if periods is None else rows.where(F.col("period").isin(periods))
+    folders = [r["folder"] for r in rows.select("folder").collect()]
+    if not folders:
+        return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in dataset.schema.items()))
+    return spark.read.option("mergeSchema", "true").parquet(*folders)
+
+
