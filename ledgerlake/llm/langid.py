@@ -3,7 +3,8 @@
 A text is a vector of its character n-grams (one to three characters, words apart), hashed into ``DIMS``
 buckets, weighed by TF-IDF and normalised. The idf counts every learning document. Each language's
 vectors, a bounded sample of them, are clustered into several centroids by spherical k-means, so that a
-language may have several kinds of text. A text takes the language of the centroid of largest cosine; one
+language may have several kinds of text. A small cluster that another language's centroid would take in, and that lies
+nearer to it than to its own language, holds texts with a wrong label and is left out; other small ones stay. A text takes the language of the centroid of largest cosine; one
 farther from it than nearly all learning texts are from theirs is marked as rejected.
 """
 
@@ -86,11 +87,12 @@ class Model:
         return [self.langs[b] if ok else UNKNOWN for b, ok in zip(best, letters, strict=True)], np.where(letters, cosine, 0), ~letters | (cosine < self.floor[best])
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_lang: int = 1000, clusters: int = 4, reject: float = 0.002, least_share: float = 0.08) -> Model:
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_lang: int = 1000, clusters: int = 4, reject: float = 0.002, stray: float = 0.08) -> Model:
     """Learn from rows with text and language. per_lang: expected number of rows of a language (those of
     the smallest hashes) that its centroids are clustered from; idf counts all rows. reject: share of a
-    centroid's own learning texts that its distance bound would reject. least_share: clusters with a smaller
-    share of the language's sample are dropped (the largest always stays).
+    centroid's own learning texts that its distance bound would reject. stray: clusters of up to this share of their
+    language's sample are checked for wrong labels (0: none; the largest cluster always stays). Rows that repeat an
+    id with its text count once in the sample.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(id_col).cast("string"), text_col).alias("h"))
 
@@ -108,7 +110,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
         df[r["bucket"]] = r["n"]
     idf = np.log((1 + df[DIMS]) / (1 + df[:DIMS])) + 1
     share = F.broadcast(rows.groupBy("lang").count().select("lang", (F.lit(2.0**32 * per_lang) / F.col("count")).alias("below")))  # one row a language
-    sample = rows.join(share, "lang").where(F.pmod("h", F.lit(1 << 32)) < F.col("below")).select("lang", "h", "text")
+    sample = rows.join(share, "lang").where(F.pmod("h", F.lit(1 << 32)) < F.col("below")).select("lang", "h", "text").dropDuplicates(["lang", "h"])
 
     def cluster(table: pa.Table) -> pa.Table:
         table = table.sort_by([("h", "ascending"), ("text", "ascending")])
@@ -116,17 +118,33 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
         x = np.concatenate([vectors(grams(texts.slice(lo, hi - lo))[0], idf) for lo, hi in _runs(texts)])
         x = x[x.any(1)] if x.any() else x
         c = spherical_kmeans(x, clusters)
-        # a few texts that are labelled wrong or mix languages must not stand for the language
-        share = np.bincount(np.argmax(x @ c.T, 1), minlength=len(c)) / len(x)
-        c = c[share >= min(least_share, share.max())]
         near = x @ c.T
         own = np.argmax(near, 1)
+        share = np.bincount(own, minlength=len(c)) / len(x)
         floor = [float(np.quantile(near[own == j, j], reject)) * 0.9 if (own == j).any() else 0.0 for j in range(len(c))]
-        return pa.table({"lang": pa.array([table.column("lang")[0].as_py()] * len(c)), "centroid": pa.array([v.tolist() for v in c], pa.list_(pa.float32())), "floor": pa.array(floor)})
+        return pa.table({"lang": pa.array([table.column("lang")[0].as_py()] * len(c)), "centroid": pa.array([v.tolist() for v in c], pa.list_(pa.float32())), "floor": pa.array(floor), "share": pa.array(share)})
 
-    got = sample.groupBy("lang").applyInArrow(cluster, "lang string, centroid array<float>, floor double").collect()  # clusters rows a language
+    got = sample.groupBy("lang").applyInArrow(cluster, "lang string, centroid array<float>, floor double, share double").collect()  # clusters rows a language
     got = sorted(got, key=lambda r: (r["lang"], r["centroid"]))
-    return Model(idf, [r["lang"] for r in got], np.array([r["centroid"] for r in got], np.float32).reshape(-1, DIMS), np.array([r["floor"] for r in got]))
+    langs, floor, share = ([r[c] for r in got] for c in ("lang", "floor", "share"))
+    c = np.array([r["centroid"] for r in got], np.float32).reshape(-1, DIMS)
+    stay = sound_clusters(langs, c, np.array(floor), np.array(share), stray)
+    return Model(idf, [langs[k] for k in stay], c[stay], np.array(floor)[stay])
+
+
+def sound_clusters(langs: list[str], c: np.ndarray, floor: np.ndarray, share: np.ndarray, stray: float) -> np.ndarray:
+    """Numbers of the clusters that stand for their language."""
+    near = c @ c.T
+    names = np.array(langs, object)
+    out = []
+    for k in range(len(c)):
+        large = share > stray
+        own, other = large & (names == names[k]), large & (names != names[k])
+        own[k] = other[k] = False
+        wrong = share[k] <= stray and own.any() and other.any() and near[k, other].max() > near[k, own].max() and (near[k] >= floor)[other].any()
+        if not wrong:
+            out.append(k)
+    return np.array(out, np.int64)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
