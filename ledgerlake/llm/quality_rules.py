@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import cut
+from .scratch import cut, fresh
 
 #: The base rules' bounds, and the characters that count as symbols.
 MIN_WORDS, REPEAT_PERCENT, SYMBOLS = 50, 50, "#*$%&|<>"
@@ -91,8 +91,8 @@ def _repeat_words(words: Column) -> Column:
     return _let(hashed, of)
 
 
-def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs plus one struct column ``_m`` of counts for the whole text (null: no words)."""
+def measures(docs: DataFrame, text_col: str = "text", name: str = "_m") -> DataFrame:
+    """docs plus one struct column of counts for the whole text (null: no words)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda s: s.rlike(r"[^\x20\x09-\x0D]"))
@@ -109,35 +109,35 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     symbols = F.octet_length(text) - F.octet_length(_without(text, SYMBOLS))
     marks = F.octet_length(text) - F.octet_length(_without(text, "!?"))
     return docs.withColumn(
-        "_m",
+        name,
         F.struct(counts.alias("c"), symbols.cast("long").alias("n_symbols"), dup.cast("long").alias("n_dup_lines"), marks.cast("long").alias("n_marks")),
     )
 
 
-def _ratios() -> dict[str, Column]:
-    words = F.col("_m.c.n_words")
+def _ratios(m: Column) -> dict[str, Column]:
+    words = m["c"]["n_words"]
     return {
-        "symbols_per_word": F.try_divide("_m.n_symbols", words),
-        "marks_per_word": F.try_divide("_m.n_marks", words),
-        "chars_per_word": F.try_divide("_m.c.word_chars", words),
-        "dup_lines_per_10_words": F.try_divide(F.col("_m.n_dup_lines") * 10, words),
-        "repeat_share": F.try_divide("_m.c.n_spread_words", words),
+        "symbols_per_word": F.try_divide(m["n_symbols"], words),
+        "marks_per_word": F.try_divide(m["n_marks"], words),
+        "chars_per_word": F.try_divide(m["c"]["word_chars"], words),
+        "dup_lines_per_10_words": F.try_divide(m["n_dup_lines"] * 10, words),
+        "repeat_share": F.try_divide(m["c"]["n_spread_words"], words),
     }
 
 
-def base_failed() -> Column:
-    c = F.col("_m.c")
+def base_failed(m: Column) -> Column:
+    c = m["c"]
     return (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > REPEAT_PERCENT * c["n_words"])
 
 
-def fences(measured: DataFrame, lang_col: str = "lang", source_col: str = "source", k: int = 1024, reach: float = 8.0, least: int = 200, salts: int = 16) -> DataFrame:
+def fences(measured: DataFrame, lang_col: str = "lang", source_col: str = "source", k: int = 1024, reach: float = 8.0, least: int = 200, salts: int = 16, name: str = "_m") -> DataFrame:
     """``lang, source`` and per ratio ``<ratio>_low, <ratio>_high``: one row per language and source seen.
 
     Documents without a word are not sketched. Null languages and sources are groups like any other.
     """
-    ratios = _ratios()
-    rows = measured.where("_m.c.n_words > 0").select(
-        F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.pmod(F.xxhash64("_m"), F.lit(salts)).alias("salt"), *[e.cast("double").alias(r) for r, e in ratios.items()]
+    ratios = _ratios(F.col(name))
+    rows = measured.where(F.col(name)["c"]["n_words"] > 0).select(
+        F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.pmod(F.xxhash64(name), F.lit(salts)).alias("salt"), *[e.cast("double").alias(r) for r, e in ratios.items()]
     )
     salted = rows.groupBy("lang", "source", "salt").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(r, k).alias(r) for r in ratios])
     groups = cut(salted.groupBy("lang", "source").agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(r, k).alias(r) for r in ratios]), "sketches")
@@ -154,31 +154,38 @@ def fences(measured: DataFrame, lang_col: str = "lang", source_col: str = "sourc
     return cut(one.select("lang", "source", *out), "fences")
 
 
-def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", **how) -> DataFrame:
-    """docs with a struct ``_m`` of counts and booleans ``_base_failed, _kept``.
+def judge(measured: DataFrame, lang_col: str = "lang", source_col: str = "source", name: str = "_m", **how) -> tuple[DataFrame, Column, Column]:
+    """Rows of measures() beside their group's fences, and two conditions on them: whether the base rules fail, and the verdict.
 
-    A document is kept if it passes the base rules and every ratio lies within its group's fences. Null
-    and empty texts have no words and fail the base rules. Rows repeat as given; all columns of docs stay.
-    The measured rows are stored once and read twice, for the sketches and for the verdict.
+    A document is kept if it passes the base rules and every ratio lies within its group's fences. Null and empty texts have
+    no words and fail the base rules. measured must be stored: it is read twice, for the sketches and for the verdict.
     """
-    measured = cut(measures(docs, text_col), "measured")
-    fence = fences(measured, lang_col, source_col, **how)
-    fence = fence.select(F.struct("*").alias("_f"))
-    joined = measured.join(fence, F.col(lang_col).eqNullSafe(F.col("_f.lang")) & F.col(source_col).eqNullSafe(F.col("_f.source")), "left")
+    mark = fresh(measured, "_f")
+    fence = fences(measured, lang_col, source_col, name=name, **how).select(F.struct("*").alias(mark))
+    f, m = F.col(mark), F.col(name)
+    joined = measured.join(fence, F.col(lang_col).eqNullSafe(f["lang"]) & F.col(source_col).eqNullSafe(f["source"]), "left")
     inside = F.lit(True)
-    for r, e in _ratios().items():
-        inside &= F.coalesce((e >= F.col(f"_f.{r}_low")) & (e <= F.col(f"_f.{r}_high")), F.lit(True))
-    failed = base_failed()
-    return joined.withColumns({"_base_failed": failed, "_kept": ~failed & inside}).drop("_f")
+    for r, e in _ratios(m).items():
+        inside &= F.coalesce((e >= f[f"{r}_low"]) & (e <= f[f"{r}_high"]), F.lit(True))
+    failed = base_failed(m)
+    return joined, failed, ~failed & inside
 
 
 def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", **how) -> DataFrame:
-    """One row per document: id, ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept``."""
-    told = judge(docs.select(id_col, text_col, lang_col, source_col), text_col, lang_col, source_col, **how)
-    c = F.col("_m.c")
-    return told.select(id_col, c["n_words"].alias("n_words"), c["word_chars"].alias("word_chars"), F.col("_m.n_symbols").alias("n_symbols"), F.col("_m.n_dup_lines").alias("n_dup_lines"), c["n_repeat_words"].alias("n_repeat_words"), F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
+    """One row per document: id, ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept``.
+
+    Rows repeat as given; only counts are stored, not texts. Other columns are not read, so names may clash.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"))
+    measured = cut(measures(rows).drop("text"), "measured")
+    told, failed, kept = judge(measured, **how)
+    m = F.col("_m")
+    c = m["c"]
+    return told.select(F.col("id").alias(id_col), c["n_words"].alias("n_words"), c["word_chars"].alias("word_chars"), m["n_symbols"].alias("n_symbols"), m["n_dup_lines"].alias("n_dup_lines"), c["n_repeat_words"].alias("n_repeat_words"), failed.alias("base_failed"), kept.alias("kept"))
 
 
 def keep(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", **how) -> DataFrame:
-    """The rows of docs that the rules keep, with the columns of docs."""
-    return judge(docs, text_col, lang_col, source_col, **how).where("_kept").select(*docs.columns)
+    """The rows of docs that the rules keep, with the columns of docs, whatever their names."""
+    name = fresh(docs, "_m")
+    told, _, kept = judge(cut(measures(docs, text_col, name), "measured"), lang_col, source_col, name, **how)
+    return told.where(kept).select(*docs.columns)
