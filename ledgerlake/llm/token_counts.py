@@ -4,8 +4,10 @@ A document keeps a segment tree over its pre-tokens: leaves of ``LEAF`` pre-toke
 first characters, inner nodes the sums below them, the root the document's count. An edit touches the leaves
 it overlaps and those whose pre-tokens could see it (a pre-token is decided by at most two characters
 after it). Only their text is encoded again, with a few characters of context to the right; if a pre-token begins
-where the next old leaf began, everything from there on is as before, else the next leaf joins. New
-sums replace the old ones on the path to the root.
+where the next old leaf began, everything from there on is as before, else the next leaf joins. The text that was
+encoded is cut into leaves anew. Where they are no more than before, their sums replace the old ones on the paths to
+the root, and leaves that are left over are empty; else the tree is made again of its leaves' counts, without
+encoding the rest. Text, leaves and sums go on to the next batch of edits.
 """
 
 from __future__ import annotations
@@ -80,10 +82,11 @@ def edited(text: str, edits: list[tuple[int, int, str]], lo: int, hi: int) -> st
 
 
 class _Region:
-    """Leaves a to b of one document whose text is encoded again, and the edits within."""
+    """Leaves a to b of one document whose text is encoded again, and the edits within; then its new text and leaves."""
 
     def __init__(self, doc: int, a: int, b: int, edits: list):
-        self.doc, self.a, self.b, self.edits, self.count, self.size = doc, a, b, edits, None, 0
+        self.doc, self.a, self.b, self.edits, self.size = doc, a, b, edits, 0
+        self.text, self.starts, self.counts = "", np.zeros(0, np.int64), np.zeros(0, np.int64)
 
 
 def _regions(doc: int, edits: list, starts: np.ndarray) -> list[_Region]:
@@ -100,8 +103,8 @@ def _regions(doc: int, edits: list, starts: np.ndarray) -> list[_Region]:
     return found
 
 
-def _settle(codec: bpe.Codec, texts: list[str], starts: list[np.ndarray], regions: list[list[_Region]]) -> None:
-    """Count every region's tokens anew; one whose end no longer is a boundary takes the next leaf in."""
+def _settle(codec: bpe.Codec, texts: list[str], starts: list[np.ndarray], regions: list[list[_Region]], leaf: int = LEAF) -> None:
+    """Encode every region anew and cut it into leaves; one whose end no longer is a boundary takes the next leaf in."""
     todo = [r for rs in regions for r in rs]
     while todo:
         news, tails = [], []
@@ -118,7 +121,9 @@ def _settle(codec: bpe.Codec, texts: list[str], starts: list[np.ndarray], region
             at = int(np.searchsorted(points, len(news[k]))) if z > s else 0
             r.size += len(news[k])
             if not tails[k] or points[at] == len(news[k]):
-                r.count = int(e.slice_ids[s + at] - e.slice_ids[s]) if z > s else 0
+                first = np.arange(s, s + at, leaf)
+                r.text, r.starts = news[k], e.slice_points[first] - e.slice_points[s] if at else np.zeros(0, np.int64)
+                r.counts = np.diff(e.slice_ids[np.append(first, s + at)]) if at else np.zeros(0, np.int64)
             else:
                 r.b += 1
                 again.append(r)
@@ -131,16 +136,43 @@ def _settle(codec: bpe.Codec, texts: list[str], starts: list[np.ndarray], region
         todo = [r for r in again if r in regions[r.doc]]
 
 
-def recount(trees: DataFrame, edits_col: str = "edits", ranks_path: str = "") -> DataFrame:
+def _renewed(text: str, starts: np.ndarray, tree: np.ndarray, regions: list[_Region]) -> tuple[str, np.ndarray, np.ndarray]:
+    """Text, leaves and sums of one document after its regions have been settled."""
+    if not regions:
+        return text, starts, tree
+    fits = all(len(r.starts) <= r.b - r.a for r in regions)
+    leaves = tree[len(tree) // 2 :][: len(starts)]
+    parts, firsts, counts, at, leaf, shift = [], [], [], 0, 0, 0
+    for r in regions:
+        lo = int(starts[r.a]) if r.a < len(starts) else len(text)
+        hi = int(starts[r.b]) if r.b < len(starts) else len(text)
+        parts += [text[at:lo], r.text]
+        spare = r.b - r.a - len(r.starts) if fits else 0  # empty leaves at the region's end
+        firsts += [starts[leaf : r.a] + shift, r.starts + lo + shift, np.full(spare, lo + shift + len(r.text))]
+        counts += [leaves[leaf : r.a], r.counts, np.zeros(spare, np.int64)]
+        shift += len(r.text) - (hi - lo)
+        at, leaf = hi, r.b
+    text = "".join([*parts, text[at:]])
+    firsts, counts = np.concatenate([*firsts, starts[leaf:] + shift]), np.concatenate([*counts, leaves[leaf:]])
+    if not fits or 2 * np.count_nonzero(counts) < len(counts):
+        firsts, counts = firsts[counts > 0], counts[counts > 0]
+        return text, firsts, make_tree(counts)
+    for r in regions:
+        for k in range(r.a, r.b):
+            update_tree(tree, k, int(counts[k]))
+    return text, firsts, tree
+
+
+def recount(trees: DataFrame, edits_col: str = "edits", ranks_path: str = "", state: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """Apply each row's edits (EDITS: start and length in characters of the old text, and what to insert).
 
-    trees: rows of build() with one more column of edits. Returns ``id, n_tokens, n_tokens_edited,
-    n_chars_edited, n_chars_encoded, tree``: counts before and after, the length of the new text, how many
-    characters were encoded for it, and the new sums. Null or empty edits change nothing. Edits are taken in order
-    of start; one that begins within the one before starts at its end.
+    trees: rows of build() or of recount() with one more column of edits. Returns ``id, n_tokens, n_tokens_edited,
+    n_chars_edited, n_chars_encoded`` (counts before and after, the length of the new text, how many characters were
+    encoded for it) and, unless state is False, the new ``text, starts, tree`` for the next batch, and the columns named by carry. Null or empty edits change
+    nothing. Edits are taken in order of start; one that begins within the one before starts at its end.
     """
     raw = bpe.shipped(trees.sparkSession, ranks_path)
-    kept = trees.select("id", "text", "starts", "tree", F.col(edits_col).cast(EDITS).alias("edits"))
+    kept = trees.select("id", "text", "starts", "tree", F.col(edits_col).cast(EDITS).alias("edits"), *carry)
 
     def run(batches):
         codec = bpe.codec_of(raw.value)
@@ -152,16 +184,17 @@ def recount(trees: DataFrame, edits_col: str = "edits", ranks_path: str = "") ->
                 sums = [np.array(x, np.int64) for x in part.column(3).to_pylist()]
                 edits = [tidy(e, len(t)) for e, t in zip(part.column(4).to_pylist(), texts, strict=True)]
                 regions = [_regions(d, e, s) for d, (e, s) in enumerate(zip(edits, starts, strict=True))]
+                before = [int(t[1]) for t in sums]
                 _settle(codec, texts, starts, regions)
-                before, after, size, coded = [int(t[1]) for t in sums], [], [], []
-                for t, rs, e, text in zip(sums, regions, edits, texts, strict=True):
-                    for r in rs:
-                        update_tree(t, r.a, r.count)
-                        for leaf in range(r.a + 1, r.b):
-                            update_tree(t, leaf, 0)
-                    after.append(int(t[1]))
-                    size.append(len(text) + sum(len(x[2]) + x[0] - x[1] for x in e))
-                    coded.append(sum(r.size for r in rs))
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, pa.int64()) for c in (before, after, size, coded)), pa.array(sums, pa.list_(pa.int64()))], ["id", "n_tokens", "n_tokens_edited", "n_chars_edited", "n_chars_encoded", "tree"])
-
-    return kept.mapInArrow(run, f"id {dict(kept.dtypes)['id']}, n_tokens long, n_tokens_edited long, n_chars_edited long, n_chars_encoded long, tree array<long>")
+                new = [_renewed(*row) for row in zip(texts, starts, sums, regions, strict=True)]
+                figures = [before, [int(t[1]) for _, _, t in new], [len(t) for t, _, _ in new], [sum(r.size for r in rs) for rs in regions]]
+                columns = [part.column(0), *(pa.array(c, pa.int64()) for c in figures)]
+                if state:
+                    columns += [pa.array([t for t, _, _ in new], pa.string()), *(pa.array([n[k] for n in new], pa.list_(pa.int64())) for k in (1, 2))]
+                yield pa.RecordBatch.from_arrays([*columns, *part.columns[5:]], names)
+
+    kinds = dict(kept.dtypes)
+    schema = [f"id {kinds['id']}", *(f"{c} long" for c in ("n_tokens", "n_tokens_edited", "n_chars_edited", "n_chars_encoded"))]
+    schema += ["text string", "starts array<long>", "tree array<long>"] * state + [f"{c} {kinds[c]}" for c in carry]
+    names = [c.split()[0] for c in schema]
+    return kept.mapInArrow(run, ", ".join(schema))
