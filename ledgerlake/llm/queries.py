@@ -55,17 +55,21 @@ def op6_quality_rules(spark, sf_dir):
 
 
 def op7_token_counts(spark, sf_dir):
-    """Two edits per document, made from its own text: a span near its first third gives way to the text's
-    first words, and one near its second third is dropped.
+    """Two batches of edits per document, made from its own text, the second on what the first one left: a span near its
+    first third gives way to the text's first words and one near its second third is dropped; then its beginning comes
+    again in its middle.
     """
     docs = _table(spark, sf_dir, "documents")
     ranks = vocabulary("byte_bpe_50k.tiktoken")
     trees = cut(token_counts.build(docs, ranks), "trees")
     n, h = F.length("text"), F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary"))
     edit = lambda start, length, insert: F.struct(start.cast("long").alias("start"), length.cast("long").alias("length"), insert.alias("insert"))
-    edits = F.array(edit(n / 3 + h % 7, h % 11, F.substring("text", 1, 24)), edit(2 * n / 3, 1 + h % 29, F.lit("")))
-    told = token_counts.recount(trees.withColumn("edits", edits), "edits", ranks)
-    return told.select(F.col("id").alias("doc_id"), "n_tokens", "n_tokens_edited", "n_chars_edited", "n_chars_encoded")
+    first = F.array(edit(n / 3 + h % 7, h % 11, F.substring("text", 1, 24)), edit(2 * n / 3, 1 + h % 29, F.lit("")))
+    once = token_counts.recount(trees.withColumn("edits", first), "edits", ranks)
+    once = once.withColumns({"n_tokens_before": F.col("n_tokens"), "n_chars_encoded_once": F.col("n_chars_encoded"), "edits": F.array(edit(n / 2, h % 5, F.substring("text", 1, 200)))})
+    twice = token_counts.recount(once, "edits", ranks, state=False, carry=("n_tokens_before", "n_chars_encoded_once"))
+    encoded = F.col("n_chars_encoded") + F.col("n_chars_encoded_once")
+    return twice.select(F.col("id").alias("doc_id"), F.col("n_tokens_before").alias("n_tokens"), F.col("n_tokens").alias("n_tokens_once"), F.col("n_tokens_edited").alias("n_tokens_twice"), "n_chars_edited", encoded.alias("n_chars_encoded"))
 
 
 def op8_quality_classifier(spark, sf_dir):
@@ -87,7 +91,12 @@ def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_warc": op2_warc, "op3_toxicity": op3_toxicity, "op4_embedding_dedup": op4_embedding_dedup, "op5_langid": op5_langid, "op6_quality_rules": op6_quality_rules, "op7_token_counts": op7_token_counts, "op8_quality_classifier": op8_quality_classifier, "op9_packing": op9_packing, "op10_simhash": op10_simhash}
+def quality_rule_counts(spark, sf_dir):
+    """The counts of op6_quality_rules without the verdict, which SQL cannot say."""
+    return op6_quality_rules(spark, sf_dir).drop("kept")
+
+
+QUERIES = {"quality_rule_counts": quality_rule_counts, "op1_bpe": op1_bpe, "op2_warc": op2_warc, "op3_toxicity": op3_toxicity, "op4_embedding_dedup": op4_embedding_dedup, "op5_langid": op5_langid, "op6_quality_rules": op6_quality_rules, "op7_token_counts": op7_token_counts, "op8_quality_classifier": op8_quality_classifier, "op9_packing": op9_packing, "op10_simhash": op10_simhash}
 ORACLES: dict[str, str] = {
     "op2_warc": """
         WITH page AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
@@ -97,6 +106,18 @@ ORACLES: dict[str, str] = {
         SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN again THEN first_id END AS refers_to
         FROM kind""",
+    "quality_rule_counts": r"""
+        WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+        word AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM doc),
+        place AS (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM word),
+        triple AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS times FROM place),
+        cover AS (SELECT r, count(DISTINCT i + k) AS n FROM triple CROSS JOIN (VALUES (0), (1), (2)) step(k) WHERE times > 1 GROUP BY r),
+        line AS (SELECT r, unnest(string_split(t, chr(10))) AS s FROM doc),
+        again AS (SELECT r, count(*) - count(DISTINCT s) AS n FROM line WHERE regexp_matches(s, '[^\x20\x09-\x0D]') GROUP BY r)
+        SELECT doc_id, len(w) AS n_words, length(list_aggregate(w, 'string_agg', '')) AS word_chars,
+            length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(again.n, 0) AS n_dup_lines,
+            coalesce(cover.n, 0) AS n_repeat_words, len(w) < 50 OR 100 * coalesce(cover.n, 0) > 50 * len(w) AS base_failed
+        FROM word LEFT JOIN cover USING (r) LEFT JOIN again USING (r)""",
     "op4_embedding_dedup": """
         WITH RECURSIVE vec AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
         sound AS (

@@ -62,12 +62,15 @@ def test_round_trip_and_offsets(spark, docs):
     assert {r.id: bytes(r.bytes).decode() for r in bpe.decode(encoded, RANKS).collect()} == texts
 
 
-def test_same_ids_as_the_json_vocabulary():
-    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    texts = ["It's  we'll \n\n x", "Ünïcode 中文 naïve 12,5", "", "the the  the\t"]
-    e = CODEC.encode(pa.array(texts))
-    for k, x in enumerate(texts):
-        assert e.ids[e.docs[k] : e.docs[k + 1]].tolist() == t.encode(x, add_special_tokens=False).ids
+JSON = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+ADDED = packing.added_tokens(P.path("byte_bpe_50k.json"))
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=40), st.lists(ALPHABET, max_size=25).map("".join)), max_size=8))
+def test_same_ids_as_the_json_vocabulary(texts):
+    for x, ids in zip(texts, packing.ids_of(CODEC, pa.array(texts, pa.string()), ADDED), strict=True):
+        assert ids.tolist() == JSON.encode(x or "", add_special_tokens=False).ids
 
 
 def test_packed_ids_hold_the_added_tokens(spark):
@@ -81,9 +84,10 @@ def test_packed_ids_hold_the_added_tokens(spark):
 
 
 def check_packing(rows, width):
+    """Pieces cover each document without a gap, and fill each sequence without one; returns pieces by document and by sequence."""
     by_doc, by_sequence = {}, {}
     for r in rows:
-        by_doc.setdefault((r.doc_id, r.doc_tokens), []).append((r.start, r.length))
+        by_doc.setdefault((r.doc_id, r.doc_tokens), []).append((r.start, r.length, r.ids_crc32))
         by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
     for found in by_sequence.values():
         at = 0
@@ -91,15 +95,26 @@ def check_packing(rows, width):
             assert offset == at
             at += length
         assert at <= width
+    for (_, n), found in by_doc.items():
+        first = [p for p in found if p[0] == 0]
+        assert sum(length for _, length, _ in found) == n * len(first) and max(a + length for a, length, _ in found) == n
+        starts = sorted({p[0] for p in found})
+        assert all(sum(p[0] == a for p in found) == len(first) for a in starts)
+        assert all({p[0] + p[1] for p in found if p[0] == a} == {z} for a, z in zip(starts, [*starts[1:], n], strict=True))
     return by_doc, by_sequence
 
 
 def test_packing(spark, docs):
     rows = packing.pack(docs, RANKS, 64).collect()
     by_doc, by_sequence = check_packing(rows, 64)
-    assert sum(r.length for r in rows) == sum(len(REFERENCE.encode_ordinary(r.text or "")) + 1 for r in docs.collect())
+    want = sorted((str(r.doc_id), [*REFERENCE.encode_ordinary(r.text or ""), 0]) for r in docs.collect())
+    assert sorted((str(k), n) for (k, n), found in by_doc.items() for p in found if p[0] == 0) == sorted((k, len(ids)) for k, ids in want)
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    pieces = sorted((k, a, crc(ids[a : a + 64])) for k, ids in want for a in range(0, len(ids), 64))
+    assert sorted((str(r.doc_id), r.start, r.ids_crc32) for r in rows) == pieces
     used = sum(r.length for r in rows)
     assert used / (64 * len(by_sequence)) > 0.9
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
     assert packing.pack(docs.limit(0), RANKS).count() == 0
 
 
@@ -115,37 +130,51 @@ def test_histogram_places_every_piece_once(counts):
     assert placed == counts
 
 
-EDIT = st.fixed_dictionaries({"start": st.integers(0, 80), "length": st.integers(0, 9), "insert": st.lists(ALPHABET, max_size=4).map("".join)})
+EDIT = st.fixed_dictionaries({"start": st.integers(0, 80), "length": st.integers(0, 9), "insert": st.lists(ALPHABET, max_size=12).map("".join)})
+
+
+def leaves_of(text, size):
+    e = CODEC.encode(pa.array([text], pa.string()))
+    s, z = e.doc_slices.tolist()
+    at = np.arange(s, z, size)
+    return e.slice_points[at] - e.slice_points[s], token_counts.make_tree(np.diff(np.append(e.slice_ids[at], e.slice_ids[z])))
 
 
 @settings(max_examples=80, deadline=None)
-@given(st.lists(st.tuples(st.lists(ALPHABET, max_size=50).map("".join), st.lists(EDIT, max_size=4)), min_size=1, max_size=6))
-def test_recount_follows_edits(cases):
+@given(st.lists(st.tuples(st.lists(ALPHABET, max_size=50).map("".join), st.lists(st.lists(EDIT, max_size=4), min_size=1, max_size=4)), min_size=1, max_size=5))
+def test_recount_follows_batch_after_batch_of_edits(cases):
+    leaf = 2
     texts = [t for t, _ in cases]
-    e = CODEC.encode(pa.array(texts, pa.string()))
-    starts, sums, leaf = [], [], 2
-    for s, z in zip(e.doc_slices[:-1].tolist(), e.doc_slices[1:].tolist(), strict=True):
-        at = np.arange(s, z, leaf)
-        starts.append(e.slice_points[at] - e.slice_points[s])
-        sums.append(token_counts.make_tree(np.diff(np.append(e.slice_ids[at], e.slice_ids[z]))))
-    edits = [token_counts.tidy(x, len(t)) for t, x in cases]
-    regions = [token_counts._regions(d, x, s) for d, (x, s) in enumerate(zip(edits, starts, strict=True))]
-    token_counts._settle(CODEC, texts, starts, regions)
-    for t, x, tree, rs in zip(texts, edits, sums, regions, strict=True):
-        for r in rs:
-            token_counts.update_tree(tree, r.a, r.count)
-            for k in range(r.a + 1, r.b):
-                token_counts.update_tree(tree, k, 0)
-        assert tree[1] == len(REFERENCE.encode_ordinary(token_counts.edited(t, x, 0, len(t)))) == tree[len(tree) // 2 :].sum()
+    starts, sums = map(list, zip(*(leaves_of(t, leaf) for t in texts), strict=True))
+    for turn in range(max(len(b) for _, b in cases)):
+        edits = [token_counts.tidy(b[turn] if turn < len(b) else [], len(t)) for t, (_, b) in zip(texts, cases, strict=True)]
+        want = [token_counts.edited(t, x, 0, len(t)) for t, x in zip(texts, edits, strict=True)]
+        regions = [token_counts._regions(d, x, s) for d, (x, s) in enumerate(zip(edits, starts, strict=True))]
+        token_counts._settle(CODEC, texts, starts, regions, leaf)
+        new = [token_counts._renewed(*row) for row in zip(texts, starts, sums, regions, strict=True)]
+        texts, starts, sums = map(list, zip(*new, strict=True))
+        assert texts == want
+        for t, first, tree in zip(texts, starts, sums, strict=True):
+            counts = tree[len(tree) // 2 :][: len(first)]
+            assert tree[1] == len(REFERENCE.encode_ordinary(t)) == tree[len(tree) // 2 :].sum() == counts.sum()
+            whole = CODEC.encode(pa.array([t], pa.string()))
+            ids_before = dict(zip(whole.slice_points.tolist(), whole.slice_ids.tolist(), strict=True))  # leaves begin where pre-tokens do
+            ends = [*first.tolist(), len(t)]
+            assert all(n == ids_before[z] - ids_before[a] for a, z, n in zip(ends, ends[1:], counts.tolist(), strict=False))
+            assert (np.diff(ends) >= 0).all() and (not len(first) or first[0] == 0)
 
 
 def test_recount_query_against_full_counts(spark, docs):
     trees = token_counts.build(docs, RANKS)
-    rows = token_counts.recount(trees.selectExpr("*", "array(struct(3L AS start, 2L AS length, 'new words' AS insert), null) AS edits"), "edits", RANKS).collect()
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
-    for r in rows:
-        t = texts[r.id]
-        assert r.n_tokens == len(REFERENCE.encode_ordinary(t))
-        assert r.n_tokens_edited == len(REFERENCE.encode_ordinary(t[:3] + "new words" + t[5:]))
-        assert r.n_chars_encoded < 2000
-    assert token_counts.recount(trees.limit(0).selectExpr("*", "null AS edits"), "edits", RANKS).count() == 0
+    insert = "new words " * 90  # more than a leaf
+    for turn in range(3):
+        trees = token_counts.recount(trees.selectExpr("id", "text", "starts", "tree", f"{turn} AS turn", f"array(struct({3 + 40 * turn}L AS start, 2L AS length, '{insert}' AS insert), null) AS edits"), "edits", RANKS, carry=("turn",))
+        before, at = texts, 3 + 40 * turn
+        texts = {k: t[:at] + insert + t[at + 2 :] for k, t in texts.items()}
+        for r in trees.collect():
+            assert r.text == texts[r.id] and r.turn == turn and r.n_chars_edited == len(r.text)
+            assert r.n_tokens == len(REFERENCE.encode_ordinary(before[r.id])) and r.n_tokens_edited == len(REFERENCE.encode_ordinary(r.text)) == r.tree[1]
+            assert r.n_chars_encoded < 3000 and len(r.starts) <= 2 * len(texts[r.id]) / 30 + 40
+    none = token_counts.recount(trees.limit(0).selectExpr("id", "text", "starts", "tree", "null AS edits"), "edits", RANKS)
+    assert none.count() == 0 and none.columns[-3:] == ["text", "starts", "tree"]

@@ -2,12 +2,13 @@ import math
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import langid, quality_classifier, quality_rules, toxicity
+from ledgerlake.llm import langid, quality_classifier, quality_rules, queries, toxicity
 
 from .conftest import SF
 
@@ -40,6 +41,45 @@ def test_rule_counts(spark, docs):
     assert quality_rules.keep(docs).columns == docs.columns
 
 
+def test_verdicts_against_exact_quantiles(spark):
+    """Every document that lies clear of its fence, which exact quantiles of its group, language or the corpus give."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    measured = quality_rules.cut(quality_rules.measures(docs), "measured")
+    m = F.col("_m")
+    table = measured.select("doc_id", "lang", "source", quality_rules.base_failed(m).alias("failed"), *[e.alias(r) for r, e in quality_rules._ratios(m).items()]).toPandas()
+    kept = {r.doc_id: r.kept for r in quality_rules.counts(docs, least=40).collect()}
+    live = table[table.chars_per_word.notna()]
+    clear = 0
+    for row in table.to_dict("records"):
+        group = live[(live.lang == row["lang"]) & (live.source == row["source"])]
+        group = group if len(group) >= 40 else live[live.lang == row["lang"]]
+        group = group if len(group) >= 40 else live
+        want, sure = not row["failed"], True
+        for r, (least, below) in quality_rules.RATIOS.items():
+            mid, low = (np.quantile(group[r], q, method="inverted_cdf") for q in (0.5, 0.25))
+            reach = 8 * max(mid - low, least)
+            x = row[r]
+            if x == x:
+                want &= x <= mid + reach and (not below or x >= mid - reach)
+                sure &= abs(x - mid - reach) > 0.05 * reach and (not below or abs(x - mid + reach) > 0.05 * reach)
+        if sure or row["failed"]:
+            clear += 1
+            assert kept[row["doc_id"]] == want
+    assert clear > 0.95 * len(table) and 0 < sum(kept.values()) < len(kept)
+
+
+def test_clashing_names(spark, docs):
+    rows = docs.withColumnsRenamed({"fp": "_m", "component_id": "_f", "score": "_kept"})
+    assert quality_rules.keep(rows).columns == rows.columns and quality_rules.counts(rows).count() == rows.count()
+
+
+def test_counts_against_their_sql(spark):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    told, got = con.sql(queries.ORACLES["quality_rule_counts"]), queries.quality_rule_counts(spark, SF)
+    assert got.columns == told.columns and sorted(map(tuple, got.collect())) == sorted(told.fetchall())
+
+
 def test_rules_part_low_from_good(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     told = quality_rules.counts(docs).join(labels, "doc_id").where("NOT base_failed").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept"))
@@ -168,6 +208,55 @@ def test_language_held_out(spark, docs):
     assert {r.lang_pred for r in langid.identify(docs, empty).collect()} == {"und"}
 
 
+def plain_grams(text):
+    """Hashed n-gram counts of one text, character by character."""
+    points = [ord(c) if c.isalpha() else 0 for c in (text or "").lower()]
+    out, mask = Counter(), (1 << 64) - 1
+    for k in range(1, 4):
+        for at in range(len(points) - k + 1):
+            part = points[at : at + k]
+            if any(part):
+                h = 0
+                for j, p in enumerate(part):
+                    h = (h + p + j + 1) * 0x9E3779B97F4A7C15 & mask
+                h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & mask
+                out[(h ^ h >> 27) >> 52] += 1
+    return out
+
+
+def test_languages_against_plain_nearest_centroids(spark, docs):
+    corpus = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(corpus)
+    bags = [plain_grams(r.text) for r in corpus.where("lang IS NOT NULL AND text IS NOT NULL").collect()]
+    df = Counter(b for bag in bags for b in bag)
+    idf = [math.log((1 + len(bags)) / (1 + df[b])) + 1 for b in range(langid.DIMS)]
+    assert np.allclose(model.idf, idf)
+    rows = corpus.select("doc_id", "text").limit(60).unionByName(docs.select("doc_id", "text").where("doc_id IN (1, 2, 3, 8, 9)").selectExpr("doc_id + 100000 AS doc_id", "text")).collect()
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows), model).collect()}
+    for r in rows:
+        v = {b: math.log1p(n) * idf[b] for b, n in plain_grams(r.text).items()}
+        norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
+        near = [sum(x * float(c[b]) for b, x in v.items()) / norm for c in model.centroids]
+        best = int(np.argmax(near))
+        letter = any(c.isalpha() for c in r.text or "")
+        assert abs(got[r.doc_id].score - (near[best] if letter else 0)) < 1e-4
+        ties = {model.langs[k] for k in range(len(near)) if near[k] > near[best] - 1e-5}
+        assert got[r.doc_id].lang_pred in (ties if letter else {"und"})
+        assert got[r.doc_id].rejected == (not letter or near[best] < model.floor[best]) or abs(near[best] - model.floor[best]) < 1e-4
+
+
+def test_small_clusters_stay_unless_they_are_anothers(spark):
+    e = np.eye(6, dtype=np.float32)
+    near = (e[3] + 0.1 * e[5]) / np.linalg.norm(e[3] + 0.1 * e[5])
+    c = np.stack([e[0], (e[0] + e[1]) / 2**0.5, e[2], near, e[3]])  # a: main, kin, another script, texts of b under a's name; b: main
+    stay = langid.sound_clusters(["a", "a", "a", "a", "b"], c, np.full(5, 0.5), np.array([0.9, 0.04, 0.03, 0.03, 1.0]), 0.08)
+    assert stay.tolist() == [0, 1, 2, 4]
+    assert len(langid.sound_clusters(["a", "a", "a", "a", "b"], c, np.full(5, 0.5), np.array([0.9, 0.04, 0.03, 0.03, 1.0]), 0.0)) == 5
+    rows = spark.createDataFrame([(1, "wort und satz", "de")] * 500 + [(2, "word and text", "en"), (3, "words or texts", "en")], "doc_id long, text string, lang string")
+    got = langid.identify(rows.distinct(), langid.fit(rows)).collect()
+    assert {r.doc_id: r.lang_pred for r in got} == {1: "de", 2: "en", 3: "en"}
+
+
 def test_kmeans_and_grams():
     counts, letters = langid.grams(pa.array(["ab", None, "12 !", "aB"]))
     assert letters.tolist() == [True, False, False, True] and counts[0].sum() == 3 and (counts[0] == counts[3]).all() and not counts[1:3].any()
@@ -191,14 +280,44 @@ def test_ordinal_regression_orders_grades(spark, docs):
     assert quality_classifier.score(docs, nothing).count() == docs.count()
 
 
-def test_gradient_of_cumulative_link():
+def test_gradient_and_likelihood_of_cumulative_link():
     rng = np.random.default_rng(8)
     rows = [np.unique(rng.integers(0, 20, 6)) for _ in range(90)]
-    cols = [np.ones(len(r), np.float32) for r in rows]
     grade = np.array([int(r.mean() > 8) + int(r.mean() > 11) for r in rows])
-    model = quality_classifier.fit_ordinal(rows, cols, grade, 3)
+    doc, at = np.repeat(np.arange(90), [len(r) for r in rows]), np.concatenate(rows)
+    val = rng.uniform(0.5, 1.5, len(at))
+    theta = np.zeros(quality_classifier.DIMS + 2)
+    theta[:20], theta[-2:] = rng.normal(size=20), (-0.4, 0.3)
+    ridge = 0.01
+
+    def plain(theta):  # the likelihood, document by document
+        cuts, total = [theta[-2], theta[-2] + math.exp(theta[-1])], 0.0
+        for d in range(90):
+            score = sum(v * theta[k] for k, v, o in zip(at, val, doc, strict=True) if o == d)
+            above = [1.0, *(1 / (1 + math.exp(c - score)) for c in cuts), 0.0]
+            total -= math.log(above[grade[d]] - above[grade[d] + 1]) / (grade == grade[d]).sum() / 3
+        return total + ridge * float(theta[:-2] @ theta[:-2]) / 2
+
+    value, gradient = quality_classifier.loss(theta, doc, at, val, grade, 3, ridge)
+    assert abs(value - plain(theta)) < 1e-9
+    for k in (0, 7, 19, 500, len(theta) - 2, len(theta) - 1):
+        step = np.zeros_like(theta)
+        step[k] = 1e-5
+        assert abs((plain(theta + step) - plain(theta - step)) / 2e-5 - gradient[k]) < 1e-6
+    model = quality_classifier.fit_ordinal(rows, [np.ones(len(r), np.float32) for r in rows], grade, 3)
     score = np.array([model.weights[r].sum() for r in rows])
     assert np.corrcoef(score, grade)[0, 1] > 0.8
+    above = quality_classifier.Model(model.weights, model.thresholds).above(pa.array(["some text", None]))
+    assert (above[:, 0] > above[:, 1]).all()
+
+
+def test_ratings_of_repeated_and_contradicted_ids(spark, monkeypatch):
+    frame = spark.createDataFrame([(k, f"text {k} " * 5) for k in range(30)] + [(3, "text 3 " * 5)] * 40 + [(4, "another")], "doc_id long, text string")
+    ratings = spark.createDataFrame([(k, k % 3) for k in range(30)] + [(5, 2), (5, 1), (None, 1), (6, None), (7, 9), (99, 1)], "doc_id long, grade int")
+    seen = []
+    monkeypatch.setattr(quality_classifier, "fit_ordinal", lambda rows, cols, grade, grades: seen.append((len(rows), grade.tolist())))
+    quality_classifier.fit(frame, ratings, 3)
+    assert seen == [(29, [0] * 10 + [1] * 10 + [2] * 9)]  # 5 is rated in two ways
 
 
 @pytest.mark.parametrize("text", ["", None, "x" * 50_000, "1 2 3"])
