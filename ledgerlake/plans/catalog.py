@@ -121,53 +121,228 @@ BAR = ["symbol", "trade_date", "open", "high", "low", "close", "volume", "amount
 r9 = lambda c: F.round(c, 9)
 
 # Scans, partitions, catalog
-q("scan_dataset", lambda x: lake.scan(x.bars, BARS, "2024-01-05", "2024-01-12").where(S.exchange(F.col("symbol")) != "BJ"), "SELECT * FROM bars WHERE trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' AND symbol NOT LIKE '%.BJ'")
-q("pruned_scan", lambda x: lake.scan(lake.by_period(x.bars, BARS), BARS, "2024-01-10", "2024-02-02"), "SELECT * FROM bars WHERE trade_date BETWEEN DATE '2024-01-10' AND DATE '2024-02-02'")
-q("schema_union_scan", lambda x: lake.union_by_name([x.bars.drop("amount"), x.other_bars]), "SELECT * EXCLUDE (amount), NULL::DOUBLE AS amount FROM bars UNION ALL BY NAME SELECT * FROM other_bars")
-q("files_in_range", lambda x: lake.scan(lake.union_by_name([lake.by_period(x.bars, BARS).where("volume % 2 = 0"), x.bars.where("volume % 2 = 1").withColumn(lake.PERIOD, F.lit("2024-01"))]), BARS, "2024-01-08", "2024-01-09"), "SELECT * FROM bars WHERE trade_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-09'")
-q("list_partitions", lambda x: lake.list_partitions(lake.by_period(x.facts.withColumnRenamed("announce_date", "trade_date"), BARS)), "SELECT DISTINCT strftime(announce_date, '%Y-%m') AS period, CAST(date_trunc('month', announce_date) AS DATE) AS start, last_day(announce_date) AS \"end\" FROM facts")
-q("period_label", lambda x: x.facts.select("fact_id", *[periods.label(F.col("announce_date"), p).alias(p) for p in periods.FORMATS]), "SELECT fact_id, strftime(announce_date, '%Y-%m-%d') AS day, strftime(announce_date, '%Y-%m') AS month, year(announce_date) || 'Q' || quarter(announce_date) AS quarter, CAST(year(announce_date) AS VARCHAR) AS year FROM facts")
-q("period_parse", lambda x: x.facts.select("report_period").distinct().select("report_period", periods.start(F.col("report_period")).alias("start"), periods.end(F.col("report_period")).alias("end")), "SELECT DISTINCT report_period, CAST(date_trunc('quarter', announce_date) AS DATE) AS start, CAST(date_trunc('quarter', announce_date) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS \"end\" FROM facts")
-q("period_previous", lambda x: x.facts.select("report_period").distinct().select("report_period", periods.previous(F.col("report_period"), "quarter").alias("before")), "SELECT DISTINCT report_period, year(d) || 'Q' || quarter(d) AS before FROM (SELECT report_period, announce_date - INTERVAL 3 MONTH AS d FROM (SELECT report_period, date_trunc('quarter', announce_date) AS announce_date FROM facts))")
-q("traded_only_scan", lambda x: canonical.traded(x.canon).select(*BAR, "source"), f"SELECT {', '.join(BAR)}, source FROM canon WHERE volume > 0 OR volume IS NULL", CANON)
+q(
+    "scan_dataset",
+    lambda x: lake.scan(x.bars, BARS, "2024-01-05", "2024-01-12").where(S.exchange(F.col("symbol")) != "BJ"),
+    "SELECT * FROM bars WHERE trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' AND symbol NOT LIKE '%.BJ'",
+)
+q(
+    "pruned_scan",
+    lambda x: lake.scan(lake.by_period(x.bars, BARS), BARS, "2024-01-10", "2024-02-02"),
+    "SELECT * FROM bars WHERE trade_date BETWEEN DATE '2024-01-10' AND DATE '2024-02-02'",
+)
+q(
+    "schema_union_scan",
+    lambda x: lake.union_by_name([x.bars.drop("amount"), x.other_bars]),
+    "SELECT * EXCLUDE (amount), NULL::DOUBLE AS amount FROM bars UNION ALL BY NAME SELECT * FROM other_bars",
+)
+q(
+    "files_in_range",
+    lambda x: lake.scan(lake.union_by_name([lake.by_period(x.bars, BARS).where("volume % 2 = 0"), x.bars.where("volume % 2 = 1").withColumn(lake.PERIOD, F.lit("2024-01"))]), BARS, "2024-01-08", "2024-01-09"),
+    "SELECT * FROM bars WHERE trade_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-09'",
+)
+q(
+    "list_partitions",
+    lambda x: lake.list_partitions(lake.by_period(x.facts.withColumnRenamed("announce_date", "trade_date"), BARS)),
+    """SELECT DISTINCT strftime(announce_date, '%Y-%m') AS period, CAST(date_trunc('month', announce_date) AS DATE) AS start, last_day(announce_date) AS "end"
+        FROM facts""",
+)
+q(
+    "period_label",
+    lambda x: x.facts.select("fact_id", *[periods.label(F.col("announce_date"), p).alias(p) for p in periods.FORMATS]),
+    """SELECT fact_id, strftime(announce_date, '%Y-%m-%d') AS day, strftime(announce_date, '%Y-%m') AS month, year(announce_date) || 'Q' || quarter(announce_date) AS quarter, CAST(year(announce_date) AS VARCHAR) AS year
+        FROM facts""",
+)
+q(
+    "period_parse",
+    lambda x: x.facts.select("report_period").distinct().select("report_period", periods.start(F.col("report_period")).alias("start"), periods.end(F.col("report_period")).alias("end")),
+    """SELECT DISTINCT report_period, CAST(date_trunc('quarter', announce_date) AS DATE) AS start, CAST(date_trunc('quarter', announce_date) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS "end"
+        FROM facts""",
+)
+q(
+    "period_previous",
+    lambda x: x.facts.select("report_period").distinct().select("report_period", periods.previous(F.col("report_period"), "quarter").alias("before")),
+    """SELECT DISTINCT report_period, year(d) || 'Q' || quarter(d) AS before
+        FROM (SELECT report_period, announce_date - INTERVAL 3 MONTH AS d
+        FROM (SELECT report_period, date_trunc('quarter', announce_date) AS announce_date FROM facts))""",
+)
+q(
+    "traded_only_scan",
+    lambda x: canonical.traded(x.canon).select(*BAR, "source"),
+    f"SELECT {', '.join(BAR)}, source FROM canon WHERE volume > 0 OR volume IS NULL",
+    CANON,
+)
 q("traded_symbols", lambda x: canonical.traded_symbols(x.bars_raw, BARS), "SELECT DISTINCT symbol FROM canon WHERE volume > 0", CANON)
 q("row_count", lambda x: stats.row_count(x.table("lineitem")), "SELECT count(*) AS n FROM lineitem")
 q("mock_row_count", lambda x: stats.mock_row_count(x.bars_raw, "vendor_c"), "SELECT count(*) FILTER (source = 'vendor_c') AS n FROM bars_raw")
 q("n_unique_symbol", lambda x: stats.n_unique(x.bars), "SELECT count(DISTINCT symbol) AS n FROM bars")
-q("catalog_bounds", lambda x: stats.bounds(x.bars_raw, "trade_date", quality.coverage_ratio(x.thin_bars, x.bars).where("ratio >= 0.85")), "SELECT min(b.trade_date) AS first_date, least(max(b.trade_date), (SELECT max(trade_date) FROM (SELECT b.trade_date FROM bars b LEFT JOIN thin_bars t ON t.symbol = b.symbol AND t.trade_date = b.trade_date GROUP BY 1 HAVING count(t.symbol) / count(*) >= 0.85))) AS last_date FROM bars_raw b")
-q("coverage_start", lambda x: stats.coverage(x.bars_raw, BARS).select(F.col("start").alias("d")), "SELECT min(trade_date) AS d FROM canon WHERE volume > 0", CANON)
-q("coverage_end", lambda x: stats.coverage(x.bars_raw, BARS).select(F.col("end").alias("d")), "SELECT max(trade_date) AS d FROM canon WHERE volume > 0", CANON)
-q("st_coverage_start", lambda x: stats.label_coverage_start(x.status_raw, STATUS), "SELECT min(trade_date) AS d FROM scanon WHERE coalesce(risk_warning, FALSE) OR lower(status) IN ('st', '*st')", STATUS_CANON)
-q("symbol_filter", lambda x: lake.scan(x.bars, BARS, symbols=x.instruments.where("delist_date IS NOT NULL")), "SELECT * FROM bars WHERE symbol IN (SELECT symbol FROM instruments WHERE delist_date IS NOT NULL)")
-q("date_range_filter", lambda x: lake.scan(x.actions, DATASETS["corporate_actions"], "2024-01-08", "2024-01-19").select("symbol", "ex_date", "action_type"), "SELECT symbol, ex_date, action_type FROM actions WHERE ex_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-19'")
-q("report_period_filter", lambda x: lake.scan(x.facts, FACTS, "1996-02-01", "1997-08-01").select("fact_id", "report_period"), "SELECT fact_id, report_period FROM facts WHERE report_period BETWEEN '1996Q1' AND '1997Q3'")
+q(
+    "catalog_bounds",
+    lambda x: stats.bounds(x.bars_raw, "trade_date", quality.coverage_ratio(x.thin_bars, x.bars).where("ratio >= 0.85")),
+    """SELECT min(b.trade_date) AS first_date, least(max(b.trade_date), (SELECT max(trade_date)
+        FROM (SELECT b.trade_date FROM bars b
+        LEFT JOIN thin_bars t ON t.symbol = b.symbol AND t.trade_date = b.trade_date GROUP BY 1
+        HAVING count(t.symbol) / count(*) >= 0.85))) AS last_date FROM bars_raw b""",
+)
+q(
+    "coverage_start",
+    lambda x: stats.coverage(x.bars_raw, BARS).select(F.col("start").alias("d")),
+    "SELECT min(trade_date) AS d FROM canon WHERE volume > 0",
+    CANON,
+)
+q(
+    "coverage_end",
+    lambda x: stats.coverage(x.bars_raw, BARS).select(F.col("end").alias("d")),
+    "SELECT max(trade_date) AS d FROM canon WHERE volume > 0",
+    CANON,
+)
+q(
+    "st_coverage_start",
+    lambda x: stats.label_coverage_start(x.status_raw, STATUS),
+    "SELECT min(trade_date) AS d FROM scanon WHERE coalesce(risk_warning, FALSE) OR lower(status) IN ('st', '*st')",
+    STATUS_CANON,
+)
+q(
+    "symbol_filter",
+    lambda x: lake.scan(x.bars, BARS, symbols=x.instruments.where("delist_date IS NOT NULL")),
+    "SELECT * FROM bars WHERE symbol IN (SELECT symbol FROM instruments WHERE delist_date IS NOT NULL)",
+)
+q(
+    "date_range_filter",
+    lambda x: lake.scan(x.actions, DATASETS["corporate_actions"], "2024-01-08", "2024-01-19").select("symbol", "ex_date", "action_type"),
+    "SELECT symbol, ex_date, action_type FROM actions WHERE ex_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-19'",
+)
+q(
+    "report_period_filter",
+    lambda x: lake.scan(x.facts, FACTS, "1996-02-01", "1997-08-01").select("fact_id", "report_period"),
+    "SELECT fact_id, report_period FROM facts WHERE report_period BETWEEN '1996Q1' AND '1997Q3'",
+)
 
 # Canonical rows, validation, provenance, symbols
 q("canonical_dedupe", lambda x: x.canon.select(*BAR, "source", "data_version"), f"SELECT {', '.join(BAR)}, source, data_version FROM canon", CANON)
-q("canonical_dedupe_lineitem", lambda x: x.table("lineitem").withColumn("_n", F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*[F.col(c).desc() for c in ("l_shipdate", "l_returnflag", "l_linestatus", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")]))).where("_n = 1").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"), "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_returnflag DESC, l_linestatus DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC) = 1")
-q("source_rank", lambda x: x.bars_raw.groupBy("source", canonical.source_rank(BARS, F.col("source")).alias("rank")).agg(F.count("*").alias("n")), "SELECT source, CASE source WHEN 'vendor_a' THEN 2 WHEN 'vendor_b' THEN 1 ELSE 0 END AS rank, count(*) AS n FROM bars_raw GROUP BY 1, 2")
-q("evidence_rank", lambda x: x.status_raw.select(*KEYS, "source", "fetched_at", canonical.evidence_rank(F.col("source"), F.col("fetched_at"), F.col("trade_date")).alias("rank")).drop("fetched_at"), f"SELECT symbol, trade_date, source, {EVIDENCE} AS rank FROM status_raw")
-q("validate_frame", lambda x: canonical.validate(x.bars_raw.withColumn("volume", F.when(F.col("volume") % 50 == 0, "n/a").otherwise(F.col("volume").cast("string"))), BARS).select("symbol", "trade_date", "close", "volume", "source"), "SELECT symbol, trade_date, close, CASE WHEN volume % 50 <> 0 THEN volume END AS volume, source FROM bars_raw")
-q("required_columns", lambda x: x.bars_raw.where(canonical.invalid(x.bars_raw, BARS)).select(*KEYS, "source"), "SELECT symbol, trade_date, source FROM bars_raw WHERE fetched_at IS NULL")
-q("bar_invariants", lambda x: canonical.bar_invariants(x.bars.withColumns({"high": F.when(F.col("volume") % 5 == 0, F.col("low") - 1).otherwise(F.col("high")), "volume": F.when(F.col("volume") % 7 == 0, -1).otherwise(F.col("volume"))})), """SELECT "check", n FROM (SELECT count(*) FILTER (open <= 0 OR h <= 0 OR low <= 0 OR close <= 0) AS price_not_positive, count(*) FILTER (v < 0) AS volume_negative, count(*) FILTER (amount < 0) AS amount_negative, count(*) FILTER (v > 0 AND h < open) AS high_below_open,
+q(
+    "canonical_dedupe_lineitem",
+    lambda x: x.table("lineitem").withColumn("_n", F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*[F.col(c).desc() for c in ("l_shipdate", "l_returnflag", "l_linestatus", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")]))).where("_n = 1").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"),
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_shipdate DESC, l_returnflag DESC, l_linestatus DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC) = 1""",
+)
+q(
+    "source_rank",
+    lambda x: x.bars_raw.groupBy("source", canonical.source_rank(BARS, F.col("source")).alias("rank")).agg(F.count("*").alias("n")),
+    """SELECT source, CASE source WHEN 'vendor_a' THEN 2 WHEN 'vendor_b' THEN 1 ELSE 0 END AS rank, count(*) AS n
+        FROM bars_raw GROUP BY 1, 2""",
+)
+q(
+    "evidence_rank",
+    lambda x: x.status_raw.select(*KEYS, "source", "fetched_at", canonical.evidence_rank(F.col("source"), F.col("fetched_at"), F.col("trade_date")).alias("rank")).drop("fetched_at"),
+    f"SELECT symbol, trade_date, source, {EVIDENCE} AS rank FROM status_raw",
+)
+q(
+    "validate_frame",
+    lambda x: canonical.validate(x.bars_raw.withColumn("volume", F.when(F.col("volume") % 50 == 0, "n/a").otherwise(F.col("volume").cast("string"))), BARS).select("symbol", "trade_date", "close", "volume", "source"),
+    "SELECT symbol, trade_date, close, CASE WHEN volume % 50 <> 0 THEN volume END AS volume, source FROM bars_raw",
+)
+q(
+    "required_columns",
+    lambda x: x.bars_raw.where(canonical.invalid(x.bars_raw, BARS)).select(*KEYS, "source"),
+    "SELECT symbol, trade_date, source FROM bars_raw WHERE fetched_at IS NULL",
+)
+q(
+    "bar_invariants",
+    lambda x: canonical.bar_invariants(x.bars.withColumns({"high": F.when(F.col("volume") % 5 == 0, F.col("low") - 1).otherwise(F.col("high")), "volume": F.when(F.col("volume") % 7 == 0, -1).otherwise(F.col("volume"))})),
+    """SELECT "check", n FROM (SELECT count(*) FILTER (open <= 0 OR h <= 0 OR low <= 0 OR close <= 0) AS price_not_positive, count(*) FILTER (v < 0) AS volume_negative, count(*) FILTER (amount < 0) AS amount_negative, count(*) FILTER (v > 0 AND h < open) AS high_below_open,
  count(*) FILTER (v > 0 AND h < close) AS high_below_close, count(*) FILTER (v > 0 AND low > open) AS low_above_open, count(*) FILTER (v > 0 AND low > close) AS low_above_close, count(*) FILTER (v > 0 AND low > h) AS low_above_high FROM (SELECT *, CASE WHEN volume % 5 = 0 THEN low - 1 ELSE high END AS h, CASE WHEN volume % 7 = 0 THEN -1 ELSE volume END AS v FROM bars))
- UNPIVOT (n FOR "check" IN (price_not_positive, volume_negative, amount_negative, high_below_open, high_below_close, low_above_open, low_above_close, low_above_high))""")
-q("finite_check", lambda x: canonical.not_finite(x.bars.withColumn("close", F.when(F.col("volume") % 9 == 0, float("inf")).when(F.col("volume") % 9 == 1, float("nan")).otherwise(F.col("close"))), ["open", "close"]), "SELECT 'open' AS \"column\", 0 AS n UNION ALL SELECT 'close', count(*) FILTER (volume % 9 < 2) FROM bars")
-q("sanitize_rows", lambda x: canonical.sanitize(x.bars, x.calendar.where("trade_date = date'2024-01-16'")).select(*KEYS), "SELECT symbol, trade_date FROM bars WHERE isodow(trade_date) < 6 AND trade_date <> DATE '2024-01-16'")
-q("sanitize_calendar", lambda x: canonical.close_calendar(x.calendar, x.calendar.where("trade_date = date'2024-01-16'")), "SELECT trade_date, is_trading AND isodow(trade_date) < 6 AND trade_date <> DATE '2024-01-16' AS is_trading FROM calendar")
-q("with_provenance", lambda x: canonical.with_provenance(x.bars, "vendor_a", "v2", F.lit("2024-02-01 00:00:00").cast("timestamp")).select(*KEYS, "source", "data_version", F.date_format("fetched_at", "yyyy-MM-dd").alias("day")), "SELECT symbol, trade_date, 'vendor_a' AS source, 'v2' AS data_version, '2024-02-01' AS day FROM bars")
-q("normalize_legacy_status", lambda x: canonical.split_legacy_status(canonical.split_legacy_status(x.status)).select(*KEYS, "status", "risk_warning"), "SELECT symbol, trade_date, CASE WHEN status = 'st' THEN 'normal' ELSE status END AS status, CASE WHEN status = 'st' THEN TRUE ELSE risk_warning END AS risk_warning FROM status")
-q("risk_warning", lambda x: x.status.select(*KEYS, canonical.risk_warned().alias("warned")), "SELECT symbol, trade_date, coalesce(risk_warning, FALSE) OR status IN ('st', '*st') AS warned FROM status")
-q("not_trading", lambda x: x.status.select(*KEYS, canonical.not_trading().alias("shut")), "SELECT symbol, trade_date, status IN ('suspended', 'delisted') OR NOT coalesce(is_trading, FALSE) AS shut FROM status")
-q("symbol_class", lambda x: x.bars.select("symbol").distinct().select("symbol", S.in_class(F.col("symbol")).alias("all"), S.in_class(F.col("symbol"), True).alias("mainland")), f"SELECT DISTINCT symbol, {CLASS} AS \"all\", {CLASS} AND symbol NOT LIKE '%.BJ' AS mainland FROM bars")
-q("parse_symbol", lambda x: x.bars.select("symbol").distinct().select("symbol", S.code(F.col("symbol")).alias("code"), S.exchange(F.col("symbol")).alias("exchange")), "SELECT DISTINCT symbol, split_part(symbol, '.', 1) AS code, split_part(symbol, '.', 2) AS exchange FROM bars")
-q("infer_exchange", lambda x: x.table("part").select("p_partkey", S.infer_exchange((F.col("p_partkey") * 487).cast("string")).alias("exchange")), "SELECT p_partkey, CASE WHEN c LIKE '60%' OR c LIKE '68%' THEN 'SH' WHEN c LIKE '92%' OR c LIKE '43%' OR c LIKE '83%' OR c LIKE '87%' THEN 'BJ' ELSE 'SZ' END AS exchange FROM (SELECT p_partkey, lpad(CAST(p_partkey * 487 AS VARCHAR), 6, '0') AS c FROM part)")
-q("is_etf", lambda x: x.codes.select("p_partkey", S.is_etf(F.col("code"), F.col("exchange")).alias("etf")), f"SELECT p_partkey, {SIX} AND coalesce(CASE upper(exchange) WHEN 'SH' THEN code LIKE '51%' OR code LIKE '56%' OR code LIKE '58%' ELSE code LIKE '15%' OR code LIKE '16%' END AND exchange IS NOT NULL, FALSE) AS etf FROM codes")
-q("is_cdr", lambda x: x.codes.select("p_partkey", S.is_cdr(F.col("code"), F.col("exchange")).alias("cdr")), f"SELECT p_partkey, {SIX} AND coalesce(upper(exchange) = 'SH' AND code LIKE '689%', FALSE) AS cdr FROM codes")
-q("placeholder_name", lambda x: x.table("part").select("p_partkey", S.placeholder_name(F.when(F.col("p_partkey") % 3 == 0, F.lit(None)).when(F.col("p_partkey") % 5 == 0, F.concat("p_name", F.lit("认购款\0\0 "))).when(F.col("p_partkey") % 7 == 0, F.concat("p_name", F.lit("申购款"))).when(F.col("p_partkey") % 11 == 0, F.concat(F.lit("申购款"), "p_name")).otherwise(F.concat("p_name", F.lit("退")))).alias("stub")), "SELECT p_partkey, p_partkey % 3 <> 0 AND (p_partkey % 5 = 0 OR p_partkey % 7 = 0) AS stub FROM part")
-q("lots_to_shares", lambda x: x.bars.select(*KEYS, S.lots_to_shares(F.col("volume")).alias("shares")), "SELECT symbol, trade_date, volume * 100 AS shares FROM bars")
-q("scope_hash", lambda x: canonical.scope_hash(x.bars), f"SELECT {summed(coded('symbol'))} AS hash, count(*) AS n FROM (SELECT DISTINCT symbol FROM bars)")
-q("business_digest", lambda x: canonical.digest(x.status.select("symbol", "trade_date", "status", "risk_warning", "source", "fetched_at"), ["trade_date"]), f"SELECT trade_date, count(*) AS n, {summed(coded('symbol', 'trade_date', 'status', 'risk_warning', 'source'))} AS hash FROM status GROUP BY 1")
+ UNPIVOT (n FOR "check" IN (price_not_positive, volume_negative, amount_negative, high_below_open, high_below_close, low_above_open, low_above_close, low_above_high))""",
+)
+q(
+    "finite_check",
+    lambda x: canonical.not_finite(x.bars.withColumn("close", F.when(F.col("volume") % 9 == 0, float("inf")).when(F.col("volume") % 9 == 1, float("nan")).otherwise(F.col("close"))), ["open", "close"]),
+    "SELECT 'open' AS \"column\", 0 AS n UNION ALL SELECT 'close', count(*) FILTER (volume % 9 < 2) FROM bars",
+)
+q(
+    "sanitize_rows",
+    lambda x: canonical.sanitize(x.bars, x.calendar.where("trade_date = date'2024-01-16'")).select(*KEYS),
+    "SELECT symbol, trade_date FROM bars WHERE isodow(trade_date) < 6 AND trade_date <> DATE '2024-01-16'",
+)
+q(
+    "sanitize_calendar",
+    lambda x: canonical.close_calendar(x.calendar, x.calendar.where("trade_date = date'2024-01-16'")),
+    """SELECT trade_date, is_trading AND isodow(trade_date) < 6 AND trade_date <> DATE '2024-01-16' AS is_trading
+        FROM calendar""",
+)
+q(
+    "with_provenance",
+    lambda x: canonical.with_provenance(x.bars, "vendor_a", "v2", F.lit("2024-02-01 00:00:00").cast("timestamp")).select(*KEYS, "source", "data_version", F.date_format("fetched_at", "yyyy-MM-dd").alias("day")),
+    "SELECT symbol, trade_date, 'vendor_a' AS source, 'v2' AS data_version, '2024-02-01' AS day FROM bars",
+)
+q(
+    "normalize_legacy_status",
+    lambda x: canonical.split_legacy_status(canonical.split_legacy_status(x.status)).select(*KEYS, "status", "risk_warning"),
+    """SELECT symbol, trade_date, CASE WHEN status = 'st' THEN 'normal' ELSE status END AS status,
+        CASE WHEN status = 'st' THEN TRUE ELSE risk_warning END AS risk_warning FROM status""",
+)
+q(
+    "risk_warning",
+    lambda x: x.status.select(*KEYS, canonical.risk_warned().alias("warned")),
+    "SELECT symbol, trade_date, coalesce(risk_warning, FALSE) OR status IN ('st', '*st') AS warned FROM status",
+)
+q(
+    "not_trading",
+    lambda x: x.status.select(*KEYS, canonical.not_trading().alias("shut")),
+    """SELECT symbol, trade_date, status IN ('suspended', 'delisted') OR NOT coalesce(is_trading, FALSE) AS shut
+        FROM status""",
+)
+q(
+    "symbol_class",
+    lambda x: x.bars.select("symbol").distinct().select("symbol", S.in_class(F.col("symbol")).alias("all"), S.in_class(F.col("symbol"), True).alias("mainland")),
+    f"SELECT DISTINCT symbol, {CLASS} AS \"all\", {CLASS} AND symbol NOT LIKE '%.BJ' AS mainland FROM bars",
+)
+q(
+    "parse_symbol",
+    lambda x: x.bars.select("symbol").distinct().select("symbol", S.code(F.col("symbol")).alias("code"), S.exchange(F.col("symbol")).alias("exchange")),
+    "SELECT DISTINCT symbol, split_part(symbol, '.', 1) AS code, split_part(symbol, '.', 2) AS exchange FROM bars",
+)
+q(
+    "infer_exchange",
+    lambda x: x.table("part").select("p_partkey", S.infer_exchange((F.col("p_partkey") * 487).cast("string")).alias("exchange")),
+    """SELECT p_partkey,
+        CASE WHEN c LIKE '60%' OR c LIKE '68%' THEN 'SH' WHEN c LIKE '92%' OR c LIKE '43%' OR c LIKE '83%' OR c LIKE '87%' THEN 'BJ' ELSE 'SZ' END AS exchange
+        FROM (SELECT p_partkey, lpad(CAST(p_partkey * 487 AS VARCHAR), 6, '0') AS c FROM part)""",
+)
+q(
+    "is_etf",
+    lambda x: x.codes.select("p_partkey", S.is_etf(F.col("code"), F.col("exchange")).alias("etf")),
+    f"""SELECT p_partkey, {SIX} AND coalesce(CASE upper(exchange) WHEN 'SH' THEN code LIKE '51%' OR code LIKE '56%' OR code LIKE '58%' ELSE code LIKE '15%' OR code LIKE '16%' END AND exchange IS NOT NULL, FALSE) AS etf
+        FROM codes""",
+)
+q(
+    "is_cdr",
+    lambda x: x.codes.select("p_partkey", S.is_cdr(F.col("code"), F.col("exchange")).alias("cdr")),
+    f"SELECT p_partkey, {SIX} AND coalesce(upper(exchange) = 'SH' AND code LIKE '689%', FALSE) AS cdr FROM codes",
+)
+q(
+    "placeholder_name",
+    lambda x: x.table("part").select("p_partkey", S.placeholder_name(F.when(F.col("p_partkey") % 3 == 0, F.lit(None)).when(F.col("p_partkey") % 5 == 0, F.concat("p_name", F.lit("认购款\0\0 "))).when(F.col("p_partkey") % 7 == 0, F.concat("p_name", F.lit("申购款"))).when(F.col("p_partkey") % 11 == 0, F.concat(F.lit("申购款"), "p_name")).otherwise(F.concat("p_name", F.lit("退")))).alias("stub")),
+    "SELECT p_partkey, p_partkey % 3 <> 0 AND (p_partkey % 5 = 0 OR p_partkey % 7 = 0) AS stub FROM part",
+)
+q(
+    "lots_to_shares",
+    lambda x: x.bars.select(*KEYS, S.lots_to_shares(F.col("volume")).alias("shares")),
+    "SELECT symbol, trade_date, volume * 100 AS shares FROM bars",
+)
+q(
+    "scope_hash",
+    lambda x: canonical.scope_hash(x.bars),
+    f"SELECT {summed(coded('symbol'))} AS hash, count(*) AS n FROM (SELECT DISTINCT symbol FROM bars)",
+)
+q(
+    "business_digest",
+    lambda x: canonical.digest(x.status.select("symbol", "trade_date", "status", "risk_warning", "source", "fetched_at"), ["trade_date"]),
+    f"""SELECT trade_date,
+        count(*) AS n, {summed(coded('symbol', 'trade_date', 'status', 'risk_warning', 'source'))} AS hash FROM status
+        GROUP BY 1""",
+)
 
 # Merges and versions
 @query("compact_merge", f"SELECT {', '.join(BAR)}, source, CASE WHEN day(trade_date) > 15 THEN 1 ELSE 0 END AS late, 0 AS again FROM canon", CANON)
@@ -190,7 +365,14 @@ def _compact_merge_status(x):
     lake.write(canonical.dedupe(x.status_raw.where("data_version = 'v1'"), STATUS), STATUS, path)
     lake.compact_merge(x.spark, STATUS, path, x.status_raw.where("data_version = 'v2' OR source = 'snapshot'"), scratch)
     return x.spark.read.parquet(path).select(*KEYS, "source", "status")
-q("delta_create", lambda x: lake.delta(x.bars.where("trade_date < date'2024-01-20'"), x.bars.where("trade_date > date'2024-01-03'").withColumn("close", F.col("close") + (F.dayofmonth("trade_date") == 9).cast("int")), DATASETS["trade_ticks"]), "SELECT strftime(d, '%Y-%m-%d') AS period, CASE WHEN d >= DATE '2024-01-20' THEN 'add' WHEN d <= DATE '2024-01-03' THEN 'delete' ELSE 'replace' END AS kind FROM (SELECT DISTINCT trade_date AS d FROM bars) WHERE d >= DATE '2024-01-20' OR d <= DATE '2024-01-03' OR day(d) = 9")
+q(
+    "delta_create",
+    lambda x: lake.delta(x.bars.where("trade_date < date'2024-01-20'"), x.bars.where("trade_date > date'2024-01-03'").withColumn("close", F.col("close") + (F.dayofmonth("trade_date") == 9).cast("int")), DATASETS["trade_ticks"]),
+    """SELECT strftime(d, '%Y-%m-%d') AS period,
+        CASE WHEN d >= DATE '2024-01-20' THEN 'add' WHEN d <= DATE '2024-01-03' THEN 'delete' ELSE 'replace' END AS kind
+        FROM (SELECT DISTINCT trade_date AS d FROM bars)
+        WHERE d >= DATE '2024-01-20' OR d <= DATE '2024-01-03' OR day(d) = 9""",
+)
 
 
 @query("delta_apply", "SELECT symbol, trade_date, close FROM bars WHERE trade_date > DATE '2024-01-03'")
@@ -209,194 +391,1019 @@ def _master_merge(x):
 
 
 orphaned = lambda x: x.facts.withColumn("symbol", F.concat(F.lpad(((F.col("fact_id") * 7) % 400).cast("string"), 6, "0"), F.lit(".SZ"))).select("fact_id", "symbol")
-q("purge_orphans", lambda x: reconcile.purge_orphans(orphaned(x), x.bars_raw, BARS), "SELECT fact_id, symbol FROM (SELECT fact_id, lpad(CAST(fact_id * 7 % 400 AS VARCHAR), 6, '0') || '.SZ' AS symbol FROM facts) WHERE symbol IN (SELECT symbol FROM canon WHERE volume > 0)", CANON)
-q("purge_orphans_no_bars", lambda x: reconcile.purge_orphans(orphaned(x), x.bars_raw.where("symbol = 'none'"), BARS), "SELECT fact_id, lpad(CAST(fact_id * 7 % 400 AS VARCHAR), 6, '0') || '.SZ' AS symbol FROM facts")
+q(
+    "purge_orphans",
+    lambda x: reconcile.purge_orphans(orphaned(x), x.bars_raw, BARS),
+    """SELECT fact_id, symbol
+        FROM (SELECT fact_id, lpad(CAST(fact_id * 7 % 400 AS VARCHAR), 6, '0') || '.SZ' AS symbol FROM facts)
+        WHERE symbol IN (SELECT symbol FROM canon WHERE volume > 0)""",
+    CANON,
+)
+q(
+    "purge_orphans_no_bars",
+    lambda x: reconcile.purge_orphans(orphaned(x), x.bars_raw.where("symbol = 'none'"), BARS),
+    "SELECT fact_id, lpad(CAST(fact_id * 7 % 400 AS VARCHAR), 6, '0') || '.SZ' AS symbol FROM facts",
+)
 migrated = lambda x: reconcile.volume_unit_migration(x.bars_raw.withColumn("amount", F.when(F.col("volume") % 10 == 0, 4e-310).otherwise(F.col("amount"))), ["vendor_b"])
-q("volume_unit_migration", lambda x: reconcile.volume_unit_migration(migrated(x), ["vendor_b"]).select(*KEYS, "source", "volume", "amount", "data_version"), "SELECT symbol, trade_date, source, CASE WHEN source = 'vendor_b' THEN volume * 100 ELSE volume END AS volume, CASE WHEN volume % 10 = 0 THEN 0 ELSE amount END AS amount, 'v2' AS data_version FROM bars_raw")
+q(
+    "volume_unit_migration",
+    lambda x: reconcile.volume_unit_migration(migrated(x), ["vendor_b"]).select(*KEYS, "source", "volume", "amount", "data_version"),
+    """SELECT symbol, trade_date, source, CASE WHEN source = 'vendor_b' THEN volume * 100 ELSE volume END AS volume,
+        CASE WHEN volume % 10 = 0 THEN 0 ELSE amount END AS amount, 'v2' AS data_version FROM bars_raw""",
+)
 
 # Research reads
-q("adjust_hfq", lambda x: x.adjusted.select(*KEYS, "adj_open", "adj_close", "adj_is_exact"), "SELECT b.symbol, b.trade_date, open * coalesce(factor, 1) AS adj_open, close * coalesce(factor, 1) AS adj_close, factor IS NOT NULL AS adj_is_exact FROM bars b LEFT JOIN factor_events f USING (symbol, trade_date)")
+q(
+    "adjust_hfq",
+    lambda x: x.adjusted.select(*KEYS, "adj_open", "adj_close", "adj_is_exact"),
+    """SELECT b.symbol, b.trade_date, open * coalesce(factor, 1) AS adj_open, close * coalesce(factor, 1) AS adj_close, factor IS NOT NULL AS adj_is_exact
+        FROM bars b LEFT JOIN factor_events f USING (symbol, trade_date)""",
+)
 QFQ = "qfq AS (SELECT b.symbol, b.trade_date, close, close * coalesce(factor / anchor, 1) AS adj_close, factor / anchor IS NOT NULL AS adj_is_exact FROM bars b LEFT JOIN factor_events f USING (symbol, trade_date) LEFT JOIN (SELECT f.symbol, max_by(factor, f.trade_date) AS anchor FROM factor_events f JOIN (SELECT symbol, max(trade_date) AS last FROM bars GROUP BY 1) l ON l.symbol = f.symbol AND f.trade_date <= last GROUP BY 1) a ON a.symbol = b.symbol)"
 qfq = lambda x: research.adjust_qfq(x.bars, x.factor_events.select("symbol", "trade_date", "factor"))
-q("adjust_qfq", lambda x: qfq(x).select(*KEYS, r9("adj_close").alias("adj_close"), "adj_is_exact"), "SELECT symbol, trade_date, round(adj_close, 9) AS adj_close, adj_is_exact FROM qfq", QFQ)
-q("daily_bars_adj", lambda x: qfq(x).select(*KEYS, "close", r9("adj_close").alias("adj_close"), "adj_is_exact").where("adj_is_exact"), "SELECT symbol, trade_date, close, round(adj_close, 9) AS adj_close, adj_is_exact FROM qfq WHERE adj_is_exact", QFQ)
-q("adjust_tick", lambda x: research.adjust_hfq(x.ticks.select("event_id", "symbol", "trade_date", "price"), x.factor_events.select("symbol", "trade_date", "factor"), ("price",)).select("event_id", "adj_price", "adj_is_exact"), "SELECT event_id, price * coalesce(factor, 1) AS adj_price, factor IS NOT NULL AS adj_is_exact FROM ticks LEFT JOIN factor_events USING (symbol, trade_date)")
-q("universe_filter", lambda x: research.universe(x.bars, x.instruments, x.status).select(*KEYS), f"SELECT b.symbol, b.trade_date FROM bars b LEFT JOIN instruments i USING (symbol) ANTI JOIN (SELECT * FROM status WHERE {BAD}) s ON s.symbol = b.symbol AND s.trade_date = b.trade_date WHERE {CLASS.replace('symbol', 'b.symbol')} AND coalesce(list_date <= b.trade_date, TRUE) AND coalesce(b.trade_date <= delist_date, TRUE)")
-q("universe_strict", lambda x: research.missing_status(x.bars, x.status), "SELECT symbol, trade_date FROM bars ANTI JOIN status USING (symbol, trade_date)")
-q("tradable_on_date", lambda x: research.tradable_on(x.instruments, x.status, "2024-01-10"), f"SELECT i.symbol FROM instruments i ANTI JOIN (SELECT * FROM status WHERE {BAD} AND trade_date = DATE '2024-01-10') s ON s.symbol = i.symbol WHERE {CLASS.replace('symbol', 'i.symbol')} AND coalesce(list_date <= DATE '2024-01-10', TRUE) AND coalesce(DATE '2024-01-10' <= delist_date, TRUE)")
-q("pit_classify", lambda x: research.pit_classify(research.pit_normalize(x.facts), "1997-06-30").select("fact_id", "pit_is_exact", "pit_quality"), "SELECT fact_id, pit_is_exact, CASE WHEN pit_is_exact THEN 'exact' WHEN regexp_matches(source, '(?i)backfill|reconstruct|snapshot') THEN 'reconstructed' ELSE 'observed_later' END AS pit_quality FROM vis", VISIBLE)
-q("pit_strict", lambda x: research.pit_classify(research.pit_normalize(x.facts), "1997-06-30", "strict").select("fact_id"), "SELECT fact_id FROM vis WHERE pit_is_exact", VISIBLE)
+q(
+    "adjust_qfq",
+    lambda x: qfq(x).select(*KEYS, r9("adj_close").alias("adj_close"), "adj_is_exact"),
+    "SELECT symbol, trade_date, round(adj_close, 9) AS adj_close, adj_is_exact FROM qfq",
+    QFQ,
+)
+q(
+    "daily_bars_adj",
+    lambda x: qfq(x).select(*KEYS, "close", r9("adj_close").alias("adj_close"), "adj_is_exact").where("adj_is_exact"),
+    "SELECT symbol, trade_date, close, round(adj_close, 9) AS adj_close, adj_is_exact FROM qfq WHERE adj_is_exact",
+    QFQ,
+)
+q(
+    "adjust_tick",
+    lambda x: research.adjust_hfq(x.ticks.select("event_id", "symbol", "trade_date", "price"), x.factor_events.select("symbol", "trade_date", "factor"), ("price",)).select("event_id", "adj_price", "adj_is_exact"),
+    """SELECT event_id, price * coalesce(factor, 1) AS adj_price, factor IS NOT NULL AS adj_is_exact FROM ticks
+        LEFT JOIN factor_events USING (symbol, trade_date)""",
+)
+q(
+    "universe_filter",
+    lambda x: research.universe(x.bars, x.instruments, x.status).select(*KEYS),
+    f"""SELECT b.symbol, b.trade_date FROM bars b LEFT JOIN instruments i USING (symbol) ANTI JOIN (SELECT *
+        FROM status WHERE {BAD}) s ON s.symbol = b.symbol AND s.trade_date = b.trade_date
+        WHERE {CLASS.replace('symbol', 'b.symbol')} AND coalesce(list_date <= b.trade_date, TRUE) AND coalesce(b.trade_date <= delist_date, TRUE)""",
+)
+q(
+    "universe_strict",
+    lambda x: research.missing_status(x.bars, x.status),
+    "SELECT symbol, trade_date FROM bars ANTI JOIN status USING (symbol, trade_date)",
+)
+q(
+    "tradable_on_date",
+    lambda x: research.tradable_on(x.instruments, x.status, "2024-01-10"),
+    f"""SELECT i.symbol FROM instruments i ANTI JOIN (SELECT * FROM status
+        WHERE {BAD} AND trade_date = DATE '2024-01-10') s ON s.symbol = i.symbol
+        WHERE {CLASS.replace('symbol', 'i.symbol')} AND coalesce(list_date <= DATE '2024-01-10', TRUE) AND coalesce(DATE '2024-01-10' <= delist_date, TRUE)""",
+)
+q(
+    "pit_classify",
+    lambda x: research.pit_classify(research.pit_normalize(x.facts), "1997-06-30").select("fact_id", "pit_is_exact", "pit_quality"),
+    """SELECT fact_id, pit_is_exact,
+        CASE WHEN pit_is_exact THEN 'exact' WHEN regexp_matches(source, '(?i)backfill|reconstruct|snapshot') THEN 'reconstructed' ELSE 'observed_later' END AS pit_quality
+        FROM vis""",
+    VISIBLE,
+)
+q(
+    "pit_strict",
+    lambda x: research.pit_classify(research.pit_normalize(x.facts), "1997-06-30", "strict").select("fact_id"),
+    "SELECT fact_id FROM vis WHERE pit_is_exact",
+    VISIBLE,
+)
 FACT = ["symbol", "report_period", "item_code"]
-q("pit_collapse", lambda x: research.pit_collapse(research.pit_classify(research.pit_normalize(x.facts), "1997-06-30"), FACT, ["fact_id"]).select(*FACT, "fact_id", "item_value"), "SELECT symbol, report_period, item_code, fact_id, item_value FROM vis QUALIFY row_number() OVER (PARTITION BY symbol, report_period, item_code ORDER BY announce_date DESC, observed_at DESC, fetched_at DESC, fact_id DESC) = 1", VISIBLE)
-q("revision_id", lambda x: x.facts.select("fact_id", research.revision_id(x.facts, ["symbol", "report_period", "item_code", "source"]).alias("revision_id")), f"SELECT fact_id, md5({coded('item_code', 'report_period', 'source', 'symbol')}) AS revision_id FROM facts")
-q("pit_pivot", lambda x: research.pit_pivot(x.facts, ["symbol", "report_period"], ["1-URGENT", "5-LOW"], ["fact_id"]).where("`1-URGENT` IS NOT NULL OR `5-LOW` IS NOT NULL").select("symbol", "report_period", F.col("`1-URGENT`").alias("urgent"), F.col("`5-LOW`").alias("low")), "SELECT * FROM (SELECT symbol, report_period, max_by(item_value, (announce_date, fact_id)) FILTER (item_code = '1-URGENT') AS urgent, max_by(item_value, (announce_date, fact_id)) FILTER (item_code = '5-LOW') AS low FROM facts GROUP BY 1, 2) WHERE urgent IS NOT NULL OR low IS NOT NULL")
-q("resolve_symbol", lambda x: research.resolve_symbol(x.instruments, "30", 25).select("symbol", "name"), "SELECT symbol, name FROM instruments WHERE symbol LIKE '30%' OR name LIKE '%30%' ORDER BY delist_date IS NOT NULL, symbol LIMIT 25")
-q("page", lambda x: research.paged(x.bars, KEYS, 50, 120).select(*KEYS, "close", "total", "truncated"), "SELECT symbol, trade_date, close, (SELECT count(*) FROM bars) AS total, TRUE AS truncated FROM bars ORDER BY symbol, trade_date LIMIT 50 OFFSET 120")
-q("page_info", lambda x: research.page_info(x.bars_raw, 50, 120).select("total", "returned", "truncated", F.array_join("sources", ",").alias("sources")), "SELECT count(*) AS total, least(50, count(*) - 120) AS returned, count(*) > 170 AS truncated, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM bars_raw")
-q("daily_return", lambda x: research.daily_return(x.bars).select(*KEYS, r9("ret").alias("ret")), "SELECT symbol, trade_date, round(close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY trade_date), 0) - 1, 9) AS ret FROM bars")
-q("return_since_first", lambda x: research.return_since_first(x.bars).select(*KEYS, r9("since_first").alias("since_first")), "SELECT symbol, trade_date, round(close / nullif(first_value(close) OVER (PARTITION BY symbol ORDER BY trade_date), 0) - 1, 9) AS since_first FROM bars")
-q("top_k_avg", lambda x: research.top_k_avg(x.adjusted, 20), "SELECT symbol, max(trade_date) AS last, round(avg(close * factor), 4) AS mean FROM bars JOIN factor_events USING (symbol, trade_date) GROUP BY 1 ORDER BY mean DESC, symbol LIMIT 20")
-q("survivorship_return", lambda x: research.survivorship_return(x.hfq, x.instruments, "2024-01-02", "2024-01-25").select("n_all", r9("ret_all").alias("ret_all"), "n_alive", r9("ret_alive").alias("ret_alive")), """SELECT count(*) AS n_all, round(avg(z / a - 1), 9) AS ret_all, count(*) FILTER (delist_date IS NULL) AS n_alive, round(avg(z / a - 1) FILTER (delist_date IS NULL), 9) AS ret_alive
- FROM (SELECT symbol, min_by(adj_close, trade_date) AS a, max_by(adj_close, trade_date) AS z, min(trade_date) AS d FROM hfq WHERE trade_date BETWEEN DATE '2024-01-02' AND DATE '2024-01-25' GROUP BY 1) LEFT JOIN instruments USING (symbol) WHERE d = DATE '2024-01-02'""", HFQ)
-q("valuation_percentile", lambda x: research.percentile_in_window(x.bars, "close").select(*KEYS, r9("pct").alias("pct")), "SELECT symbol, trade_date, round(cume_dist() OVER (PARTITION BY symbol ORDER BY close), 9) AS pct FROM bars")
-q("factor_ic", lambda x: research.factor_ic(x.bars, "amount").select("trade_date", "n", F.round("ic", 6).alias("ic")), "SELECT trade_date, count(*) AS n, round(corr(a, b), 6) AS ic FROM (SELECT trade_date, rank() OVER (PARTITION BY trade_date ORDER BY amount) AS a, rank() OVER (PARTITION BY trade_date ORDER BY r) AS b FROM (SELECT *, lead(close) OVER (PARTITION BY symbol ORDER BY trade_date) / nullif(close, 0) - 1 AS r FROM bars) WHERE r IS NOT NULL AND amount IS NOT NULL) GROUP BY 1")
+q(
+    "pit_collapse",
+    lambda x: research.pit_collapse(research.pit_classify(research.pit_normalize(x.facts), "1997-06-30"), FACT, ["fact_id"]).select(*FACT, "fact_id", "item_value"),
+    """SELECT symbol, report_period, item_code, fact_id, item_value FROM vis
+        QUALIFY row_number() OVER (PARTITION BY symbol, report_period, item_code
+        ORDER BY announce_date DESC, observed_at DESC, fetched_at DESC, fact_id DESC) = 1""",
+    VISIBLE,
+)
+q(
+    "revision_id",
+    lambda x: x.facts.select("fact_id", research.revision_id(x.facts, ["symbol", "report_period", "item_code", "source"]).alias("revision_id")),
+    f"SELECT fact_id, md5({coded('item_code', 'report_period', 'source', 'symbol')}) AS revision_id FROM facts",
+)
+q(
+    "pit_pivot",
+    lambda x: research.pit_pivot(x.facts, ["symbol", "report_period"], ["1-URGENT", "5-LOW"], ["fact_id"]).where("`1-URGENT` IS NOT NULL OR `5-LOW` IS NOT NULL").select("symbol", "report_period", F.col("`1-URGENT`").alias("urgent"), F.col("`5-LOW`").alias("low")),
+    """SELECT *
+        FROM (SELECT symbol, report_period, max_by(item_value, (announce_date, fact_id)) FILTER (item_code = '1-URGENT') AS urgent, max_by(item_value, (announce_date, fact_id)) FILTER (item_code = '5-LOW') AS low
+        FROM facts GROUP BY 1, 2) WHERE urgent IS NOT NULL OR low IS NOT NULL""",
+)
+q(
+    "resolve_symbol",
+    lambda x: research.resolve_symbol(x.instruments, "30", 25).select("symbol", "name"),
+    """SELECT symbol, name FROM instruments WHERE symbol LIKE '30%' OR name LIKE '%30%'
+        ORDER BY delist_date IS NOT NULL, symbol LIMIT 25""",
+)
+q(
+    "page",
+    lambda x: research.paged(x.bars, KEYS, 50, 120).select(*KEYS, "close", "total", "truncated"),
+    """SELECT symbol, trade_date, close, (SELECT count(*) FROM bars) AS total, TRUE AS truncated FROM bars
+        ORDER BY symbol, trade_date LIMIT 50 OFFSET 120""",
+)
+q(
+    "page_info",
+    lambda x: research.page_info(x.bars_raw, 50, 120).select("total", "returned", "truncated", F.array_join("sources", ",").alias("sources")),
+    """SELECT count(*) AS total, least(50, count(*) - 120) AS returned,
+        count(*) > 170 AS truncated, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM bars_raw""",
+)
+q(
+    "daily_return",
+    lambda x: research.daily_return(x.bars).select(*KEYS, r9("ret").alias("ret")),
+    """SELECT symbol, trade_date, round(close / nullif(lag(close) OVER (PARTITION BY symbol
+        ORDER BY trade_date), 0) - 1, 9) AS ret FROM bars""",
+)
+q(
+    "return_since_first",
+    lambda x: research.return_since_first(x.bars).select(*KEYS, r9("since_first").alias("since_first")),
+    """SELECT symbol, trade_date, round(close / nullif(first_value(close) OVER (PARTITION BY symbol
+        ORDER BY trade_date), 0) - 1, 9) AS since_first FROM bars""",
+)
+q(
+    "top_k_avg",
+    lambda x: research.top_k_avg(x.adjusted, 20),
+    """SELECT symbol, max(trade_date) AS last, round(avg(close * factor), 4) AS mean FROM bars
+        JOIN factor_events USING (symbol, trade_date) GROUP BY 1 ORDER BY mean DESC, symbol LIMIT 20""",
+)
+q(
+    "survivorship_return",
+    lambda x: research.survivorship_return(x.hfq, x.instruments, "2024-01-02", "2024-01-25").select("n_all", r9("ret_all").alias("ret_all"), "n_alive", r9("ret_alive").alias("ret_alive")),
+    """SELECT count(*) AS n_all, round(avg(z / a - 1), 9) AS ret_all, count(*) FILTER (delist_date IS NULL) AS n_alive, round(avg(z / a - 1) FILTER (delist_date IS NULL), 9) AS ret_alive
+ FROM (SELECT symbol, min_by(adj_close, trade_date) AS a, max_by(adj_close, trade_date) AS z, min(trade_date) AS d FROM hfq WHERE trade_date BETWEEN DATE '2024-01-02' AND DATE '2024-01-25' GROUP BY 1) LEFT JOIN instruments USING (symbol) WHERE d = DATE '2024-01-02'""",
+    HFQ,
+)
+q(
+    "valuation_percentile",
+    lambda x: research.percentile_in_window(x.bars, "close").select(*KEYS, r9("pct").alias("pct")),
+    "SELECT symbol, trade_date, round(cume_dist() OVER (PARTITION BY symbol ORDER BY close), 9) AS pct FROM bars",
+)
+q(
+    "factor_ic",
+    lambda x: research.factor_ic(x.bars, "amount").select("trade_date", "n", F.round("ic", 6).alias("ic")),
+    """SELECT trade_date, count(*) AS n, round(corr(a, b), 6) AS ic
+        FROM (SELECT trade_date, rank() OVER (PARTITION BY trade_date
+        ORDER BY amount) AS a, rank() OVER (PARTITION BY trade_date ORDER BY r) AS b
+        FROM (SELECT *, lead(close) OVER (PARTITION BY symbol ORDER BY trade_date) / nullif(close, 0) - 1 AS r
+        FROM bars) WHERE r IS NOT NULL AND amount IS NOT NULL) GROUP BY 1""",
+)
 
 # Derived datasets
 q("align_factors", lambda x: x.factors.select(*KEYS, "factor"), "SELECT * FROM factors", FACTORS)
-q("missing_factor_keys", lambda x: derive.missing_factor_keys(x.bars, x.factor_events, "2024-01-10"), "SELECT symbol, trade_date FROM bars ANTI JOIN factor_events USING (symbol, trade_date) WHERE trade_date = DATE '2024-01-10'")
-q("bars_to_derive", lambda x: derive.bars_to_derive(x.bars, x.factor_events, "2024-01-20", x.instruments.where("delist_date IS NOT NULL")), "SELECT DISTINCT symbol, trade_date FROM bars b WHERE trade_date > DATE '2024-01-20' OR symbol IN (SELECT symbol FROM instruments WHERE delist_date IS NOT NULL) OR (trade_date = DATE '2024-01-20' AND NOT EXISTS (SELECT 1 FROM factor_events f WHERE f.symbol = b.symbol AND f.trade_date = b.trade_date))")
-q("uncovered_symbols", lambda x: derive.uncovered_symbols(x.bars, x.factor_events), "SELECT symbol FROM (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z, count(DISTINCT trade_date) AS n FROM bars GROUP BY 1) b LEFT JOIN (SELECT symbol, min(trade_date) AS fa, max(trade_date) AS fz, count(DISTINCT trade_date) AS fn FROM factor_events GROUP BY 1) f USING (symbol) WHERE fa IS NULL OR fa > a OR (fz >= z AND fn < n)")
-q("event_symbols", lambda x: derive.event_symbols(x.actions, x.instruments, "2024-01-05"), "SELECT symbol FROM actions WHERE ex_date = DATE '2024-01-05' UNION SELECT symbol FROM instruments WHERE list_date = DATE '2024-01-05'")
+q(
+    "missing_factor_keys",
+    lambda x: derive.missing_factor_keys(x.bars, x.factor_events, "2024-01-10"),
+    """SELECT symbol, trade_date FROM bars ANTI JOIN factor_events USING (symbol, trade_date)
+        WHERE trade_date = DATE '2024-01-10'""",
+)
+q(
+    "bars_to_derive",
+    lambda x: derive.bars_to_derive(x.bars, x.factor_events, "2024-01-20", x.instruments.where("delist_date IS NOT NULL")),
+    """SELECT DISTINCT symbol, trade_date FROM bars b
+        WHERE trade_date > DATE '2024-01-20' OR symbol IN (SELECT symbol FROM instruments
+        WHERE delist_date IS NOT NULL) OR (trade_date = DATE '2024-01-20' AND NOT EXISTS (SELECT 1
+        FROM factor_events f WHERE f.symbol = b.symbol AND f.trade_date = b.trade_date))""",
+)
+q(
+    "uncovered_symbols",
+    lambda x: derive.uncovered_symbols(x.bars, x.factor_events),
+    """SELECT symbol FROM (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z, count(DISTINCT trade_date) AS n
+        FROM bars GROUP BY 1) b LEFT JOIN (SELECT symbol, min(trade_date) AS fa, max(trade_date) AS fz,
+        count(DISTINCT trade_date) AS fn FROM factor_events GROUP BY 1) f USING (symbol)
+        WHERE fa IS NULL OR fa > a OR (fz >= z AND fn < n)""",
+)
+q(
+    "event_symbols",
+    lambda x: derive.event_symbols(x.actions, x.instruments, "2024-01-05"),
+    """SELECT symbol FROM actions WHERE ex_date = DATE '2024-01-05' UNION SELECT symbol FROM instruments
+        WHERE list_date = DATE '2024-01-05'""",
+)
 TERMS = "terms AS (SELECT symbol, ex_date, sum(coalesce(cash_dividend, 0)) AS cash, sum(coalesce(bonus_ratio, 0)) AS bonus, sum(coalesce(transfer_ratio, 0)) AS transfer, sum(coalesce(allotment_ratio, 0)) AS allotment, sum(coalesce(allotment_ratio * allotment_price, 0)) AS allotment_cash FROM actions GROUP BY 1, 2)"
-q("action_terms", lambda x: derive.action_terms(x.actions).select("symbol", "ex_date", *[r9(c).alias(c) for c in ("cash", "bonus", "transfer", "allotment", "allotment_cash")]), "SELECT symbol, ex_date, round(cash, 9) AS cash, round(bonus, 9) AS bonus, round(transfer, 9) AS transfer, round(allotment, 9) AS allotment, round(allotment_cash, 9) AS allotment_cash FROM terms", TERMS)
-q("factor_crosscheck", lambda x: derive.factor_crosscheck(x.bars, x.factors, x.actions).select("symbol", "n_days", F.round("worst_bps", 5).alias("worst_bps")), "SELECT symbol, count(*) AS n_days, round(max(bps), 5) AS worst_bps FROM (SELECT s.symbol, abs(step / (p / nullif(ref, 0)) - 1) * 10000 AS bps FROM (SELECT symbol, trade_date, lag(close) OVER w AS p, factor / nullif(lag(factor) OVER w, 0) AS step FROM bars JOIN factors USING (symbol, trade_date) WINDOW w AS (PARTITION BY symbol ORDER BY trade_date)) s JOIN (SELECT *, 1 + bonus + transfer + allotment AS den FROM terms) t ON t.symbol = s.symbol AND t.ex_date = s.trade_date, LATERAL (SELECT (p - cash + allotment_cash) / den AS ref) WHERE ref > 0 AND p <> 0) WHERE bps > 50 GROUP BY 1", FACTORS + ", " + TERMS)
-q("degenerate_action", lambda x: derive.degenerate_action(x.bars.withColumn("close", F.col("close") / 100), x.actions), "SELECT t.symbol, count(*) AS n_days, min(ex_date) AS first_date FROM (SELECT symbol, trade_date AS ex_date, lag(close / 100) OVER (PARTITION BY symbol ORDER BY trade_date) AS p FROM bars) b JOIN terms t USING (symbol, ex_date) WHERE p - cash + allotment_cash <= 0 GROUP BY 1", TERMS)
-q("factor_continuity", lambda x: derive.factor_continuity(x.bars.select(*KEYS, F.col("close").alias("factor")), 3).select("symbol", F.round("worst", 6).alias("worst")), "SELECT symbol, round(max(j), 6) AS worst FROM (SELECT symbol, greatest(r, 1 / nullif(r, 0)) AS j FROM (SELECT symbol, close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY trade_date), 0) AS r FROM bars)) WHERE j > 3 GROUP BY 1")
+q(
+    "action_terms",
+    lambda x: derive.action_terms(x.actions).select("symbol", "ex_date", *[r9(c).alias(c) for c in ("cash", "bonus", "transfer", "allotment", "allotment_cash")]),
+    """SELECT symbol, ex_date, round(cash, 9) AS cash, round(bonus, 9) AS bonus, round(transfer, 9) AS transfer,
+        round(allotment, 9) AS allotment, round(allotment_cash, 9) AS allotment_cash FROM terms""",
+    TERMS,
+)
+q(
+    "factor_crosscheck",
+    lambda x: derive.factor_crosscheck(x.bars, x.factors, x.actions).select("symbol", "n_days", F.round("worst_bps", 5).alias("worst_bps")),
+    """SELECT symbol, count(*) AS n_days, round(max(bps), 5) AS worst_bps
+        FROM (SELECT s.symbol, abs(step / (p / nullif(ref, 0)) - 1) * 10000 AS bps
+        FROM (SELECT symbol, trade_date, lag(close) OVER w AS p, factor / nullif(lag(factor) OVER w, 0) AS step
+        FROM bars JOIN factors USING (symbol, trade_date) WINDOW w AS (PARTITION BY symbol ORDER BY trade_date)) s
+        JOIN (SELECT *, 1 + bonus + transfer + allotment AS den
+        FROM terms) t ON t.symbol = s.symbol AND t.ex_date = s.trade_date, LATERAL (SELECT (p - cash + allotment_cash) / den AS ref)
+        WHERE ref > 0 AND p <> 0) WHERE bps > 50 GROUP BY 1""",
+    FACTORS + ", " + TERMS,
+)
+q(
+    "degenerate_action",
+    lambda x: derive.degenerate_action(x.bars.withColumn("close", F.col("close") / 100), x.actions),
+    """SELECT t.symbol, count(*) AS n_days, min(ex_date) AS first_date
+        FROM (SELECT symbol, trade_date AS ex_date, lag(close / 100) OVER (PARTITION BY symbol
+        ORDER BY trade_date) AS p FROM bars) b JOIN terms t USING (symbol, ex_date)
+        WHERE p - cash + allotment_cash <= 0 GROUP BY 1""",
+    TERMS,
+)
+q(
+    "factor_continuity",
+    lambda x: derive.factor_continuity(x.bars.select(*KEYS, F.col("close").alias("factor")), 3).select("symbol", F.round("worst", 6).alias("worst")),
+    """SELECT symbol, round(max(j), 6) AS worst FROM (SELECT symbol, greatest(r, 1 / nullif(r, 0)) AS j
+        FROM (SELECT symbol, close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY trade_date), 0) AS r
+        FROM bars)) WHERE j > 3 GROUP BY 1""",
+)
 q("market_breadth", lambda x: x.breadth, "SELECT trade_date, metric_id, value FROM breadth", BREADTH)
-q("limit_threshold", lambda x: x.status.select(*KEYS, S.limit_threshold(F.col("symbol"), F.coalesce("risk_warning", F.lit(False))).alias("limit")), f"SELECT symbol, trade_date, CAST({LIMIT} AS DOUBLE) AS \"limit\" FROM status")
-q("hfq_returns", lambda x: x.returns.select(*KEYS, r9("ret").alias("ret"), "amount"), "SELECT symbol, trade_date, round(ret, 9) AS ret, amount FROM rets", RETURNS)
+q(
+    "limit_threshold",
+    lambda x: x.status.select(*KEYS, S.limit_threshold(F.col("symbol"), F.coalesce("risk_warning", F.lit(False))).alias("limit")),
+    f"SELECT symbol, trade_date, CAST({LIMIT} AS DOUBLE) AS \"limit\" FROM status",
+)
+q(
+    "hfq_returns",
+    lambda x: x.returns.select(*KEYS, r9("ret").alias("ret"), "amount"),
+    "SELECT symbol, trade_date, round(ret, 9) AS ret, amount FROM rets",
+    RETURNS,
+)
 q("members_as_of", lambda x: derive.members_as_of(x.members, x.returns), "SELECT * FROM asof_members", RETURNS + ", " + AS_OF)
-q("industry_index", lambda x: x.index.select("trade_date", "industry_code", "level", "weighting", "n_members", "n_priced", "n_excluded", F.round("ret", 8).alias("ret"), F.round("amount", 2).alias("amount")), "SELECT trade_date, industry_code, level, weighting, n_members, n_priced, n_excluded, round(ret, 8) AS ret, round(amount, 2) AS amount FROM idx", INDEX)
+q(
+    "industry_index",
+    lambda x: x.index.select("trade_date", "industry_code", "level", "weighting", "n_members", "n_priced", "n_excluded", F.round("ret", 8).alias("ret"), F.round("amount", 2).alias("amount")),
+    """SELECT trade_date, industry_code, level, weighting, n_members, n_priced, n_excluded, round(ret, 8) AS ret,
+        round(amount, 2) AS amount FROM idx""",
+    INDEX,
+)
 q("suspension_history", lambda x: derive.suspension_history(x.bars, x.instruments, x.calendar), "SELECT * FROM gaps", LIFE)
-q("missing_session_keys", lambda x: derive.missing_session_keys(x.bars, x.instruments, x.calendar, x.status), "SELECT g.symbol, g.trade_date FROM gaps g ANTI JOIN (SELECT * FROM status WHERE status IN ('suspended', 'delisted') OR NOT coalesce(is_trading, FALSE)) s ON s.symbol = g.symbol AND s.trade_date = g.trade_date", LIFE)
-q("delisted_status_rows", lambda x: derive.delisted_status_rows(x.instruments, x.calendar), "SELECT symbol, trade_date, 'delisted' AS status, FALSE AS is_trading FROM instruments JOIN calendar ON trade_date >= delist_date")
-q("ending_pattern", lambda x: derive.ending_pattern(x.bars, 20, 10, 1, -0.8, -0.4, 200).select("symbol", "n_bars", "longest_gap", r9("worst_return").alias("worst_return"), r9("window_return").alias("window_return"), "pattern"), """SELECT symbol, n_bars, longest_gap, round(worst, 9) AS worst_return, round(w, 9) AS window_return, CASE WHEN n_bars < 10 THEN 'insufficient' WHEN longest_gap > 1 AND worst < -0.8 THEN 'consolidation' WHEN w < -0.4 AND last_close < 200 THEN 'abrupt_decline' ELSE 'abrupt_stable' END AS pattern
- FROM (SELECT symbol, count(*) AS n_bars, max(gap) AS longest_gap, min(r) AS worst, max_by(close, trade_date) / nullif(min_by(close, trade_date), 0) - 1 AS w, max_by(close, trade_date) AS last_close FROM (SELECT *, trade_date - lag(trade_date) OVER v AS gap, close / nullif(lag(close) OVER v, 0) - 1 AS r FROM (SELECT * FROM bars QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY trade_date DESC) <= 20) WINDOW v AS (PARTITION BY symbol ORDER BY trade_date)) GROUP BY 1)""")
+q(
+    "missing_session_keys",
+    lambda x: derive.missing_session_keys(x.bars, x.instruments, x.calendar, x.status),
+    """SELECT g.symbol, g.trade_date FROM gaps g ANTI JOIN (SELECT * FROM status
+        WHERE status IN ('suspended', 'delisted') OR NOT coalesce(is_trading, FALSE)) s ON s.symbol = g.symbol AND s.trade_date = g.trade_date""",
+    LIFE,
+)
+q(
+    "delisted_status_rows",
+    lambda x: derive.delisted_status_rows(x.instruments, x.calendar),
+    """SELECT symbol, trade_date, 'delisted' AS status, FALSE AS is_trading FROM instruments
+        JOIN calendar ON trade_date >= delist_date""",
+)
+q(
+    "ending_pattern",
+    lambda x: derive.ending_pattern(x.bars, 20, 10, 1, -0.8, -0.4, 200).select("symbol", "n_bars", "longest_gap", r9("worst_return").alias("worst_return"), r9("window_return").alias("window_return"), "pattern"),
+    """SELECT symbol, n_bars, longest_gap, round(worst, 9) AS worst_return, round(w, 9) AS window_return, CASE WHEN n_bars < 10 THEN 'insufficient' WHEN longest_gap > 1 AND worst < -0.8 THEN 'consolidation' WHEN w < -0.4 AND last_close < 200 THEN 'abrupt_decline' ELSE 'abrupt_stable' END AS pattern
+ FROM (SELECT symbol, count(*) AS n_bars, max(gap) AS longest_gap, min(r) AS worst, max_by(close, trade_date) / nullif(min_by(close, trade_date), 0) - 1 AS w, max_by(close, trade_date) AS last_close FROM (SELECT *, trade_date - lag(trade_date) OVER v AS gap, close / nullif(lag(close) OVER v, 0) - 1 AS r FROM (SELECT * FROM bars QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY trade_date DESC) <= 20) WINDOW v AS (PARTITION BY symbol ORDER BY trade_date)) GROUP BY 1)""",
+)
 LEX = {"the": 1.0, "tion": 2.0, "erh": -1.5, "la": -1.0}
 SCORE = "CASE WHEN p + n = 0 THEN 0 ELSE (p - n) / (p + n) END"
 SCORED = f"scored AS (SELECT *, CAST({SCORE} AS DOUBLE) AS score FROM (SELECT *, CASE WHEN contains(title, 'the') THEN 1.0 ELSE 0 END + CASE WHEN contains(title, 'tion') THEN 2.0 ELSE 0 END AS p, CASE WHEN contains(title, 'erh') THEN 1.5 ELSE 0 END + CASE WHEN contains(title, 'la') THEN 1.0 ELSE 0 END AS n FROM headlines))"
-q("keyword_sentiment", lambda x: x.headlines.select("conv_id", "turn", r9(derive.keyword_sentiment(F.col("title"), LEX)).alias("score")), "SELECT conv_id, turn, round(score, 9) AS score FROM scored", SCORED)
-q("announcement_sentiment", lambda x: x.headlines.groupBy("trade_date", (F.col("conv_id") % 50).alias("name")).agg(F.round(F.avg(derive.keyword_sentiment(F.col("title"), LEX)), 8).alias("score"), F.count("*").alias("n")), "SELECT trade_date, conv_id % 50 AS name, round(avg(score), 8) AS score, count(*) AS n FROM scored GROUP BY 1, 2", SCORED)
-q("headline_sentiment", lambda x: derive.headline_sentiment(x.headlines, LEX).select("symbol", "trade_date", F.round("score", 8).alias("score"), "n"), "SELECT s AS symbol, trade_date, round(avg(score), 8) AS score, count(*) AS n FROM (SELECT trade_date, score, upper(trim(unnest(regexp_split_to_array(related_symbols, '[,;]')))) AS s FROM scored) WHERE regexp_matches(s, '^\\d+\\.[A-Z][A-Z]$') GROUP BY 1, 2", SCORED)
-q("sentiment_union", lambda x: lake.union_by_name([x.headlines.groupBy("trade_date").agg(F.count("*").alias("n")).withColumn("channel", F.lit("headlines")), x.facts.groupBy("announce_date").agg(F.count("*").alias("n")).withColumnRenamed("announce_date", "trade_date").withColumn("channel", F.lit("facts"))]), "SELECT trade_date, count(*) AS n, 'headlines' AS channel FROM headlines GROUP BY 1 UNION ALL SELECT announce_date, count(*), 'facts' FROM facts GROUP BY 1")
-q("trading_calendar", lambda x: derive.trading_calendar("2023-12-20", "2024-01-30", x.spark, x.calendar.where("trade_date = date'2024-01-03'").withColumn("is_trading", F.lit(False)), x.calendar.where("trade_date = date'2024-01-04'"), x.bars.where("trade_date <> date'2024-01-08'")), "SELECT d AS trade_date, CASE WHEN d = DATE '2024-01-03' THEN FALSE WHEN d = DATE '2024-01-04' THEN FALSE WHEN d <> DATE '2024-01-08' AND d IN (SELECT trade_date FROM bars) THEN TRUE WHEN d BETWEEN (SELECT min(trade_date) FROM bars) AND (SELECT max(trade_date) FROM bars) THEN FALSE ELSE isodow(d) < 6 END AS is_trading FROM (SELECT CAST(unnest(generate_series(DATE '2023-12-20', DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS d)")
-q("sessions", lambda x: derive.sessions(x.calendar, "2024-01-05", "2024-01-15"), "SELECT trade_date FROM calendar WHERE is_trading AND trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-15'")
+q(
+    "keyword_sentiment",
+    lambda x: x.headlines.select("conv_id", "turn", r9(derive.keyword_sentiment(F.col("title"), LEX)).alias("score")),
+    "SELECT conv_id, turn, round(score, 9) AS score FROM scored",
+    SCORED,
+)
+q(
+    "announcement_sentiment",
+    lambda x: x.headlines.groupBy("trade_date", (F.col("conv_id") % 50).alias("name")).agg(F.round(F.avg(derive.keyword_sentiment(F.col("title"), LEX)), 8).alias("score"), F.count("*").alias("n")),
+    """SELECT trade_date, conv_id % 50 AS name, round(avg(score), 8) AS score, count(*) AS n FROM scored
+        GROUP BY 1, 2""",
+    SCORED,
+)
+q(
+    "headline_sentiment",
+    lambda x: derive.headline_sentiment(x.headlines, LEX).select("symbol", "trade_date", F.round("score", 8).alias("score"), "n"),
+    """SELECT s AS symbol, trade_date, round(avg(score), 8) AS score, count(*) AS n
+        FROM (SELECT trade_date, score, upper(trim(unnest(regexp_split_to_array(related_symbols, '[,;]')))) AS s
+        FROM scored) WHERE regexp_matches(s, '^\\d+\\.[A-Z][A-Z]$') GROUP BY 1, 2""",
+    SCORED,
+)
+q(
+    "sentiment_union",
+    lambda x: lake.union_by_name([x.headlines.groupBy("trade_date").agg(F.count("*").alias("n")).withColumn("channel", F.lit("headlines")), x.facts.groupBy("announce_date").agg(F.count("*").alias("n")).withColumnRenamed("announce_date", "trade_date").withColumn("channel", F.lit("facts"))]),
+    """SELECT trade_date, count(*) AS n, 'headlines' AS channel FROM headlines GROUP BY 1
+        UNION ALL SELECT announce_date, count(*), 'facts' FROM facts GROUP BY 1""",
+)
+q(
+    "trading_calendar",
+    lambda x: derive.trading_calendar("2023-12-20", "2024-01-30", x.spark, x.calendar.where("trade_date = date'2024-01-03'").withColumn("is_trading", F.lit(False)), x.calendar.where("trade_date = date'2024-01-04'"), x.bars.where("trade_date <> date'2024-01-08'")),
+    """SELECT d AS trade_date,
+        CASE WHEN d = DATE '2024-01-03' THEN FALSE WHEN d = DATE '2024-01-04' THEN FALSE WHEN d <> DATE '2024-01-08' AND d IN (SELECT trade_date
+        FROM bars) THEN TRUE WHEN d BETWEEN (SELECT min(trade_date) FROM bars) AND (SELECT max(trade_date)
+        FROM bars) THEN FALSE ELSE isodow(d) < 6 END AS is_trading
+        FROM (SELECT CAST(unnest(generate_series(DATE '2023-12-20', DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS d)""",
+)
+q(
+    "sessions",
+    lambda x: derive.sessions(x.calendar, "2024-01-05", "2024-01-15"),
+    """SELECT trade_date FROM calendar
+        WHERE is_trading AND trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-15'""",
+)
 q("session_successors", lambda x: derive.successors(x.calendar), "SELECT * FROM sess", SESSIONS)
-q("incremental_window", lambda x: derive.incremental_window(x.calendar, "2024-01-20", 5), "SELECT min(trade_date) AS start, DATE '2024-01-20' AS \"end\" FROM (SELECT trade_date FROM calendar WHERE is_trading AND trade_date <= DATE '2024-01-20' ORDER BY 1 DESC LIMIT 5)")
-q("amount_supplement", lambda x: derive.amount_supplement(x.bars.withColumn("amount", F.when(F.col("volume") % 3 != 0, F.col("amount"))), x.other_bars).select(*KEYS, "amount"), "SELECT b.symbol, b.trade_date, CASE WHEN b.volume % 3 <> 0 THEN b.amount WHEN coalesce(b.close = o.close, FALSE) THEN o.amount END AS amount FROM bars b LEFT JOIN other_bars o USING (symbol, trade_date)")
-q("gapfill", lambda x: derive.gapfill(x.thin_bars, x.other_bars, KEYS).select(*KEYS, "close"), "SELECT symbol, trade_date, close FROM thin_bars UNION ALL SELECT symbol, trade_date, close FROM other_bars WHERE volume % 5 = 0")
-q("complete_membership_dates", lambda x: snapshots.gate_membership(x.members, ["as_of_date"], 100).where("passed").select("as_of_date", "n_members"), "SELECT as_of_date, count(DISTINCT symbol) AS n_members FROM members GROUP BY 1 HAVING count(DISTINCT symbol) >= 100")
-q("bar_resample", lambda x: derive.resample(x.minutes, 15).select("symbol", F.date_format("bar_time", "yyyy-MM-dd HH:mm").alias("bar"), "open", "high", "low", "close", "volume", F.round("amount", 2).alias("amount"), "n"), "SELECT symbol, strftime(time_bucket(INTERVAL 15 MINUTE, bar_time - INTERVAL 1 MINUTE) + INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M') AS bar, min_by(open, bar_time) AS open, max(high) AS high, min(low) AS low, max_by(close, bar_time) AS close, CAST(sum(volume) AS BIGINT) AS volume, round(sum(amount), 2) AS amount, count(*) AS n FROM minutes GROUP BY symbol, trade_date, 2")
-q("ticks_to_bars", lambda x: derive.ticks_to_bars(x.ticks.select("symbol", "trade_time", "tick_seq", "price", "volume"), 60).select("symbol", F.date_format("bar_time", "yyyy-MM-dd HH:mm").alias("bar"), "open", "high", "low", "close", "volume"), "SELECT symbol, strftime(time_bucket(INTERVAL 60 MINUTE, trade_time) + INTERVAL 60 MINUTE, '%Y-%m-%d %H:%M') AS bar, min_by(price, tick_seq) AS open, max(price) AS high, min(price) AS low, max_by(price, tick_seq) AS close, CAST(sum(volume) AS BIGINT) AS volume FROM ticks GROUP BY 1, 2")
-q("daily_bars_returns", lambda x: research.daily_return(x.hfq, "adj_close").select(*BAR, "adj_close", "adj_is_exact", r9("ret").alias("ret")), f"SELECT {', '.join(BAR)}, adj_close, adj_is_exact, round(adj_close / nullif(lag(adj_close) OVER (PARTITION BY symbol ORDER BY trade_date), 0) - 1, 9) AS ret FROM hfq", HFQ)
+q(
+    "incremental_window",
+    lambda x: derive.incremental_window(x.calendar, "2024-01-20", 5),
+    """SELECT min(trade_date) AS start, DATE '2024-01-20' AS "end" FROM (SELECT trade_date FROM calendar
+        WHERE is_trading AND trade_date <= DATE '2024-01-20' ORDER BY 1 DESC LIMIT 5)""",
+)
+q(
+    "amount_supplement",
+    lambda x: derive.amount_supplement(x.bars.withColumn("amount", F.when(F.col("volume") % 3 != 0, F.col("amount"))), x.other_bars).select(*KEYS, "amount"),
+    """SELECT b.symbol, b.trade_date,
+        CASE WHEN b.volume % 3 <> 0 THEN b.amount WHEN coalesce(b.close = o.close, FALSE) THEN o.amount END AS amount
+        FROM bars b LEFT JOIN other_bars o USING (symbol, trade_date)""",
+)
+q(
+    "gapfill",
+    lambda x: derive.gapfill(x.thin_bars, x.other_bars, KEYS).select(*KEYS, "close"),
+    """SELECT symbol, trade_date, close FROM thin_bars UNION ALL SELECT symbol, trade_date, close FROM other_bars
+        WHERE volume % 5 = 0""",
+)
+q(
+    "complete_membership_dates",
+    lambda x: snapshots.gate_membership(x.members, ["as_of_date"], 100).where("passed").select("as_of_date", "n_members"),
+    """SELECT as_of_date, count(DISTINCT symbol) AS n_members FROM members GROUP BY 1
+        HAVING count(DISTINCT symbol) >= 100""",
+)
+q(
+    "bar_resample",
+    lambda x: derive.resample(x.minutes, 15).select("symbol", F.date_format("bar_time", "yyyy-MM-dd HH:mm").alias("bar"), "open", "high", "low", "close", "volume", F.round("amount", 2).alias("amount"), "n"),
+    """SELECT symbol, strftime(time_bucket(INTERVAL 15 MINUTE, bar_time - INTERVAL 1 MINUTE) + INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M') AS bar, min_by(open, bar_time) AS open,
+        max(high) AS high, min(low) AS low, max_by(close, bar_time) AS close, CAST(sum(volume) AS BIGINT) AS volume,
+        round(sum(amount), 2) AS amount, count(*) AS n FROM minutes GROUP BY symbol, trade_date, 2""",
+)
+q(
+    "ticks_to_bars",
+    lambda x: derive.ticks_to_bars(x.ticks.select("symbol", "trade_time", "tick_seq", "price", "volume"), 60).select("symbol", F.date_format("bar_time", "yyyy-MM-dd HH:mm").alias("bar"), "open", "high", "low", "close", "volume"),
+    """SELECT symbol, strftime(time_bucket(INTERVAL 60 MINUTE, trade_time) + INTERVAL 60 MINUTE, '%Y-%m-%d %H:%M') AS bar, min_by(price, tick_seq) AS open,
+        max(price) AS high, min(price) AS low, max_by(price, tick_seq) AS close, CAST(sum(volume) AS BIGINT) AS volume
+        FROM ticks GROUP BY 1, 2""",
+)
+q(
+    "daily_bars_returns",
+    lambda x: research.daily_return(x.hfq, "adj_close").select(*BAR, "adj_close", "adj_is_exact", r9("ret").alias("ret")),
+    f"""SELECT {', '.join(BAR)}, adj_close, adj_is_exact,
+        round(adj_close / nullif(lag(adj_close) OVER (PARTITION BY symbol ORDER BY trade_date), 0) - 1, 9) AS ret
+        FROM hfq""",
+    HFQ,
+)
 
 # Data quality
 DAY = "2024-01-10"
-q("pk_duplicates", lambda x: quality.pk_duplicates(x.bars_raw, KEYS), "SELECT CAST(sum(n - 1) AS BIGINT) AS n_duplicates, count(*) AS n_keys FROM (SELECT count(*) AS n FROM bars_raw GROUP BY symbol, trade_date HAVING count(*) > 1)")
-q("pk_duplicates_partitioned", lambda x: quality.pk_duplicates(x.bars_raw, KEYS, "trade_date"), "SELECT trade_date, CAST(sum(n - 1) AS BIGINT) AS n_duplicates, count(*) AS n_keys FROM (SELECT trade_date, count(*) AS n FROM bars_raw GROUP BY symbol, trade_date HAVING count(*) > 1) GROUP BY 1")
-q("scalar_stats", lambda x: quality.scalar_stats(x.bars_raw, ["close", "fetched_at"], "vendor_c"), "SELECT count(*) AS n_rows, count(*) FILTER (source = 'vendor_c') AS n_mock, count(*) FILTER (close IS NULL) AS null_close, count(*) FILTER (fetched_at IS NULL) AS null_fetched_at FROM bars_raw")
-q("required_nulls", lambda x: quality.required_nulls(x.bars_raw, ["symbol", "fetched_at"]), "SELECT 'symbol' AS \"column\", count(*) FILTER (symbol IS NULL) AS n FROM bars_raw UNION ALL SELECT 'fetched_at', count(*) FILTER (fetched_at IS NULL) FROM bars_raw")
-q("row_mutation", lambda x: quality.row_mutation(x.bars, "trade_date", "day", 10, 0.98).drop("elapsed"), "SELECT * FROM (SELECT period, n_rows, n_symbols, lag(n_rows) OVER (ORDER BY period) AS prior_rows, lag(n_symbols) OVER (ORDER BY period) AS prior_symbols FROM (SELECT strftime(trade_date, '%Y-%m-%d') AS period, count(*) AS n_rows, count(DISTINCT symbol) AS n_symbols FROM bars GROUP BY 1)) WHERE prior_rows >= 10 AND (n_rows < 0.98 * prior_rows OR n_symbols < 0.98 * prior_symbols)")
-q("row_mutation_elapsed", lambda x: quality.row_mutation(x.facts.where("announce_date <= date'1998-03-10'").withColumn("symbol", F.lit("s")), "announce_date", "month", 5, 1.0, "1998-03-10"), "SELECT * FROM (SELECT *, CASE period WHEN '1998-03' THEN 10 / 31 ELSE 1.0 END AS elapsed FROM (SELECT period, n_rows, 1 AS n_symbols, lag(n_rows) OVER (ORDER BY period) AS prior_rows, CASE WHEN lag(n_rows) OVER (ORDER BY period) IS NOT NULL THEN 1 END AS prior_symbols FROM (SELECT strftime(announce_date, '%Y-%m') AS period, count(*) AS n_rows FROM facts WHERE announce_date <= DATE '1998-03-10' GROUP BY 1))) WHERE prior_rows >= 5 AND n_rows < prior_rows * elapsed")
-q("fragmentation", lambda x: quality.fragmentation(x.facts, "announce_date", "month"), "SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_partitions, sum(n) / count(*) AS rows_per_partition FROM (SELECT count(*) AS n FROM facts GROUP BY strftime(announce_date, '%Y-%m'))")
+q(
+    "pk_duplicates",
+    lambda x: quality.pk_duplicates(x.bars_raw, KEYS),
+    """SELECT CAST(sum(n - 1) AS BIGINT) AS n_duplicates, count(*) AS n_keys FROM (SELECT count(*) AS n FROM bars_raw
+        GROUP BY symbol, trade_date HAVING count(*) > 1)""",
+)
+q(
+    "pk_duplicates_partitioned",
+    lambda x: quality.pk_duplicates(x.bars_raw, KEYS, "trade_date"),
+    """SELECT trade_date, CAST(sum(n - 1) AS BIGINT) AS n_duplicates, count(*) AS n_keys FROM (SELECT trade_date,
+        count(*) AS n FROM bars_raw GROUP BY symbol, trade_date HAVING count(*) > 1) GROUP BY 1""",
+)
+q(
+    "scalar_stats",
+    lambda x: quality.scalar_stats(x.bars_raw, ["close", "fetched_at"], "vendor_c"),
+    """SELECT count(*) AS n_rows, count(*) FILTER (source = 'vendor_c') AS n_mock,
+        count(*) FILTER (close IS NULL) AS null_close, count(*) FILTER (fetched_at IS NULL) AS null_fetched_at
+        FROM bars_raw""",
+)
+q(
+    "required_nulls",
+    lambda x: quality.required_nulls(x.bars_raw, ["symbol", "fetched_at"]),
+    """SELECT 'symbol' AS "column", count(*) FILTER (symbol IS NULL) AS n FROM bars_raw
+        UNION ALL SELECT 'fetched_at', count(*) FILTER (fetched_at IS NULL) FROM bars_raw""",
+)
+q(
+    "row_mutation",
+    lambda x: quality.row_mutation(x.bars, "trade_date", "day", 10, 0.98).drop("elapsed"),
+    """SELECT *
+        FROM (SELECT period, n_rows, n_symbols, lag(n_rows) OVER (ORDER BY period) AS prior_rows, lag(n_symbols) OVER (ORDER BY period) AS prior_symbols
+        FROM (SELECT strftime(trade_date, '%Y-%m-%d') AS period, count(*) AS n_rows,
+        count(DISTINCT symbol) AS n_symbols FROM bars GROUP BY 1))
+        WHERE prior_rows >= 10 AND (n_rows < 0.98 * prior_rows OR n_symbols < 0.98 * prior_symbols)""",
+)
+q(
+    "row_mutation_elapsed",
+    lambda x: quality.row_mutation(x.facts.where("announce_date <= date'1998-03-10'").withColumn("symbol", F.lit("s")), "announce_date", "month", 5, 1.0, "1998-03-10"),
+    """SELECT * FROM (SELECT *, CASE period WHEN '1998-03' THEN 10 / 31 ELSE 1.0 END AS elapsed
+        FROM (SELECT period, n_rows, 1 AS n_symbols, lag(n_rows) OVER (ORDER BY period) AS prior_rows,
+        CASE WHEN lag(n_rows) OVER (ORDER BY period) IS NOT NULL THEN 1 END AS prior_symbols
+        FROM (SELECT strftime(announce_date, '%Y-%m') AS period, count(*) AS n_rows FROM facts
+        WHERE announce_date <= DATE '1998-03-10' GROUP BY 1))) WHERE prior_rows >= 5 AND n_rows < prior_rows * elapsed""",
+)
+q(
+    "fragmentation",
+    lambda x: quality.fragmentation(x.facts, "announce_date", "month"),
+    """SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_partitions, sum(n) / count(*) AS rows_per_partition
+        FROM (SELECT count(*) AS n FROM facts GROUP BY strftime(announce_date, '%Y-%m'))""",
+)
 CAL = "cal AS (SELECT trade_date, isodow(trade_date) < 6 AS is_trading FROM calendar)"
 weekdays = lambda x: canonical.close_calendar(x.calendar)
-q("calendar_reconcile", lambda x: quality.calendar_reconcile(x.bars.where("trade_date <> date'2024-01-09'"), weekdays(x)), "SELECT DISTINCT trade_date, 'not_a_session' AS \"check\" FROM bars WHERE isodow(trade_date) >= 6 UNION ALL SELECT DATE '2024-01-09', 'session_without_bar'")
-q("index_calendar_coverage", lambda x: quality.coverage_by_series(x.bars, x.calendar), "SELECT symbol, count(*) AS n_missing, min(trade_date) AS first_missing FROM (SELECT s.symbol, c.trade_date FROM (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z FROM bars GROUP BY 1) s JOIN calendar c ON c.is_trading AND c.trade_date BETWEEN a AND z) w ANTI JOIN bars USING (symbol, trade_date) GROUP BY 1")
-q("calendar_horizon", lambda x: quality.calendar_horizon(x.calendar, "2024-01-25"), "SELECT count(*) AS n, max(trade_date) AS last FROM calendar WHERE is_trading AND trade_date > DATE '2024-01-25'")
-q("valuation_coverage_ratio", lambda x: quality.coverage_ratio(x.other_bars, x.bars), "SELECT trade_date, count(*) AS n, count(o.symbol) / count(*) AS ratio FROM bars b LEFT JOIN other_bars o USING (symbol, trade_date) GROUP BY 1")
-q("last_dense_valuation", lambda x: quality.last_dense(x.other_bars, x.bars, 0.95), "SELECT max(trade_date) AS trade_date FROM (SELECT trade_date FROM bars b LEFT JOIN other_bars o USING (symbol, trade_date) GROUP BY 1 HAVING count(o.symbol) / count(*) >= 0.95)")
-q("valuation_orphans", lambda x: quality.orphans(x.bars, x.instruments), "SELECT DISTINCT symbol FROM bars WHERE symbol NOT IN (SELECT symbol FROM instruments)")
-q("adjusted_returns", lambda x: quality.adjusted_returns(x.hfq).select(*KEYS, "prior_date", r9("raw").alias("raw"), r9("adj").alias("adj"), r9("divergence").alias("divergence")), "SELECT symbol, trade_date, prior_date, round(raw, 9) AS raw, round(adj, 9) AS adj, round(abs(adj - raw), 9) AS divergence FROM (SELECT symbol, trade_date, lag(trade_date) OVER w AS prior_date, close / nullif(lag(close) OVER w, 0) - 1 AS raw, adj_close / nullif(lag(adj_close) OVER w, 0) - 1 AS adj FROM hfq WINDOW w AS (PARTITION BY symbol ORDER BY trade_date)) WHERE raw IS NOT NULL", HFQ)
-q("adj_reconcile", lambda x: quality.adj_reconcile(x.hfq, x.calendar, x.actions.where("cash_dividend > 0.3"), 0.05, 1.0, 0.005), """SELECT symbol, trade_date, 'error' AS severity FROM ar JOIN sess USING (trade_date) WHERE ar.prior_date = sess.prior_date AND abs(adj) > 0.05 AND abs(adj - raw) > 0.05
- UNION ALL SELECT symbol, trade_date, 'warning' FROM ar WHERE abs(adj) <= 1.0 AND abs(adj - raw) > 0.005 AND NOT EXISTS (SELECT 1 FROM actions x WHERE cash_dividend > 0.3 AND x.symbol = ar.symbol AND ex_date > prior_date AND ex_date <= ar.trade_date)""", HFQ + ", " + SESSIONS + ", ar AS (SELECT * FROM (SELECT symbol, trade_date, lag(trade_date) OVER w AS prior_date, close / nullif(lag(close) OVER w, 0) - 1 AS raw, adj_close / nullif(lag(adj_close) OVER w, 0) - 1 AS adj FROM hfq WINDOW w AS (PARTITION BY symbol ORDER BY trade_date)) WHERE raw IS NOT NULL)")
-q("adj_coverage", lambda x: quality.adj_coverage(x.bars, x.factor_events), "SELECT split_part(symbol, '.', 2) AS exchange, count(*) AS n, count(*) FILTER (m = 0) AS n_covered, CAST(sum(m) AS BIGINT) AS n_missing FROM (SELECT symbol, count(*) FILTER (factor IS NULL) AS m FROM bars LEFT JOIN factor_events USING (symbol, trade_date) GROUP BY 1) GROUP BY 1")
-q("symbol_last_bar", lambda x: quality.bar_spans(x.bars_raw), "SELECT symbol, min(trade_date) AS first_date, max(trade_date) AS last_date FROM bars_raw WHERE volume > 0 GROUP BY 1")
-q("bar_spans", lambda x: quality.bar_spans(x.bars_raw, False), "SELECT symbol, min(trade_date) AS first_date, max(trade_date) AS last_date FROM bars_raw GROUP BY 1")
-q("first_traded", lambda x: quality.bar_spans(x.bars.where("trade_date >= date'2024-01-10'")).select("symbol", "first_date"), "SELECT symbol, min(trade_date) AS first_date FROM bars WHERE trade_date >= DATE '2024-01-10' AND volume > 0 GROUP BY 1")
-q("survivorship_check", lambda x: quality.survivorship_check(x.bars, x.instruments, 0, 20).unionByName(quality.survivorship_check(x.bars.where("trade_date <= date'2024-01-20'"), x.instruments, 90, 10)).unionByName(quality.survivorship_check(x.bars, x.instruments, 0, 40)), "SELECT symbol, z AS last_date, 'warning' AS severity FROM (SELECT symbol, max(trade_date) AS z FROM bars GROUP BY 1) JOIN instruments USING (symbol) WHERE z < DATE '2024-01-30' AND delist_date IS NULL UNION ALL SELECT NULL, DATE '2024-01-20', 'error'")
-q("liquid_symbols", lambda x: quality.liquid_symbols(x.bars, DAY, 12), f"SELECT symbol, amount FROM bars WHERE trade_date = DATE '{DAY}' ORDER BY amount DESC, symbol LIMIT 12")
-q("close_crosscheck", lambda x: quality.close_crosscheck(x.bars, x.other_bars, DAY, 40), f"SELECT n_compared, n_off, CASE WHEN n_compared = 0 THEN 'none' WHEN n_off * 2 >= n_compared THEN 'error' WHEN n_off > 0 THEN 'warning' ELSE 'none' END AS severity FROM (SELECT count(*) AS n_compared, count(*) FILTER (abs(b.close / o.close - 1) > 0.001) AS n_off FROM (SELECT * FROM bars WHERE trade_date = DATE '{DAY}' ORDER BY amount DESC, symbol LIMIT 40) b JOIN other_bars o USING (symbol, trade_date) WHERE o.close > 0)")
+q(
+    "calendar_reconcile",
+    lambda x: quality.calendar_reconcile(x.bars.where("trade_date <> date'2024-01-09'"), weekdays(x)),
+    """SELECT DISTINCT trade_date, 'not_a_session' AS "check" FROM bars WHERE isodow(trade_date) >= 6
+        UNION ALL SELECT DATE '2024-01-09', 'session_without_bar'""",
+)
+q(
+    "index_calendar_coverage",
+    lambda x: quality.coverage_by_series(x.bars, x.calendar),
+    """SELECT symbol, count(*) AS n_missing, min(trade_date) AS first_missing FROM (SELECT s.symbol, c.trade_date
+        FROM (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z FROM bars GROUP BY 1) s
+        JOIN calendar c ON c.is_trading AND c.trade_date BETWEEN a AND z) w ANTI JOIN bars USING (symbol, trade_date)
+        GROUP BY 1""",
+)
+q(
+    "calendar_horizon",
+    lambda x: quality.calendar_horizon(x.calendar, "2024-01-25"),
+    """SELECT count(*) AS n, max(trade_date) AS last FROM calendar
+        WHERE is_trading AND trade_date > DATE '2024-01-25'""",
+)
+q(
+    "valuation_coverage_ratio",
+    lambda x: quality.coverage_ratio(x.other_bars, x.bars),
+    """SELECT trade_date, count(*) AS n, count(o.symbol) / count(*) AS ratio FROM bars b
+        LEFT JOIN other_bars o USING (symbol, trade_date) GROUP BY 1""",
+)
+q(
+    "last_dense_valuation",
+    lambda x: quality.last_dense(x.other_bars, x.bars, 0.95),
+    """SELECT max(trade_date) AS trade_date FROM (SELECT trade_date FROM bars b
+        LEFT JOIN other_bars o USING (symbol, trade_date) GROUP BY 1 HAVING count(o.symbol) / count(*) >= 0.95)""",
+)
+q(
+    "valuation_orphans",
+    lambda x: quality.orphans(x.bars, x.instruments),
+    "SELECT DISTINCT symbol FROM bars WHERE symbol NOT IN (SELECT symbol FROM instruments)",
+)
+q(
+    "adjusted_returns",
+    lambda x: quality.adjusted_returns(x.hfq).select(*KEYS, "prior_date", r9("raw").alias("raw"), r9("adj").alias("adj"), r9("divergence").alias("divergence")),
+    """SELECT symbol, trade_date, prior_date, round(raw, 9) AS raw, round(adj, 9) AS adj,
+        round(abs(adj - raw), 9) AS divergence
+        FROM (SELECT symbol, trade_date, lag(trade_date) OVER w AS prior_date, close / nullif(lag(close) OVER w, 0) - 1 AS raw, adj_close / nullif(lag(adj_close) OVER w, 0) - 1 AS adj
+        FROM hfq WINDOW w AS (PARTITION BY symbol ORDER BY trade_date)) WHERE raw IS NOT NULL""",
+    HFQ,
+)
+q(
+    "adj_reconcile",
+    lambda x: quality.adj_reconcile(x.hfq, x.calendar, x.actions.where("cash_dividend > 0.3"), 0.05, 1.0, 0.005),
+    """SELECT symbol, trade_date, 'error' AS severity FROM ar JOIN sess USING (trade_date) WHERE ar.prior_date = sess.prior_date AND abs(adj) > 0.05 AND abs(adj - raw) > 0.05
+ UNION ALL SELECT symbol, trade_date, 'warning' FROM ar WHERE abs(adj) <= 1.0 AND abs(adj - raw) > 0.005 AND NOT EXISTS (SELECT 1 FROM actions x WHERE cash_dividend > 0.3 AND x.symbol = ar.symbol AND ex_date > prior_date AND ex_date <= ar.trade_date)""",
+    HFQ + ", " + SESSIONS + ", ar AS (SELECT * FROM (SELECT symbol, trade_date, lag(trade_date) OVER w AS prior_date, close / nullif(lag(close) OVER w, 0) - 1 AS raw, adj_close / nullif(lag(adj_close) OVER w, 0) - 1 AS adj FROM hfq WINDOW w AS (PARTITION BY symbol ORDER BY trade_date)) WHERE raw IS NOT NULL)",
+)
+q(
+    "adj_coverage",
+    lambda x: quality.adj_coverage(x.bars, x.factor_events),
+    """SELECT split_part(symbol, '.', 2) AS exchange, count(*) AS n,
+        count(*) FILTER (m = 0) AS n_covered, CAST(sum(m) AS BIGINT) AS n_missing FROM (SELECT symbol,
+        count(*) FILTER (factor IS NULL) AS m FROM bars LEFT JOIN factor_events USING (symbol, trade_date) GROUP BY 1)
+        GROUP BY 1""",
+)
+q(
+    "symbol_last_bar",
+    lambda x: quality.bar_spans(x.bars_raw),
+    """SELECT symbol, min(trade_date) AS first_date, max(trade_date) AS last_date FROM bars_raw WHERE volume > 0
+        GROUP BY 1""",
+)
+q(
+    "bar_spans",
+    lambda x: quality.bar_spans(x.bars_raw, False),
+    "SELECT symbol, min(trade_date) AS first_date, max(trade_date) AS last_date FROM bars_raw GROUP BY 1",
+)
+q(
+    "first_traded",
+    lambda x: quality.bar_spans(x.bars.where("trade_date >= date'2024-01-10'")).select("symbol", "first_date"),
+    """SELECT symbol, min(trade_date) AS first_date FROM bars WHERE trade_date >= DATE '2024-01-10' AND volume > 0
+        GROUP BY 1""",
+)
+q(
+    "survivorship_check",
+    lambda x: quality.survivorship_check(x.bars, x.instruments, 0, 20).unionByName(quality.survivorship_check(x.bars.where("trade_date <= date'2024-01-20'"), x.instruments, 90, 10)).unionByName(quality.survivorship_check(x.bars, x.instruments, 0, 40)),
+    """SELECT symbol, z AS last_date, 'warning' AS severity FROM (SELECT symbol, max(trade_date) AS z FROM bars
+        GROUP BY 1) JOIN instruments USING (symbol) WHERE z < DATE '2024-01-30' AND delist_date IS NULL
+        UNION ALL SELECT NULL, DATE '2024-01-20', 'error'""",
+)
+q(
+    "liquid_symbols",
+    lambda x: quality.liquid_symbols(x.bars, DAY, 12),
+    f"SELECT symbol, amount FROM bars WHERE trade_date = DATE '{DAY}' ORDER BY amount DESC, symbol LIMIT 12",
+)
+q(
+    "close_crosscheck",
+    lambda x: quality.close_crosscheck(x.bars, x.other_bars, DAY, 40),
+    f"""SELECT n_compared, n_off,
+        CASE WHEN n_compared = 0 THEN 'none' WHEN n_off * 2 >= n_compared THEN 'error' WHEN n_off > 0 THEN 'warning' ELSE 'none' END AS severity
+        FROM (SELECT count(*) AS n_compared, count(*) FILTER (abs(b.close / o.close - 1) > 0.001) AS n_off
+        FROM (SELECT * FROM bars WHERE trade_date = DATE '{DAY}' ORDER BY amount DESC, symbol LIMIT 40) b
+        JOIN other_bars o USING (symbol, trade_date) WHERE o.close > 0)""",
+)
 ACTIVE = f"coalesce(list_date <= DATE '{DAY}', TRUE) AND coalesce(delist_date >= DATE '{DAY}', TRUE)"
-q("st_label_check", lambda x: quality.st_label_check(x.instruments, x.status, DAY), f"SELECT coalesce(a.symbol, b.symbol) AS symbol, CASE WHEN b.symbol IS NULL THEN 'name_only' ELSE 'status_only' END AS side FROM (SELECT symbol FROM instruments WHERE {ACTIVE} AND name LIKE 'ST%') a FULL JOIN (SELECT symbol FROM status WHERE trade_date = DATE '{DAY}' AND (coalesce(risk_warning, FALSE) OR status IN ('st', '*st')) AND symbol IN (SELECT symbol FROM instruments WHERE {ACTIVE})) b ON a.symbol = b.symbol WHERE a.symbol IS NULL OR b.symbol IS NULL")
+q(
+    "st_label_check",
+    lambda x: quality.st_label_check(x.instruments, x.status, DAY),
+    f"""SELECT coalesce(a.symbol, b.symbol) AS symbol,
+        CASE WHEN b.symbol IS NULL THEN 'name_only' ELSE 'status_only' END AS side FROM (SELECT symbol
+        FROM instruments WHERE {ACTIVE} AND name LIKE 'ST%') a FULL JOIN (SELECT symbol FROM status
+        WHERE trade_date = DATE '{DAY}' AND (coalesce(risk_warning, FALSE) OR status IN ('st', '*st')) AND symbol IN (SELECT symbol
+        FROM instruments WHERE {ACTIVE})) b ON a.symbol = b.symbol WHERE a.symbol IS NULL OR b.symbol IS NULL""",
+)
 q("active_on", lambda x: quality.active_on(x.instruments, DAY).select("symbol"), f"SELECT symbol FROM instruments WHERE {ACTIVE}")
-q("volume_unit", lambda x: quality.volume_unit(x.bars_raw, 0.9, 1.1).select("source", "n", r9("ratio").alias("ratio"), "outside"), "SELECT source, count(*) AS n, round(quantile_disc(amount / close / volume, 0.5), 9) AS ratio, NOT quantile_disc(amount / close / volume, 0.5) BETWEEN 0.9 AND 1.1 AS outside FROM bars_raw WHERE volume > 0 AND amount > 0 AND close > 0 GROUP BY 1 HAVING count(*) >= 20")
-q("amount_completeness", lambda x: quality.amount_completeness(x.bars_raw.withColumn("amount", F.when(F.col("volume") % 5 != 0, F.col("amount")))), "SELECT source, count(*) AS n, count(*) FILTER (volume % 5 = 0) / count(*) AS null_share FROM bars_raw GROUP BY 1")
+q(
+    "volume_unit",
+    lambda x: quality.volume_unit(x.bars_raw, 0.9, 1.1).select("source", "n", r9("ratio").alias("ratio"), "outside"),
+    """SELECT source, count(*) AS n,
+        round(quantile_disc(amount / close / volume, 0.5), 9) AS ratio, NOT quantile_disc(amount / close / volume, 0.5) BETWEEN 0.9 AND 1.1 AS outside
+        FROM bars_raw WHERE volume > 0 AND amount > 0 AND close > 0 GROUP BY 1 HAVING count(*) >= 20""",
+)
+q(
+    "amount_completeness",
+    lambda x: quality.amount_completeness(x.bars_raw.withColumn("amount", F.when(F.col("volume") % 5 != 0, F.col("amount")))),
+    """SELECT source, count(*) AS n, count(*) FILTER (volume % 5 = 0) / count(*) AS null_share FROM bars_raw
+        GROUP BY 1""",
+)
 MINUTE_SPANS = [("09:31:00", "11:30:00"), ("13:01:00", "15:00:00")]
-q("minute_off_session", lambda x: quality.off_session(x.minutes, "bar_time", MINUTE_SPANS), "SELECT symbol, trade_date, count(*) AS n FROM minutes WHERE NOT (strftime(bar_time, '%H:%M:%S') BETWEEN '09:31:00' AND '11:30:00' OR strftime(bar_time, '%H:%M:%S') BETWEEN '13:01:00' AND '15:00:00') GROUP BY 1, 2")
-q("minute_date_mismatch", lambda x: quality.date_mismatch(x.minutes.withColumn("trade_date", F.col("trade_date") + (F.col("volume") % 10 == 0).cast("int")), "bar_time"), "SELECT trade_date + 1 AS trade_date, count(*) AS n FROM minutes WHERE volume % 10 = 0 GROUP BY 1")
-q("minute_session_coverage", lambda x: quality.session_coverage(x.minutes, 4), "SELECT count(*) AS n_days, count(*) FILTER (n < 4 * 0.9) AS n_short FROM (SELECT count(*) AS n FROM minutes GROUP BY symbol, trade_date)")
-q("minute_reconcile", lambda x: quality.reconcile(x.minutes, x.bars, {"volume": (0.95, 1.05), "amount": (0.95, 1.05)}).select("n", "measure", r9("ratio").alias("ratio"), "severity"), "SELECT n, measure, round(ratio, 9) AS ratio, CASE WHEN ratio BETWEEN 0.95 AND 1.05 THEN 'none' WHEN n < 20 THEN 'info' ELSE 'warning' END AS severity FROM (SELECT count(*) AS n, quantile_disc(m.v / nullif(b.volume, 0), 0.5) AS volume, quantile_disc(m.a / nullif(b.amount, 0), 0.5) AS amount FROM (SELECT symbol, trade_date, sum(volume) AS v, sum(amount) AS a FROM minutes GROUP BY 1, 2) m JOIN bars b USING (symbol, trade_date)) UNPIVOT (ratio FOR measure IN (volume, amount))")
-q("tick_seq_gaps", lambda x: quality.seq_gaps(x.holed_ticks), "SELECT symbol, trade_date, count(*) AS n FROM holed_ticks GROUP BY 1, 2 HAVING min(tick_seq) <> 0 OR max(tick_seq) <> count(*) - 1")
+q(
+    "minute_off_session",
+    lambda x: quality.off_session(x.minutes, "bar_time", MINUTE_SPANS),
+    """SELECT symbol, trade_date, count(*) AS n FROM minutes
+        WHERE NOT (strftime(bar_time, '%H:%M:%S') BETWEEN '09:31:00' AND '11:30:00' OR strftime(bar_time, '%H:%M:%S') BETWEEN '13:01:00' AND '15:00:00')
+        GROUP BY 1, 2""",
+)
+q(
+    "minute_date_mismatch",
+    lambda x: quality.date_mismatch(x.minutes.withColumn("trade_date", F.col("trade_date") + (F.col("volume") % 10 == 0).cast("int")), "bar_time"),
+    "SELECT trade_date + 1 AS trade_date, count(*) AS n FROM minutes WHERE volume % 10 = 0 GROUP BY 1",
+)
+q(
+    "minute_session_coverage",
+    lambda x: quality.session_coverage(x.minutes, 4),
+    """SELECT count(*) AS n_days, count(*) FILTER (n < 4 * 0.9) AS n_short FROM (SELECT count(*) AS n FROM minutes
+        GROUP BY symbol, trade_date)""",
+)
+q(
+    "minute_reconcile",
+    lambda x: quality.reconcile(x.minutes, x.bars, {"volume": (0.95, 1.05), "amount": (0.95, 1.05)}).select("n", "measure", r9("ratio").alias("ratio"), "severity"),
+    """SELECT n, measure, round(ratio, 9) AS ratio,
+        CASE WHEN ratio BETWEEN 0.95 AND 1.05 THEN 'none' WHEN n < 20 THEN 'info' ELSE 'warning' END AS severity
+        FROM (SELECT count(*) AS n, quantile_disc(m.v / nullif(b.volume, 0), 0.5) AS volume, quantile_disc(m.a / nullif(b.amount, 0), 0.5) AS amount
+        FROM (SELECT symbol, trade_date, sum(volume) AS v, sum(amount) AS a FROM minutes GROUP BY 1, 2) m
+        JOIN bars b USING (symbol, trade_date)) UNPIVOT (ratio FOR measure IN (volume, amount))""",
+)
+q(
+    "tick_seq_gaps",
+    lambda x: quality.seq_gaps(x.holed_ticks),
+    """SELECT symbol, trade_date, count(*) AS n FROM holed_ticks GROUP BY 1, 2
+        HAVING min(tick_seq) <> 0 OR max(tick_seq) <> count(*) - 1""",
+)
 TICK_SPANS = [("09:25:00", "09:25:59"), ("09:30:00", "11:30:00"), ("13:00:00", "15:00:00"), ("15:05:00", "15:30:00")]
-q("tick_off_session", lambda x: quality.off_session(x.ticks, "trade_time", TICK_SPANS), "SELECT symbol, trade_date, count(*) AS n FROM (SELECT *, strftime(trade_time, '%H:%M:%S') AS c FROM ticks) WHERE NOT (c BETWEEN '09:25:00' AND '09:25:59' OR c BETWEEN '09:30:00' AND '11:30:00' OR c BETWEEN '13:00:00' AND '15:00:00' OR c BETWEEN '15:05:00' AND '15:30:00') GROUP BY 1, 2")
-q("tick_date_mismatch", lambda x: quality.date_mismatch(x.ticks.withColumn("trade_date", F.col("trade_date") - (F.col("event_id") % 11 == 0).cast("int")), "trade_time"), "SELECT trade_date - 1 AS trade_date, count(*) AS n FROM ticks WHERE event_id % 11 = 0 GROUP BY 1")
-q("tick_truncation", lambda x: quality.truncation(x.ticks), "SELECT *, n_late > 0 AND n_late >= 0.1 * n_days AS alert FROM (SELECT count(*) AS n_days, count(*) FILTER (f > '09:25:00') AS n_late FROM (SELECT min(strftime(trade_time, '%H:%M:%S')) AS f FROM ticks GROUP BY symbol, trade_date))")
-q("tick_direction", lambda x: quality.directions(x.ticks, "purchase", "view"), "SELECT *, NOT buy_share BETWEEN 0.1 AND 0.9 AS outside FROM (SELECT count(*) FILTER (direction NOT IN ('purchase', 'view')) AS n_unknown, count(*) FILTER (direction = 'purchase') / count(*) FILTER (direction IN ('purchase', 'view')) AS buy_share FROM ticks)")
-q("tick_reconcile", lambda x: quality.reconcile(x.holed_ticks.withColumn("amount", F.col("price") * F.col("volume")), x.bars, {"volume": (0.998, 1.002), "amount": (0.995, 1.005)}).select("n", "measure", F.round("ratio", 7).alias("ratio"), "severity"), "SELECT n, measure, round(ratio, 7) AS ratio, CASE WHEN ratio BETWEEN lo AND hi THEN 'none' WHEN n < 20 THEN 'info' ELSE 'warning' END AS severity FROM (SELECT *, CASE measure WHEN 'volume' THEN 0.998 ELSE 0.995 END AS lo, CASE measure WHEN 'volume' THEN 1.002 ELSE 1.005 END AS hi FROM (SELECT count(*) AS n, quantile_disc(m.v / nullif(b.volume, 0), 0.5) AS volume, quantile_disc(m.a / nullif(b.amount, 0), 0.5) AS amount FROM (SELECT symbol, trade_date, sum(volume) AS v, sum(price * volume) AS a FROM holed_ticks GROUP BY 1, 2) m JOIN bars b USING (symbol, trade_date)) UNPIVOT (ratio FOR measure IN (volume, amount)))")
-q("macro_latest", lambda x: quality.latest_by(x.facts, "item_code", "announce_date"), "SELECT item_code, max(announce_date) AS latest FROM facts GROUP BY 1")
-q("macro_stale", lambda x: quality.stale(quality.latest_by(x.facts, "item_code", "announce_date"), "item_code", x.facts.groupBy("item_code").agg(F.max(F.length("item_code") * 2).alias("max_lag")), "2001-08-17"), "SELECT item_code, latest, DATE '2001-08-17' - latest AS lag FROM (SELECT item_code, max(announce_date) AS latest FROM facts GROUP BY 1) WHERE DATE '2001-08-17' - latest > length(item_code) * 2")
-q("macro_revision", lambda x: quality.revisions(x.other_bars, x.bars, KEYS, "close"), "SELECT o.symbol, o.trade_date, o.close AS \"new\", b.close AS \"old\", coalesce(abs(o.close / nullif(b.close, 0) - 1) > 0.05, TRUE) AS material FROM other_bars o JOIN bars b USING (symbol, trade_date) WHERE o.close <> b.close")
-q("pit_announce_check", lambda x: quality.announce_check(x.facts.withColumn("announce_date", F.when(F.col("fact_id") % 10 != 0, F.col("announce_date"))), "1996-01-01"), "SELECT count(*) FILTER (fact_id % 10 = 0) AS n_null, count(*) FILTER (fact_id % 10 <> 0 AND announce_date < DATE '1996-01-01') AS n_early FROM facts")
-q("breadth_check", lambda x: quality.breadth_days(x.breadth.where("NOT (metric_id = 'flat' AND dayofmonth(trade_date) % 5 = 0)")), "SELECT trade_date, CASE WHEN day(trade_date) % 5 = 0 THEN 6 ELSE 7 END AS n, day(trade_date) % 5 <> 0 AND max(value) FILTER (metric_id = 'limit_up') <= max(value) FILTER (metric_id = 'advance') AS complete FROM breadth GROUP BY 1", BREADTH)
-q("breadth_complete_dates", lambda x: quality.breadth_days(x.breadth).where("complete").select("trade_date"), "SELECT DISTINCT trade_date FROM breadth", BREADTH)
-q("industry_index_check", lambda x: quality.index_check(x.index.where("NOT (weighting = 'equal' AND level = '4' AND dayofmonth(trade_date) = 16)")).select("trade_date", "industry_code", "level", "n", "n_weightings"), "SELECT DISTINCT trade_date, industry_code, level, 1 AS n, 1 AS n_weightings FROM idx WHERE level = '4' AND day(trade_date) = 16", INDEX)
-q("industry_group_coverage", lambda x: quality.group_coverage(x.members, x.index.where("level = '6' AND NOT industry_code LIKE '24%'")), "SELECT DISTINCT trade_date, industry_code FROM asof_members WHERE industry_code LIKE '24%'", RETURNS + ", " + AS_OF)
-q("contiguous_watermark", lambda x: quality.contiguous_watermark(x.bars.where("trade_date <> date'2024-01-18'"), x.calendar), "SELECT max(trade_date) AS watermark FROM calendar WHERE is_trading AND trade_date < DATE '2024-01-18'")
-q("missing_sessions", lambda x: quality.missing_sessions(x.bars.where("dayofmonth(trade_date) % 9 <> 0"), x.calendar, "2024-01-01", "2024-01-25"), "SELECT trade_date FROM calendar WHERE is_trading AND trade_date <= DATE '2024-01-25' AND day(trade_date) % 9 = 0")
-q("exchange_compare", lambda x: quality.exchange_compare(x.bars, x.other_bars), "SELECT trade_date, count(*) AS n, count(*) FILTER (o.close IS NULL) AS n_missing, count(*) FILTER (abs(o.close / b.close - 1) * 10000 > 10) AS n_drift FROM bars b LEFT JOIN other_bars o USING (symbol, trade_date) WHERE b.close > 0 GROUP BY 1")
-q("worst_drift", lambda x: quality.worst_drift(x.bars, x.other_bars, KEYS, ["open", "close"], 5).select(*KEYS, F.round("drift_bps", 5).alias("drift_bps")), "SELECT symbol, trade_date, round(abs(b.close / o.close - 1) * 10000, 5) AS drift_bps FROM bars b JOIN other_bars o USING (symbol, trade_date) WHERE b.close > 0 AND o.close > 0 AND abs(b.close / o.close - 1) * 10000 > 5")
-q("authority_labels", lambda x: quality.authority_labels(x.status, x.instruments, DAY), f"SELECT count(*) AS n, count(*) FILTER ((coalesce(risk_warning, FALSE) OR status IN ('st', '*st')) <> (name LIKE 'ST%')) AS n_off FROM status JOIN instruments USING (symbol) WHERE trade_date = DATE '{DAY}'")
-q("diff_coverage", lambda x: quality.diff_coverage(x.thin_bars, x.other_bars, KEYS), "SELECT count(*) FILTER (p AND o) AS n_both, count(*) FILTER (p AND NOT o) AS n_primary_only, count(*) FILTER (o AND NOT p) AS n_backup_only, 'gaps' AS state FROM (SELECT volume % 5 <> 0 AS p, volume % 12 <> 5 AS o FROM bars)")
+q(
+    "tick_off_session",
+    lambda x: quality.off_session(x.ticks, "trade_time", TICK_SPANS),
+    """SELECT symbol, trade_date, count(*) AS n FROM (SELECT *, strftime(trade_time, '%H:%M:%S') AS c FROM ticks)
+        WHERE NOT (c BETWEEN '09:25:00' AND '09:25:59' OR c BETWEEN '09:30:00' AND '11:30:00' OR c BETWEEN '13:00:00' AND '15:00:00' OR c BETWEEN '15:05:00' AND '15:30:00')
+        GROUP BY 1, 2""",
+)
+q(
+    "tick_date_mismatch",
+    lambda x: quality.date_mismatch(x.ticks.withColumn("trade_date", F.col("trade_date") - (F.col("event_id") % 11 == 0).cast("int")), "trade_time"),
+    "SELECT trade_date - 1 AS trade_date, count(*) AS n FROM ticks WHERE event_id % 11 = 0 GROUP BY 1",
+)
+q(
+    "tick_truncation",
+    lambda x: quality.truncation(x.ticks),
+    """SELECT *, n_late > 0 AND n_late >= 0.1 * n_days AS alert FROM (SELECT count(*) AS n_days,
+        count(*) FILTER (f > '09:25:00') AS n_late FROM (SELECT min(strftime(trade_time, '%H:%M:%S')) AS f FROM ticks
+        GROUP BY symbol, trade_date))""",
+)
+q(
+    "tick_direction",
+    lambda x: quality.directions(x.ticks, "purchase", "view"),
+    """SELECT *, NOT buy_share BETWEEN 0.1 AND 0.9 AS outside
+        FROM (SELECT count(*) FILTER (direction NOT IN ('purchase', 'view')) AS n_unknown,
+        count(*) FILTER (direction = 'purchase') / count(*) FILTER (direction IN ('purchase', 'view')) AS buy_share
+        FROM ticks)""",
+)
+q(
+    "tick_reconcile",
+    lambda x: quality.reconcile(x.holed_ticks.withColumn("amount", F.col("price") * F.col("volume")), x.bars, {"volume": (0.998, 1.002), "amount": (0.995, 1.005)}).select("n", "measure", F.round("ratio", 7).alias("ratio"), "severity"),
+    """SELECT n, measure, round(ratio, 7) AS ratio,
+        CASE WHEN ratio BETWEEN lo AND hi THEN 'none' WHEN n < 20 THEN 'info' ELSE 'warning' END AS severity
+        FROM (SELECT *, CASE measure WHEN 'volume' THEN 0.998 ELSE 0.995 END AS lo,
+        CASE measure WHEN 'volume' THEN 1.002 ELSE 1.005 END AS hi
+        FROM (SELECT count(*) AS n, quantile_disc(m.v / nullif(b.volume, 0), 0.5) AS volume, quantile_disc(m.a / nullif(b.amount, 0), 0.5) AS amount
+        FROM (SELECT symbol, trade_date, sum(volume) AS v, sum(price * volume) AS a FROM holed_ticks GROUP BY 1, 2) m
+        JOIN bars b USING (symbol, trade_date)) UNPIVOT (ratio FOR measure IN (volume, amount)))""",
+)
+q(
+    "macro_latest",
+    lambda x: quality.latest_by(x.facts, "item_code", "announce_date"),
+    "SELECT item_code, max(announce_date) AS latest FROM facts GROUP BY 1",
+)
+q(
+    "macro_stale",
+    lambda x: quality.stale(quality.latest_by(x.facts, "item_code", "announce_date"), "item_code", x.facts.groupBy("item_code").agg(F.max(F.length("item_code") * 2).alias("max_lag")), "2001-08-17"),
+    """SELECT item_code, latest, DATE '2001-08-17' - latest AS lag FROM (SELECT item_code,
+        max(announce_date) AS latest FROM facts GROUP BY 1) WHERE DATE '2001-08-17' - latest > length(item_code) * 2""",
+)
+q(
+    "macro_revision",
+    lambda x: quality.revisions(x.other_bars, x.bars, KEYS, "close"),
+    """SELECT o.symbol, o.trade_date, o.close AS "new", b.close AS "old",
+        coalesce(abs(o.close / nullif(b.close, 0) - 1) > 0.05, TRUE) AS material FROM other_bars o
+        JOIN bars b USING (symbol, trade_date) WHERE o.close <> b.close""",
+)
+q(
+    "pit_announce_check",
+    lambda x: quality.announce_check(x.facts.withColumn("announce_date", F.when(F.col("fact_id") % 10 != 0, F.col("announce_date"))), "1996-01-01"),
+    """SELECT count(*) FILTER (fact_id % 10 = 0) AS n_null,
+        count(*) FILTER (fact_id % 10 <> 0 AND announce_date < DATE '1996-01-01') AS n_early FROM facts""",
+)
+q(
+    "breadth_check",
+    lambda x: quality.breadth_days(x.breadth.where("NOT (metric_id = 'flat' AND dayofmonth(trade_date) % 5 = 0)")),
+    """SELECT trade_date,
+        CASE WHEN day(trade_date) % 5 = 0 THEN 6 ELSE 7 END AS n, day(trade_date) % 5 <> 0 AND max(value) FILTER (metric_id = 'limit_up') <= max(value) FILTER (metric_id = 'advance') AS complete
+        FROM breadth GROUP BY 1""",
+    BREADTH,
+)
+q(
+    "breadth_complete_dates",
+    lambda x: quality.breadth_days(x.breadth).where("complete").select("trade_date"),
+    "SELECT DISTINCT trade_date FROM breadth",
+    BREADTH,
+)
+q(
+    "industry_index_check",
+    lambda x: quality.index_check(x.index.where("NOT (weighting = 'equal' AND level = '4' AND dayofmonth(trade_date) = 16)")).select("trade_date", "industry_code", "level", "n", "n_weightings"),
+    """SELECT DISTINCT trade_date, industry_code, level, 1 AS n, 1 AS n_weightings FROM idx
+        WHERE level = '4' AND day(trade_date) = 16""",
+    INDEX,
+)
+q(
+    "industry_group_coverage",
+    lambda x: quality.group_coverage(x.members, x.index.where("level = '6' AND NOT industry_code LIKE '24%'")),
+    "SELECT DISTINCT trade_date, industry_code FROM asof_members WHERE industry_code LIKE '24%'",
+    RETURNS + ", " + AS_OF,
+)
+q(
+    "contiguous_watermark",
+    lambda x: quality.contiguous_watermark(x.bars.where("trade_date <> date'2024-01-18'"), x.calendar),
+    "SELECT max(trade_date) AS watermark FROM calendar WHERE is_trading AND trade_date < DATE '2024-01-18'",
+)
+q(
+    "missing_sessions",
+    lambda x: quality.missing_sessions(x.bars.where("dayofmonth(trade_date) % 9 <> 0"), x.calendar, "2024-01-01", "2024-01-25"),
+    """SELECT trade_date FROM calendar
+        WHERE is_trading AND trade_date <= DATE '2024-01-25' AND day(trade_date) % 9 = 0""",
+)
+q(
+    "exchange_compare",
+    lambda x: quality.exchange_compare(x.bars, x.other_bars),
+    """SELECT trade_date, count(*) AS n, count(*) FILTER (o.close IS NULL) AS n_missing,
+        count(*) FILTER (abs(o.close / b.close - 1) * 10000 > 10) AS n_drift FROM bars b
+        LEFT JOIN other_bars o USING (symbol, trade_date) WHERE b.close > 0 GROUP BY 1""",
+)
+q(
+    "worst_drift",
+    lambda x: quality.worst_drift(x.bars, x.other_bars, KEYS, ["open", "close"], 5).select(*KEYS, F.round("drift_bps", 5).alias("drift_bps")),
+    """SELECT symbol, trade_date, round(abs(b.close / o.close - 1) * 10000, 5) AS drift_bps FROM bars b
+        JOIN other_bars o USING (symbol, trade_date)
+        WHERE b.close > 0 AND o.close > 0 AND abs(b.close / o.close - 1) * 10000 > 5""",
+)
+q(
+    "authority_labels",
+    lambda x: quality.authority_labels(x.status, x.instruments, DAY),
+    f"""SELECT count(*) AS n,
+        count(*) FILTER ((coalesce(risk_warning, FALSE) OR status IN ('st', '*st')) <> (name LIKE 'ST%')) AS n_off
+        FROM status JOIN instruments USING (symbol) WHERE trade_date = DATE '{DAY}'""",
+)
+q(
+    "diff_coverage",
+    lambda x: quality.diff_coverage(x.thin_bars, x.other_bars, KEYS),
+    """SELECT count(*) FILTER (p AND o) AS n_both, count(*) FILTER (p AND NOT o) AS n_primary_only,
+        count(*) FILTER (o AND NOT p) AS n_backup_only, 'gaps' AS state
+        FROM (SELECT volume % 5 <> 0 AS p, volume % 12 <> 5 AS o FROM bars)""",
+)
 FIELDS = "fields AS (SELECT symbol, trade_date, 'close' AS field, CASE WHEN o.close IS NULL THEN 'null_mismatch' WHEN o.close = 0 OR abs((b.close - o.close) / o.close) * 10000 > 5 THEN 'drift' END AS kind FROM bars b JOIN other_bars o USING (symbol, trade_date))"
-q("diff_fields", lambda x: quality.diff_fields(x.bars, x.other_bars, KEYS, ["open", "close", "volume"], 5), "SELECT * FROM fields WHERE kind IS NOT NULL", FIELDS)
-q("diff_sample", lambda x: quality.diff_sample(x.bars, S.exchange(F.col("symbol")), F.concat_ws("|", "symbol", F.col("trade_date").cast("string")), 50).select(*KEYS), "SELECT symbol, trade_date FROM bars QUALIFY row_number() OVER (PARTITION BY split_part(symbol, '.', 2) ORDER BY md5(symbol || '|' || CAST(trade_date AS VARCHAR)), symbol, trade_date) <= 50")
-q("diff_gate", lambda x: quality.diff_gate(quality.diff_fields(x.bars, x.other_bars, KEYS, ["close"], 5), 1000, 0.05), "SELECT count(*) AS n_drifting, count(*) > 50 AS blocked FROM fields WHERE kind = 'drift'", FIELDS)
-q("audit_union", lambda x: quality.audit_union([quality.finding(quality.pk_duplicates(x.bars_raw, KEYS, "trade_date"), "daily_bars", "error", "duplicates"), quality.finding(x.bars_raw.where("fetched_at IS NULL"), "daily_bars", "warning", "no_fetch_time"), quality.finding(x.bars.where("close < 0"), "daily_bars", "error", "negative")]), "SELECT 'daily_bars' AS dataset, 'error' AS severity, 'duplicates' AS \"check\", count(DISTINCT trade_date) AS n, NULL::VARCHAR AS details FROM (SELECT trade_date FROM bars_raw GROUP BY symbol, trade_date HAVING count(*) > 1) UNION ALL SELECT 'daily_bars', 'warning', 'no_fetch_time', count(*), NULL FROM bars_raw WHERE fetched_at IS NULL")
-q("lake_health", lambda x: quality.lake_health(quality.audit_union([quality.finding(x.bars_raw.where("fetched_at IS NULL"), "daily_bars", "warning", "no_fetch_time"), quality.finding(x.bars.where("close < 0"), "daily_bars", "error", "negative")])), "SELECT 0 AS n_error, count(*) AS n_warning, 0 AS n_info, TRUE AS healthy FROM bars_raw WHERE fetched_at IS NULL")
-q("delisting_coverage", lambda x: quality.delisting_coverage(x.bars.select("symbol").distinct().withColumn("delist_date", F.lit("2024-01-20").cast("date")), x.spans, x.instruments).groupBy("kind").agg(F.count("*").alias("n")), "SELECT CASE WHEN m.name IS NULL THEN 'master_missing' WHEN delist_date IS NULL THEN 'master_wrong' WHEN z > DATE '2024-01-20' THEN 'bars_after_end' WHEN DATE '2024-01-20' - z > 7 THEN 'terminal_gap' ELSE 'verified' END AS kind, count(*) AS n FROM (SELECT symbol, max(trade_date) AS z FROM bars GROUP BY 1) b LEFT JOIN instruments m USING (symbol) GROUP BY 1")
-q("st_universe", lambda x: x.bars.where("volume > 0 AND trade_date BETWEEN date'2024-01-10' AND date'2024-01-12'").where(S.in_class(F.col("symbol"), True)).select("symbol").distinct(), f"SELECT DISTINCT symbol FROM bars WHERE trade_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' AND {CLASS} AND symbol NOT LIKE '%.BJ'")
-q("st_row_counts", lambda x: canonical.dedupe(x.status.where("source = 'history'"), STATUS).groupBy("symbol").agg(F.count("*").alias("n")), "SELECT symbol, count(*) AS n FROM status WHERE source = 'history' GROUP BY 1")
+q(
+    "diff_fields",
+    lambda x: quality.diff_fields(x.bars, x.other_bars, KEYS, ["open", "close", "volume"], 5),
+    "SELECT * FROM fields WHERE kind IS NOT NULL",
+    FIELDS,
+)
+q(
+    "diff_sample",
+    lambda x: quality.diff_sample(x.bars, S.exchange(F.col("symbol")), F.concat_ws("|", "symbol", F.col("trade_date").cast("string")), 50).select(*KEYS),
+    """SELECT symbol, trade_date FROM bars QUALIFY row_number() OVER (PARTITION BY split_part(symbol, '.', 2)
+        ORDER BY md5(symbol || '|' || CAST(trade_date AS VARCHAR)), symbol, trade_date) <= 50""",
+)
+q(
+    "diff_gate",
+    lambda x: quality.diff_gate(quality.diff_fields(x.bars, x.other_bars, KEYS, ["close"], 5), 1000, 0.05),
+    "SELECT count(*) AS n_drifting, count(*) > 50 AS blocked FROM fields WHERE kind = 'drift'",
+    FIELDS,
+)
+q(
+    "audit_union",
+    lambda x: quality.audit_union([quality.finding(quality.pk_duplicates(x.bars_raw, KEYS, "trade_date"), "daily_bars", "error", "duplicates"), quality.finding(x.bars_raw.where("fetched_at IS NULL"), "daily_bars", "warning", "no_fetch_time"), quality.finding(x.bars.where("close < 0"), "daily_bars", "error", "negative")]),
+    """SELECT 'daily_bars' AS dataset, 'error' AS severity, 'duplicates' AS "check",
+        count(DISTINCT trade_date) AS n, NULL::VARCHAR AS details FROM (SELECT trade_date FROM bars_raw
+        GROUP BY symbol, trade_date HAVING count(*) > 1) UNION ALL SELECT 'daily_bars', 'warning', 'no_fetch_time',
+        count(*), NULL FROM bars_raw WHERE fetched_at IS NULL""",
+)
+q(
+    "lake_health",
+    lambda x: quality.lake_health(quality.audit_union([quality.finding(x.bars_raw.where("fetched_at IS NULL"), "daily_bars", "warning", "no_fetch_time"), quality.finding(x.bars.where("close < 0"), "daily_bars", "error", "negative")])),
+    """SELECT 0 AS n_error, count(*) AS n_warning, 0 AS n_info, TRUE AS healthy FROM bars_raw
+        WHERE fetched_at IS NULL""",
+)
+q(
+    "delisting_coverage",
+    lambda x: quality.delisting_coverage(x.bars.select("symbol").distinct().withColumn("delist_date", F.lit("2024-01-20").cast("date")), x.spans, x.instruments).groupBy("kind").agg(F.count("*").alias("n")),
+    """SELECT CASE WHEN m.name IS NULL THEN 'master_missing' WHEN delist_date IS NULL THEN 'master_wrong' WHEN z > DATE '2024-01-20' THEN 'bars_after_end' WHEN DATE '2024-01-20' - z > 7 THEN 'terminal_gap' ELSE 'verified' END AS kind,
+        count(*) AS n FROM (SELECT symbol, max(trade_date) AS z FROM bars GROUP BY 1) b
+        LEFT JOIN instruments m USING (symbol) GROUP BY 1""",
+)
+q(
+    "st_universe",
+    lambda x: x.bars.where("volume > 0 AND trade_date BETWEEN date'2024-01-10' AND date'2024-01-12'").where(S.in_class(F.col("symbol"), True)).select("symbol").distinct(),
+    f"""SELECT DISTINCT symbol FROM bars
+        WHERE trade_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' AND {CLASS} AND symbol NOT LIKE '%.BJ'""",
+)
+q(
+    "st_row_counts",
+    lambda x: canonical.dedupe(x.status.where("source = 'history'"), STATUS).groupBy("symbol").agg(F.count("*").alias("n")),
+    "SELECT symbol, count(*) AS n FROM status WHERE source = 'history' GROUP BY 1",
+)
 
 # Statistics and reports
-q("partition_stats", lambda x: stats.partition_stats(x.facts, "announce_date", "quarter"), "SELECT year(announce_date) || 'Q' || quarter(announce_date) AS period, count(*) AS n_rows, count(DISTINCT symbol) AS n_symbols FROM facts GROUP BY 1")
-q("provenance_stats", lambda x: stats.provenance_stats(x.bars_raw, "trade_date", "day").select("period", "source", "data_version", "n_rows", F.date_format("last_fetch", "yyyy-MM-dd HH").alias("last_fetch")), "SELECT strftime(trade_date, '%Y-%m-%d') AS period, source, data_version, count(*) AS n_rows, strftime(max(fetched_at), '%Y-%m-%d %H') AS last_fetch FROM bars_raw GROUP BY 1, 2, 3")
-q("source_mix", lambda x: stats.source_mix(x.bars_raw), "SELECT source, data_version, count(*) AS n_rows, count(fetched_at) AS n_fetched FROM bars_raw GROUP BY 1, 2")
-q("provenance_series", lambda x: stats.provenance_series(x.facts, "announce_date", 100), "SELECT CASE WHEN (SELECT count(DISTINCT announce_date) FROM facts) <= 100 THEN strftime(announce_date, '%Y-%m-%d') WHEN (SELECT count(DISTINCT strftime(announce_date, '%Y-%m')) FROM facts) <= 100 THEN strftime(announce_date, '%Y-%m') ELSE strftime(announce_date, '%Y') END AS bucket, source, count(*) AS n FROM facts GROUP BY 1, 2")
-q("documents_provenance", lambda x: x.table("documents").groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars")), "SELECT source, lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY 1, 2")
+q(
+    "partition_stats",
+    lambda x: stats.partition_stats(x.facts, "announce_date", "quarter"),
+    """SELECT year(announce_date) || 'Q' || quarter(announce_date) AS period, count(*) AS n_rows,
+        count(DISTINCT symbol) AS n_symbols FROM facts GROUP BY 1""",
+)
+q(
+    "provenance_stats",
+    lambda x: stats.provenance_stats(x.bars_raw, "trade_date", "day").select("period", "source", "data_version", "n_rows", F.date_format("last_fetch", "yyyy-MM-dd HH").alias("last_fetch")),
+    """SELECT strftime(trade_date, '%Y-%m-%d') AS period, source, data_version,
+        count(*) AS n_rows, strftime(max(fetched_at), '%Y-%m-%d %H') AS last_fetch FROM bars_raw GROUP BY 1, 2, 3""",
+)
+q(
+    "source_mix",
+    lambda x: stats.source_mix(x.bars_raw),
+    "SELECT source, data_version, count(*) AS n_rows, count(fetched_at) AS n_fetched FROM bars_raw GROUP BY 1, 2",
+)
+q(
+    "provenance_series",
+    lambda x: stats.provenance_series(x.facts, "announce_date", 100),
+    """SELECT CASE WHEN (SELECT count(DISTINCT announce_date)
+        FROM facts) <= 100 THEN strftime(announce_date, '%Y-%m-%d') WHEN (SELECT count(DISTINCT strftime(announce_date, '%Y-%m'))
+        FROM facts) <= 100 THEN strftime(announce_date, '%Y-%m') ELSE strftime(announce_date, '%Y') END AS bucket, source,
+        count(*) AS n FROM facts GROUP BY 1, 2""",
+)
+q(
+    "documents_provenance",
+    lambda x: x.table("documents").groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars")),
+    "SELECT source, lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY 1, 2",
+)
 name_stats = lambda x: lake.union_by_name([stats.partition_stats(x.facts, "announce_date", "year").withColumn("dataset", F.lit("facts")), stats.partition_stats(x.bars, "trade_date", "day").withColumn("dataset", F.lit("bars"))])
 STATS = "st AS (SELECT 'facts' AS dataset, strftime(announce_date, '%Y') AS period, count(*) AS n_rows, count(DISTINCT symbol) AS n_symbols FROM facts GROUP BY 2 UNION ALL SELECT 'bars', strftime(trade_date, '%Y-%m-%d'), count(*), count(DISTINCT symbol) FROM bars GROUP BY 2)"
-q("stats_rebuild", lambda x: stats.stats_rebuild(name_stats(x), stats.partition_stats(x.bars, "trade_date", "month").withColumn("dataset", F.lit("bars"))), "SELECT * FROM st WHERE dataset = 'facts' UNION ALL SELECT 'bars', strftime(trade_date, '%Y-%m'), count(*), count(DISTINCT symbol) FROM bars GROUP BY 2", STATS)
+q(
+    "stats_rebuild",
+    lambda x: stats.stats_rebuild(name_stats(x), stats.partition_stats(x.bars, "trade_date", "month").withColumn("dataset", F.lit("bars"))),
+    """SELECT * FROM st WHERE dataset = 'facts' UNION ALL SELECT 'bars', strftime(trade_date, '%Y-%m'), count(*),
+        count(DISTINCT symbol) FROM bars GROUP BY 2""",
+    STATS,
+)
 catalog_rows = lambda x: x.table("region").limit(1).select(F.explode(F.array(*[F.struct(F.lit(n).alias("dataset"), F.lit(layer).alias("layer"), F.lit(w).cast("date").alias("watermark"), F.lit(3).alias("tolerance_days")) for n, layer, w in (("facts", "curated", "2001-01-01"), ("bars", "curated", "2024-01-30"), ("none", "derived", None))])).alias("c")).select("c.*")
-q("stats_rollup", lambda x: stats.stats_rollup(name_stats(x), catalog_rows(x)).select("dataset", "layer", "n_rows", "n_partitions"), "SELECT dataset, 'curated' AS layer, CAST(sum(n_rows) AS BIGINT) AS n_rows, count(*) AS n_partitions FROM st GROUP BY 1 UNION ALL SELECT 'none', 'derived', 0, 0", STATS)
-q("tier_rollup", lambda x: stats.tier_rollup(stats.stats_rollup(name_stats(x), catalog_rows(x)), "2024-02-01"), "SELECT 'curated' AS layer, 2 AS n, 1 AS n_fresh, 1 AS n_stale, 0 AS n_empty, CAST(sum(n_rows) AS BIGINT) AS n_rows FROM st UNION ALL SELECT 'derived', 1, 0, 0, 1, 0", STATS)
-q("coverage_heatmap", lambda x: stats.coverage_heatmap(x.bars.groupBy("symbol", F.weekofyear("trade_date")).agg(F.min("trade_date").alias("start"), F.max("trade_date").alias("end")).withColumnRenamed("symbol", "dataset"), x.calendar), "SELECT s.symbol AS dataset, c.trade_date, CASE WHEN EXISTS (SELECT 1 FROM iv WHERE iv.symbol = s.symbol AND c.trade_date BETWEEN iv.a AND iv.z) THEN 'covered' WHEN c.trade_date BETWEEN s.a AND s.z THEN 'gap' ELSE 'outside' END AS state FROM (SELECT symbol, min(a) AS a, max(z) AS z FROM iv GROUP BY 1) s CROSS JOIN calendar c", "iv AS (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z FROM bars GROUP BY symbol, weekofyear(trade_date))")
-q("period_gaps", lambda x: stats.period_gaps(x.instruments, "list_date", "month"), "SELECT strftime(d, '%Y-%m') AS period FROM (SELECT unnest(generate_series(min(m), max(m), INTERVAL 1 MONTH)) AS d FROM (SELECT date_trunc('month', list_date) AS m FROM instruments)) WHERE strftime(d, '%Y-%m') NOT IN (SELECT strftime(list_date, '%Y-%m') FROM instruments WHERE list_date IS NOT NULL)")
-q("source_slo", lambda x: stats.source_slo(x.probes, 10, 0.6).select("probe", "vantage", "n", r9("availability").alias("availability"), r9("freshness").alias("freshness"), "verdict"), "SELECT probe, vantage, count(*) AS n, round(avg(CASE WHEN state = 'ok' THEN 1 ELSE 0 END), 9) AS availability, round(avg(CASE WHEN fresh THEN 1 ELSE 0 END), 9) AS freshness, CASE WHEN count(*) < 10 THEN 'insufficient' WHEN avg(CASE WHEN state = 'ok' THEN 1 ELSE 0 END) >= 0.6 THEN 'met' ELSE 'missed' END AS verdict FROM (SELECT * FROM probes WHERE state <> 'skipped' QUALIFY row_number() OVER (PARTITION BY probe, vantage, day ORDER BY \"at\" DESC, event_id DESC) = 1) GROUP BY 1, 2")
-q("source_incidents", lambda x: stats.source_incidents(x.probes, 1), "SELECT probe, vantage, count(*) AS n_failures FROM probes p JOIN (SELECT probe, vantage, max(event_id) FILTER (state = 'ok') AS ok FROM probes GROUP BY 1, 2) o USING (probe, vantage) WHERE state = 'failed' AND (ok IS NULL OR event_id > ok) GROUP BY 1, 2")
-q("stability_streak", lambda x: stats.stability_streak(x.bars.groupBy("trade_date").agg((F.sum("volume") % 4 != 0).alias("passed")), x.calendar, 3), "SELECT count(*) AS streak, count(*) >= 3 AS stable FROM (SELECT DISTINCT trade_date FROM bars) WHERE trade_date > coalesce((SELECT max(trade_date) FROM (SELECT trade_date FROM bars GROUP BY 1 HAVING sum(volume) % 4 = 0)), DATE '1900-01-01')")
-q("yearly_counts", lambda x: stats.yearly_counts(x.facts, "announce_date"), "SELECT year(announce_date) AS year, count(*) AS n_rows, count(DISTINCT symbol) AS n_symbols, count(DISTINCT announce_date) AS n_days FROM facts GROUP BY 1")
-q("spot_check", lambda x: stats.spot_check(x.adjusted, ["600008.SH", "000009.SZ"]), "SELECT symbol, trade_date, close, close * coalesce(factor, 1) AS adj_close FROM bars LEFT JOIN factor_events USING (symbol, trade_date) WHERE symbol IN ('600008.SH', '000009.SZ')")
-q("staleness", lambda x: x.spans.select("symbol", stats.stale_by(F.lit("2024-01-30").cast("date"), F.col("last_date"), F.lit(3), F.col("symbol").endswith("BJ")).alias("stale")), "SELECT symbol, symbol NOT LIKE '%.BJ' AND DATE '2024-01-30' - max(trade_date) > 3 AS stale FROM bars GROUP BY 1")
+q(
+    "stats_rollup",
+    lambda x: stats.stats_rollup(name_stats(x), catalog_rows(x)).select("dataset", "layer", "n_rows", "n_partitions"),
+    """SELECT dataset, 'curated' AS layer, CAST(sum(n_rows) AS BIGINT) AS n_rows, count(*) AS n_partitions FROM st
+        GROUP BY 1 UNION ALL SELECT 'none', 'derived', 0, 0""",
+    STATS,
+)
+q(
+    "tier_rollup",
+    lambda x: stats.tier_rollup(stats.stats_rollup(name_stats(x), catalog_rows(x)), "2024-02-01"),
+    """SELECT 'curated' AS layer, 2 AS n, 1 AS n_fresh, 1 AS n_stale, 0 AS n_empty, CAST(sum(n_rows) AS BIGINT) AS n_rows
+        FROM st UNION ALL SELECT 'derived', 1, 0, 0, 1, 0""",
+    STATS,
+)
+q(
+    "coverage_heatmap",
+    lambda x: stats.coverage_heatmap(x.bars.groupBy("symbol", F.weekofyear("trade_date")).agg(F.min("trade_date").alias("start"), F.max("trade_date").alias("end")).withColumnRenamed("symbol", "dataset"), x.calendar),
+    """SELECT s.symbol AS dataset, c.trade_date, CASE WHEN EXISTS (SELECT 1 FROM iv
+        WHERE iv.symbol = s.symbol AND c.trade_date BETWEEN iv.a AND iv.z) THEN 'covered' WHEN c.trade_date BETWEEN s.a AND s.z THEN 'gap' ELSE 'outside' END AS state
+        FROM (SELECT symbol, min(a) AS a, max(z) AS z FROM iv GROUP BY 1) s CROSS JOIN calendar c""",
+    """iv AS (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z FROM bars
+        GROUP BY symbol, weekofyear(trade_date))""",
+)
+q(
+    "period_gaps",
+    lambda x: stats.period_gaps(x.instruments, "list_date", "month"),
+    """SELECT strftime(d, '%Y-%m') AS period FROM (SELECT unnest(generate_series(min(m),
+        max(m), INTERVAL 1 MONTH)) AS d FROM (SELECT date_trunc('month', list_date) AS m FROM instruments))
+        WHERE strftime(d, '%Y-%m') NOT IN (SELECT strftime(list_date, '%Y-%m') FROM instruments
+        WHERE list_date IS NOT NULL)""",
+)
+q(
+    "source_slo",
+    lambda x: stats.source_slo(x.probes, 10, 0.6).select("probe", "vantage", "n", r9("availability").alias("availability"), r9("freshness").alias("freshness"), "verdict"),
+    """SELECT probe, vantage, count(*) AS n, round(avg(CASE WHEN state = 'ok' THEN 1 ELSE 0 END), 9) AS availability,
+        round(avg(CASE WHEN fresh THEN 1 ELSE 0 END), 9) AS freshness,
+        CASE WHEN count(*) < 10 THEN 'insufficient' WHEN avg(CASE WHEN state = 'ok' THEN 1 ELSE 0 END) >= 0.6 THEN 'met' ELSE 'missed' END AS verdict
+        FROM (SELECT * FROM probes WHERE state <> 'skipped'
+        QUALIFY row_number() OVER (PARTITION BY probe, vantage, day ORDER BY "at" DESC, event_id DESC) = 1)
+        GROUP BY 1, 2""",
+)
+q(
+    "source_incidents",
+    lambda x: stats.source_incidents(x.probes, 1),
+    """SELECT probe, vantage, count(*) AS n_failures FROM probes p JOIN (SELECT probe, vantage,
+        max(event_id) FILTER (state = 'ok') AS ok FROM probes GROUP BY 1, 2) o USING (probe, vantage)
+        WHERE state = 'failed' AND (ok IS NULL OR event_id > ok) GROUP BY 1, 2""",
+)
+q(
+    "stability_streak",
+    lambda x: stats.stability_streak(x.bars.groupBy("trade_date").agg((F.sum("volume") % 4 != 0).alias("passed")), x.calendar, 3),
+    """SELECT count(*) AS streak, count(*) >= 3 AS stable FROM (SELECT DISTINCT trade_date FROM bars)
+        WHERE trade_date > coalesce((SELECT max(trade_date) FROM (SELECT trade_date FROM bars GROUP BY 1
+        HAVING sum(volume) % 4 = 0)), DATE '1900-01-01')""",
+)
+q(
+    "yearly_counts",
+    lambda x: stats.yearly_counts(x.facts, "announce_date"),
+    """SELECT year(announce_date) AS year, count(*) AS n_rows, count(DISTINCT symbol) AS n_symbols,
+        count(DISTINCT announce_date) AS n_days FROM facts GROUP BY 1""",
+)
+q(
+    "spot_check",
+    lambda x: stats.spot_check(x.adjusted, ["600008.SH", "000009.SZ"]),
+    """SELECT symbol, trade_date, close, close * coalesce(factor, 1) AS adj_close FROM bars
+        LEFT JOIN factor_events USING (symbol, trade_date) WHERE symbol IN ('600008.SH', '000009.SZ')""",
+)
+q(
+    "staleness",
+    lambda x: x.spans.select("symbol", stats.stale_by(F.lit("2024-01-30").cast("date"), F.col("last_date"), F.lit(3), F.col("symbol").endswith("BJ")).alias("stale")),
+    """SELECT symbol, symbol NOT LIKE '%.BJ' AND DATE '2024-01-30' - max(trade_date) > 3 AS stale FROM bars
+        GROUP BY 1""",
+)
 
 # Snapshots, gates, backfill
 dates = lambda x, *d: x.table("region").limit(1).select(F.explode(F.array(*[F.lit(v).cast("date") for v in d])).alias("as_of"))
 intervals = lambda x: x.members.select("symbol", F.col("as_of_date").alias("start_date"), F.col("industry_code").alias("index_code"))
 D3 = "(VALUES (DATE '2024-01-01'), (DATE '2024-01-04'), (DATE '2024-01-20')) d(as_of)"
-q("intervals_latest_as_of", lambda x: snapshots.latest_intervals(intervals(x), dates(x, "2024-01-01", "2024-01-04", "2024-01-20")), f"SELECT symbol, as_of_date AS start_date, industry_code AS index_code, as_of FROM members JOIN {D3} ON as_of_date <= as_of QUALIFY row_number() OVER (PARTITION BY as_of, symbol ORDER BY as_of_date DESC, industry_code DESC) = 1")
-q("intervals_range_as_of", lambda x: snapshots.members_in_range(intervals(x).withColumn("end_date", F.when(F.col("start_date") == "2024-01-03", F.lit("2024-01-15").cast("date"))), dates(x, "2024-01-04", "2024-01-15")), "SELECT DISTINCT industry_code AS index_code, symbol, as_of FROM members JOIN (VALUES (DATE '2024-01-04'), (DATE '2024-01-15')) d(as_of) ON as_of_date <= as_of AND (as_of_date <> DATE '2024-01-03' OR as_of < DATE '2024-01-15')")
-q("statement_unpivot", lambda x: snapshots.statement_unpivot(x.other_bars, KEYS, ["open", "close"]), "SELECT symbol, trade_date, item_code, item_value FROM other_bars UNPIVOT (item_value FOR item_code IN (open, close))")
-q("announce_date_map", lambda x: snapshots.announce_dates(x.facts), "SELECT symbol, report_period, min(announce_date) AS announce_date FROM facts GROUP BY 1, 2")
-q("holder_date_borrow", lambda x: snapshots.borrow_date(x.holders.where("kind = 'F'"), x.holders.where("kind = 'O' OR announce_date IS NOT NULL")).select("l_orderkey", "l_linenumber", "l_partkey", "announce_date"), "SELECT l_orderkey, l_linenumber, l_partkey, coalesce(h.announce_date, d) AS announce_date FROM holders h LEFT JOIN (SELECT symbol, record_date, min(announce_date) AS d FROM holders WHERE announce_date IS NOT NULL GROUP BY 1, 2) USING (symbol, record_date) WHERE kind = 'F' AND coalesce(h.announce_date, d) IS NOT NULL")
-q("factor_inversion", lambda x: snapshots.invert_factors(x.factor_events.select(*KEYS, "factor")), "SELECT symbol, trade_date, 1 / factor AS factor FROM factor_events")
-q("gate_membership", lambda x: snapshots.gate_membership(x.members, ["as_of_date"], 20, ["industry_code"]), "SELECT as_of_date, count(DISTINCT symbol) AS n_members, count(DISTINCT industry_code) AS n_industry_code, count(DISTINCT symbol) >= 20 AS passed FROM members GROUP BY 1")
-q("gate_thin_snapshots", lambda x: snapshots.drop_thin(x.members, ["as_of_date", "industry_code"], 3).select("symbol", "as_of_date", "industry_code"), "SELECT symbol, as_of_date, industry_code FROM members JOIN (SELECT as_of_date, industry_code FROM members GROUP BY 1, 2 HAVING count(DISTINCT symbol) >= 3) USING (as_of_date, industry_code)")
-q("gate_two_legs", lambda x: snapshots.gate_legs(x.ticks, "trade_date", "direction", ["view", "click"], 300, 60), "SELECT trade_date, count(*) AS n, count(*) FILTER (direction = 'view') AS n_view, count(*) FILTER (direction = 'click') AS n_click, count(*) >= 300 AND count(*) FILTER (direction = 'view') >= 60 AND count(*) FILTER (direction = 'click') >= 60 AS passed FROM ticks GROUP BY 1")
-q("gate_schedule", lambda x: snapshots.gate_floor(x.facts, "report_period", ["symbol"], 400), "SELECT report_period, count(DISTINCT symbol) AS n, count(DISTINCT symbol) >= 400 AS passed FROM facts GROUP BY 1")
-q("gate_institutional", lambda x: snapshots.gate_floor(x.facts, "report_period", ["symbol", "item_code"], 500), "SELECT report_period, count(DISTINCT (symbol, item_code)) AS n, count(DISTINCT (symbol, item_code)) >= 500 AS passed FROM facts GROUP BY 1")
-q("gate_sector_flow", lambda x: snapshots.gate_legs(x.facts, "report_period", "item_code", ["1-URGENT", "2-HIGH"], 1, 90).select("report_period", "passed"), "SELECT report_period, count(*) FILTER (item_code = '1-URGENT') >= 90 AND count(*) FILTER (item_code = '2-HIGH') >= 90 AS passed FROM facts GROUP BY 1")
-q("gate_index_bars", lambda x: snapshots.missing_keys(x.bars, x.bars.where("symbol LIKE '60000%'"), x.calendar), "SELECT s.symbol, c.trade_date FROM (SELECT DISTINCT symbol FROM bars WHERE symbol LIKE '60000%') s CROSS JOIN calendar c ANTI JOIN bars b ON b.symbol = s.symbol AND b.trade_date = c.trade_date")
-q("statement_completeness", lambda x: snapshots.families(x.facts.withColumn("report_period", F.concat_ws("/", "symbol", "report_period")), "report_period", "item_code", ["1-URGENT", "2-HIGH", "3-MEDIUM"]), "SELECT symbol || '/' || report_period AS report_period, 3 - count(DISTINCT item_code) FILTER (item_code IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) AS n_missing FROM facts GROUP BY 1 HAVING n_missing > 0")
-q("margin_complete_dates", lambda x: snapshots.complete_dates(x.bars, "trade_date", 130), "SELECT trade_date, count(DISTINCT symbol) AS n FROM bars GROUP BY 1 HAVING count(DISTINCT symbol) >= 130")
-q("backfill_needed", lambda x: snapshots.backfill_needed(x.other_bars, x.instruments, ["close", "open"], "2024-01-30", 0.9), "SELECT symbol FROM instruments LEFT JOIN (SELECT symbol, max(trade_date) AS last, least(count(close), count(open)) AS f, count(*) AS n FROM other_bars GROUP BY 1) USING (symbol) WHERE last IS NULL OR f < 0.9 * n OR last < least(DATE '2024-01-30', coalesce(delist_date, DATE '2024-01-30'))")
-q("hot_symbols", lambda x: snapshots.top_or_latest(x.bars.withColumn("rank", -F.col("amount")), "2024-01-15", "rank", 10), "SELECT symbol FROM bars WHERE trade_date = (SELECT max(trade_date) FROM bars WHERE trade_date <= DATE '2024-01-15') ORDER BY amount DESC, symbol LIMIT 10")
+q(
+    "intervals_latest_as_of",
+    lambda x: snapshots.latest_intervals(intervals(x), dates(x, "2024-01-01", "2024-01-04", "2024-01-20")),
+    f"""SELECT symbol, as_of_date AS start_date, industry_code AS index_code, as_of FROM members
+        JOIN {D3} ON as_of_date <= as_of QUALIFY row_number() OVER (PARTITION BY as_of, symbol
+        ORDER BY as_of_date DESC, industry_code DESC) = 1""",
+)
+q(
+    "intervals_range_as_of",
+    lambda x: snapshots.members_in_range(intervals(x).withColumn("end_date", F.when(F.col("start_date") == "2024-01-03", F.lit("2024-01-15").cast("date"))), dates(x, "2024-01-04", "2024-01-15")),
+    """SELECT DISTINCT industry_code AS index_code, symbol, as_of FROM members
+        JOIN (VALUES (DATE '2024-01-04'), (DATE '2024-01-15')) d(as_of) ON as_of_date <= as_of AND (as_of_date <> DATE '2024-01-03' OR as_of < DATE '2024-01-15')""",
+)
+q(
+    "statement_unpivot",
+    lambda x: snapshots.statement_unpivot(x.other_bars, KEYS, ["open", "close"]),
+    """SELECT symbol, trade_date, item_code, item_value FROM other_bars
+        UNPIVOT (item_value FOR item_code IN (open, close))""",
+)
+q(
+    "announce_date_map",
+    lambda x: snapshots.announce_dates(x.facts),
+    "SELECT symbol, report_period, min(announce_date) AS announce_date FROM facts GROUP BY 1, 2",
+)
+q(
+    "holder_date_borrow",
+    lambda x: snapshots.borrow_date(x.holders.where("kind = 'F'"), x.holders.where("kind = 'O' OR announce_date IS NOT NULL")).select("l_orderkey", "l_linenumber", "l_partkey", "announce_date"),
+    """SELECT l_orderkey, l_linenumber, l_partkey, coalesce(h.announce_date, d) AS announce_date FROM holders h
+        LEFT JOIN (SELECT symbol, record_date, min(announce_date) AS d FROM holders WHERE announce_date IS NOT NULL
+        GROUP BY 1, 2) USING (symbol, record_date) WHERE kind = 'F' AND coalesce(h.announce_date, d) IS NOT NULL""",
+)
+q(
+    "factor_inversion",
+    lambda x: snapshots.invert_factors(x.factor_events.select(*KEYS, "factor")),
+    "SELECT symbol, trade_date, 1 / factor AS factor FROM factor_events",
+)
+q(
+    "gate_membership",
+    lambda x: snapshots.gate_membership(x.members, ["as_of_date"], 20, ["industry_code"]),
+    """SELECT as_of_date, count(DISTINCT symbol) AS n_members, count(DISTINCT industry_code) AS n_industry_code,
+        count(DISTINCT symbol) >= 20 AS passed FROM members GROUP BY 1""",
+)
+q(
+    "gate_thin_snapshots",
+    lambda x: snapshots.drop_thin(x.members, ["as_of_date", "industry_code"], 3).select("symbol", "as_of_date", "industry_code"),
+    """SELECT symbol, as_of_date, industry_code FROM members JOIN (SELECT as_of_date, industry_code FROM members
+        GROUP BY 1, 2 HAVING count(DISTINCT symbol) >= 3) USING (as_of_date, industry_code)""",
+)
+q(
+    "gate_two_legs",
+    lambda x: snapshots.gate_legs(x.ticks, "trade_date", "direction", ["view", "click"], 300, 60),
+    """SELECT trade_date, count(*) AS n, count(*) FILTER (direction = 'view') AS n_view,
+        count(*) FILTER (direction = 'click') AS n_click,
+        count(*) >= 300 AND count(*) FILTER (direction = 'view') >= 60 AND count(*) FILTER (direction = 'click') >= 60 AS passed
+        FROM ticks GROUP BY 1""",
+)
+q(
+    "gate_schedule",
+    lambda x: snapshots.gate_floor(x.facts, "report_period", ["symbol"], 400),
+    """SELECT report_period, count(DISTINCT symbol) AS n, count(DISTINCT symbol) >= 400 AS passed FROM facts
+        GROUP BY 1""",
+)
+q(
+    "gate_institutional",
+    lambda x: snapshots.gate_floor(x.facts, "report_period", ["symbol", "item_code"], 500),
+    """SELECT report_period, count(DISTINCT (symbol, item_code)) AS n,
+        count(DISTINCT (symbol, item_code)) >= 500 AS passed FROM facts GROUP BY 1""",
+)
+q(
+    "gate_sector_flow",
+    lambda x: snapshots.gate_legs(x.facts, "report_period", "item_code", ["1-URGENT", "2-HIGH"], 1, 90).select("report_period", "passed"),
+    """SELECT report_period,
+        count(*) FILTER (item_code = '1-URGENT') >= 90 AND count(*) FILTER (item_code = '2-HIGH') >= 90 AS passed
+        FROM facts GROUP BY 1""",
+)
+q(
+    "gate_index_bars",
+    lambda x: snapshots.missing_keys(x.bars, x.bars.where("symbol LIKE '60000%'"), x.calendar),
+    """SELECT s.symbol, c.trade_date FROM (SELECT DISTINCT symbol FROM bars WHERE symbol LIKE '60000%') s
+        CROSS JOIN calendar c ANTI JOIN bars b ON b.symbol = s.symbol AND b.trade_date = c.trade_date""",
+)
+q(
+    "statement_completeness",
+    lambda x: snapshots.families(x.facts.withColumn("report_period", F.concat_ws("/", "symbol", "report_period")), "report_period", "item_code", ["1-URGENT", "2-HIGH", "3-MEDIUM"]),
+    """SELECT symbol || '/' || report_period AS report_period, 3 - count(DISTINCT item_code) FILTER (item_code IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) AS n_missing
+        FROM facts GROUP BY 1 HAVING n_missing > 0""",
+)
+q(
+    "margin_complete_dates",
+    lambda x: snapshots.complete_dates(x.bars, "trade_date", 130),
+    "SELECT trade_date, count(DISTINCT symbol) AS n FROM bars GROUP BY 1 HAVING count(DISTINCT symbol) >= 130",
+)
+q(
+    "backfill_needed",
+    lambda x: snapshots.backfill_needed(x.other_bars, x.instruments, ["close", "open"], "2024-01-30", 0.9),
+    """SELECT symbol FROM instruments LEFT JOIN (SELECT symbol, max(trade_date) AS last, least(count(close),
+        count(open)) AS f, count(*) AS n FROM other_bars GROUP BY 1) USING (symbol)
+        WHERE last IS NULL OR f < 0.9 * n OR last < least(DATE '2024-01-30', coalesce(delist_date, DATE '2024-01-30'))""",
+)
+q(
+    "hot_symbols",
+    lambda x: snapshots.top_or_latest(x.bars.withColumn("rank", -F.col("amount")), "2024-01-15", "rank", 10),
+    """SELECT symbol FROM bars WHERE trade_date = (SELECT max(trade_date) FROM bars
+        WHERE trade_date <= DATE '2024-01-15') ORDER BY amount DESC, symbol LIMIT 10""",
+)
 ranked = lambda x, d, by: x.bars.where(f"trade_date = date'{d}'").select("symbol", F.row_number().over(Window.partitionBy("trade_date").orderBy(F.col(by).desc(), "symbol")).alias("pos")).where("pos <= 15")
-q("candidate_symbols", lambda x: snapshots.candidates([ranked(x, DAY, "amount"), ranked(x, DAY, "close"), ranked(x, "2024-01-11", "volume")], 30), f"SELECT symbol FROM (SELECT symbol, min(k * 1000 + pos) AS m FROM (SELECT 0 AS k, symbol, row_number() OVER (ORDER BY amount DESC, symbol) AS pos FROM bars WHERE trade_date = DATE '{DAY}' UNION ALL SELECT 1, symbol, row_number() OVER (ORDER BY close DESC, symbol) FROM bars WHERE trade_date = DATE '{DAY}' UNION ALL SELECT 2, symbol, row_number() OVER (ORDER BY volume DESC, symbol) FROM bars WHERE trade_date = DATE '2024-01-11') WHERE pos <= 15 GROUP BY 1) ORDER BY m LIMIT 30")
+q(
+    "candidate_symbols",
+    lambda x: snapshots.candidates([ranked(x, DAY, "amount"), ranked(x, DAY, "close"), ranked(x, "2024-01-11", "volume")], 30),
+    f"""SELECT symbol FROM (SELECT symbol, min(k * 1000 + pos) AS m
+        FROM (SELECT 0 AS k, symbol, row_number() OVER (ORDER BY amount DESC, symbol) AS pos FROM bars
+        WHERE trade_date = DATE '{DAY}' UNION ALL SELECT 1, symbol, row_number() OVER (ORDER BY close DESC, symbol)
+        FROM bars WHERE trade_date = DATE '{DAY}'
+        UNION ALL SELECT 2, symbol, row_number() OVER (ORDER BY volume DESC, symbol) FROM bars
+        WHERE trade_date = DATE '2024-01-11') WHERE pos <= 15 GROUP BY 1) ORDER BY m LIMIT 30""",
+)
 q("new_listings", lambda x: snapshots.new_listings(x.instruments, "2024-01-05"), "SELECT symbol FROM instruments WHERE list_date = DATE '2024-01-05'")
-q("prior_factor", lambda x: snapshots.prior_factor(x.factor_events, "2024-01-20", 10), "SELECT symbol, max_by(factor, trade_date) AS factor FROM factor_events WHERE trade_date < DATE '2024-01-20' AND trade_date >= DATE '2024-01-10' GROUP BY 1")
-q("latest_boards", lambda x: snapshots.latest_boards(x.members), "SELECT DISTINCT industry_code FROM members WHERE as_of_date = (SELECT max(as_of_date) FROM members)")
-q("master_recovered_rows", lambda x: snapshots.recovered(x.instruments, x.spans), "SELECT b.symbol, coalesce(list_date, a) AS list_date, CASE WHEN m.name IS NOT NULL THEN delist_date ELSE z END AS delist_date, m.name IS NULL AS recovered FROM (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z FROM bars GROUP BY 1) b LEFT JOIN instruments m USING (symbol)")
-q("retired_orphans", lambda x: snapshots.retired_orphans(x.bars_raw, x.instruments, "2024-01-31", 1, 1), "SELECT symbol, last FROM (SELECT symbol, max(trade_date) FILTER (volume > 0) AS last, max(trade_date) AS z FROM bars_raw GROUP BY 1) WHERE DATE '2024-01-31' - last > 1 AND z = last AND symbol NOT IN (SELECT symbol FROM instruments WHERE delist_date IS NOT NULL)")
+q(
+    "prior_factor",
+    lambda x: snapshots.prior_factor(x.factor_events, "2024-01-20", 10),
+    """SELECT symbol, max_by(factor, trade_date) AS factor FROM factor_events
+        WHERE trade_date < DATE '2024-01-20' AND trade_date >= DATE '2024-01-10' GROUP BY 1""",
+)
+q(
+    "latest_boards",
+    lambda x: snapshots.latest_boards(x.members),
+    "SELECT DISTINCT industry_code FROM members WHERE as_of_date = (SELECT max(as_of_date) FROM members)",
+)
+q(
+    "master_recovered_rows",
+    lambda x: snapshots.recovered(x.instruments, x.spans),
+    """SELECT b.symbol, coalesce(list_date, a) AS list_date,
+        CASE WHEN m.name IS NOT NULL THEN delist_date ELSE z END AS delist_date, m.name IS NULL AS recovered
+        FROM (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z FROM bars GROUP BY 1) b
+        LEFT JOIN instruments m USING (symbol)""",
+)
+q(
+    "retired_orphans",
+    lambda x: snapshots.retired_orphans(x.bars_raw, x.instruments, "2024-01-31", 1, 1),
+    """SELECT symbol, last FROM (SELECT symbol, max(trade_date) FILTER (volume > 0) AS last, max(trade_date) AS z
+        FROM bars_raw GROUP BY 1) WHERE DATE '2024-01-31' - last > 1 AND z = last AND symbol NOT IN (SELECT symbol
+        FROM instruments WHERE delist_date IS NOT NULL)""",
+)
 
 # Versions and writes: through Parquet in the shared folder
 
@@ -425,8 +1432,16 @@ def _repartition(x):
     return x.spark.read.parquet(month).groupBy(F.col(lake.PERIOD).cast("string").alias("period")).agg(F.count("*").alias("n"))
 
 
-q("repartition_candidates", lambda x: reconcile.mixed_granularity(lake.list_partitions(lake.by_period(x.bars, TICKS).unionByName(lake.by_period(x.bars, BARS))).select("period"), 7), "SELECT DISTINCT strftime(trade_date, '%Y-%m-%d') AS period FROM bars")
-q("mixed_granularity", lambda x: reconcile.mixed_granularity(lake.list_partitions(lake.by_period(x.bars, TICKS).unionByName(lake.by_period(x.bars, BARS))).select("period"), 10), "SELECT DISTINCT strftime(trade_date, '%Y-%m') AS period FROM bars")
+q(
+    "repartition_candidates",
+    lambda x: reconcile.mixed_granularity(lake.list_partitions(lake.by_period(x.bars, TICKS).unionByName(lake.by_period(x.bars, BARS))).select("period"), 7),
+    "SELECT DISTINCT strftime(trade_date, '%Y-%m-%d') AS period FROM bars",
+)
+q(
+    "mixed_granularity",
+    lambda x: reconcile.mixed_granularity(lake.list_partitions(lake.by_period(x.bars, TICKS).unionByName(lake.by_period(x.bars, BARS))).select("period"), 10),
+    "SELECT DISTINCT strftime(trade_date, '%Y-%m') AS period FROM bars",
+)
 
 
 def _two_versions(x):
@@ -436,37 +1451,133 @@ def _two_versions(x):
     return root
 
 
-q("commit_version", lambda x: versions.manifest(x.spark, _two_versions(x), BARS).groupBy("dataset", "version", "parent").agg(F.sum("n_rows").alias("n_rows")), "SELECT 'daily_bars' AS dataset, v AS version, v - 1 AS parent, count(*) AS n_rows FROM canon CROSS JOIN (VALUES (1), (2)) t(v) GROUP BY v", CANON)
-q("dataset_state", lambda x: versions.state(x.spark, _two_versions(x), BARS).select("dataset", "version", "n_rows"), "SELECT 'daily_bars' AS dataset, 2 AS version, count(*) AS n_rows FROM canon", CANON)
-q("read_version", lambda x: (lambda root: versions.read(x.spark, root, BARS, 1).select(*KEYS, F.col("close").alias("one")).join(versions.read(x.spark, root, BARS).select(*KEYS, F.col("close").alias("two")), KEYS))(_two_versions(x)), "SELECT symbol, trade_date, close AS one, close * 2 AS two FROM canon", CANON)
+q(
+    "commit_version",
+    lambda x: versions.manifest(x.spark, _two_versions(x), BARS).groupBy("dataset", "version", "parent").agg(F.sum("n_rows").alias("n_rows")),
+    """SELECT 'daily_bars' AS dataset, v AS version, v - 1 AS parent, count(*) AS n_rows FROM canon
+        CROSS JOIN (VALUES (1), (2)) t(v) GROUP BY v""",
+    CANON,
+)
+q(
+    "dataset_state",
+    lambda x: versions.state(x.spark, _two_versions(x), BARS).select("dataset", "version", "n_rows"),
+    "SELECT 'daily_bars' AS dataset, 2 AS version, count(*) AS n_rows FROM canon",
+    CANON,
+)
+q(
+    "read_version",
+    lambda x: (lambda root: versions.read(x.spark, root, BARS, 1).select(*KEYS, F.col("close").alias("one")).join(versions.read(x.spark, root, BARS).select(*KEYS, F.col("close").alias("two")), KEYS))(_two_versions(x)),
+    "SELECT symbol, trade_date, close AS one, close * 2 AS two FROM canon",
+    CANON,
+)
 marks = lambda x: x.bars_raw.groupBy(F.col("source").alias("dataset")).agg(F.date_add(F.max("trade_date"), -F.length("source") + 8).alias("watermark"))
 candidates = lambda x: x.bars_raw.where("volume % 2 = 0").groupBy(F.col("source").alias("dataset")).agg(F.max("trade_date").alias("watermark")).unionByName(x.facts.groupBy(F.col("source").alias("dataset")).agg(F.max("announce_date").alias("watermark")))
-q("watermark_max", lambda x: reconcile.watermark_max(marks(x), candidates(x)), "SELECT dataset, max(d) AS watermark FROM (SELECT source AS dataset, max(trade_date) AS d FROM bars_raw GROUP BY 1 UNION ALL SELECT source, max(trade_date) FROM bars_raw WHERE volume % 2 = 0 GROUP BY 1 UNION ALL SELECT source, max(announce_date) FROM facts GROUP BY 1) GROUP BY 1")
+q(
+    "watermark_max",
+    lambda x: reconcile.watermark_max(marks(x), candidates(x)),
+    """SELECT dataset, max(d) AS watermark FROM (SELECT source AS dataset, max(trade_date) AS d FROM bars_raw
+        GROUP BY 1 UNION ALL SELECT source, max(trade_date) FROM bars_raw WHERE volume % 2 = 0 GROUP BY 1
+        UNION ALL SELECT source, max(announce_date) FROM facts GROUP BY 1) GROUP BY 1""",
+)
 ahead = lambda x: x.facts.groupBy("item_code").agg(F.lit("2024-01-25").cast("date").alias("watermark")).withColumnRenamed("item_code", "dataset")
 shares = lambda x: quality.coverage_ratio(x.other_bars.where("close IS NOT NULL"), x.bars)
 days_of = lambda x: x.facts.select(F.col("item_code").alias("dataset")).distinct().where("dataset <> '5-LOW'").join(F.broadcast(shares(x)))  # noqa: E731 - five datasets
-q("watermark_reconcile", lambda x: reconcile.watermark_reconcile(ahead(x), days_of(x).where("dataset <> '2-HIGH' OR trade_date < date'2024-01-10'"), 0.85, ("1-URGENT", "3-MEDIUM")).union(reconcile.watermark_reconcile(ahead(x), days_of(x), 1.01, ("1-URGENT",)).withColumn("dataset", F.concat(F.lit("never "), "dataset"))),
-  """SELECT dataset, CASE dataset WHEN '5-LOW' THEN NULL WHEN '2-HIGH' THEN DATE '2024-01-09' WHEN '4-NOT SPECIFIED' THEN DATE '2024-01-25' ELSE least(DATE '2024-01-25', last) END AS watermark FROM (SELECT DISTINCT item_code AS dataset FROM facts) CROSS JOIN (SELECT max(trade_date) AS last FROM ratio WHERE r >= 0.85)
+q(
+    "watermark_reconcile",
+    lambda x: reconcile.watermark_reconcile(ahead(x), days_of(x).where("dataset <> '2-HIGH' OR trade_date < date'2024-01-10'"), 0.85, ("1-URGENT", "3-MEDIUM")).union(reconcile.watermark_reconcile(ahead(x), days_of(x), 1.01, ("1-URGENT",)).withColumn("dataset", F.concat(F.lit("never "), "dataset"))),
+    """SELECT dataset, CASE dataset WHEN '5-LOW' THEN NULL WHEN '2-HIGH' THEN DATE '2024-01-09' WHEN '4-NOT SPECIFIED' THEN DATE '2024-01-25' ELSE least(DATE '2024-01-25', last) END AS watermark FROM (SELECT DISTINCT item_code AS dataset FROM facts) CROSS JOIN (SELECT max(trade_date) AS last FROM ratio WHERE r >= 0.85)
 UNION ALL SELECT 'never ' || dataset, CASE WHEN dataset IN ('5-LOW', '1-URGENT') THEN NULL ELSE DATE '2024-01-25' END FROM (SELECT DISTINCT item_code AS dataset FROM facts)""",
-  "ratio AS (SELECT b.trade_date, count(o.symbol) / count(*) AS r FROM bars b LEFT JOIN (SELECT * FROM other_bars WHERE close IS NOT NULL) o ON o.symbol = b.symbol AND o.trade_date = b.trade_date GROUP BY 1)")
+    """ratio AS (SELECT b.trade_date, count(o.symbol) / count(*) AS r FROM bars b LEFT JOIN (SELECT * FROM other_bars
+        WHERE close IS NOT NULL) o ON o.symbol = b.symbol AND o.trade_date = b.trade_date GROUP BY 1)""",
+)
 stubbed = lambda x: x.instruments.withColumn("name", F.when(F.col("name").startswith("ST"), F.concat("name", F.lit("申购款"))).otherwise(F.col("name")))
-q("purge_placeholders", lambda x: (lambda kept, n: kept.select("symbol").join(F.broadcast(n)))(*reconcile.purge_placeholders(stubbed(x))), "SELECT symbol, (SELECT count(*) FROM instruments WHERE name LIKE 'ST%') AS n FROM instruments WHERE name NOT LIKE 'ST%'")
-q("pit_normalize", lambda x: research.pit_normalize(x.facts).select("fact_id", F.col("available_at").isNull().alias("no_available"), F.date_format("observed_at", "yyyy-MM-dd").alias("observed")), "SELECT fact_id, TRUE AS no_available, strftime(fetched_at, '%Y-%m-%d') AS observed FROM facts")
-q("pit_migration", lambda x: research.pit_normalize(research.pit_normalize(x.facts)).select("fact_id", F.col("source_published_at").isNull().alias("unknown"), F.length("revision_id").alias("n")), "SELECT fact_id, TRUE AS unknown, 32 AS n FROM facts")
-q("status_migration", lambda x: canonical.split_legacy_status(x.status).groupBy("status", "risk_warning").agg(F.count("*").alias("n")), "SELECT CASE WHEN status = 'st' THEN 'normal' ELSE status END AS status, CASE WHEN status = 'st' THEN TRUE ELSE risk_warning END AS risk_warning, count(*) AS n FROM status GROUP BY 1, 2")
+q(
+    "purge_placeholders",
+    lambda x: (lambda kept, n: kept.select("symbol").join(F.broadcast(n)))(*reconcile.purge_placeholders(stubbed(x))),
+    """SELECT symbol, (SELECT count(*) FROM instruments WHERE name LIKE 'ST%') AS n FROM instruments
+        WHERE name NOT LIKE 'ST%'""",
+)
+q(
+    "pit_normalize",
+    lambda x: research.pit_normalize(x.facts).select("fact_id", F.col("available_at").isNull().alias("no_available"), F.date_format("observed_at", "yyyy-MM-dd").alias("observed")),
+    "SELECT fact_id, TRUE AS no_available, strftime(fetched_at, '%Y-%m-%d') AS observed FROM facts",
+)
+q(
+    "pit_migration",
+    lambda x: research.pit_normalize(research.pit_normalize(x.facts)).select("fact_id", F.col("source_published_at").isNull().alias("unknown"), F.length("revision_id").alias("n")),
+    "SELECT fact_id, TRUE AS unknown, 32 AS n FROM facts",
+)
+q(
+    "status_migration",
+    lambda x: canonical.split_legacy_status(x.status).groupBy("status", "risk_warning").agg(F.count("*").alias("n")),
+    """SELECT CASE WHEN status = 'st' THEN 'normal' ELSE status END AS status,
+        CASE WHEN status = 'st' THEN TRUE ELSE risk_warning END AS risk_warning, count(*) AS n FROM status
+        GROUP BY 1, 2""",
+)
 
 VALID = "valid AS (SELECT * FROM bars_raw r ANTI JOIN (SELECT * FROM status WHERE " + BAD + ") s ON s.symbol = r.symbol AND s.trade_date = r.trade_date LEFT JOIN (SELECT symbol AS sym, list_date, delist_date FROM instruments) i ON i.sym = r.symbol WHERE " + CLASS.replace("symbol", "r.symbol") + " AND coalesce(list_date <= r.trade_date, TRUE) AND coalesce(r.trade_date <= delist_date, TRUE)), " + CANON.replace("FROM bars_raw", "FROM valid").replace("canon AS", "vcanon AS")
 sound = lambda x: x.bars_raw.where("fetched_at IS NOT NULL")  # noqa: E731 - a null fetch time breaks the contract
-q("read_validated", lambda x: load.read_validated(sound(x), BARS, "2024-01-04", "2024-01-25", None, x.instruments, x.status).select(*KEYS, "source", "close"), "SELECT symbol, trade_date, source, close FROM vcanon WHERE trade_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'", VALID)
+q(
+    "read_validated",
+    lambda x: load.read_validated(sound(x), BARS, "2024-01-04", "2024-01-25", None, x.instruments, x.status).select(*KEYS, "source", "close"),
+    """SELECT symbol, trade_date, source, close FROM vcanon
+        WHERE trade_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'""",
+    VALID,
+)
 raw_factors = lambda x: x.factor_events.select("symbol", "trade_date", "factor")
-q("load", lambda x: load.load(sound(x), BARS, "2024-01-04", "2024-01-25", adjust="hfq", factors=raw_factors(x), master=x.instruments, status=x.status).select(*KEYS, "source", "adj_close", "adj_is_exact"), "SELECT v.symbol, v.trade_date, source, close * coalesce(factor, 1) AS adj_close, factor IS NOT NULL AS adj_is_exact FROM vcanon v LEFT JOIN factor_events f ON f.symbol = v.symbol AND f.trade_date = v.trade_date WHERE v.trade_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'", VALID)
-q("query_bars", lambda x: load.load(sound(x), BARS, "2024-01-04", "2024-01-25", adjust="hfq", factors=raw_factors(x)).agg(F.count("*").alias("n"), F.count_if(~F.col("adj_is_exact")).alias("n_inexact")), "SELECT count(*) AS n, count(*) FILTER (factor IS NULL) AS n_inexact FROM canon LEFT JOIN factor_events USING (symbol, trade_date) WHERE trade_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'", CANON)
-q("daily_bars_qfq", lambda x: load.load(sound(x), BARS, None, "2024-01-20", adjust="qfq", factors=raw_factors(x)).select(*KEYS, r9("adj_close").alias("adj_close"), "adj_is_exact"), "SELECT c.symbol, c.trade_date, round(close * coalesce(factor / anchor, 1), 9) AS adj_close, factor IS NOT NULL AND anchor IS NOT NULL AS adj_is_exact FROM canon c LEFT JOIN factor_events f USING (symbol, trade_date) LEFT JOIN (SELECT f.symbol, max_by(factor, f.trade_date) AS anchor FROM factor_events f JOIN (SELECT symbol, max(trade_date) AS last FROM canon WHERE trade_date <= DATE '2024-01-20' GROUP BY 1) l ON l.symbol = f.symbol AND f.trade_date <= last GROUP BY 1) a ON a.symbol = c.symbol WHERE c.trade_date <= DATE '2024-01-20'", CANON)
-q("query_fundamentals", lambda x: load.load(x.facts, FACTS, as_of="1997-06-30", items=["1-URGENT", "2-HIGH"]).select("symbol", "report_period", "item_code", "item_value", "pit_is_exact"), "SELECT symbol, report_period, item_code, item_value, pit_is_exact FROM vis WHERE item_code IN ('1-URGENT', '2-HIGH') QUALIFY row_number() OVER (PARTITION BY symbol, report_period, item_code ORDER BY announce_date DESC, observed_at DESC, fetched_at DESC, item_value DESC) = 1", VISIBLE)
+q(
+    "load",
+    lambda x: load.load(sound(x), BARS, "2024-01-04", "2024-01-25", adjust="hfq", factors=raw_factors(x), master=x.instruments, status=x.status).select(*KEYS, "source", "adj_close", "adj_is_exact"),
+    """SELECT v.symbol, v.trade_date, source, close * coalesce(factor, 1) AS adj_close, factor IS NOT NULL AS adj_is_exact
+        FROM vcanon v LEFT JOIN factor_events f ON f.symbol = v.symbol AND f.trade_date = v.trade_date
+        WHERE v.trade_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'""",
+    VALID,
+)
+q(
+    "query_bars",
+    lambda x: load.load(sound(x), BARS, "2024-01-04", "2024-01-25", adjust="hfq", factors=raw_factors(x)).agg(F.count("*").alias("n"), F.count_if(~F.col("adj_is_exact")).alias("n_inexact")),
+    """SELECT count(*) AS n, count(*) FILTER (factor IS NULL) AS n_inexact FROM canon
+        LEFT JOIN factor_events USING (symbol, trade_date)
+        WHERE trade_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'""",
+    CANON,
+)
+q(
+    "daily_bars_qfq",
+    lambda x: load.load(sound(x), BARS, None, "2024-01-20", adjust="qfq", factors=raw_factors(x)).select(*KEYS, r9("adj_close").alias("adj_close"), "adj_is_exact"),
+    """SELECT c.symbol, c.trade_date,
+        round(close * coalesce(factor / anchor, 1), 9) AS adj_close, factor IS NOT NULL AND anchor IS NOT NULL AS adj_is_exact
+        FROM canon c LEFT JOIN factor_events f USING (symbol, trade_date)
+        LEFT JOIN (SELECT f.symbol, max_by(factor, f.trade_date) AS anchor FROM factor_events f JOIN (SELECT symbol,
+        max(trade_date) AS last FROM canon WHERE trade_date <= DATE '2024-01-20'
+        GROUP BY 1) l ON l.symbol = f.symbol AND f.trade_date <= last GROUP BY 1) a ON a.symbol = c.symbol
+        WHERE c.trade_date <= DATE '2024-01-20'""",
+    CANON,
+)
+q(
+    "query_fundamentals",
+    lambda x: load.load(x.facts, FACTS, as_of="1997-06-30", items=["1-URGENT", "2-HIGH"]).select("symbol", "report_period", "item_code", "item_value", "pit_is_exact"),
+    """SELECT symbol, report_period, item_code, item_value, pit_is_exact FROM vis
+        WHERE item_code IN ('1-URGENT', '2-HIGH')
+        QUALIFY row_number() OVER (PARTITION BY symbol, report_period, item_code
+        ORDER BY announce_date DESC, observed_at DESC, fetched_at DESC, item_value DESC) = 1""",
+    VISIBLE,
+)
 q("all_vintages", lambda x: load.load(x.facts, FACTS, as_of="1997-06-30", all_vintages=True).select("fact_id"), "SELECT fact_id FROM vis", VISIBLE)
 stamped = lambda x: canonical.with_provenance(x.members, "vendor_a", "v1", F.lit("2024-01-20 00:00:00").cast("timestamp"))
-q("query_dataset", lambda x: load.query_dataset(stamped(x), DATASETS["industry_members"], "2024-01-10", limit=60).select("symbol", "industry_code", "total", "truncated"), "SELECT symbol, industry_code, count(*) OVER () AS total, count(*) OVER () > 60 AS truncated FROM members WHERE as_of_date >= DATE '2024-01-10' ORDER BY symbol LIMIT 60")
-q("browse_rows", lambda x: research.paged(lake.scan(x.canon, BARS, "2024-01-10", "2024-01-10"), ["symbol"], 40).select(*KEYS, "close", "source", "total"), "SELECT symbol, trade_date, close, source, (SELECT count(*) FROM canon WHERE trade_date = DATE '2024-01-10') AS total FROM canon WHERE trade_date = DATE '2024-01-10' ORDER BY symbol LIMIT 40", CANON)
+q(
+    "query_dataset",
+    lambda x: load.query_dataset(stamped(x), DATASETS["industry_members"], "2024-01-10", limit=60).select("symbol", "industry_code", "total", "truncated"),
+    """SELECT symbol, industry_code, count(*) OVER () AS total, count(*) OVER () > 60 AS truncated FROM members
+        WHERE as_of_date >= DATE '2024-01-10' ORDER BY symbol LIMIT 60""",
+)
+q(
+    "browse_rows",
+    lambda x: research.paged(lake.scan(x.canon, BARS, "2024-01-10", "2024-01-10"), ["symbol"], 40).select(*KEYS, "close", "source", "total"),
+    """SELECT symbol, trade_date, close, source, (SELECT count(*) FROM canon
+        WHERE trade_date = DATE '2024-01-10') AS total FROM canon WHERE trade_date = DATE '2024-01-10'
+        ORDER BY symbol LIMIT 40""",
+    CANON,
+)
 
 
 def _sql(x, text, limit=10**9):
@@ -474,24 +1585,83 @@ def _sql(x, text, limit=10**9):
     return load.run_sql(x.spark, text, limit)
 
 
-q("sql_views", lambda x: _sql(x, "SELECT source, count(*) AS n, sum(volume) AS volume FROM daily_bars GROUP BY source"), "SELECT source, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume FROM canon GROUP BY 1", CANON)
+q(
+    "sql_views",
+    lambda x: _sql(x, "SELECT source, count(*) AS n, sum(volume) AS volume FROM daily_bars GROUP BY source"),
+    "SELECT source, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume FROM canon GROUP BY 1",
+    CANON,
+)
 q("sql_canonical_view", lambda x: _sql(x, "SELECT symbol, trade_date, close FROM daily_bars"), "SELECT symbol, trade_date, close FROM canon", CANON)
-q("run_sql", lambda x: _sql(x, "SELECT b.symbol, b.trade_date, status FROM daily_bars b JOIN trading_status s ON b.symbol = s.symbol AND b.trade_date = s.trade_date WHERE b.volume > 100 ORDER BY 1, 2;", 25), "SELECT symbol, trade_date, status FROM canon JOIN status USING (symbol, trade_date) WHERE volume > 100 ORDER BY 1, 2 LIMIT 25", CANON)
+q(
+    "run_sql",
+    lambda x: _sql(x, "SELECT b.symbol, b.trade_date, status FROM daily_bars b JOIN trading_status s ON b.symbol = s.symbol AND b.trade_date = s.trade_date WHERE b.volume > 100 ORDER BY 1, 2;", 25),
+    """SELECT symbol, trade_date, status FROM canon JOIN status USING (symbol, trade_date) WHERE volume > 100
+        ORDER BY 1, 2 LIMIT 25""",
+    CANON,
+)
 
 # Matching, evidence, gaps
 boards = lambda x: x.table("part").select(F.col("p_type").alias("kind"), (F.col("p_partkey") % 997).cast("string").alias("code"), F.col("p_name").alias("name"))
 others = lambda x: x.table("part").where("p_size > 25").groupBy(F.col("p_type").alias("kind"), (F.col("p_partkey") % 997).cast("string").alias("code")).agg(F.min(F.concat(F.lit("Concept "), "p_name")).alias("name"))
-q("norm_name", lambda x: x.table("part").select("p_partkey", reconcile.norm_name(F.concat(F.lit("Brand 7 "), "p_name")).alias("n")), "SELECT p_partkey, replace(lower(p_name), ' ', '') AS n FROM part")
-q("sector_code_map", lambda x: reconcile.sector_code_map(boards(x), others(x)), "SELECT b.kind, lpad(b.code, 6, '0') AS code, b.name, o.name AS other_name, CASE WHEN o.name IS NULL THEN 'predicted' WHEN replace(lower(b.name), ' ', '') = replace(replace(lower(o.name), 'concept ', ''), ' ', '') THEN 'identity' ELSE 'name_mismatch' END AS state FROM (SELECT p_type AS kind, CAST(p_partkey % 997 AS VARCHAR) AS code, p_name AS name FROM part) b LEFT JOIN (SELECT p_type AS kind, CAST(p_partkey % 997 AS VARCHAR) AS code, min('Concept ' || p_name) AS name FROM part WHERE p_size > 25 GROUP BY 1, 2) o ON o.kind = b.kind AND o.code = b.code")
-q("sector_routing", lambda x: reconcile.sector_routing(x.table("supplier").select(F.col("s_suppkey").alias("board"), F.concat(F.lit("zone"), F.col("s_nationkey").cast("string"), F.substring("s_name", 17, 2)).alias("name")).withColumn("name", F.translate("name", "0123456789", "abcdefghij")), x.table("nation").select(F.col("n_nationkey").alias("index"), F.translate(F.concat(F.lit("zone"), F.col("n_nationkey").cast("string")), "0123456789", "abcdefghij").alias("name")), "zoneb"), """SELECT b.board, CASE WHEN n LIKE '%zoneb%' THEN 'exclusive' WHEN ne = 1 THEN 'exact' WHEN nh = 1 THEN 'contains' WHEN nh > 1 THEN 'ambiguous' ELSE 'none' END AS tier, CASE WHEN n LIKE '%zoneb%' THEN NULL WHEN ne = 1 THEN ex WHEN nh = 1 THEN he END AS "index"
+q(
+    "norm_name",
+    lambda x: x.table("part").select("p_partkey", reconcile.norm_name(F.concat(F.lit("Brand 7 "), "p_name")).alias("n")),
+    "SELECT p_partkey, replace(lower(p_name), ' ', '') AS n FROM part",
+)
+q(
+    "sector_code_map",
+    lambda x: reconcile.sector_code_map(boards(x), others(x)),
+    """SELECT b.kind, lpad(b.code, 6, '0') AS code, b.name, o.name AS other_name,
+        CASE WHEN o.name IS NULL THEN 'predicted' WHEN replace(lower(b.name), ' ', '') = replace(replace(lower(o.name), 'concept ', ''), ' ', '') THEN 'identity' ELSE 'name_mismatch' END AS state
+        FROM (SELECT p_type AS kind, CAST(p_partkey % 997 AS VARCHAR) AS code, p_name AS name FROM part) b
+        LEFT JOIN (SELECT p_type AS kind, CAST(p_partkey % 997 AS VARCHAR) AS code, min('Concept ' || p_name) AS name
+        FROM part WHERE p_size > 25 GROUP BY 1, 2) o ON o.kind = b.kind AND o.code = b.code""",
+)
+q(
+    "sector_routing",
+    lambda x: reconcile.sector_routing(x.table("supplier").select(F.col("s_suppkey").alias("board"), F.concat(F.lit("zone"), F.col("s_nationkey").cast("string"), F.substring("s_name", 17, 2)).alias("name")).withColumn("name", F.translate("name", "0123456789", "abcdefghij")), x.table("nation").select(F.col("n_nationkey").alias("index"), F.translate(F.concat(F.lit("zone"), F.col("n_nationkey").cast("string")), "0123456789", "abcdefghij").alias("name")), "zoneb"),
+    """SELECT b.board, CASE WHEN n LIKE '%zoneb%' THEN 'exclusive' WHEN ne = 1 THEN 'exact' WHEN nh = 1 THEN 'contains' WHEN nh > 1 THEN 'ambiguous' ELSE 'none' END AS tier, CASE WHEN n LIKE '%zoneb%' THEN NULL WHEN ne = 1 THEN ex WHEN nh = 1 THEN he END AS "index"
  FROM (SELECT b.board, any_value(b.n) AS n, count(DISTINCT i."index") FILTER (b.n = i.m) AS ne, min(i."index") FILTER (b.n = i.m) AS ex, count(DISTINCT i."index") FILTER (contains(b.n, i.m) OR contains(i.m, b.n)) AS nh, min(i."index") FILTER (contains(b.n, i.m) OR contains(i.m, b.n)) AS he
- FROM (SELECT s_suppkey AS board, translate('zone' || s_nationkey || substr(s_name, 17, 2), '0123456789', 'abcdefghij') AS n FROM supplier) b CROSS JOIN (SELECT n_nationkey AS "index", translate('zone' || n_nationkey, '0123456789', 'abcdefghij') AS m FROM nation) i GROUP BY 1) b""")
-q("elapsed_fraction", lambda x: lake.list_partitions(lake.by_period(x.facts.withColumnRenamed("announce_date", "trade_date"), BARS)).select("period", r9(reconcile.elapsed_fraction(F.col("start"), F.col("end"), F.lit("1998-03-10").cast("date"))).alias("share")), "SELECT DISTINCT strftime(announce_date, '%Y-%m') AS period, round(greatest(0.0, least(1.0, (DATE '1998-03-10' - CAST(date_trunc('month', announce_date) AS DATE) + 1) / (last_day(announce_date) - CAST(date_trunc('month', announce_date) AS DATE) + 1))), 9) AS share FROM facts")
-q("dataset_audit", lambda x: reconcile.dataset_audit(x.bars_raw, BARS, "vendor_c"), "SELECT * FROM (SELECT 'mock_rows' AS \"check\", count(*) FILTER (source = 'vendor_c') AS n FROM bars_raw UNION ALL SELECT 'required_nulls', count(*) FILTER (fetched_at IS NULL) FROM bars_raw UNION ALL SELECT 'duplicate_keys', count(*) - count(DISTINCT (symbol, trade_date)) FROM bars_raw) WHERE n > 0")
-q("schema_contract", lambda x: canonical.validate(x.bars_raw.withColumn("close", F.concat(F.when(F.col("volume") % 13 == 0, "x").otherwise(""), F.col("close").cast("string"))), BARS).groupBy("source").agg(F.count_if(F.col("close").isNull()).alias("n_bad")), "SELECT source, count(*) FILTER (volume % 13 = 0) AS n_bad FROM bars_raw GROUP BY 1")
-q("last_em_tip", lambda x: quality.last_dense(x.bars_raw.where("source = 'vendor_b'"), x.bars, 0.2), "SELECT max(trade_date) AS trade_date FROM (SELECT b.trade_date FROM bars b LEFT JOIN (SELECT symbol, trade_date FROM bars_raw WHERE source = 'vendor_b') v ON v.symbol = b.symbol AND v.trade_date = b.trade_date GROUP BY 1 HAVING count(v.symbol) / count(*) >= 0.2)")
-q("structural_adjustments", lambda x: reconcile.structural(x.table("part").select("p_partkey", F.col("p_name").alias("change_reason")), "gear|widget"), "SELECT p_partkey, p_name AS change_reason FROM part WHERE p_name LIKE '%gear%' OR p_name LIKE '%widget%'")
-q("authority_macro", lambda x: quality.authority_macro(x.facts, x.facts.where("fact_id % 3 <> 0"), "item_code", ["announce_date", "fact_id"], "item_value"), "SELECT item_code, abs(max_by(item_value, (announce_date, fact_id)) - max_by(item_value, (announce_date, fact_id)) FILTER (fact_id % 3 <> 0)) > 0.05 AS \"off\" FROM facts GROUP BY 1")
+ FROM (SELECT s_suppkey AS board, translate('zone' || s_nationkey || substr(s_name, 17, 2), '0123456789', 'abcdefghij') AS n FROM supplier) b CROSS JOIN (SELECT n_nationkey AS "index", translate('zone' || n_nationkey, '0123456789', 'abcdefghij') AS m FROM nation) i GROUP BY 1) b""",
+)
+q(
+    "elapsed_fraction",
+    lambda x: lake.list_partitions(lake.by_period(x.facts.withColumnRenamed("announce_date", "trade_date"), BARS)).select("period", r9(reconcile.elapsed_fraction(F.col("start"), F.col("end"), F.lit("1998-03-10").cast("date"))).alias("share")),
+    """SELECT DISTINCT strftime(announce_date, '%Y-%m') AS period,
+        round(greatest(0.0, least(1.0, (DATE '1998-03-10' - CAST(date_trunc('month', announce_date) AS DATE) + 1) / (last_day(announce_date) - CAST(date_trunc('month', announce_date) AS DATE) + 1))), 9) AS share
+        FROM facts""",
+)
+q(
+    "dataset_audit",
+    lambda x: reconcile.dataset_audit(x.bars_raw, BARS, "vendor_c"),
+    """SELECT * FROM (SELECT 'mock_rows' AS "check", count(*) FILTER (source = 'vendor_c') AS n FROM bars_raw
+        UNION ALL SELECT 'required_nulls', count(*) FILTER (fetched_at IS NULL) FROM bars_raw
+        UNION ALL SELECT 'duplicate_keys', count(*) - count(DISTINCT (symbol, trade_date)) FROM bars_raw) WHERE n > 0""",
+)
+q(
+    "schema_contract",
+    lambda x: canonical.validate(x.bars_raw.withColumn("close", F.concat(F.when(F.col("volume") % 13 == 0, "x").otherwise(""), F.col("close").cast("string"))), BARS).groupBy("source").agg(F.count_if(F.col("close").isNull()).alias("n_bad")),
+    "SELECT source, count(*) FILTER (volume % 13 = 0) AS n_bad FROM bars_raw GROUP BY 1",
+)
+q(
+    "last_em_tip",
+    lambda x: quality.last_dense(x.bars_raw.where("source = 'vendor_b'"), x.bars, 0.2),
+    """SELECT max(trade_date) AS trade_date FROM (SELECT b.trade_date FROM bars b
+        LEFT JOIN (SELECT symbol, trade_date FROM bars_raw
+        WHERE source = 'vendor_b') v ON v.symbol = b.symbol AND v.trade_date = b.trade_date GROUP BY 1
+        HAVING count(v.symbol) / count(*) >= 0.2)""",
+)
+q(
+    "structural_adjustments",
+    lambda x: reconcile.structural(x.table("part").select("p_partkey", F.col("p_name").alias("change_reason")), "gear|widget"),
+    "SELECT p_partkey, p_name AS change_reason FROM part WHERE p_name LIKE '%gear%' OR p_name LIKE '%widget%'",
+)
+q(
+    "authority_macro",
+    lambda x: quality.authority_macro(x.facts, x.facts.where("fact_id % 3 <> 0"), "item_code", ["announce_date", "fact_id"], "item_value"),
+    """SELECT item_code, abs(max_by(item_value, (announce_date, fact_id)) - max_by(item_value, (announce_date, fact_id)) FILTER (fact_id % 3 <> 0)) > 0.05 AS "off"
+        FROM facts GROUP BY 1""",
+)
 q("complete_derived_days", lambda x: quality.complete_derived_days(x.index), "SELECT DISTINCT trade_date FROM idx", INDEX)
 GAPS = """cov AS (SELECT symbol AS dataset, min(trade_date) AS lo, max(trade_date) AS hi FROM bars GROUP BY 1),
 sn AS (SELECT trade_date, row_number() OVER (ORDER BY trade_date) AS k FROM calendar WHERE is_trading),
@@ -504,22 +1674,104 @@ named = lambda x: x.bars.select(F.col("symbol").alias("dataset"))
 wanted = lambda x: named(x).unionByName(named(x).where("dataset LIKE '%.BJ'").select(F.concat(F.lit("x"), "dataset").alias("dataset")))
 verify = lambda x: reconcile.verify_gaps(x.bars.select(F.col("symbol").alias("dataset"), "trade_date"), x.calendar, "2024-01-30", 0, "2024-01-01", wanted(x))
 q("verify_gaps", verify, "SELECT * FROM vg", GAPS)
-q("repairable_gaps", lambda x: reconcile.repairable(verify(x), ["600000.SH", "600004.SH", "600008.SH", "600012.SH"]), "SELECT * FROM vg WHERE kind IN ('stale', 'empty') OR dataset IN ('600000.SH', '600004.SH', '600008.SH', '600012.SH')", GAPS)
-q("historical_validity", lambda x: reconcile.historical_validity(x.bars.where("trade_date <> date'2024-01-11'"), x.calendar, x.status, "2024-01-05", "2024-02-15"), "SELECT 'window_not_covered' AS blocker, 1 AS n UNION ALL SELECT 'sessions_without_bars', 1")
-q("delisting_evidence_gate", lambda x: quality.delisting_coverage(x.instruments.where("delist_date IS NOT NULL"), x.spans, x.instruments).agg((F.count_if(F.col("kind") != "verified") == 0).alias("verified"), F.count("*").alias("n")), "SELECT count(*) FILTER (z IS NULL OR z > delist_date OR delist_date - z > 7) = 0 AS verified, count(*) AS n FROM instruments LEFT JOIN (SELECT symbol, max(trade_date) AS z FROM bars GROUP BY 1) USING (symbol) WHERE delist_date IS NOT NULL")
+q(
+    "repairable_gaps",
+    lambda x: reconcile.repairable(verify(x), ["600000.SH", "600004.SH", "600008.SH", "600012.SH"]),
+    """SELECT * FROM vg
+        WHERE kind IN ('stale', 'empty') OR dataset IN ('600000.SH', '600004.SH', '600008.SH', '600012.SH')""",
+    GAPS,
+)
+q(
+    "historical_validity",
+    lambda x: reconcile.historical_validity(x.bars.where("trade_date <> date'2024-01-11'"), x.calendar, x.status, "2024-01-05", "2024-02-15"),
+    "SELECT 'window_not_covered' AS blocker, 1 AS n UNION ALL SELECT 'sessions_without_bars', 1",
+)
+q(
+    "delisting_evidence_gate",
+    lambda x: quality.delisting_coverage(x.instruments.where("delist_date IS NOT NULL"), x.spans, x.instruments).agg((F.count_if(F.col("kind") != "verified") == 0).alias("verified"), F.count("*").alias("n")),
+    """SELECT count(*) FILTER (z IS NULL OR z > delist_date OR delist_date - z > 7) = 0 AS verified, count(*) AS n
+        FROM instruments LEFT JOIN (SELECT symbol, max(trade_date) AS z FROM bars GROUP BY 1) USING (symbol)
+        WHERE delist_date IS NOT NULL""",
+)
 gone = lambda x: x.bars.select("symbol").distinct().withColumn("delist_date", F.lit("2024-01-20").cast("date"))
-q("delisting_reconcile", lambda x: reconcile.delisting_reconcile(gone(x), x.spans, x.instruments), "SELECT symbol, kind, CASE WHEN kind = 'master_wrong' AND z <= DATE '2024-01-20' THEN 'correct' ELSE 'unresolved' END AS action FROM (SELECT symbol, z, CASE WHEN m.name IS NULL THEN 'master_missing' WHEN delist_date IS NULL THEN 'master_wrong' WHEN z > DATE '2024-01-20' THEN 'bars_after_end' WHEN DATE '2024-01-20' - z > 7 THEN 'terminal_gap' ELSE 'verified' END AS kind FROM (SELECT symbol, max(trade_date) AS z FROM bars GROUP BY 1) b LEFT JOIN instruments m USING (symbol)) WHERE kind <> 'verified'")
-q("delisting_events", lambda x: canonical.dedupe(x.bars_raw.select("symbol", F.col("trade_date").alias("delist_date"), "source", "data_version", "fetched_at"), DATASETS["instruments"]).select("symbol", "delist_date"), "SELECT symbol, trade_date AS delist_date FROM bars_raw QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY fetched_at DESC NULLS LAST, source DESC, data_version DESC, trade_date DESC) = 1")
+q(
+    "delisting_reconcile",
+    lambda x: reconcile.delisting_reconcile(gone(x), x.spans, x.instruments),
+    """SELECT symbol, kind,
+        CASE WHEN kind = 'master_wrong' AND z <= DATE '2024-01-20' THEN 'correct' ELSE 'unresolved' END AS action
+        FROM (SELECT symbol, z,
+        CASE WHEN m.name IS NULL THEN 'master_missing' WHEN delist_date IS NULL THEN 'master_wrong' WHEN z > DATE '2024-01-20' THEN 'bars_after_end' WHEN DATE '2024-01-20' - z > 7 THEN 'terminal_gap' ELSE 'verified' END AS kind
+        FROM (SELECT symbol, max(trade_date) AS z FROM bars GROUP BY 1) b LEFT JOIN instruments m USING (symbol))
+        WHERE kind <> 'verified'""",
+)
+q(
+    "delisting_events",
+    lambda x: canonical.dedupe(x.bars_raw.select("symbol", F.col("trade_date").alias("delist_date"), "source", "data_version", "fetched_at"), DATASETS["instruments"]).select("symbol", "delist_date"),
+    """SELECT symbol, trade_date AS delist_date FROM bars_raw QUALIFY row_number() OVER (PARTITION BY symbol
+        ORDER BY fetched_at DESC NULLS LAST, source DESC, data_version DESC, trade_date DESC) = 1""",
+)
 receipts = lambda x: x.status.where("source <> 'gap'").groupBy((F.col("source")).alias("source"), "symbol").agg(F.count("*").alias("n_rows")).select(F.concat(F.lit("r-"), "source").alias("receipt"), "source", F.lit("2024-01-01").cast("date").alias("start"), F.lit("2024-01-30").cast("date").alias("end"), "symbol", "n_rows")
-q("st_evidence", lambda x: reconcile.st_evidence(receipts(x), x.status.where("source = 'history'"), x.status.groupBy("symbol", "source").agg(F.count("*").alias("n")), "2024-01-05", "2024-01-25"), "SELECT source, 'r-' || source AS receipt FROM status WHERE source <> 'gap' AND symbol IN (SELECT symbol FROM status WHERE source = 'history') GROUP BY 1 HAVING count(DISTINCT symbol) = (SELECT count(DISTINCT symbol) FROM status WHERE source = 'history')")
+q(
+    "st_evidence",
+    lambda x: reconcile.st_evidence(receipts(x), x.status.where("source = 'history'"), x.status.groupBy("symbol", "source").agg(F.count("*").alias("n")), "2024-01-05", "2024-01-25"),
+    """SELECT source, 'r-' || source AS receipt FROM status WHERE source <> 'gap' AND symbol IN (SELECT symbol
+        FROM status WHERE source = 'history') GROUP BY 1
+        HAVING count(DISTINCT symbol) = (SELECT count(DISTINCT symbol) FROM status WHERE source = 'history')""",
+)
 receipt = lambda x, name, a, z, cond: x.status.where(cond).groupBy("source").agg(F.lit(name).alias("receipt"), F.lit(a).cast("date").alias("start"), F.lit(z).cast("date").alias("end"), F.collect_set("symbol").alias("symbols"))
-q("st_receipt_compose", lambda x: reconcile.compose_receipts(receipt(x, "deep", "2024-01-01", "2024-01-15", "trade_date < date'2024-01-03'"), receipt(x, "tail", "2024-01-10", "2024-01-30", "true")), "SELECT source, 'deep' AS \"old\", 'tail' AS tail, DATE '2024-01-01' AS start, DATE '2024-01-30' AS \"end\", CAST(count(DISTINCT symbol) - count(DISTINCT symbol) FILTER (trade_date < DATE '2024-01-03') AS INT) AS n_added FROM status GROUP BY 1 HAVING count(*) FILTER (trade_date < DATE '2024-01-03') > 0")
+q(
+    "st_receipt_compose",
+    lambda x: reconcile.compose_receipts(receipt(x, "deep", "2024-01-01", "2024-01-15", "trade_date < date'2024-01-03'"), receipt(x, "tail", "2024-01-10", "2024-01-30", "true")),
+    """SELECT source, 'deep' AS "old", 'tail' AS tail, DATE '2024-01-01' AS start, DATE '2024-01-30' AS "end", CAST(count(DISTINCT symbol) - count(DISTINCT symbol) FILTER (trade_date < DATE '2024-01-03') AS INT) AS n_added
+        FROM status GROUP BY 1 HAVING count(*) FILTER (trade_date < DATE '2024-01-03') > 0""",
+)
 q("sw_complete_dates", lambda x: snapshots.complete_snapshots(x.members, 14), "SELECT as_of_date FROM members GROUP BY 1 HAVING count(*) >= 14")
-q("daily_ownership", lambda x: reconcile.daily_ownership(x.bars, x.spans, x.instruments, x.status, x.calendar, "2024-01-15", "2024-01-25"), """SELECT symbol, CASE WHEN i.name IS NULL THEN 'unknown' WHEN list_date > DATE '2024-01-25' OR delist_date < DATE '2024-01-15' THEN 'expected_no_data' WHEN delist_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25' THEN 'delegated' WHEN n_shut >= (SELECT count(*) FROM calendar WHERE is_trading AND trade_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25') THEN 'expected_no_data' WHEN n_open > 0 THEN 'generic' WHEN n_shut > 0 THEN 'unknown' ELSE 'generic' END AS owner
- FROM (SELECT DISTINCT symbol FROM bars) b LEFT JOIN instruments i USING (symbol) LEFT JOIN (SELECT symbol, count(*) FILTER (status IN ('suspended', 'delisted') OR NOT coalesce(is_trading, FALSE)) AS n_shut, count(*) FILTER (NOT (status IN ('suspended', 'delisted') OR NOT coalesce(is_trading, FALSE))) AS n_open FROM status WHERE trade_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25' GROUP BY 1) s USING (symbol)""")
-q("master_enrich", lambda x: reconcile.master_enrich(x.instruments, x.spans.select("symbol", F.col("first_date").alias("list_date"), F.when(F.col("last_date") < "2024-01-29", F.col("last_date")).alias("delist_date"))), "SELECT symbol, coalesce(list_date, a) AS list_date, delist_date FROM instruments LEFT JOIN (SELECT symbol, min(trade_date) AS a FROM bars GROUP BY 1) USING (symbol) UNION ALL SELECT symbol, a, z FROM (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z FROM bars GROUP BY 1) WHERE z < DATE '2024-01-29' AND symbol NOT IN (SELECT symbol FROM instruments)")
-q("list_datasets", lambda x: lake.union_by_name([stats.bounds(r, d).select(F.lit(n).alias("dataset"), F.lit(layer).alias("layer"), F.lit(pit).alias("pit"), "first_date", "last_date") for n, r, d, layer, pit in (("daily_bars", x.bars_raw, "trade_date", "curated", False), ("financial_statement_items", x.facts, "announce_date", "curated", True), ("industry_members", x.members, "as_of_date", "curated", False))]), "SELECT 'daily_bars' AS dataset, 'curated' AS layer, FALSE AS pit, min(trade_date) AS first_date, max(trade_date) AS last_date FROM bars_raw UNION ALL SELECT 'financial_statement_items', 'curated', TRUE, min(announce_date), max(announce_date) FROM facts UNION ALL SELECT 'industry_members', 'curated', FALSE, min(as_of_date), max(as_of_date) FROM members")
-q("dataset_schema", lambda x: quality.schema_report(x.bars_raw, BARS), "SELECT \"column\", type, n AS n_valid FROM (SELECT count(symbol) AS symbol, count(trade_date) AS trade_date, count(open) AS open, count(high) AS high, count(low) AS low, count(close) AS close, count(volume) AS volume, count(amount) AS amount, count(source) AS source, count(data_version) AS data_version, count(fetched_at) AS fetched_at FROM bars_raw) UNPIVOT (n FOR \"column\" IN (symbol, trade_date, open, high, low, close, volume, amount, source, data_version, fetched_at)) JOIN (VALUES ('symbol', 'string'), ('trade_date', 'date'), ('open', 'double'), ('high', 'double'), ('low', 'double'), ('close', 'double'), ('volume', 'bigint'), ('amount', 'double'), ('source', 'string'), ('data_version', 'string'), ('fetched_at', 'timestamp')) t(\"column\", type) USING (\"column\")")
-q("empty_typed_view", lambda x: lake.union_by_name([lake.empty(x.spark, BARS), x.bars]).select(*KEYS, "close", "source"), "SELECT symbol, trade_date, close, NULL::VARCHAR AS source FROM bars")
-q("canonical_dedupe_lazy", lambda x: canonical.dedupe(x.status_raw, STATUS).select(*KEYS, "source", "status", "is_trading"), "SELECT symbol, trade_date, source, status, is_trading FROM scanon", STATUS_CANON)
-q("gate_breadth", lambda x: quality.breadth_days(x.breadth).select("trade_date", (F.col("n") == 7).alias("seven")), "SELECT trade_date, count(DISTINCT metric_id) = 7 AS seven FROM breadth GROUP BY 1", BREADTH)
+q(
+    "daily_ownership",
+    lambda x: reconcile.daily_ownership(x.bars, x.spans, x.instruments, x.status, x.calendar, "2024-01-15", "2024-01-25"),
+    """SELECT symbol, CASE WHEN i.name IS NULL THEN 'unknown' WHEN list_date > DATE '2024-01-25' OR delist_date < DATE '2024-01-15' THEN 'expected_no_data' WHEN delist_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25' THEN 'delegated' WHEN n_shut >= (SELECT count(*) FROM calendar WHERE is_trading AND trade_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25') THEN 'expected_no_data' WHEN n_open > 0 THEN 'generic' WHEN n_shut > 0 THEN 'unknown' ELSE 'generic' END AS owner
+ FROM (SELECT DISTINCT symbol FROM bars) b LEFT JOIN instruments i USING (symbol) LEFT JOIN (SELECT symbol, count(*) FILTER (status IN ('suspended', 'delisted') OR NOT coalesce(is_trading, FALSE)) AS n_shut, count(*) FILTER (NOT (status IN ('suspended', 'delisted') OR NOT coalesce(is_trading, FALSE))) AS n_open FROM status WHERE trade_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25' GROUP BY 1) s USING (symbol)""",
+)
+q(
+    "master_enrich",
+    lambda x: reconcile.master_enrich(x.instruments, x.spans.select("symbol", F.col("first_date").alias("list_date"), F.when(F.col("last_date") < "2024-01-29", F.col("last_date")).alias("delist_date"))),
+    """SELECT symbol, coalesce(list_date, a) AS list_date, delist_date FROM instruments LEFT JOIN (SELECT symbol,
+        min(trade_date) AS a FROM bars GROUP BY 1) USING (symbol) UNION ALL SELECT symbol, a, z FROM (SELECT symbol,
+        min(trade_date) AS a, max(trade_date) AS z FROM bars GROUP BY 1)
+        WHERE z < DATE '2024-01-29' AND symbol NOT IN (SELECT symbol FROM instruments)""",
+)
+q(
+    "list_datasets",
+    lambda x: lake.union_by_name([stats.bounds(r, d).select(F.lit(n).alias("dataset"), F.lit(layer).alias("layer"), F.lit(pit).alias("pit"), "first_date", "last_date") for n, r, d, layer, pit in (("daily_bars", x.bars_raw, "trade_date", "curated", False), ("financial_statement_items", x.facts, "announce_date", "curated", True), ("industry_members", x.members, "as_of_date", "curated", False))]),
+    """SELECT 'daily_bars' AS dataset, 'curated' AS layer, FALSE AS pit, min(trade_date) AS first_date,
+        max(trade_date) AS last_date FROM bars_raw UNION ALL SELECT 'financial_statement_items', 'curated', TRUE,
+        min(announce_date), max(announce_date) FROM facts UNION ALL SELECT 'industry_members', 'curated', FALSE,
+        min(as_of_date), max(as_of_date) FROM members""",
+)
+q(
+    "dataset_schema",
+    lambda x: quality.schema_report(x.bars_raw, BARS),
+    """SELECT "column", type, n AS n_valid FROM (SELECT count(symbol) AS symbol, count(trade_date) AS trade_date,
+        count(open) AS open, count(high) AS high, count(low) AS low, count(close) AS close, count(volume) AS volume,
+        count(amount) AS amount, count(source) AS source, count(data_version) AS data_version,
+        count(fetched_at) AS fetched_at FROM bars_raw)
+        UNPIVOT (n FOR "column" IN (symbol, trade_date, open, high, low, close, volume, amount, source, data_version, fetched_at))
+        JOIN (VALUES ('symbol', 'string'), ('trade_date', 'date'), ('open', 'double'), ('high', 'double'), ('low', 'double'), ('close', 'double'), ('volume', 'bigint'), ('amount', 'double'), ('source', 'string'), ('data_version', 'string'), ('fetched_at', 'timestamp')) t("column", type) USING ("column")""",
+)
+q(
+    "empty_typed_view",
+    lambda x: lake.union_by_name([lake.empty(x.spark, BARS), x.bars]).select(*KEYS, "close", "source"),
+    "SELECT symbol, trade_date, close, NULL::VARCHAR AS source FROM bars",
+)
+q(
+    "canonical_dedupe_lazy",
+    lambda x: canonical.dedupe(x.status_raw, STATUS).select(*KEYS, "source", "status", "is_trading"),
+    "SELECT symbol, trade_date, source, status, is_trading FROM scanon",
+    STATUS_CANON,
+)
+q(
+    "gate_breadth",
+    lambda x: quality.breadth_days(x.breadth).select("trade_date", (F.col("n") == 7).alias("seven")),
+    "SELECT trade_date, count(DISTINCT metric_id) = 7 AS seven FROM breadth GROUP BY 1",
+    BREADTH,
+)
