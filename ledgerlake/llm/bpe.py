@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from . import pretokens
 
 #: Bytes of text that are encoded at a time, and distinct slices that a worker remembers.
-RUN_BYTES, CACHE_SLICES = 8 << 20, 400_000
+RUN_BYTES, CACHE_SLICES = 2 << 20, 250_000
 NEVER = 1 << 30  # the rank of a pair that does not merge
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from . import bpe
 
 LEAF, CONTEXT = 32, 3
+RUN_BYTES = 1 << 20
 EDITS = "array<struct<start:long,length:long,insert:string>>"
 
 
@@ -163,38 +164,41 @@ def _renewed(text: str, starts: np.ndarray, tree: np.ndarray, regions: list[_Reg
     return text, firsts, tree
 
 
-def recount(trees: DataFrame, edits_col: str = "edits", ranks_path: str = "", state: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Apply each row's edits (EDITS: start and length in characters of the old text, and what to insert).
+def recount(trees: DataFrame, edits: str | list[str] = "edits", ranks_path: str = "", state: bool = True) -> DataFrame:
+    """Apply each row's edits (EDITS: start and length in characters of the text, and what to insert).
 
-    trees: rows of build() or of recount() with one more column of edits. Returns ``id, n_tokens, n_tokens_edited,
-    n_chars_edited, n_chars_encoded`` (counts before and after, the length of the new text, how many characters were
-    encoded for it) and, unless state is False, the new ``text, starts, tree`` for the next batch, and the columns named by carry. Null or empty edits change
-    nothing. Edits are taken in order of start; one that begins within the one before starts at its end.
+    trees: rows of build() or of recount() with one more column of edits, or several: batches that are applied in turn,
+    each to the text that the one before left. Returns ``id, n_tokens, n_tokens_edited, n_chars_edited, n_chars_encoded``
+    (counts before and after, the length of the new text, how many characters were encoded for it) and, unless state is
+    False, the new ``text, starts, tree`` for further edits. Null or empty edits change nothing. The edits of a batch are
+    taken in order of start; one that begins within the one before starts at its end.
     """
     raw = bpe.shipped(trees.sparkSession, ranks_path)
-    kept = trees.select("id", "text", "starts", "tree", F.col(edits_col).cast(EDITS).alias("edits"), *carry)
+    batches_of = [edits] if isinstance(edits, str) else edits
+    kept = trees.select("id", "text", "starts", "tree", *[F.col(c).cast(EDITS).alias(f"e{k}") for k, c in enumerate(batches_of)])
 
     def run(batches):
         codec = bpe.codec_of(raw.value)
         for b in batches:
-            for lo, hi in bpe.runs(b.column(1)):
+            for lo, hi in bpe.runs(b.column(1), RUN_BYTES):
                 part = b.slice(lo, hi - lo)
                 texts = part.column(1).to_pylist()
                 starts = [np.array(x, np.int64) for x in part.column(2).to_pylist()]
                 sums = [np.array(x, np.int64) for x in part.column(3).to_pylist()]
-                edits = [tidy(e, len(t)) for e, t in zip(part.column(4).to_pylist(), texts, strict=True)]
-                regions = [_regions(d, e, s) for d, (e, s) in enumerate(zip(edits, starts, strict=True))]
-                before = [int(t[1]) for t in sums]
-                _settle(codec, texts, starts, regions)
-                new = [_renewed(*row) for row in zip(texts, starts, sums, regions, strict=True)]
-                figures = [before, [int(t[1]) for _, _, t in new], [len(t) for t, _, _ in new], [sum(r.size for r in rs) for rs in regions]]
-                columns = [part.column(0), *(pa.array(c, pa.int64()) for c in figures)]
+                before, encoded = [int(t[1]) for t in sums], [0] * len(texts)
+                for batch in part.columns[4:]:
+                    cuts = [tidy(e, len(t)) for e, t in zip(batch.to_pylist(), texts, strict=True)]
+                    regions = [_regions(d, e, s) for d, (e, s) in enumerate(zip(cuts, starts, strict=True))]
+                    _settle(codec, texts, starts, regions)
+                    encoded = [n + sum(r.size for r in rs) for n, rs in zip(encoded, regions, strict=True)]
+                    new = [_renewed(*row) for row in zip(texts, starts, sums, regions, strict=True)]
+                    texts, starts, sums = (list(x) for x in zip(*new, strict=True))
+                columns = [part.column(0), *(pa.array(c, pa.int64()) for c in (before, [int(t[1]) for t in sums], [len(t) for t in texts], encoded))]
                 if state:
-                    columns += [pa.array([t for t, _, _ in new], pa.string()), *(pa.array([n[k] for n in new], pa.list_(pa.int64())) for k in (1, 2))]
-                yield pa.RecordBatch.from_arrays([*columns, *part.columns[5:]], names)
+                    columns += [pa.array(texts, pa.string()), pa.array(starts, pa.list_(pa.int64())), pa.array(sums, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    kinds = dict(kept.dtypes)
-    schema = [f"id {kinds['id']}", *(f"{c} long" for c in ("n_tokens", "n_tokens_edited", "n_chars_edited", "n_chars_encoded"))]
-    schema += ["text string", "starts array<long>", "tree array<long>"] * state + [f"{c} {kinds[c]}" for c in carry]
+    schema = [f"id {kept.schema[0].dataType.simpleString()}", *(f"{c} long" for c in ("n_tokens", "n_tokens_edited", "n_chars_edited", "n_chars_encoded"))]
+    schema += ["text string", "starts array<long>", "tree array<long>"] * state
     names = [c.split()[0] for c in schema]
     return kept.mapInArrow(run, ", ".join(schema))

@@ -168,13 +168,19 @@ def test_recount_query_against_full_counts(spark, docs):
     trees = token_counts.build(docs, RANKS)
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     insert = "new words " * 90  # more than a leaf
+    edit = lambda at: f"array(struct({at}L AS start, 2L AS length, '{insert}' AS insert), null)"
+    put = lambda found, at: {k: t[:at] + insert + t[at + 2 :] for k, t in found.items()}
+    count = lambda t: len(REFERENCE.encode_ordinary(t))
     for turn in range(3):
-        trees = token_counts.recount(trees.selectExpr("id", "text", "starts", "tree", f"{turn} AS turn", f"array(struct({3 + 40 * turn}L AS start, 2L AS length, '{insert}' AS insert), null) AS edits"), "edits", RANKS, carry=("turn",))
-        before, at = texts, 3 + 40 * turn
-        texts = {k: t[:at] + insert + t[at + 2 :] for k, t in texts.items()}
+        before, texts = texts, put(texts, 3 + 40 * turn)
+        trees = token_counts.recount(trees.selectExpr("id", "text", "starts", "tree", f"{edit(3 + 40 * turn)} AS edits"), "edits", RANKS)
         for r in trees.collect():
-            assert r.text == texts[r.id] and r.turn == turn and r.n_chars_edited == len(r.text)
-            assert r.n_tokens == len(REFERENCE.encode_ordinary(before[r.id])) and r.n_tokens_edited == len(REFERENCE.encode_ordinary(r.text)) == r.tree[1]
-            assert r.n_chars_encoded < 3000 and len(r.starts) <= 2 * len(texts[r.id]) / 30 + 40
+            assert r.text == texts[r.id] and r.n_chars_edited == len(r.text)
+            assert r.n_tokens == count(before[r.id]) and r.n_tokens_edited == count(r.text) == r.tree[1]
+            assert r.n_chars_encoded < 3000 and len(r.starts) <= len(texts[r.id]) / 15 + 40
+    before, texts = texts, put(put(texts, 5), 2000)
+    batches = trees.selectExpr("id", "text", "starts", "tree", f"{edit(5)} AS one", "null AS none", f"{edit(2000)} AS two")
+    for r in token_counts.recount(batches, ["one", "none", "two"], RANKS, state=False).collect():
+        assert r.n_tokens == count(before[r.id]) and r.n_tokens_edited == count(texts[r.id]) and r.n_chars_edited == len(texts[r.id])
     none = token_counts.recount(trees.limit(0).selectExpr("id", "text", "starts", "tree", "null AS edits"), "edits", RANKS)
     assert none.count() == 0 and none.columns[-3:] == ["text", "starts", "tree"]
