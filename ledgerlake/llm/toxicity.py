@@ -8,8 +8,8 @@ is 1 for a term that tells nothing.
 
 The examples form an inverted index in blocks of ``BLOCK``. Terms of few examples have their postings added up at once.
 For terms of many examples the largest weight in each block is stored: the sum of these bounds and of the best sum so
-far in the block bounds every cosine in it. Blocks are scored, for all documents of a run that still need them, until
-no bound exceeds a document's k-th best cosine; so the k neighbours are exact. Neighbours vote with a weight that falls
+far in the block bounds every cosine in it. A document's two most promising blocks are scored first, then those whose
+bound reaches its k-th best cosine by then, and no others; so the k neighbours are exact. Neighbours vote with a weight that falls
 with their distance; a logistic curve fitted on the examples' own leave-one-out votes turns the vote into a calibrated
 score. The neighbours' ids and cosines are returned as evidence. The index is some MB, bounded by the sample.
 """
@@ -107,19 +107,27 @@ class Index:
         query = np.zeros((n, len(self.dense)))
         query[doc[often], self.column[at[often]]] = weight[often]
         bounds = sums.reshape(n, self.blocks, BLOCK).max(2) + query @ self.bound
-        best, found = np.full((n, k), -np.inf), np.full((n, k), width)
-        for turn in np.argsort(-bounds, axis=1, kind="stable").T:
-            need = np.flatnonzero(bounds[np.arange(n), turn] >= best[:, -1] - 1e-12)
-            if not len(need):
-                break  # bounds only fall from here on
-            for b in np.unique(turn[need]):
-                q = need[turn[need] == b]
-                rows = slice(b * BLOCK, (b + 1) * BLOCK)
-                score = np.concatenate([best[q], sums[q, rows] + query[q] @ self.dense[:, rows]], axis=1)
-                row = np.concatenate([found[q], np.broadcast_to(np.arange(b * BLOCK, (b + 1) * BLOCK), (len(q), BLOCK))], axis=1)
-                top = np.lexsort((row, -score), axis=1)[:, :k]
-                best[q], found[q] = np.take_along_axis(score, top, 1), np.take_along_axis(row, top, 1)
-        return self.order[np.minimum(found, self.n - 1)], np.clip(best, 0, 1)
+        score = np.full((n, width), -np.inf)
+
+        def fill(want: np.ndarray) -> None:
+            for b in np.flatnonzero(want.any(0)):
+                q, rows = np.flatnonzero(want[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+                score[q, rows] = sums[q, rows] + query[q] @ self.dense[:, rows]
+
+        best = np.zeros((n, self.blocks), bool)
+        np.put_along_axis(best, np.argsort(-bounds, axis=1)[:, :2], True, 1)
+        fill(best)
+        fill((bounds >= -np.partition(-score, k - 1, axis=1)[:, k - 1 : k] - 1e-12) & ~best)  # blocks that may hold one of the k
+        least = -np.partition(-score, k - 1, axis=1)[:, k - 1 : k]
+        of, row = np.nonzero((score >= least) & (score > 0))
+        value = score[of, row]
+        order = np.lexsort((row, -value, of))
+        of, row, value = of[order], row[order], value[order]
+        place = np.arange(len(of)) - np.searchsorted(of, of)
+        top = place < k
+        found, cosine = np.zeros((n, k), np.int64), np.zeros((n, k))
+        found[of[top], place[top]], cosine[of[top], place[top]] = self.order[row[top]], np.minimum(value[top], 1)
+        return found, cosine
 
 
 def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, steps: int = 50) -> tuple[float, float]:
