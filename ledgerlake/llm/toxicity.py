@@ -145,7 +145,7 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, steps: int = 50) -> tu
 class Scorer:
     """Index, vote and calibration. doc, term, tf: the counted terms of the examples, whose labels and ids follow."""
 
-    def __init__(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, labels: np.ndarray, ids: pa.Array, share: float, k: int = 15):
+    def __init__(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, labels: np.ndarray, ids: pa.Array, share: float, k: int = 10):
         self.k, self.prior, self.ids, self.labels = k, share, ids, labels.astype(np.float64)
         self.index = Index(doc, term, tf, self.labels)
         self.slope = self.intercept = 0.0

@@ -135,15 +135,15 @@ def test_neighbours_and_scores_against_dense_cosines(spark, docs):
     y, share = np.array([own[k] for k in ids], float), sum(own[k] for k in ids) / len(ids)
 
     def vote(row):
-        top = np.argsort(-row, kind="stable")[:15]
+        top = np.argsort(-row, kind="stable")[: model.k]
         w = np.maximum(row[top], 0) ** 2
         return (w @ y[top] + 1e-4 * share) / (w.sum() + 1e-4)
 
     slope, cut = toxicity.logistic(np.array([vote(v) for v in votes]), y, np.ones(len(y)))
     assert np.allclose([slope, cut], [model.slope, model.intercept], rtol=1e-6)
-    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(rows), model, evidence=15).collect()}
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(rows), model, evidence=model.k).collect()}
     for r, row in zip(rows, cosines, strict=True):
-        want = np.sort(row[row > 0])[::-1][:15]
+        want = np.sort(row[row > 0])[::-1][: model.k]
         assert np.allclose(got[r.doc_id].cosines, want, atol=1e-9)
         assert np.allclose([row[ids.index(k)] for k in got[r.doc_id].neighbours], got[r.doc_id].cosines, atol=1e-9)
         assert abs(got[r.doc_id].score - 1 / (1 + math.exp(-(slope * vote(row) + cut)))) < 1e-6
