@@ -224,8 +224,18 @@ def amount_supplement(bars: DataFrame, other: DataFrame) -> DataFrame:
     return bars.join(o, ["symbol", "trade_date"], "left").withColumn("amount", fill).select(*bars.columns)
 
 
-def incremental_window(calendar: DataFrame, day: str, sessions: int) -> DataFrame:
-    """First day to read again: the n-th last session up to a day."""
+def amount_mismatches(bars: DataFrame, other: DataFrame) -> DataFrame:
+    """Keys whose amount is missing and stays so, as the second source, which has one, differs in a price or in the volume."""
+    cols = ["open", "high", "low", "close", "volume"]
+    o = other.where("amount IS NOT NULL").select("symbol", "trade_date", *[F.col(c).alias(f"_{c}") for c in cols])
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in cols])
+    return bars.where("amount IS NULL").join(o, ["symbol", "trade_date"]).where(~F.coalesce(same, F.lit(False))).select("symbol", "trade_date")
+
+
+def incremental_window(calendar: DataFrame, day: str, sessions: int = 0, mark: str | None = None) -> DataFrame:
+    """First and last day to read again: from the n-th last session up to a day, or from the day after a mark."""
+    if mark:
+        return calendar.limit(1).select(F.date_add(F.lit(mark).cast("date"), 1).alias("start"), F.lit(day).cast("date").alias("end")).where("start <= end")
     back = calendar.where(F.col("is_trading") & (F.col("trade_date") <= F.lit(day).cast("date"))).orderBy(F.col("trade_date").desc()).limit(sessions)
     return back.agg(F.min("trade_date").alias("start"), F.lit(day).cast("date").alias("end"))
 

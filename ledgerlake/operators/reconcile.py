@@ -53,6 +53,17 @@ def dataset_audit(rows: DataFrame, dataset, mock: str = "mock") -> DataFrame:
     return out.where("n > 0")
 
 
+def lake_audit(frames: dict[str, DataFrame], registry, mock: str = "mock") -> DataFrame:
+    """Findings of many datasets in the one schema of findings: what dataset_audit() counts, with a severity for each check."""
+    warnings = ("mock_rows",)
+    out = []
+    for name, rows in frames.items():
+        found = dataset_audit(rows, registry[name], mock)
+        severity = F.when(F.col("check").isin(*warnings), "warning").otherwise("error")
+        out.append(found.select(F.lit(name).alias("dataset"), severity.alias("severity"), "check", "n", F.lit(None).cast("string").alias("details")))
+    return quality.audit_union(out)
+
+
 def mixed_granularity(periods: DataFrame, length: int) -> DataFrame:
     """Partition labels of another length than the registered period's."""
     return periods.where(F.length("period") != length)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import periods
@@ -101,6 +101,13 @@ def bounds(rows: DataFrame, date_col: str, complete: DataFrame | None = None) ->
     return out.join(F.broadcast(safe)).select("first_date", F.least("last_date", "_safe").alias("last_date"))
 
 
+def list_datasets(spark: SparkSession, registry: dict[str, Dataset], found: DataFrame) -> DataFrame:
+    """Every registered dataset with what the registry says of it, and its stored bounds (``found``: dataset, first_date, last_date, revision)."""
+    named = [(d.name, d.layer, d.pit, d.history_mode, d.period, d.tolerance_days) for d in registry.values()]
+    rows = spark.createDataFrame(named, "dataset string, layer string, pit boolean, history_mode string, period string, tolerance_days int")
+    return rows.join(found, "dataset", "left")
+
+
 def row_count(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("n"))
 

@@ -126,26 +126,45 @@ q(
     lambda x: lake.scan(x.bars, BARS, "2024-01-05", "2024-01-12").where(S.exchange(F.col("symbol")) != "BJ"),
     "SELECT * FROM bars WHERE trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' AND symbol NOT LIKE '%.BJ'",
 )
+def _days(x):
+    """Bars in a folder a day."""
+    path = versions.shared_folder(x.spark, "days")
+    lake.write(canonical.with_provenance(x.bars, "vendor_a", "v1", F.lit("2024-02-01 00:00:00").cast("timestamp")), TICKS, path)
+    return path
+
+
+DAILY = replace(BARS, period="day")
 q(
     "pruned_scan",
-    lambda x: lake.scan(lake.by_period(x.bars, BARS), BARS, "2024-01-10", "2024-02-02"),
-    "SELECT * FROM bars WHERE trade_date BETWEEN DATE '2024-01-10' AND DATE '2024-02-02'",
-)
-q(
-    "schema_union_scan",
-    lambda x: lake.union_by_name([x.bars.drop("amount"), x.other_bars]),
-    "SELECT * EXCLUDE (amount), NULL::DOUBLE AS amount FROM bars UNION ALL BY NAME SELECT * FROM other_bars",
-)
-q(
-    "files_in_range",
-    lambda x: lake.scan(lake.union_by_name([lake.by_period(x.bars, BARS).where("volume % 2 = 0"), x.bars.where("volume % 2 = 1").withColumn(lake.PERIOD, F.lit("2024-01"))]), BARS, "2024-01-08", "2024-01-09"),
-    "SELECT * FROM bars WHERE trade_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-09'",
-)
+    lambda x: lake.scan(lake.open_table(x.spark, _days(x), DAILY), DAILY, "2024-01-10", "2024-01-18").select(*BAR),
+    "SELECT * FROM bars WHERE trade_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-18'",
+)
+q(
+    "pruned_scan_outside",
+    lambda x: lake.scan(lake.open_table(x.spark, _days(x), DAILY), DAILY, "2031-01-01").select(*BAR),
+    "SELECT * FROM bars WHERE trade_date > DATE '2031-01-01'",
+)
+@query("schema_union_scan", "SELECT symbol, trade_date, open, close, amount FROM other_bars WHERE volume % 2 = 0 UNION ALL SELECT symbol, trade_date, open, close, NULL FROM bars WHERE volume % 2 = 1")
+def _schema_union_scan(x):
+    """Old files without amounts and with closes as text beside new ones, in the folders of one table."""
+    path = versions.shared_folder(x.spark, "mixed")
+    old = x.bars.where("volume % 2 = 1").drop("amount").withColumn("close", F.col("close").cast("string"))
+    lake.write(old.where("dayofmonth(trade_date) < 16"), TICKS, f"{path}/a")
+    lake.write(old.where("dayofmonth(trade_date) >= 16").withColumn("close", F.col("close").cast("double")), TICKS, f"{path}/b")
+    lake.write(x.other_bars.where("volume % 2 = 0"), TICKS, f"{path}/c")
+    parts = [lake.open_table(x.spark, f"{path}/{k}", DAILY) for k in "abc"]
+    return lake.union_by_name(parts).select("symbol", "trade_date", "open", "close", "amount")
+@query("files_in_range", "SELECT symbol, trade_date, open, close, volume FROM bars WHERE trade_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-09'")
+def _files_in_range(x):
+    """Folders of days, and loose files beside them."""
+    path = versions.shared_folder(x.spark, "loose")
+    lake.write(x.bars.where("volume % 2 = 0"), TICKS, path)
+    x.bars.where("volume % 2 = 1").write.mode("append").parquet(path)
+    return lake.scan(lake.open_table(x.spark, path, DAILY), DAILY, "2024-01-08", "2024-01-09").select("symbol", "trade_date", "open", "close", "volume")
 q(
     "list_partitions",
-    lambda x: lake.list_partitions(lake.by_period(x.facts.withColumnRenamed("announce_date", "trade_date"), BARS)),
-    """SELECT DISTINCT strftime(announce_date, '%Y-%m') AS period, CAST(date_trunc('month', announce_date) AS DATE) AS start, last_day(announce_date) AS "end"
-        FROM facts""",
+    lambda x: lake.folders(x.spark, _days(x)),
+    """SELECT DISTINCT strftime(trade_date, '%Y-%m-%d') AS period, trade_date AS start, trade_date AS "end" FROM bars""",
 )
 q(
     "period_label",
@@ -709,6 +728,16 @@ q(
     """SELECT min(trade_date) AS start, DATE '2024-01-20' AS "end" FROM (SELECT trade_date FROM calendar
         WHERE is_trading AND trade_date <= DATE '2024-01-20' ORDER BY 1 DESC LIMIT 5)""",
 )
+q(
+    "incremental_window_mark",
+    lambda x: derive.incremental_window(x.calendar, "2024-01-20", mark="2024-01-11"),
+    """SELECT DATE '2024-01-12' AS start, DATE '2024-01-20' AS "end" """,
+)
+q(
+    "amount_mismatches",
+    lambda x: derive.amount_mismatches(x.bars.withColumn("amount", F.when(F.col("volume") % 3 != 0, F.col("amount"))), x.other_bars),
+    "SELECT b.symbol, b.trade_date FROM bars b JOIN other_bars o USING (symbol, trade_date) WHERE b.volume % 3 = 0 AND NOT coalesce(b.close = o.close, FALSE)",
+)
 q(
     "amount_supplement",
     lambda x: derive.amount_supplement(x.bars.withColumn("amount", F.when(F.col("volume") % 3 != 0, F.col("amount"))), x.other_bars).select(*KEYS, "amount"),
@@ -1117,6 +1146,15 @@ q(
         GROUP BY symbol, trade_date HAVING count(*) > 1) UNION ALL SELECT 'daily_bars', 'warning', 'no_fetch_time',
         count(*), NULL FROM bars_raw WHERE fetched_at IS NULL""",
 )
+q(
+    "lake_audit",
+    lambda x: reconcile.lake_audit({"daily_bars": x.bars_raw, "trading_status": x.status_raw}, DATASETS, "vendor_c").drop("details"),
+    """SELECT * FROM (SELECT 'daily_bars' AS dataset, 'warning' AS severity, 'mock_rows' AS "check", count(*) FILTER (source = 'vendor_c') AS n FROM bars_raw
+        UNION ALL SELECT 'daily_bars', 'error', 'required_nulls', count(*) FILTER (fetched_at IS NULL) FROM bars_raw
+        UNION ALL SELECT 'daily_bars', 'error', 'duplicate_keys', count(*) - count(DISTINCT (symbol, trade_date)) FROM bars_raw
+        UNION ALL SELECT 'trading_status', 'error', 'required_nulls', count(*) FILTER (is_trading IS NULL) FROM status_raw
+        UNION ALL SELECT 'trading_status', 'error', 'duplicate_keys', count(*) - count(DISTINCT (symbol, trade_date)) FROM status_raw) WHERE n > 0""",
+)
 q(
     "lake_health",
     lambda x: quality.lake_health(quality.audit_union([quality.finding(x.bars_raw.where("fetched_at IS NULL"), "daily_bars", "warning", "no_fetch_time"), quality.finding(x.bars.where("close < 0"), "daily_bars", "error", "negative")])),
@@ -1424,12 +1462,14 @@ def _stage_batch(x):
     return x.spark.read.parquet(path).select("symbol", "trade_date", "source", "close")
 
 
-@query("repartition", "SELECT strftime(trade_date, '%Y-%m') AS period, count(*) AS n FROM bars GROUP BY 1")
+@query("repartition", "SELECT strftime(trade_date, '%Y-%m') AS period, count(*) AS n, count(*) AS planned FROM bars GROUP BY 1")
 def _repartition(x):
-    day, month = versions.shared_folder(x.spark, "days"), versions.shared_folder(x.spark, "months")
-    lake.write(x.bars, TICKS, day)
-    lake.write(x.spark.read.parquet(day).drop(lake.PERIOD), BARS, month)
-    return x.spark.read.parquet(month).groupBy(F.col(lake.PERIOD).cast("string").alias("period")).agg(F.count("*").alias("n"))
+    """From days to months, where a folder of another grain holds a part of the rows again."""
+    day, month = _days(x), versions.shared_folder(x.spark, "months")
+    again = canonical.with_provenance(x.bars.where("volume % 3 = 0"), "vendor_b", "v1", F.lit("2024-01-31 00:00:00").cast("timestamp"))
+    lake.write(again, DATASETS["market_breadth"], day)
+    plan = lake.repartition(x.spark, day, BARS, month, dry_run=True).withColumnRenamed("n", "planned")
+    return lake.repartition(x.spark, day, BARS, month).join(plan, "period")
 
 
 q(
@@ -1458,6 +1498,12 @@ q(
         CROSS JOIN (VALUES (1), (2)) t(v) GROUP BY v""",
     CANON,
 )
+q(
+    "version_receipt",
+    lambda x: versions.receipt(x.spark, _two_versions(x), BARS, 2),
+    "SELECT strftime(trade_date, '%Y-%m') AS period, 'replace' AS kind, count(*) AS n_rows FROM canon GROUP BY 1",
+    CANON,
+)
 q(
     "dataset_state",
     lambda x: versions.state(x.spark, _two_versions(x), BARS).select("dataset", "version", "n_rows"),
@@ -1740,13 +1786,13 @@ q(
         min(trade_date) AS a, max(trade_date) AS z FROM bars GROUP BY 1)
         WHERE z < DATE '2024-01-29' AND symbol NOT IN (SELECT symbol FROM instruments)""",
 )
+bounds = lambda name, rows, d: stats.bounds(rows, d).select(F.lit(name).alias("dataset"), "first_date", "last_date")
 q(
     "list_datasets",
-    lambda x: lake.union_by_name([stats.bounds(r, d).select(F.lit(n).alias("dataset"), F.lit(layer).alias("layer"), F.lit(pit).alias("pit"), "first_date", "last_date") for n, r, d, layer, pit in (("daily_bars", x.bars_raw, "trade_date", "curated", False), ("financial_statement_items", x.facts, "announce_date", "curated", True), ("industry_members", x.members, "as_of_date", "curated", False))]),
-    """SELECT 'daily_bars' AS dataset, 'curated' AS layer, FALSE AS pit, min(trade_date) AS first_date,
-        max(trade_date) AS last_date FROM bars_raw UNION ALL SELECT 'financial_statement_items', 'curated', TRUE,
-        min(announce_date), max(announce_date) FROM facts UNION ALL SELECT 'industry_members', 'curated', FALSE,
-        min(as_of_date), max(as_of_date) FROM members""",
+    lambda x: stats.list_datasets(x.spark, DATASETS, lake.union_by_name([bounds("daily_bars", x.bars_raw, "trade_date"), bounds("financial_statement_items", x.facts, "announce_date"), bounds("industry_members", x.members, "as_of_date")])).where("last_date IS NOT NULL").select("dataset", "layer", "pit", "history_mode", "period", "first_date", "last_date"),
+    """SELECT 'daily_bars' AS dataset, 'curated' AS layer, FALSE AS pit, 'by_date' AS history_mode, 'month' AS period, min(trade_date) AS first_date, max(trade_date) AS last_date FROM bars_raw
+        UNION ALL SELECT 'financial_statement_items', 'curated', TRUE, 'by_date', 'quarter', min(announce_date), max(announce_date) FROM facts
+        UNION ALL SELECT 'industry_members', 'curated', FALSE, 'snapshot_with_backfill', 'month', min(as_of_date), max(as_of_date) FROM members""",
 )
 q(
     "dataset_schema",

@@ -24,8 +24,9 @@ def scan(rows: DataFrame, dataset: Dataset, start: str | None = None, end: str |
     if dataset.label_col:
         axis = [dataset.label_col] + [PERIOD] * (PERIOD in rows.columns)
         for c in axis:
-            rows = rows.where(F.col(c) >= periods.label(F.lit(start).cast("date"), dataset.period)) if start else rows
-            rows = rows.where(F.col(c) <= periods.label(F.lit(end).cast("date"), dataset.period)) if end else rows
+            loose = F.col(c).isNull() if c == PERIOD else F.lit(False)
+            rows = rows.where((F.col(c) >= periods.label(F.lit(start).cast("date"), dataset.period)) | loose) if start else rows
+            rows = rows.where((F.col(c) <= periods.label(F.lit(end).cast("date"), dataset.period)) | loose) if end else rows
     elif dataset.date_col:
         for bound, value in (("a", start), ("z", end)):
             if value:
@@ -33,7 +34,8 @@ def scan(rows: DataFrame, dataset: Dataset, start: str | None = None, end: str |
                 rows = rows.where(F.col(dataset.date_col) >= d if bound == "a" else F.col(dataset.date_col) <= d)
                 if PERIOD in rows.columns:
                     p = periods.label(d, dataset.period)
-                    rows = rows.where(F.col(PERIOD) >= p if bound == "a" else F.col(PERIOD) <= p)
+                    in_folder = F.col(PERIOD) >= p if bound == "a" else F.col(PERIOD) <= p
+                    rows = rows.where(in_folder | F.col(PERIOD).isNull())  # loose rows have no period
     if symbols is not None and "symbol" in rows.columns:
         rows = rows.join(symbols.select("symbol"), "symbol", "left_semi") if isinstance(symbols, DataFrame) else rows.where(F.col("symbol").isin(symbols))
     return rows.drop(PERIOD)
@@ -47,6 +49,53 @@ def union_by_name(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _children(spark: SparkSession, path: str) -> list[tuple[str, str, bool]]:
+    """Name, full path and whether it is a folder, of what lies in a folder; nothing if it is absent."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [(f.getPath().getName(), f.getPath().toString(), f.isDirectory()) for f in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def folders(spark: SparkSession, path: str) -> DataFrame:
+    """``period, start, end`` of a table's period folders, by their names alone; no file is opened and odd names are skipped."""
+    found = [(name.split("=", 1)[1],) for name, _, is_dir in _children(spark, path) if is_dir and "=" in name]
+    return list_partitions(spark.createDataFrame(found, f"{PERIOD} string"))
+
+
+def open_table(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
+    """A table's rows as its contract types them, out of period folders and of loose files beside them.
+
+    Files may lack columns, or hold them in other types: each of the two layouts is read with its files' schemas merged, and
+    values are cast without raising. Rows of folders carry their period, so a scan prunes; loose rows carry none, and their
+    dates decide. A table that is absent is empty.
+    """
+    parts, found = [], _children(spark, path)
+    layouts = ([p for name, p, is_dir in found if is_dir and name.startswith(f"{PERIOD}=")], [p for name, p, is_dir in found if not is_dir and name.endswith(".parquet")])
+    for k, paths in enumerate(layouts):
+        if paths:
+            rows = spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*paths)
+            typed = [(F.col(c).try_cast(t) if c in rows.columns else F.lit(None).cast(t)).alias(c) for c, t in dataset.schema.items()]
+            parts.append(rows.select(*typed, (F.lit(None) if k else F.col(PERIOD)).cast("string").alias(PERIOD)))
+    return union_by_name(parts) if parts else empty(spark, dataset).withColumn(PERIOD, F.lit(None).cast("string"))
+
+
+def repartition(spark: SparkSession, source: str, dataset: Dataset, target: str, dry_run: bool = False) -> DataFrame:
+    """Lay a table out anew by the registered period: one row per key where old folders overlap.
+
+    Returns ``period, n`` as written, or as it would be with dry_run. Raises if the table that was written lacks a key.
+    """
+    rows = dedupe(open_table(spark, source, dataset).drop(PERIOD), dataset)
+    plan = by_period(rows, dataset).groupBy(F.col(PERIOD).alias("period")).agg(F.count("*").alias("n"))
+    if dry_run:
+        return plan
+    want = rows.count()
+    write(rows, dataset, target)
+    have = open_table(spark, target, dataset)
+    if have.count() != want:
+        raise RuntimeError(f"{dataset.name}: {want} rows were to be written")
+    return have.groupBy(F.col(PERIOD).alias("period")).agg(F.count("*").alias("n"))
+
+
 def by_period(rows: DataFrame, dataset: Dataset) -> DataFrame:
     """rows with the label of the period that each belongs to: of its date, or the label that is its axis."""
     return rows.withColumn(PERIOD, F.col(dataset.label_col) if dataset.label_col else periods.label(F.col(dataset.date_col), dataset.period))
@@ -109,20 +158,26 @@ def compact_merge(spark: SparkSession, dataset: Dataset, path: str, staged: Data
     return spark.createDataFrame(changed, "period string, kind string, n long")
 
 
-def delta(base: DataFrame, target: DataFrame, dataset: Dataset) -> DataFrame:
-    """Difference of two states by period: add, replace or delete."""
+def fingerprint(rows: DataFrame) -> str:
+    """Count and content of a state, as text."""
+    now = digest(rows, []).first()
+    return f"{now['n']}-{now['hash']}"
+
+
+def delta(base: DataFrame, target: DataFrame, dataset: Dataset, bound: bool = False) -> DataFrame:
+    """Difference of two states by period: add, replace or delete. bound: with the fingerprint of the base that it is for."""
     a, b = (digest(by_period(r, dataset), [PERIOD]) for r in (base, target))
     j = a.select(PERIOD, F.struct("n", "hash").alias("a")).join(b.select(PERIOD, F.struct("n", "hash").alias("b")), PERIOD, "full_outer")
     kind = F.when(F.col("a").isNull(), "add").when(F.col("b").isNull(), "delete").when(F.col("a") != F.col("b"), "replace")
-    return j.select(F.col(PERIOD).alias("period"), kind.alias("kind")).where("kind IS NOT NULL")
+    out = j.select(F.col(PERIOD).alias("period"), kind.alias("kind")).where("kind IS NOT NULL")
+    return out.withColumn("base", F.lit(fingerprint(base))) if bound else out
 
 
 def delta_apply(base: DataFrame, target: DataFrame, changes: DataFrame, dataset: Dataset) -> DataFrame:
     """base with a delta's periods taken from target; applying it again changes nothing."""
     names = F.broadcast(changes.select(F.col("period").alias(PERIOD), "kind"))
     if "base" in changes.columns:  # made for this very state?
-        now = digest(base, []).first()
-        if changes.where((F.col("base") != F.lit(f"{now['n']}-{now['hash']}"))).limit(1).count():
+        if not changes.where(F.col("base") != fingerprint(base)).isEmpty():
             raise ValueError("the delta was made for another base")
     kept = by_period(base, dataset).join(names, PERIOD, "left_anti")
     new = by_period(target, dataset).join(names.where("kind <> 'delete'"), PERIOD, "left_semi")

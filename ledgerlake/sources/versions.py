@@ -105,6 +105,15 @@ def commit_merge(root: str, dataset: Dataset, batch: DataFrame, tag: str | None
     return commit(root, dataset, dedupe(batch, dataset), parent, tag, labels)
 
 
+def receipt(spark: SparkSession, root: str, dataset: Dataset, version: int) -> DataFrame:
+    """What a version changed: ``period, kind, n_rows`` (add, replace or delete) against its parent."""
+    rows = manifest(spark, root, dataset).where(F.col("period").isNotNull())
+    side = lambda v, name: rows.where(F.col("version") == v).select("period", F.struct("hash", "n_rows").alias(name))
+    j = side(version, "new").join(side(version - 1, "old"), "period", "full_outer")
+    kind = F.when(F.col("old").isNull(), "add").when(F.col("new").isNull(), "delete").when(F.col("old.hash") != F.col("new.hash"), "replace")
+    return j.select("period", kind.alias("kind"), F.coalesce("new.n_rows", F.lit(0)).alias("n_rows")).where("kind IS NOT NULL")
+
+
 def read(spark: SparkSession, root: str, dataset: Dataset, version: int | None = None, periods: list[str] | None = None) -> DataFrame:
     """The rows of a version (by default the current one), of all or of some periods; only their folders are read."""
     version = current(spark, root, dataset) if version is None else version

@@ -1,5 +1,6 @@
 """Traps of the semantics, on small rows; versions, merges and streams."""
 
+import dataclasses
 import datetime as dt
 import shutil
 
@@ -295,6 +296,40 @@ def test_facts_are_windowed_by_report_period(spark):
     assert got == ["2023Q3", "2023Q4"]  # the second was announced after the window
 
 
+def test_a_delta_knows_its_base(spark):
+    a = bars(spark, [("a", D(2024, 1, 2), 1.0, 1, "x", 9), ("a", D(2024, 2, 2), 1.0, 1, "x", 9)])
+    b = bars(spark, [("a", D(2024, 2, 2), 2.0, 1, "x", 9), ("a", D(2024, 3, 2), 1.0, 1, "x", 9)])
+    changes = lake.delta(a, b, BARS, bound=True)
+    assert {(r.period, r.kind) for r in changes.collect()} == {("2024-01", "delete"), ("2024-02", "replace"), ("2024-03", "add")}
+    assert sorted((r.trade_date.month, r.close) for r in lake.delta_apply(a, b, changes, BARS).collect()) == [(2, 2.0), (3, 1.0)]
+    with pytest.raises(ValueError, match="another base"):
+        lake.delta_apply(b, a, changes, BARS)
+
+
+def test_tables_of_folders_and_loose_files(spark, tmp_path):
+    path, day = f"{tmp_path}/table", DATASETS["trade_ticks"]
+    assert lake.open_table(spark, path, BARS).count() == 0 and lake.folders(spark, path).count() == 0
+    rows = bars(spark, [("a", D(2024, 1, d), 1.0, d, "x", 9) for d in range(1, 9)])
+    lake.write(rows.where("volume < 5"), day, path)
+    rows.where("volume >= 5").drop("amount").write.mode("append").parquet(path)
+    (tmp_path / "table" / "__period=odd").mkdir()
+    assert [r.period for r in lake.folders(spark, path).collect()] == [f"2024-01-0{k}" for k in range(1, 5)]
+    read = lake.open_table(spark, path, BARS)
+    assert read.count() == 8 and read.where("amount IS NULL").count() == 4 and read.columns == [*BARS.schema, lake.PERIOD]
+    daily = dataclasses.replace(BARS, period="day")
+    some = lake.scan(read, daily, "2024-01-03", "2024-01-06")
+    assert sorted(r.trade_date.day for r in some.collect()) == [3, 4, 5, 6]
+
+
+def test_a_stock_that_fell_silent(spark):
+    master = spark.createDataFrame([("a", "stock", None), ("b", "stock", None), ("c", "stock", D(2023, 1, 1)), ("f", "fund", None)], "symbol string, asset_type string, delist_date date")
+    rows = [("a", D(2021, 1, 4), 1.0, 1, "x", 9), ("a", D(2024, 1, 4), 1.0, 1, "x", 9), ("b", D(2023, 5, 4), 1.0, 1, "x", 9), ("c", D(2022, 5, 4), 1.0, 1, "x", 9), ("f", D(2021, 5, 4), 1.0, 1, "x", 9)]
+    got = lambda kept, **how: [(r.symbol, r.severity) for r in quality.survivorship_check(bars(spark, kept), master, **how).collect()]
+    assert got(rows) == [("b", "warning")]
+    assert got(rows[:2] + rows[4:]) == [(None, "error")]  # three years of survivors only
+    assert got(rows[:2] + rows[4:], least_span=2000) == []
+
+
 def test_gaps(spark):
     cal = spark.createDataFrame([(D(2024, 1, k), k not in (6, 7)) for k in range(1, 13)], "trade_date date, is_trading boolean")
     have = spark.createDataFrame([("d", D(2024, 1, k)) for k in (2, 3, 8, 10, 11)], "dataset string, trade_date date")
