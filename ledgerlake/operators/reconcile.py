@@ -23,18 +23,19 @@ def sector_code_map(boards: DataFrame, other: DataFrame, width: int = 6) -> Data
 
 
 def sector_routing(boards: DataFrame, indexes: DataFrame, exclusive: str) -> DataFrame:
-    """Each board's index by normalised name: excluded, exact if one has the same, contains if one holds the other, else ambiguous or none.
+    """Each board's index by normalised name: excluded, exact if one has the same, contains if one holds the other, else ambiguous
+    or none; with the ``confidence`` of the match (1, 0.7, else 0).
 
     indexes are some hundred rows; the substring comparison is a broadcast join.
     """
     b = boards.select("board", norm_name(F.col("name")).alias("n"), F.lower("name").rlike(exclusive).alias("excluded")).distinct()
     i = F.broadcast(indexes.select("index", norm_name(F.col("name")).alias("m")).distinct())
     exact = b.join(i, F.col("n") == F.col("m")).groupBy("board").agg(F.count_distinct("index").alias("n_exact"), F.min("index").alias("exact"))
-    held = b.join(i, (F.length("n") >= 2) & (F.length("m") >= 2) & (F.contains("n", "m") | F.contains("m", "n"))).groupBy("board").agg(F.count_distinct("index").alias("n_held"), F.min("index").alias("held"))
+    held = b.join(i, (F.length("n") >= 2) & (F.contains("n", "m") | F.contains("m", "n"))).groupBy("board").agg(F.count_distinct("index").alias("n_held"), F.min("index").alias("held"))
     j = b.join(exact, "board", "left").join(held, "board", "left")
     tier = F.when(F.col("excluded"), "exclusive").when(F.col("n_exact") == 1, "exact").when(F.col("n_exact") > 1, "ambiguous").when(F.col("n_held") == 1, "contains").when(F.col("n_held") > 1, "ambiguous").otherwise("none")
     out = j.withColumn("tier", tier)
-    return out.select("board", "tier", F.when(F.col("tier") == "exact", F.col("exact")).when(F.col("tier") == "contains", F.col("held")).alias("index"))
+    return out.select("board", "tier", F.when(F.col("tier") == "exact", F.col("exact")).when(F.col("tier") == "contains", F.col("held")).alias("index"), F.when(F.col("tier") == "exact", 1.0).when(F.col("tier") == "contains", 0.7).otherwise(0.0).alias("confidence"))
 
 
 def elapsed_fraction(start: Column, end: Column, day: Column) -> Column:

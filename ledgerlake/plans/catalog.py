@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import fixtures
 from ..functions import periods
 from ..functions import symbols as S
-from ..operators import canonical, derive, load, quality, reconcile, research, snapshots, stats
+from ..operators import asof, canonical, derive, load, quality, reconcile, research, snapshots, stats
 from ..registry import DATASETS
 from ..sources import lake, versions
 
@@ -562,12 +562,13 @@ q(
 )
 q(
     "factor_ic",
-    lambda x: research.factor_ic(x.bars, "amount").select("trade_date", "n", F.round("ic", 6).alias("ic")),
+    lambda x: research.factor_ic(asof.backward(x.bars, x.actions.groupBy("symbol", F.col("ex_date").alias("trade_date")).agg(F.sum("cash_dividend").alias("paid")), ["symbol"], "trade_date", "paid"), "paid").select("trade_date", "n", F.round("ic", 6).alias("ic")),
     """SELECT trade_date, count(*) AS n, round(corr(a, b), 6) AS ic
         FROM (SELECT trade_date, rank() OVER (PARTITION BY trade_date
-        ORDER BY amount) AS a, rank() OVER (PARTITION BY trade_date ORDER BY r) AS b
+        ORDER BY paid) AS a, rank() OVER (PARTITION BY trade_date ORDER BY r) AS b
         FROM (SELECT *, lead(close) OVER (PARTITION BY symbol ORDER BY trade_date) / nullif(close, 0) - 1 AS r
-        FROM bars) WHERE r IS NOT NULL AND amount IS NOT NULL) GROUP BY 1""",
+        FROM bars b ASOF LEFT JOIN (SELECT symbol AS s, ex_date, sum(cash_dividend) AS paid FROM actions GROUP BY 1, 2) f
+        ON b.symbol = f.s AND b.trade_date >= f.ex_date) WHERE r IS NOT NULL AND paid IS NOT NULL) GROUP BY 1""",
 )
 
 # Derived datasets
@@ -1666,7 +1667,8 @@ q(
 q(
     "sector_routing",
     lambda x: reconcile.sector_routing(x.table("supplier").select(F.col("s_suppkey").alias("board"), F.concat(F.lit("zone"), F.col("s_nationkey").cast("string"), F.substring("s_name", 17, 2)).alias("name")).withColumn("name", F.translate("name", "0123456789", "abcdefghij")), x.table("nation").select(F.col("n_nationkey").alias("index"), F.translate(F.concat(F.lit("zone"), F.col("n_nationkey").cast("string")), "0123456789", "abcdefghij").alias("name")), "zoneb"),
-    """SELECT b.board, CASE WHEN n LIKE '%zoneb%' THEN 'exclusive' WHEN ne = 1 THEN 'exact' WHEN nh = 1 THEN 'contains' WHEN nh > 1 THEN 'ambiguous' ELSE 'none' END AS tier, CASE WHEN n LIKE '%zoneb%' THEN NULL WHEN ne = 1 THEN ex WHEN nh = 1 THEN he END AS "index"
+    """SELECT b.board, CASE WHEN n LIKE '%zoneb%' THEN 'exclusive' WHEN ne = 1 THEN 'exact' WHEN nh = 1 THEN 'contains' WHEN nh > 1 THEN 'ambiguous' ELSE 'none' END AS tier, CASE WHEN n LIKE '%zoneb%' THEN NULL WHEN ne = 1 THEN ex WHEN nh = 1 THEN he END AS "index",
+ CASE WHEN n LIKE '%zoneb%' THEN 0 WHEN ne = 1 THEN 1 WHEN nh = 1 THEN 0.7 ELSE 0 END AS confidence
  FROM (SELECT b.board, any_value(b.n) AS n, count(DISTINCT i."index") FILTER (b.n = i.m) AS ne, min(i."index") FILTER (b.n = i.m) AS ex, count(DISTINCT i."index") FILTER (contains(b.n, i.m) OR contains(i.m, b.n)) AS nh, min(i."index") FILTER (contains(b.n, i.m) OR contains(i.m, b.n)) AS he
  FROM (SELECT s_suppkey AS board, translate('zone' || s_nationkey || substr(s_name, 17, 2), '0123456789', 'abcdefghij') AS n FROM supplier) b CROSS JOIN (SELECT n_nationkey AS "index", translate('zone' || n_nationkey, '0123456789', 'abcdefghij') AS m FROM nation) i GROUP BY 1) b""",
 )
