@@ -12,6 +12,11 @@ def label(date: Column, period: str) -> Column:
     return F.date_format(date, FORMATS[period])
 
 
+def first_day(date: Column, period: str) -> Column:
+    """First day of a date's period: a number to group many rows by, of which the label is made once a group."""
+    return F.to_date(date) if period == "day" else F.trunc(date, {"month": "MM", "quarter": "QUARTER", "year": "YEAR"}[period]).cast("date")
+
+
 def start(name: Column) -> Column:
     """First day of a label of any period; null for other text."""
     quarter = F.make_date(F.substring(name, 1, 4).cast("int"), (F.substring(name, 6, 1).cast("int") - 1) * 3 + 1, F.lit(1))

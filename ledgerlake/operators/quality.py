@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import periods
-from . import canonical, derive
+from . import canonical, derive, stats
 
 FINDING = ("dataset", "severity", "check", "n", "details")
 
@@ -49,7 +49,7 @@ def row_mutation(rows: DataFrame, date_col: str, period: str, least: int = 50, s
 
     The rows of the period that ``today`` lies in are held against the share of it that has passed; symbols are not.
     """
-    agg = rows.groupBy(periods.label(F.col(date_col), period).alias("period")).agg(F.count("*").alias("n_rows"), F.count_distinct("symbol").alias("n_symbols"))
+    agg = stats.partition_stats(rows, date_col, period)
     w = Window.partitionBy(F.lit(1)).orderBy("period")  # one row a period
     agg = agg.withColumns({"prior_rows": F.lag("n_rows").over(w), "prior_symbols": F.lag("n_symbols").over(w)})
     passed = F.lit(1.0)
@@ -62,7 +62,7 @@ def row_mutation(rows: DataFrame, date_col: str, period: str, least: int = 50, s
 
 
 def fragmentation(rows: DataFrame, date_col: str, period: str) -> DataFrame:
-    one = rows.groupBy(periods.label(F.col(date_col), period).alias("period")).count()
+    one = rows.groupBy(periods.first_day(F.col(date_col), period).alias("period")).count()
     return one.agg(F.sum("count").alias("n_rows"), F.count("*").alias("n_partitions"), F.try_divide(F.sum("count"), F.count("*")).alias("rows_per_partition"))
 
 

@@ -11,11 +11,13 @@ from . import canonical
 
 
 def partition_stats(rows: DataFrame, date_col: str, period: str) -> DataFrame:
-    return rows.groupBy(periods.label(F.col(date_col), period).alias("period")).agg(F.count("*").alias("n_rows"), F.count_distinct("symbol").alias("n_symbols"))
+    agg = rows.groupBy(periods.first_day(F.col(date_col), period).alias("_d")).agg(F.count("*").alias("n_rows"), F.count_distinct("symbol").alias("n_symbols"))
+    return agg.select(periods.label(F.col("_d"), period).alias("period"), "n_rows", "n_symbols")
 
 
 def provenance_stats(rows: DataFrame, date_col: str, period: str) -> DataFrame:
-    return rows.groupBy(periods.label(F.col(date_col), period).alias("period"), "source", "data_version").agg(F.count("*").alias("n_rows"), F.min("fetched_at").alias("first_fetch"), F.max("fetched_at").alias("last_fetch"))
+    agg = rows.groupBy(periods.first_day(F.col(date_col), period).alias("_d"), "source", "data_version").agg(F.count("*").alias("n_rows"), F.min("fetched_at").alias("first_fetch"), F.max("fetched_at").alias("last_fetch"))
+    return agg.select(periods.label(F.col("_d"), period).alias("period"), "source", "data_version", "n_rows", "first_fetch", "last_fetch")
 
 
 def source_mix(rows: DataFrame) -> DataFrame:
