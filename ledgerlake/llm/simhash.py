@@ -18,7 +18,7 @@ are linked when their fingerprints differ in at most ``radius`` bits. Plan:
 ``similar``: texts are linked when the sets of their shingles have a Jaccard similarity of ``similarity`` or more, as
 near-duplicate stages of a pipeline ask. A fingerprint bit of two such sets differs with a chance of p at most (the angle
 between them), which at 0.8 is 0.15: bands must be met by chance, not by force. Each set gets more majority bits, enough
-for so many bands of log2(n / 32) bits that a pair just at the threshold misses all of them once in 500 times, and 128 bits
+for so many bands of 12 bits or more that a pair just at the threshold misses all of them once in 500 times, and 128 bits
 of its own for step 3, with a radius four deviations above the mean. That leaves candidates: components of them are
 compared on the sets themselves, exactly, so nothing below the threshold links.
 """
@@ -31,7 +31,7 @@ from math import acos, ceil, log, log2, pi, sqrt
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -201,13 +201,15 @@ def _near(radius: int, buffer: int = 1 << 17):
     return _groups(forest, buffer)
 
 
-def _dealt(rows: DataFrame, keys: list[str], by: str, chunk: int) -> DataFrame:
+def _dealt(rows: DataFrame, keys: list[str], by: str, chunk: int, load: Column | None = None, most: int = 1) -> DataFrame:
     """rows with ``c, d``, sorted by keys, c, d within partitions that hold whole groups of them.
 
-    A key of more than ``chunk`` rows is dealt to chunks; each pair of chunks (c, d) is a group of its own.
+    A key of more than ``chunk`` rows, or whose ``load`` sums up to more than ``most``, is dealt to chunks; each pair of
+    chunks (c, d) is a group of its own.
     """
-    hot = rows.groupBy(*keys).count().where(F.col("count") > chunk)
-    hot = cut(hot.select(*keys, F.ceil(F.col("count") / chunk).cast("int").alias("parts")), "hot-keys")
+    parts = F.ceil(F.count("*") / chunk)
+    parts = parts if load is None else F.greatest(parts, F.ceil(F.sum(load) / most))
+    hot = cut(rows.groupBy(*keys).agg(parts.cast("int").alias("parts")).where("parts > 1"), "hot-keys")
     parts = F.coalesce("parts", F.lit(1))
     mine = F.pmod(F.xxhash64(by, F.lit(7)), parts).cast("int")
     out = rows.join(hot, keys, "left").withColumn("c", mine).withColumn("d", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
@@ -260,7 +262,7 @@ _SPREAD = np.array([sum((v >> k & 1) << 8 * k for k in range(8)) for v in range(
 def bands_for(n: int, similarity: float, miss: float = 0.002) -> tuple[int, int, int]:
     """(bands, bits of a band, radius of OWN_BITS) for n sets: a pair at ``similarity`` meets in no band with a chance of ``miss``."""
     p = acos(2 * similarity / (1 + similarity)) / pi
-    bits = min(24, max(6, ceil(log2(max(n, 1) / 32))))
+    bits = min(24, max(12, ceil(log2(max(n, 1) / 2048))))  # buckets of some thousand at most: comparing is cheaper than more bands
     bands = ceil(log(miss) / log(1 - (1 - p) ** bits))
     return bands, bits, ceil(OWN_BITS * p + 4 * sqrt(OWN_BITS * p * (1 - p)))
 
@@ -336,8 +338,11 @@ def _alike(similarity: float, buffer: int = 512, step: int = 4096):
         begins = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(ids))
         for lo, hi in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
             n, size = hi - lo, np.diff(at[lo : hi + 1])
-            names, place = np.unique(flat[at[lo] : at[hi]], return_inverse=True)
+            names, place, times = np.unique(flat[at[lo] : at[hi]], return_inverse=True, return_counts=True)
             owner = np.repeat(np.arange(n), size)
+            shared = times > 1  # what only one set holds is in common with none
+            owner, place = owner[shared[place]], (np.cumsum(shared) - 1)[place[shared[place]]]
+            names = names[shared]
             order = np.argsort(place, kind="stable")
             place, owner = place[order], owner[order]
             common = np.zeros((n, n), np.float32)
@@ -354,12 +359,13 @@ def _alike(similarity: float, buffer: int = 512, step: int = 4096):
     return _groups(forest, buffer, 3)
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, chunk: int = 512, exact_chunk: int = 96) -> DataFrame:
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, chunk: int = 512, exact_chunk: int = 1024, exact_load: int = 1 << 20) -> DataFrame:
     """``id, set, component_id`` per row of docs: a digest of its set of shingles, and the smallest id reachable by links.
 
     Texts link when their sets have a Jaccard similarity of ``similarity`` or more; texts of fewer than ``width`` words have
     one shingle, texts without a word (null, empty, blank) the empty set, and equal sets always link. A null id is never the
-    smallest unless all are null; repeated rows each get a row; an empty table gives an empty one.
+    smallest unless all are null; repeated rows each get a row; an empty table gives an empty one. Sets that are compared
+    exactly meet in groups of up to 2 * exact_chunk sets and about 2 * exact_load shingles.
     """
     n = docs.count()
     bands, bits, radius = bands_for(n, similarity)
@@ -369,7 +375,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     rows = reps.where("set <> 0").select("set", "f0", "f1", F.posexplode("keys").alias("band", "key"))
     near = _dealt(rows, ["band", "key"], "set", chunk).select("band", "key", "c", "d", "set", "f0", "f1").mapInArrow(_near(radius), "a long, b long")
     close = cut(components(near).select(F.col("vertex").alias("set"), "root"), "candidates", n)
-    want = reps.select("set", "low").join(close, "set").select(F.col("set").alias("want"), "low", "root")
+    want = reps.select("set", "low").join(close, "set").select(F.col("set").alias("want"), "low", "root").hint("merge")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.join(want, F.col("id").eqNullSafe(F.col("low"))).select("root", "want", "text")
 
@@ -384,7 +390,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
 
     held = texts.mapInArrow(sets, "root long, set long, h array<long>").groupBy("root", "set").agg(F.first("h").alias("h"))
     held = cut(held, "shingles")
-    pairs = _dealt(held, ["root"], "set", exact_chunk).select("root", "c", "d", "set", "h").mapInArrow(_alike(similarity), "a long, b long")
+    pairs = _dealt(held, ["root"], "set", exact_chunk, F.size("h"), exact_load).select("root", "c", "d", "set", "h").mapInArrow(_alike(similarity), "a long, b long")
     comp = components(pairs).withColumnRenamed("vertex", "set")
     root = cut(reps.select("set", "low").join(comp, "set", "left").select("set", "low", F.coalesce("root", "set").alias("root")), "rooted", n)
     low = cut(root.groupBy("root").agg(F.min("low").alias("component_id")), "lowest", n)
@@ -395,16 +401,17 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, **how) -> DataFrame:
     """The rows of docs whose id is the smallest of its component, with all their columns.
 
-    The ids that go are joined away. Only rows that share their id with another row, or have none, are looked at one by
+    The ids that go are joined away, in one shuffle of the rows. Only rows that share their id with another row, or have none, are looked at one by
     one: of those of one id and one set of shingles the least row stays.
     """
     told = cut(similar(docs, id_col, text_col, width, similarity, **how), "similar")
-    gone, id_name, set_name = told.where("NOT id <=> component_id"), fresh(docs, "id"), fresh(docs, "set")
+    id_name, set_name = fresh(docs, "id"), fresh(docs, "set")
+    gone = told.where("NOT id <=> component_id").select("id")  # shuffled at every size: cost grows in proportion
     again = cut(told.groupBy("id").count().where("count > 1 OR id IS NULL").select(F.col("id").alias(id_name)), "repeated")
     if again.isEmpty():
-        return docs.join(gone.select(F.col("id").alias(id_name)), F.col(id_col) == F.col(id_name), "left_anti")
+        return docs.join(gone.select(F.col("id").alias(id_name)).hint("merge"), F.col(id_col) == F.col(id_name), "left_anti")
     same = F.col(id_col).eqNullSafe(F.col(id_name))
-    once = docs.join(again, same, "left_anti").join(gone.select(F.col("id").alias(id_name)), F.col(id_col) == F.col(id_name), "left_anti")
+    once = docs.join(again, same, "left_anti").join(gone.select(F.col("id").alias(id_name)).hint("merge"), F.col(id_col) == F.col(id_name), "left_anti")
     rows = docs.join(again, same, "left_semi")
     at = docs.columns.index(text_col)
 
