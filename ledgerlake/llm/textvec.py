@@ -60,6 +60,17 @@ def span_hash(points: np.ndarray):
     return lambda starts, ends: mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _M)
 
 
+def span_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 1 << 20) -> np.ndarray:
+    """span_hash() of spans in order, over some ``most`` characters at a time: memory does not grow with the text."""
+    out, lo = np.empty(len(starts), np.uint64), 0
+    while lo < len(starts):
+        base = starts[lo]
+        hi = max(lo + 1, int(np.searchsorted(ends, base + most, "right")))
+        out[lo:hi] = span_hash(points[base : ends[hi - 1]])(starts[lo:hi] - base, ends[lo:hi] - base)
+        lo = hi
+    return out
+
+
 def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (document, shingle hash) of the texts in order: ``width`` words in a row with A-Z lowered, or all words where
     there are fewer. Words are parted by the blanks of ASCII; a null text has none.
@@ -71,7 +82,7 @@ def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     raw = raw + np.uint8(32) * ((raw >= 65) & (raw <= 90))
     starts, ends, doc = runs_of((raw != 32) & ((raw < 9) | (raw > 13)), at)
     n = len(starts)
-    word = np.append(span_hash(raw)(starts, ends), np.zeros(width, np.uint64))
+    word = np.append(span_hashes(raw, starts, ends), np.zeros(width, np.uint64))
     owner = np.append(doc, np.full(width, -1))
     h = np.zeros(n, np.uint64)
     for k in range(width):
@@ -84,11 +95,10 @@ def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 def word_features(points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(document, feature) of each whole word, and of each inner gram of ``GRAM`` characters of words beyond ``LONG``."""
     starts, ends, doc = words(points, at)
-    of = span_hash(points)
     long = ends - starts > LONG
     many = (ends - starts)[long] - GRAM + 1
     inner = np.repeat(starts[long] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-    return np.concatenate([doc, np.repeat(doc[long], many)]), np.concatenate([of(starts, ends), of(inner, inner + GRAM)])
+    return np.concatenate([doc, np.repeat(doc[long], many)]), np.concatenate([span_hashes(points, starts, ends), span_hashes(points, inner, inner + GRAM)])
 
 
 def counted(doc: np.ndarray, feat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
