@@ -117,6 +117,8 @@ def _least(togo: tuple) -> tuple:
 
 def unroll(runs, state: int, togo: tuple) -> tuple[str, int]:
     """The edits of a piece's runs from a state, and the state after them, where togo are the costs to go at its end."""
+    if not runs:
+        return "", state
     after = [togo]
     for symbol, n in reversed(runs[1:]):
         after.append(before_run(symbol, n, after[-1]))

@@ -89,10 +89,9 @@ def test_edits_against_all_sequences(spark):
 def turn_by_turn(turns):
     """The edit program by one step a turn, without runs or powers."""
     best, told = {0: (0, "")}, faults(turns)
-    order = lambda s: {k: v for k, v in s.items()}
 
     def inserted(states):
-        states = order(states)
+        states = dict(states)
         for _ in range(2):
             for q, (c, a) in list(states.items()):
                 to = conversation.FOLLOWS[q]
@@ -130,7 +129,7 @@ def test_long_conversation_in_pieces(spark, monkeypatch):
     assert (got[7].blank, got[7].duplicate, got[7].truncated) == (told["blank"], told["duplicate"], told["truncated"])
     assert got[7].illegal == sum((a[0][:1] + b[0][:1]) not in ("su", "ua", "au") for a, b in itertools.pairwise(turns))
     # by role where there is no number; repeated null rows are blank; a gap of three
-    assert (got[8].audit, got[8].cost, got[8].gaps) == ("DD", 4, 0) if want is None else got[8].audit in ("RR", "DD", "RD", "DR")
+    assert (got[8].audit, got[8].cost, got[8].gaps) == ("RR", 2, 0)
     assert (got[None].blank, got[None].duplicate, got[None].audit, got[None].cost) == (2, 0, "DD", 4)
     assert (got[9].gaps, got[9].audit, got[9].cost) == (3, "KK", 0)
     assert conversation.repair(frame.limit(0)).count() == 0 and conversation.repaired(frame.limit(0)).count() == 0
