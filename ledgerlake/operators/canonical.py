@@ -70,14 +70,20 @@ class ContractError(ValueError):
     """Rows that a research read must not return."""
 
 
-def faults(rows: DataFrame, dataset: Dataset) -> DataFrame:
-    """``check, n``: rows that break the contract: a required value missing, not finite, or a bar rule broken."""
+def rules(rows: DataFrame, dataset: Dataset) -> dict[str, Column]:
+    """Conditions by name that break the contract: a required value missing, a number not finite, or a bar rule broken."""
     numbers = [c for c, t in dataset.schema.items() if t == "double" and c in rows.columns]
     odd = reduce(lambda a, b: a | b, [F.coalesce(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(False)) for c in numbers], F.lit(False))
-    rules = {"required_missing": invalid(rows, dataset), "not_finite": odd}
+    out = {"required_missing": invalid(rows, dataset), "not_finite": odd}
     if {"open", "high", "low", "close", "volume", "amount"} <= set(rows.columns):
-        rules |= bar_faults()
-    return rows.agg(*[F.count_if(v).alias(k) for k, v in rules.items()]).unpivot([], list(rules), "check", "n").where("n > 0")
+        out |= bar_faults()
+    return out
+
+
+def faults(rows: DataFrame, dataset: Dataset) -> DataFrame:
+    """``check, n``: rows that break the contract."""
+    found = rules(rows, dataset)
+    return rows.agg(*[F.count_if(v).alias(k) for k, v in found.items()]).unpivot([], list(found), "check", "n").where("n > 0")
 
 
 def check(rows: DataFrame, dataset: Dataset) -> DataFrame:

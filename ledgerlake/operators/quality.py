@@ -49,7 +49,7 @@ def row_mutation(rows: DataFrame, date_col: str, period: str, least: int = 50, s
 
     The rows of the period that ``today`` lies in are held against the share of it that has passed; symbols are not.
     """
-    agg = stats.partition_stats(rows, date_col, period)
+    agg = stats.period_counts(rows, date_col, period)
     w = Window.partitionBy(F.lit(1)).orderBy("period")  # one row a period
     agg = agg.withColumns({"prior_rows": F.lag("n_rows").over(w), "prior_symbols": F.lag("n_symbols").over(w)})
     passed = F.lit(1.0)

@@ -43,33 +43,6 @@ def elapsed_fraction(start: Column, end: Column, day: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(F.datediff(day, start) + 1, F.datediff(end, start) + 1)))
 
 
-def dataset_audit(rows: DataFrame, dataset, mock: str = "mock") -> DataFrame:
-    """Findings of one dataset: empty, duplicates, nulls in required columns, mock rows, broken bar rules."""
-    s = rows.agg(F.count("*").alias("n"), F.count_if(F.col("source") == mock).alias("mock"), F.count_if(canonical.invalid(rows, dataset)).alias("nulls"))
-    dup = quality.pk_duplicates(rows, list(dataset.key)).select(F.lit("duplicate_keys").alias("check"), F.col("n_duplicates").alias("n"))
-    one = s.select(F.when(F.col("n") == 0, 1).otherwise(0).cast("long").alias("empty"), F.col("mock").alias("mock_rows"), F.col("nulls").alias("required_nulls")).unpivot([], ["empty", "mock_rows", "required_nulls"], "check", "n")
-    out = one.unionByName(dup)
-    if {"open", "high", "low", "close"} <= set(rows.columns):
-        out = out.unionByName(canonical.bar_invariants(rows))
-    return out.where("n > 0")
-
-
-def lake_audit(frames: dict[str, DataFrame], registry, mock: str = "mock") -> DataFrame:
-    """Findings of many datasets in the one schema of findings: what dataset_audit() counts, with a severity for each check."""
-    warnings = ("mock_rows",)
-    out = []
-    for name, rows in frames.items():
-        found = dataset_audit(rows, registry[name], mock)
-        severity = F.when(F.col("check").isin(*warnings), "warning").otherwise("error")
-        out.append(found.select(F.lit(name).alias("dataset"), severity.alias("severity"), "check", "n", F.lit(None).cast("string").alias("details")))
-    return quality.audit_union(out)
-
-
-def mixed_granularity(periods: DataFrame, length: int) -> DataFrame:
-    """Partition labels of another length than the registered period's."""
-    return periods.where(F.length("period") != length)
-
-
 def verify_gaps(covered: DataFrame, calendar: DataFrame, anchor: str, tolerance: int, first: str, expected: DataFrame | None = None) -> DataFrame:
     """Gaps (dataset, kind, start, end): empty, stale at the end, shallow at the start, and each run of sessions missing within.
 

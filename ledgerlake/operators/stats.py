@@ -7,21 +7,80 @@ from pyspark.sql import functions as F
 
 from ..functions import periods
 from ..registry import Dataset
+from ..sources import lake, versions
 from . import canonical
 
 
-def partition_stats(rows: DataFrame, date_col: str, period: str) -> DataFrame:
+def partition_stats(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``period, period_start, period_end, n_rows, n_files, n_bytes`` of stored folders, out of file listings and footers.
+
+    No data column is read: the count of rows per file comes from the footers, files and bytes from the listing. A file that
+    cannot be read counts with its bytes and no rows. Loose files have no period.
+    """
+    listed = lake.files(spark, paths)
+    if not paths:
+        return _by_period(listed.withColumn("n_rows", F.lit(0)))
+    counted = spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").schema("_none boolean").parquet(*paths)
+    n = counted.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n_rows"))
+    return _by_period(listed.join(n, "file", "left"))
+
+
+def _by_period(counted: DataFrame) -> DataFrame:
+    agg = counted.groupBy("period").agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_files"), F.sum("n_bytes").alias("n_bytes"))
+    return agg.select("period", periods.start(F.col("period")).alias("period_start"), periods.end(F.col("period")).alias("period_end"), "n_rows", "n_files", "n_bytes")
+
+
+def period_counts(rows: DataFrame, date_col: str, period: str) -> DataFrame:
+    """Rows and symbols of each period, counted from the rows themselves."""
     agg = rows.groupBy(periods.first_day(F.col(date_col), period).alias("_d")).agg(F.count("*").alias("n_rows"), F.count_distinct("symbol").alias("n_symbols"))
     return agg.select(periods.label(F.col("_d"), period).alias("period"), "n_rows", "n_symbols")
 
 
+#: log2 of a distinct sketch's registers: 16,384 of them are 1.04 / 128, or 0.8 %, off in the root mean square.
+SKETCH_BITS = 14
+
+
+def distinct_sketches(spark: SparkSession, paths: list[str], column: str = "symbol") -> DataFrame:
+    """``period, sketch``: a mergeable sketch of the distinct values of each stored folder; only this column is read."""
+    if not paths:
+        return spark.createDataFrame([], "period string, sketch binary")
+    rows = spark.read.option("recursiveFileLookup", "true").schema(f"`{column}` string").parquet(*paths)
+    return rows.groupBy(lake.period_of(F.col("_metadata.file_path")).alias("period")).agg(F.hll_sketch_agg(column, SKETCH_BITS).alias("sketch"))
+
+
+def n_unique_approx(sketches: DataFrame) -> DataFrame:
+    """Distinct values over any number of periods out of their sketches, within about 0.8 % (twice that in 19 of 20 cases)."""
+    return sketches.agg(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("sketch")), F.lit(0)).alias("n"))
+
+
+def refreshed(old: DataFrame, fresh: DataFrame, changed: list[str]) -> DataFrame:
+    """Statistics or sketches by period with those of the changed periods replaced; periods that are gone fall out."""
+    return old.where(~F.coalesce(F.col("period").isin(changed), F.lit(False))).unionByName(fresh)
+
+
+def refresh_version(spark: SparkSession, root: str, dataset: Dataset, version: int, stats: DataFrame, sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """partition_stats() and distinct_sketches() of a version out of those of the version before it.
+
+    What changed is the version's receipt: only the folders of added and replaced periods are listed and read.
+    """
+    changed = versions.receipt(spark, root, dataset, version).collect()  # at most one row a period
+    folders = versions.folders(spark, root, dataset, version, [r["period"] for r in changed if r["kind"] != "delete"])
+    names = [r["period"] for r in changed]
+    return refreshed(stats, partition_stats(spark, folders), names), refreshed(sketches, distinct_sketches(spark, folders), names)
+
+
 def provenance_stats(rows: DataFrame, date_col: str, period: str) -> DataFrame:
-    agg = rows.groupBy(periods.first_day(F.col(date_col), period).alias("_d"), "source", "data_version").agg(F.count("*").alias("n_rows"), F.min("fetched_at").alias("first_fetch"), F.max("fetched_at").alias("last_fetch"))
+    """Rows and fetch bounds per period, source and version. Rows are counted by their day as it is stored; periods are made of days."""
+    one = lambda r, n: r.agg(n.alias("n_rows"), F.min("first_fetch").alias("first_fetch"), F.max("last_fetch").alias("last_fetch"))
+    days = one(rows.select(date_col, "source", "data_version", F.col("fetched_at").alias("first_fetch"), F.col("fetched_at").alias("last_fetch")).groupBy(date_col, "source", "data_version"), F.count("*"))
+    agg = one(days.groupBy(periods.first_day(F.col(date_col), period).alias("_d"), "source", "data_version"), F.sum("n_rows"))
     return agg.select(periods.label(F.col("_d"), period).alias("period"), "source", "data_version", "n_rows", "first_fetch", "last_fetch")
 
 
 def source_mix(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("source", "data_version").agg(F.count("*").alias("n_rows"), F.count("fetched_at").alias("n_fetched"))
+    """Rows and fetch bounds of each source and version, the largest first."""
+    agg = rows.groupBy("source", "data_version").agg(F.count("*").alias("n_rows"), F.min("fetched_at").alias("first_fetch"), F.max("fetched_at").alias("last_fetch"))
+    return agg.orderBy(F.col("n_rows").desc(), "source", "data_version")
 
 
 def provenance_series(rows: DataFrame, date_col: str, most: int = 400) -> DataFrame:
@@ -37,23 +96,45 @@ def stats_rebuild(old: DataFrame, rebuilt: DataFrame) -> DataFrame:
     return old.join(F.broadcast(rebuilt.select("dataset").distinct()), "dataset", "left_anti").unionByName(rebuilt)
 
 
+TOTALS = ("n_rows", "n_files", "n_bytes", "n_partitions")
+
+
 def stats_rollup(stats: DataFrame, catalog: DataFrame) -> DataFrame:
-    agg = stats.groupBy("dataset").agg(F.sum("n_rows").alias("n_rows"), F.count("*").alias("n_partitions"))
-    return catalog.join(agg, "dataset", "left").withColumns({"n_rows": F.coalesce("n_rows", F.lit(0)), "n_partitions": F.coalesce("n_partitions", F.lit(0))})
+    """Each catalogued dataset with its rows, files, bytes and partitions; 0 where nothing is stored."""
+    agg = stats.groupBy("dataset").agg(*[F.sum(c).alias(c) for c in TOTALS[:3]], F.count("*").alias("n_partitions"))
+    return catalog.join(agg, "dataset", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in TOTALS})
 
 
 def tier_rollup(rollup: DataFrame, day: str) -> DataFrame:
-    """Per layer: datasets, and how many are empty, stale or fresh."""
+    """Per layer: datasets, how many are empty, stale or fresh, and their rows and bytes."""
     lag = F.datediff(F.lit(day).cast("date"), F.col("watermark"))
     rows = rollup.withColumn("state", F.when(F.col("n_rows") == 0, "empty").when(F.coalesce(lag, F.lit(10**6)) > F.col("tolerance_days"), "stale").otherwise("fresh"))
-    return rows.groupBy("layer").agg(F.count("*").alias("n"), *[F.count_if(F.col("state") == s).alias(f"n_{s}") for s in ("fresh", "stale", "empty")], F.sum("n_rows").alias("n_rows"))
+    return rows.groupBy("layer").agg(F.count("*").alias("n"), *[F.count_if(F.col("state") == s).alias(f"n_{s}") for s in ("fresh", "stale", "empty")], F.sum("n_rows").alias("n_rows"), F.sum("n_bytes").alias("n_bytes"))
+
+
+def coalesced(intervals: DataFrame, by: list[str], start: str = "start", end: str = "end") -> DataFrame:
+    """Intervals of days (ends included) of each group with those that overlap or touch put together: ``by, start, end``.
+
+    An interval begins a new island if it starts after the day that follows all earlier ends.
+    """
+    order = Window.partitionBy(*by).orderBy(start, end)
+    reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce(F.col(start) > F.date_add(reach, 1), F.lit(True)).cast("int")
+    marked = intervals.where(F.col(start) <= F.col(end)).select(*by, start, end, new.alias("_new"))
+    islands = marked.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return islands.groupBy(*by, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
 
 
 def coverage_heatmap(intervals: DataFrame, days: DataFrame) -> DataFrame:
-    """Each dataset and session: covered if an interval holds it, a gap within its span, else outside."""
-    span = intervals.groupBy("dataset").agg(F.min("start").alias("a"), F.max("end").alias("z"))
-    cells = span.join(F.broadcast(days.select("trade_date")))  # datasets times sessions is the report itself
-    hit = intervals.join(F.broadcast(days.select("trade_date")), F.col("trade_date").between(F.col("start"), F.col("end"))).select("dataset", "trade_date").distinct().withColumn("_in", F.lit(True))
+    """Each dataset and session: covered if an interval holds it, a gap within its span, else outside.
+
+    Intervals are put together first, their days listed and met with the report's cells by equality.
+    """
+    islands = coalesced(intervals, ["dataset"])
+    hit = islands.select("dataset", F.explode(F.sequence("start", "end")).alias("trade_date"), F.lit(True).alias("_in"))
+    span = islands.groupBy("dataset").agg(F.min("start").alias("a"), F.max("end").alias("z"))
+    sessions = days.select("trade_date").distinct().agg(F.collect_list("trade_date"))  # some hundred a year
+    cells = span.select("dataset", "a", "z", F.explode(sessions.scalar()).alias("trade_date"))  # datasets times sessions is the report itself
     j = cells.join(hit, ["dataset", "trade_date"], "left")
     return j.select("dataset", "trade_date", F.when(F.col("_in"), "covered").when(F.col("trade_date").between(F.col("a"), F.col("z")), "gap").otherwise("outside").alias("state"))
 

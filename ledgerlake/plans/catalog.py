@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import fixtures
 from ..functions import periods
 from ..functions import symbols as S
-from ..operators import asof, canonical, derive, load, quality, reconcile, research, snapshots, stats
+from ..operators import asof, audit, canonical, derive, load, quality, reconcile, research, snapshots, stats
 from ..registry import DATASETS
 from ..sources import lake, versions
 
@@ -136,31 +136,34 @@ def _days(x):
 DAILY = replace(BARS, period="day")
 q(
     "pruned_scan",
-    lambda x: lake.scan(lake.open_table(x.spark, _days(x), DAILY), DAILY, "2024-01-10", "2024-01-18").select(*BAR),
+    lambda x: lake.scan(lake.open_table(x.spark, _days(x), DAILY, "2024-01-10", "2024-01-18"), DAILY, "2024-01-10", "2024-01-18").select(*BAR),
     "SELECT * FROM bars WHERE trade_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-18'",
 )
 q(
     "pruned_scan_outside",
-    lambda x: lake.scan(lake.open_table(x.spark, _days(x), DAILY), DAILY, "2031-01-01").select(*BAR),
+    lambda x: lake.scan(lake.open_table(x.spark, _days(x), DAILY, "2031-01-01"), DAILY, "2031-01-01").select(*BAR),
     "SELECT * FROM bars WHERE trade_date > DATE '2031-01-01'",
 )
-@query("schema_union_scan", "SELECT symbol, trade_date, open, close, amount FROM other_bars WHERE volume % 2 = 0 UNION ALL SELECT symbol, trade_date, open, close, NULL FROM bars WHERE volume % 2 = 1")
+
+
+@query("schema_union_scan", "SELECT symbol, trade_date, open, CASE WHEN volume % 4 = 1 AND day(trade_date) < 16 THEN NULL ELSE close END AS close, volume, CASE WHEN volume % 2 = 0 THEN amount END AS amount FROM (SELECT * FROM bars WHERE volume % 2 = 1 UNION ALL SELECT * FROM other_bars WHERE volume % 2 = 0)")
 def _schema_union_scan(x):
-    """Old files without amounts and with closes as text beside new ones, in the folders of one table."""
+    """One folder of one table: old files without amounts, with closes as text (some of it no number) and volumes as doubles, beside new ones."""
     path = versions.shared_folder(x.spark, "mixed")
-    old = x.bars.where("volume % 2 = 1").drop("amount").withColumn("close", F.col("close").cast("string"))
-    lake.write(old.where("dayofmonth(trade_date) < 16"), TICKS, f"{path}/a")
-    lake.write(old.where("dayofmonth(trade_date) >= 16").withColumn("close", F.col("close").cast("double")), TICKS, f"{path}/b")
-    lake.write(x.other_bars.where("volume % 2 = 0"), TICKS, f"{path}/c")
-    parts = [lake.open_table(x.spark, f"{path}/{k}", DAILY) for k in "abc"]
-    return lake.union_by_name(parts).select("symbol", "trade_date", "open", "close", "amount")
+    old = x.bars.where("volume % 2 = 1").drop("amount")
+    text = F.when(F.col("volume") % 4 == 1, "n/a").otherwise(F.col("close").cast("string"))
+    for rows in (old.where("dayofmonth(trade_date) < 16").withColumn("close", text), old.where("dayofmonth(trade_date) >= 16").withColumn("volume", F.col("volume").cast("double")), x.other_bars.where("volume % 2 = 0")):
+        lake.by_period(rows, BARS).coalesce(1).write.mode("append").partitionBy(lake.PERIOD).parquet(path)
+    return lake.open_table(x.spark, path, BARS).select("symbol", "trade_date", "open", "close", "volume", "amount")
+
+
 @query("files_in_range", "SELECT symbol, trade_date, open, close, volume FROM bars WHERE trade_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-09'")
 def _files_in_range(x):
     """Folders of days, and loose files beside them."""
     path = versions.shared_folder(x.spark, "loose")
     lake.write(x.bars.where("volume % 2 = 0"), TICKS, path)
     x.bars.where("volume % 2 = 1").write.mode("append").parquet(path)
-    return lake.scan(lake.open_table(x.spark, path, DAILY), DAILY, "2024-01-08", "2024-01-09").select("symbol", "trade_date", "open", "close", "volume")
+    return lake.scan(lake.open_table(x.spark, path, DAILY, "2024-01-08", "2024-01-09"), DAILY, "2024-01-08", "2024-01-09").select("symbol", "trade_date", "open", "close", "volume")
 q(
     "list_partitions",
     lambda x: lake.folders(x.spark, _days(x)),
@@ -1149,11 +1152,11 @@ q(
 )
 q(
     "lake_audit",
-    lambda x: reconcile.lake_audit({"daily_bars": x.bars_raw, "trading_status": x.status_raw}, DATASETS, "vendor_c").drop("details"),
+    lambda x: audit.lake_audit({"daily_bars": x.bars_raw, "trading_status": x.status_raw}, DATASETS, "vendor_c").drop("details"),
     """SELECT * FROM (SELECT 'daily_bars' AS dataset, 'warning' AS severity, 'mock_rows' AS "check", count(*) FILTER (source = 'vendor_c') AS n FROM bars_raw
-        UNION ALL SELECT 'daily_bars', 'error', 'required_nulls', count(*) FILTER (fetched_at IS NULL) FROM bars_raw
+        UNION ALL SELECT 'daily_bars', 'error', 'required_missing', count(*) FILTER (fetched_at IS NULL) FROM bars_raw
         UNION ALL SELECT 'daily_bars', 'error', 'duplicate_keys', count(*) - count(DISTINCT (symbol, trade_date)) FROM bars_raw
-        UNION ALL SELECT 'trading_status', 'error', 'required_nulls', count(*) FILTER (is_trading IS NULL) FROM status_raw
+        UNION ALL SELECT 'trading_status', 'error', 'required_missing', count(*) FILTER (is_trading IS NULL) FROM status_raw
         UNION ALL SELECT 'trading_status', 'error', 'duplicate_keys', count(*) - count(DISTINCT (symbol, trade_date)) FROM status_raw) WHERE n > 0""",
 )
 q(
@@ -1182,12 +1185,23 @@ q(
 )
 
 # Statistics and reports
-q(
+@query(
     "partition_stats",
-    lambda x: stats.partition_stats(x.facts, "announce_date", "quarter"),
-    """SELECT year(announce_date) || 'Q' || quarter(announce_date) AS period, count(*) AS n_rows,
-        count(DISTINCT symbol) AS n_symbols FROM facts GROUP BY 1""",
+    """SELECT p AS period, min(date_trunc('quarter', announce_date))::DATE AS period_start, (min(date_trunc('quarter', announce_date)) + INTERVAL 3 MONTH - INTERVAL 1 DAY)::DATE AS period_end,
+        count(*) AS n_rows, 1 AS n_files, TRUE AS has_bytes FROM (SELECT *, year(announce_date) || 'Q' || quarter(announce_date) AS p FROM facts) GROUP BY 1""",
 )
+def _partition_stats(x):
+    told = stats.partition_stats(x.spark, [_facts_by(x, "quarter")])
+    return told.select("period", "period_start", "period_end", "n_rows", "n_files", (F.col("n_bytes") > 0).alias("has_bytes"))
+
+
+def _facts_by(x, period):
+    """Facts in a folder a period of their announcement."""
+    path = versions.shared_folder(x.spark, "facts")
+    lake.write(x.facts, replace(FACTS, label_col=None, period=period), path)
+    return path
+
+
 q(
     "provenance_stats",
     lambda x: stats.provenance_stats(x.bars_raw, "trade_date", "day").select("period", "source", "data_version", "n_rows", F.date_format("last_fetch", "yyyy-MM-dd HH").alias("last_fetch")),
@@ -1197,7 +1211,7 @@ q(
 q(
     "source_mix",
     lambda x: stats.source_mix(x.bars_raw),
-    "SELECT source, data_version, count(*) AS n_rows, count(fetched_at) AS n_fetched FROM bars_raw GROUP BY 1, 2",
+    "SELECT source, data_version, count(*) AS n_rows, min(fetched_at) AS first_fetch, max(fetched_at) AS last_fetch FROM bars_raw GROUP BY 1, 2",
 )
 q(
     "provenance_series",
@@ -1212,28 +1226,56 @@ q(
     lambda x: x.table("documents").groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars")),
     "SELECT source, lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY 1, 2",
 )
-name_stats = lambda x: lake.union_by_name([stats.partition_stats(x.facts, "announce_date", "year").withColumn("dataset", F.lit("facts")), stats.partition_stats(x.bars, "trade_date", "day").withColumn("dataset", F.lit("bars"))])
-STATS = "st AS (SELECT 'facts' AS dataset, strftime(announce_date, '%Y') AS period, count(*) AS n_rows, count(DISTINCT symbol) AS n_symbols FROM facts GROUP BY 2 UNION ALL SELECT 'bars', strftime(trade_date, '%Y-%m-%d'), count(*), count(DISTINCT symbol) FROM bars GROUP BY 2)"
-q(
-    "stats_rebuild",
-    lambda x: stats.stats_rebuild(name_stats(x), stats.partition_stats(x.bars, "trade_date", "month").withColumn("dataset", F.lit("bars"))),
-    """SELECT * FROM st WHERE dataset = 'facts' UNION ALL SELECT 'bars', strftime(trade_date, '%Y-%m'), count(*),
-        count(DISTINCT symbol) FROM bars GROUP BY 2""",
-    STATS,
-)
+
+
+def name_stats(x):
+    """Statistics of two stored tables."""
+    one = lambda name, path: stats.partition_stats(x.spark, [path]).withColumn("dataset", F.lit(name))
+    return lake.union_by_name([one("facts", _facts_by(x, "year")), one("bars", _days(x))])
+
+
+STATS = "st AS (SELECT 'facts' AS dataset, strftime(announce_date, '%Y') AS period, count(*) AS n_rows FROM facts GROUP BY 2 UNION ALL SELECT 'bars', strftime(trade_date, '%Y-%m-%d'), count(*) FROM bars GROUP BY 2)"
+
+
+@query("stats_rebuild", "SELECT * FROM st WHERE dataset = 'facts' UNION ALL SELECT 'bars', strftime(trade_date, '%Y-%m'), count(*) FROM bars GROUP BY 2", STATS)
+def _stats_rebuild(x):
+    path = versions.shared_folder(x.spark, "months")
+    lake.write(x.bars, BARS, path)
+    rebuilt = stats.partition_stats(x.spark, [path]).withColumn("dataset", F.lit("bars"))
+    return stats.stats_rebuild(name_stats(x), rebuilt).select("dataset", "period", "n_rows")
+
+
+SKETCHED = "SELECT count(DISTINCT symbol) AS n, (SELECT count(*) FROM bars) AS n_rows, TRUE AS near FROM bars"
+
+
+@query("n_unique_approx", SKETCHED)
+def _n_unique_approx(x):
+    """Sketches and statistics of a first version, refreshed by what the second one changed, against exact counts."""
+    root = versions.shared_folder(x.spark, "sketched")
+    bars, days = canonical.with_provenance(x.bars, "vendor_a", "v1", F.lit("2024-02-01 00:00:00").cast("timestamp")), replace(BARS, period="day")
+    versions.commit(root, days, bars.where("dayofmonth(trade_date) < 20"))
+    first = versions.folders(x.spark, root, days)
+    told, sketches = stats.partition_stats(x.spark, first), stats.distinct_sketches(x.spark, first)
+    versions.commit_merge(root, days, bars.where("dayofmonth(trade_date) >= 18"))
+    told, sketches = stats.refresh_version(x.spark, root, days, 2, told, sketches)
+    n = told.agg(F.sum("n_rows").alias("n_rows"))
+    exact = stats.n_unique(bars)
+    return exact.crossJoin(stats.n_unique_approx(sketches).select(F.col("n").alias("_a"))).crossJoin(n).select("n", "n_rows", (F.abs(F.col("_a") - F.col("n")) <= 0.03 * F.col("n")).alias("near"))
+
+
 catalog_rows = lambda x: x.table("region").limit(1).select(F.explode(F.array(*[F.struct(F.lit(n).alias("dataset"), F.lit(layer).alias("layer"), F.lit(w).cast("date").alias("watermark"), F.lit(3).alias("tolerance_days")) for n, layer, w in (("facts", "curated", "2001-01-01"), ("bars", "curated", "2024-01-30"), ("none", "derived", None))])).alias("c")).select("c.*")
 q(
     "stats_rollup",
-    lambda x: stats.stats_rollup(name_stats(x), catalog_rows(x)).select("dataset", "layer", "n_rows", "n_partitions"),
-    """SELECT dataset, 'curated' AS layer, CAST(sum(n_rows) AS BIGINT) AS n_rows, count(*) AS n_partitions FROM st
-        GROUP BY 1 UNION ALL SELECT 'none', 'derived', 0, 0""",
+    lambda x: stats.stats_rollup(name_stats(x), catalog_rows(x)).select("dataset", "layer", "n_rows", "n_files", "n_partitions", (F.col("n_bytes") > 0).alias("has_bytes")),
+    """SELECT dataset, 'curated' AS layer, CAST(sum(n_rows) AS BIGINT) AS n_rows, count(*) AS n_files, count(*) AS n_partitions, TRUE AS has_bytes FROM st
+        GROUP BY 1 UNION ALL SELECT 'none', 'derived', 0, 0, 0, FALSE""",
     STATS,
 )
 q(
     "tier_rollup",
-    lambda x: stats.tier_rollup(stats.stats_rollup(name_stats(x), catalog_rows(x)), "2024-02-01"),
-    """SELECT 'curated' AS layer, 2 AS n, 1 AS n_fresh, 1 AS n_stale, 0 AS n_empty, CAST(sum(n_rows) AS BIGINT) AS n_rows
-        FROM st UNION ALL SELECT 'derived', 1, 0, 0, 1, 0""",
+    lambda x: stats.tier_rollup(stats.stats_rollup(name_stats(x), catalog_rows(x)), "2024-02-01").withColumn("has_bytes", F.col("n_bytes") > 0).drop("n_bytes"),
+    """SELECT 'curated' AS layer, 2 AS n, 1 AS n_fresh, 1 AS n_stale, 0 AS n_empty, CAST(sum(n_rows) AS BIGINT) AS n_rows, TRUE AS has_bytes
+        FROM st UNION ALL SELECT 'derived', 1, 0, 0, 1, 0, FALSE""",
     STATS,
 )
 q(
@@ -1473,15 +1515,26 @@ def _repartition(x):
     return lake.repartition(x.spark, day, BARS, month).join(plan, "period")
 
 
+def _two_grains(x):
+    """Bars in a folder a month, and those of some days again in folders of their own."""
+    path = versions.shared_folder(x.spark, "grains")
+    stamped = canonical.with_provenance(x.bars, "vendor_a", "v1", F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    lake.write(stamped, BARS, path)
+    lake.write(stamped.where("dayofmonth(trade_date) <= 4 AND volume % 3 > 0"), DAILY, path)
+    lake.write(stamped.where("dayofmonth(trade_date) = 5").withColumn("trade_date", F.add_months("trade_date", 120)), DAILY, path)
+    return path
+
+
 q(
     "repartition_candidates",
-    lambda x: reconcile.mixed_granularity(lake.list_partitions(lake.by_period(x.bars, TICKS).unionByName(lake.by_period(x.bars, BARS))).select("period"), 7),
-    "SELECT DISTINCT strftime(trade_date, '%Y-%m-%d') AS period FROM bars",
+    lambda x: lake.repartition_candidates(x.spark, {"daily_bars": _two_grains(x), "trade_ticks": _days(x)}, DATASETS),
+    "SELECT 'daily_bars' AS dataset, 'month' AS wanted, count(DISTINCT trade_date) + 1 AS n_folders, count(DISTINCT trade_date) AS n_overlapping FROM bars WHERE day(trade_date) <= 4 AND volume % 3 > 0",
 )
 q(
     "mixed_granularity",
-    lambda x: reconcile.mixed_granularity(lake.list_partitions(lake.by_period(x.bars, TICKS).unionByName(lake.by_period(x.bars, BARS))).select("period"), 10),
-    "SELECT DISTINCT strftime(trade_date, '%Y-%m') AS period FROM bars",
+    lambda x: lake.mixed_granularity(x.spark, _two_grains(x), BARS),
+    """SELECT strftime(trade_date, '%Y-%m-%d') AS period, TRUE AS overlaps, count(*) AS n_repeated FROM bars WHERE day(trade_date) <= 4 AND volume % 3 > 0 GROUP BY 1
+        UNION ALL SELECT DISTINCT strftime(trade_date + INTERVAL 10 YEAR, '%Y-%m-%d'), FALSE, 0 FROM bars WHERE day(trade_date) = 5""",
 )
 
 
@@ -1517,6 +1570,15 @@ q(
     "SELECT symbol, trade_date, close AS one, close * 2 AS two FROM canon",
     CANON,
 )
+
+
+@query("read_version_by_id", "SELECT symbol, trade_date, close FROM canon", CANON)
+def _read_version_by_id(x):
+    root = _two_versions(x)
+    first = versions.version_rows(x.spark, root, BARS, 1).first()["id"]
+    return versions.read(x.spark, root, BARS, first).select(*KEYS, "close")
+
+
 marks = lambda x: x.bars_raw.groupBy(F.col("source").alias("dataset")).agg(F.date_add(F.max("trade_date"), -F.length("source") + 8).alias("watermark"))
 candidates = lambda x: x.bars_raw.where("volume % 2 = 0").groupBy(F.col("source").alias("dataset")).agg(F.max("trade_date").alias("watermark")).unionByName(x.facts.groupBy(F.col("source").alias("dataset")).agg(F.max("announce_date").alias("watermark")))
 q(
@@ -1679,17 +1741,41 @@ q(
         round(greatest(0.0, least(1.0, (DATE '1998-03-10' - CAST(date_trunc('month', announce_date) AS DATE) + 1) / (last_day(announce_date) - CAST(date_trunc('month', announce_date) AS DATE) + 1))), 9) AS share
         FROM facts""",
 )
+def _broken(x):
+    """A table of a folder a day where some files lack a required column, some hold closes as text that is no number, one holds no Parquet."""
+    path = versions.shared_folder(x.spark, "broken")
+    rows = canonical.with_provenance(x.bars, "vendor_a", "v1", F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    put = lambda part, day: lake.by_period(part.where(day), DAILY).coalesce(1).write.mode("append").partitionBy(lake.PERIOD).parquet(path)
+    put(rows, "dayofmonth(trade_date) NOT IN (2, 3)")
+    put(rows.drop("source"), "dayofmonth(trade_date) = 2")
+    put(rows.withColumn("close", F.lit("none")), "dayofmonth(trade_date) = 3")
+    garbage = x.spark.range(1).select(F.lit("no parquet at all").alias("value"), F.lit("2024-01-04").alias(lake.PERIOD))
+    garbage.coalesce(1).write.mode("append").partitionBy(lake.PERIOD).option("compression", "none").text(path)
+    for name, file, _ in lake._children(x.spark, f"{path}/{lake.PERIOD}=2024-01-04"):
+        if name.endswith(".txt"):
+            lake.replace_folder(x.spark, file, f"{path}/{lake.PERIOD}=2024-01-04/garbage.parquet", f"{path}/_aside/{name}")
+    return path
+
+
 q(
     "dataset_audit",
-    lambda x: reconcile.dataset_audit(x.bars_raw, BARS, "vendor_c"),
-    """SELECT * FROM (SELECT 'mock_rows' AS "check", count(*) FILTER (source = 'vendor_c') AS n FROM bars_raw
-        UNION ALL SELECT 'required_nulls', count(*) FILTER (fetched_at IS NULL) FROM bars_raw
-        UNION ALL SELECT 'duplicate_keys', count(*) - count(DISTINCT (symbol, trade_date)) FROM bars_raw) WHERE n > 0""",
+    lambda x: audit.table_audit(x.spark, _broken(x), DAILY, mock="vendor_a").drop("details"),
+    """SELECT 'daily_bars' AS dataset, 'error' AS severity, 'schema_contract:required_missing' AS "check", 2 AS n UNION ALL SELECT 'daily_bars', 'error', 'schema_contract:unreadable', 1
+        UNION ALL SELECT 'daily_bars', 'warning', 'schema_contract:types_differ', 1 UNION ALL SELECT 'daily_bars', 'error', 'required_missing', count(*) FILTER (day(trade_date) IN (2, 3)) FROM bars
+        UNION ALL SELECT 'daily_bars', 'warning', 'mock_rows', count(*) FILTER (day(trade_date) <> 2) FROM bars""",
+)
+q(
+    "row_audit",
+    lambda x: audit.row_audit(x.bars_raw, BARS, "vendor_c").drop("details"),
+    """SELECT 'daily_bars' AS dataset, severity, "check", n FROM (SELECT 'warning' AS severity, 'mock_rows' AS "check", count(*) FILTER (source = 'vendor_c') AS n FROM bars_raw
+        UNION ALL SELECT 'error', 'required_missing', count(*) FILTER (fetched_at IS NULL) FROM bars_raw
+        UNION ALL SELECT 'error', 'duplicate_keys', count(*) - count(DISTINCT (symbol, trade_date)) FROM bars_raw) WHERE n > 0""",
 )
 q(
     "schema_contract",
-    lambda x: canonical.validate(x.bars_raw.withColumn("close", F.concat(F.when(F.col("volume") % 13 == 0, "x").otherwise(""), F.col("close").cast("string"))), BARS).groupBy("source").agg(F.count_if(F.col("close").isNull()).alias("n_bad")),
-    "SELECT source, count(*) FILTER (volume % 13 = 0) AS n_bad FROM bars_raw GROUP BY 1",
+    lambda x: audit.schema_contract(x.spark, _broken(x), DAILY).select(lake.period_of(F.col("file")).alias("period"), "check", "n"),
+    """SELECT strftime(trade_date, '%Y-%m-%d') AS period, 'required_missing' AS "check", count(*) AS n FROM bars WHERE day(trade_date) IN (2, 3) GROUP BY 1
+        UNION ALL SELECT strftime(trade_date, '%Y-%m-%d'), 'types_differ', count(*) FROM bars WHERE day(trade_date) = 3 GROUP BY 1 UNION ALL SELECT '2024-01-04', 'unreadable', 0""",
 )
 q(
     "last_em_tip",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import periods
@@ -49,10 +49,15 @@ def union_by_name(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _where(spark: SparkSession, path: str):
+    """A path and its file system, of Hadoop's API: names are listed and folders moved through it, no file is read."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _children(spark: SparkSession, path: str) -> list[tuple[str, str, bool]]:
     """Name, full path and whether it is a folder, of what lies in a folder; nothing if it is absent."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    where, fs = _where(spark, path)
     return [(f.getPath().getName(), f.getPath().toString(), f.isDirectory()) for f in fs.listStatus(where)] if fs.exists(where) else []
 
 
@@ -62,21 +67,100 @@ def folders(spark: SparkSession, path: str) -> DataFrame:
     return list_partitions(spark.createDataFrame(found, f"{PERIOD} string"))
 
 
-def open_table(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
+def files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``file, period, n_bytes`` of the Parquet files below some folders (period: null for loose ones). They are listed, none is opened."""
+    if not paths:
+        return spark.createDataFrame([], "file string, period string, n_bytes long")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(paths)
+    return found.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("n_bytes")).select("file", period_of(F.col("file")).alias("period"), "n_bytes")
+
+
+def period_of(file: Column) -> Column:
+    """The period of the folder that a file lies in; null if it lies in none."""
+    return F.nullif(F.regexp_extract(file, f"/{PERIOD}=([^/]+)/", 1), F.lit(""))
+
+
+def _layouts(spark: SparkSession, path: str, start: str | None, end: str | None) -> tuple[list[str], list[str]]:
+    """A table's period folders that may hold days of a window, and its loose files. Folders are told by their names."""
+    found = _children(spark, path)
+    inside = {name: p for name, p, is_dir in found if is_dir and name.startswith(f"{PERIOD}=")}
+    if (start or end) and inside:
+        known = folders(spark, path)
+        a, z = (F.lit(d).cast("date") for d in (start, end))
+        out = known.where((F.lit(False) if start is None else F.col("end") < a) | (F.lit(False) if end is None else F.col("start") > z))
+        for r in out.collect():  # one row a period
+            inside.pop(f"{PERIOD}={r['period']}", None)
+    return list(inside.values()), [p for name, p, is_dir in found if not is_dir and name.endswith(".parquet")]
+
+
+def _alike(spark: SparkSession, base: str, paths: list[str], wanted: dict[str, str], lenient: bool) -> list[tuple[dict[str, str], list[str]]]:
+    """paths in groups whose files agree on the types of the wanted columns: ``(types by column, paths)``.
+
+    Footers are read by Spark's own job over all paths at once. Where two types of a column meet, the paths are halved until
+    each part merges, down to single files; parts that agree are put together again. So a table of one kind costs one job, and a file
+    that differs some more of its own part.
+    """
+
+    def merged(some: list[str]) -> list[tuple[dict[str, str], list[str]]]:
+        reader = spark.read.option("basePath", base).option("mergeSchema", "true").option("ignoreCorruptFiles", lenient)
+        try:
+            return [({c: t for c, t in reader.parquet(*some).dtypes if c in wanted}, some)]
+        except Exception as e:
+            if lenient and "UNABLE_TO_INFER_SCHEMA" in str(e):  # none of them can be opened
+                return []
+            if "CANNOT_MERGE" not in str(e):
+                raise
+        if len(some) == 1:
+            inner = [p for name, p, is_dir in _children(spark, some[0]) if is_dir or name.endswith(".parquet")]
+            if not inner:
+                raise ValueError(f"{some[0]} cannot be merged with itself")
+            return merged(inner)
+        return merged(some[: len(some) // 2]) + merged(some[len(some) // 2 :])
+
+    groups: list[tuple[dict[str, str], list[str]]] = []
+    for types, some in merged(paths):
+        for known, taken in groups:
+            if all(known.get(c, t) == t for c, t in types.items()):
+                known.update(types)
+                taken += some
+                break
+        else:
+            groups.append((dict(types), list(some)))
+    return groups
+
+
+def open_table(spark: SparkSession, path: str, dataset: Dataset, start: str | None = None, end: str | None = None, lenient: bool = False, origin: bool = False) -> DataFrame:
     """A table's rows as its contract types them, out of period folders and of loose files beside them.
 
-    Files may lack columns, or hold them in other types: each of the two layouts is read with its files' schemas merged, and
-    values are cast without raising. Rows of folders carry their period, so a scan prunes; loose rows carry none, and their
-    dates decide. A table that is absent is empty.
+    start, end: folders that hold no day of this window are left out by their names, before any file is opened; rows are not
+    filtered, scan() does that. Files may lack columns, or hold them in other types, within one folder too: those whose schemas agree
+    are read together, and values are cast without raising. Rows of folders carry their period, so a scan prunes;
+    loose rows carry none, and their dates decide. A table that is absent is empty.
+
+    lenient: files that cannot be read give no rows instead of an error. origin: with ``_file`` and ``_types`` (columns that the
+    file holds in another type than the contract).
     """
-    parts, found = [], _children(spark, path)
-    layouts = ([p for name, p, is_dir in found if is_dir and name.startswith(f"{PERIOD}=")], [p for name, p, is_dir in found if not is_dir and name.endswith(".parquet")])
-    for k, paths in enumerate(layouts):
-        if paths:
-            rows = spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*paths)
-            typed = [(F.col(c).try_cast(t) if c in rows.columns else F.lit(None).cast(t)).alias(c) for c, t in dataset.schema.items()]
-            parts.append(rows.select(*typed, (F.lit(None) if k else F.col(PERIOD)).cast("string").alias(PERIOD)))
-    return union_by_name(parts) if parts else empty(spark, dataset).withColumn(PERIOD, F.lit(None).cast("string"))
+    parts = []
+    for k, paths in enumerate(_layouts(spark, path, start, end)):
+        for types, some in _alike(spark, path, paths, dataset.schema, lenient) if paths else []:
+            stored = types | ({} if k else {PERIOD: "string"})
+            rows = spark.read.option("basePath", path).option("ignoreCorruptFiles", lenient).schema(", ".join(f"`{c}` {t}" for c, t in (stored or {PERIOD: "string"}).items())).parquet(*some)
+            typed = [(F.col(c).try_cast(t) if c in types else F.lit(None).cast(t)).alias(c) for c, t in dataset.schema.items()]
+            odd = ",".join(c for c, t in dataset.schema.items() if c in types and not _widens(types[c], t))
+            told = [F.col("_metadata.file_path").alias("_file"), F.lit(odd).alias("_types")] if origin else []
+            parts.append(rows.select(*typed, (F.lit(None) if k else F.col(PERIOD)).cast("string").alias(PERIOD), *told))
+    if parts:
+        return union_by_name(parts)
+    more = {"_file": "string", "_types": "string"} if origin else {}
+    return empty(spark, dataset).withColumns({c: F.lit(None).cast(t) for c, t in ({PERIOD: "string"} | more).items()})
+
+
+def _widens(stored: str, wanted: str) -> bool:
+    """Whether every value of one type is one of another."""
+    numbers = ("tinyint", "smallint", "int", "bigint", "double")
+    if stored in numbers and wanted in numbers:
+        return numbers.index(stored) <= numbers.index(wanted)
+    return stored == wanted or (stored == "float" and wanted == "double") or {stored, wanted} == {"timestamp", "timestamp_ntz"}
 
 
 def repartition(spark: SparkSession, source: str, dataset: Dataset, target: str, dry_run: bool = False) -> DataFrame:
@@ -96,6 +180,39 @@ def repartition(spark: SparkSession, source: str, dataset: Dataset, target: str,
     return have.groupBy(F.col(PERIOD).alias("period")).agg(F.count("*").alias("n"))
 
 
+def mixed_folders(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
+    """``period, start, end, overlaps``: folders of another period than the registered one, and whether each shares days with another folder.
+
+    A sweep over the folders' bounds in order: one overlaps if it starts before an earlier one ends, or ends after a later one starts.
+    """
+    order = Window.partitionBy(F.lit(1)).orderBy("start", "end", "period")  # one row a folder
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.min("start").over(order.rowsBetween(1, Window.unboundedFollowing))
+    swept = folders(spark, path).withColumn("overlaps", F.coalesce(before >= F.col("start"), F.lit(False)) | F.coalesce(after <= F.col("end"), F.lit(False)))
+    return swept.where(F.col("period") != F.coalesce(periods.label(F.col("start"), dataset.period), F.lit("")))
+
+
+def mixed_granularity(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
+    """``period, overlaps, n_repeated``: folders of another period than the registered one, with how many of their keys lie in another folder too.
+
+    Keys are compared in the folders that overlap alone; the rest of the table is not opened.
+    """
+    odd = mixed_folders(spark, path, dataset)
+    bounds = odd.where("overlaps").agg(F.min("start").cast("string").alias("a"), F.max("end").cast("string").alias("z")).first()
+    if bounds["a"] is None:
+        return odd.select("period", "overlaps", F.lit(0).cast("long").alias("n_repeated"))
+    rows = open_table(spark, path, dataset, bounds["a"], bounds["z"]).where(F.col(PERIOD).isNotNull())
+    spread = rows.groupBy(*dataset.key).agg(F.collect_set(PERIOD).alias("_in")).where(F.size("_in") > 1)  # a key lies in as many folders as there are grains
+    n = spread.select(F.explode("_in").alias("period")).groupBy("period").agg(F.count("*").alias("n_repeated"))
+    return odd.join(n, "period", "left").select("period", "overlaps", F.coalesce("n_repeated", F.lit(0)).alias("n_repeated"))
+
+
+def repartition_candidates(spark: SparkSession, tables: dict[str, str], registry: dict[str, Dataset]) -> DataFrame:
+    """``dataset, wanted, n_folders, n_overlapping``: tables (name: path) with folders of another period than the registry says."""
+    out = [mixed_folders(spark, path, registry[name]).agg(F.count("*").alias("n_folders"), F.count_if("overlaps").alias("n_overlapping")).select(F.lit(name).alias("dataset"), F.lit(registry[name].period).alias("wanted"), "n_folders", "n_overlapping") for name, path in tables.items() if registry[name].period]
+    return union_by_name(out).where("n_folders > 0")
+
+
 def by_period(rows: DataFrame, dataset: Dataset) -> DataFrame:
     """rows with the label of the period that each belongs to: of its date, or the label that is its axis."""
     return rows.withColumn(PERIOD, F.col(dataset.label_col) if dataset.label_col else periods.label(F.col(dataset.date_col), dataset.period))
@@ -112,9 +229,11 @@ def stored_periods(spark: SparkSession, path: str, labels: list[str]) -> DataFra
 
 
 def write(rows: DataFrame, dataset: Dataset, path: str) -> None:
-    """Replace the periods that occur in rows; others stay. zstd Parquet, one folder per period."""
-    rows = by_period(rows, dataset).repartition(PERIOD, F.pmod(F.xxhash64(*[k for k in dataset.key if k in rows.columns]), F.lit(8)))  # a large period is dealt to several tasks
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(PERIOD).parquet(path)
+    """Replace the periods that occur in rows; others stay. zstd Parquet, one folder per period.
+
+    Rows are rebalanced by period: a small one is one file, a large one is dealt to tasks by its bytes.
+    """
+    by_period(rows, dataset).hint("rebalance", F.col(PERIOD)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(PERIOD).parquet(path)
 
 
 def list_partitions(rows: DataFrame) -> DataFrame:
@@ -144,20 +263,34 @@ def changed_periods(stored: DataFrame, merged: DataFrame, dataset: Dataset) -> D
 def compact_merge(spark: SparkSession, dataset: Dataset, path: str, staged: DataFrame, scratch: str) -> DataFrame:
     """Merge a batch into the table at path: periods whose content changes are replaced, others stay untouched.
 
-    Only the folders of the periods that the batch touches are read and digested. Merged rows are stored below ``scratch``
-    first, so the table may be its own target. Returns the changed periods as a receipt: ``period, kind, n``; a second merge
-    of the same batch changes nothing.
+    The batch is stored below ``scratch`` once, by period, so its periods are told by folders' names. Only their folders of the table
+    are read and digested. Merged rows are written once, beside the table; folders that changed are moved into it, the old ones out of
+    it, so the table may be its own source. Returns the changed periods as a receipt: ``period, kind, n``; a second merge of the same
+    batch changes nothing.
     """
-    labels = labels_of(staged, dataset)
+    write(staged, dataset, f"{scratch}/batch")
+    labels = [name.split("=", 1)[1] for name, _, is_dir in _children(spark, f"{scratch}/batch") if is_dir and name.startswith(f"{PERIOD}=")]
     stored = stored_periods(spark, path, labels)
-    by_period(dedupe(stored.unionByName(staged, allowMissingColumns=True), dataset), dataset).write.partitionBy(PERIOD).parquet(scratch)
-    merged = stored_periods(spark, scratch, labels)
+    batch = spark.read.schema(staged.schema).parquet(f"{scratch}/batch").select(*staged.columns)
+    write(dedupe(stored.unionByName(batch, allowMissingColumns=True), dataset), dataset, f"{scratch}/merged")
+    merged = stored_periods(spark, f"{scratch}/merged", labels)
     changed = changed_periods(stored, merged, dataset).collect()  # at most one row a touched period
-    if changed:
-        write(stored_periods(spark, scratch, [r["period"] for r in changed]), dataset, path)
+    for r in changed:
+        replace_folder(spark, f"{scratch}/merged/{PERIOD}={r['period']}", f"{path}/{PERIOD}={r['period']}", f"{scratch}/old/{PERIOD}={r['period']}")
     return spark.createDataFrame(changed, "period string, kind string, n long")
 
 
+def replace_folder(spark: SparkSession, new: str, target: str, aside: str) -> None:
+    """Move a folder to where another one is, and that one aside."""
+    (source, fs), (to, _), (old, _) = (_where(spark, p) for p in (new, target, aside))
+    if fs.exists(to):
+        fs.mkdirs(old.getParent())
+        if not fs.rename(to, old):
+            raise OSError(f"{target} could not be moved")
+    if not fs.rename(source, to):
+        raise OSError(f"{new} could not be moved")
+
+
 def fingerprint(rows: DataFrame) -> str:
     """Count and content of a state, as text."""
     now = digest(rows, []).first()
