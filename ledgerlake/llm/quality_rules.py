@@ -1,11 +1,14 @@
 """Quality rules with adaptive thresholds, in DataFrame operations only.
 
 Each document gets word, symbol, line and repetition counts. Fixed base rules reject documents that are
-too short or too repetitive. Beyond them there are no fixed cutoffs: per language and source the ratios
+too short or too repetitive. Beyond them there are no fixed cutoffs: per language and source the measures
 go into quantile sketches (KLL). Sketches of salted shares of a group are merged into the group's, those of
-the groups into their language's, and those into the corpus's. A ratio is rejected beyond a fence around the median that is as
-many lower half-spreads away as ``reach`` says; the half-spread below the median is not moved by the junk above
-it. The ratio of repeated words leaves out one passage that a text holds twice. Groups with fewer than ``least`` documents take their language's fences, those the corpus's.
+the groups into their language's, and those into the corpus's. A measure is rejected beyond a fence that lies some times the lower spread
+(median less lower decile) from the median: junk lies above and moves neither much. Counts are sketched as logarithms of their
+rates, one more of count and words each, so that a group whose documents mostly have none still has a spread: how sure its documents are of
+having none. A document is held against its fence with one occurrence less, the benefit of the doubt. Median and decile of a group
+are drawn towards its language's, and those towards the corpus's, by the weight of ``prior`` documents. The rate
+of repeated words leaves out one passage that a text holds twice.
 Fences are joined back by a key of few distinct values and applied as a filter or a verdict.
 """
 
@@ -20,14 +23,10 @@ from .scratch import cut, fresh
 MIN_WORDS, REPEAT_PERCENT, SYMBOLS = 50, 50, "#*$%&|<>"
 #: Windows that occur twice, up to which a scan for each is quicker than a sort; either gives the same.
 FEW = 24
-#: ratio -> (smallest half-spread that counts, fence below the median too)
-RATIOS = {
-    "symbols_per_word": (0.02, False),
-    "marks_per_word": (0.05, False),
-    "chars_per_word": (0.25, True),
-    "dup_lines_per_10_words": (0.05, False),
-    "repeat_share": (0.04, False),
-}
+#: measure -> (how many lower spreads its fences lie from the median, whether it is a logarithm of a rate)
+MEASURES = {"symbols": (2.0, True), "marks": (2.0, True), "dup_lines": (2.0, True), "spread_words": (2.0, True), "chars_per_word": (6.0, False)}
+#: A spread of less counts as this much: documents of one length without any occurrence have none.
+LEAST_SPREAD = 0.01
 
 
 def _let(value: Column, body) -> Column:
@@ -114,15 +113,21 @@ def measures(docs: DataFrame, text_col: str = "text", name: str = "_m") -> DataF
     )
 
 
-def _ratios(m: Column) -> dict[str, Column]:
+def _counted(m: Column) -> dict[str, Column]:
+    c = m["c"]
+    return {"symbols": m["n_symbols"], "marks": m["n_marks"], "dup_lines": m["n_dup_lines"], "spread_words": c["n_spread_words"]}
+
+
+def sketched(m: Column) -> dict[str, Column]:
+    """What of a document goes into its group's sketches."""
+    words = m["c"]["n_words"]
+    return {r: F.log((n + 1) / (words + 1)) for r, n in _counted(m).items()} | {"chars_per_word": F.try_divide(m["c"]["word_chars"], words)}
+
+
+def judged(m: Column) -> dict[str, Column]:
+    """What of a document is held against the fences; null where nothing speaks against it."""
     words = m["c"]["n_words"]
-    return {
-        "symbols_per_word": F.try_divide(m["n_symbols"], words),
-        "marks_per_word": F.try_divide(m["n_marks"], words),
-        "chars_per_word": F.try_divide(m["c"]["word_chars"], words),
-        "dup_lines_per_10_words": F.try_divide(m["n_dup_lines"] * 10, words),
-        "repeat_share": F.try_divide(m["c"]["n_spread_words"], words),
-    }
+    return {r: F.when(n > 1, F.log((n - 1) / words)) for r, n in _counted(m).items()} | {"chars_per_word": F.try_divide(m["c"]["word_chars"], words)}
 
 
 def base_failed(m: Column) -> Column:
@@ -130,34 +135,38 @@ def base_failed(m: Column) -> Column:
     return (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > REPEAT_PERCENT * c["n_words"])
 
 
-def fences(measured: DataFrame, lang_col: str = "lang", source_col: str = "source", k: int = 1024, reach: float = 8.0, least: int = 200, salts: int = 16, name: str = "_m") -> DataFrame:
-    """``lang, source`` and per ratio ``<ratio>_low, <ratio>_high``: one row per language and source seen.
+def fences(measured: DataFrame, lang_col: str = "lang", source_col: str = "source", k: int = 1024, prior: int = 50, salts: int = 16, name: str = "_m") -> DataFrame:
+    """``lang, source`` and per measure ``<measure>_low, <measure>_high``: one row per language and source seen.
 
     Documents without a word are not sketched. Null languages and sources are groups like any other.
     """
-    ratios = _ratios(F.col(name))
+    own = sketched(F.col(name))
     rows = measured.where(F.col(name)["c"]["n_words"] > 0).select(
-        F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.pmod(F.xxhash64(name), F.lit(salts)).alias("salt"), *[e.cast("double").alias(r) for r, e in ratios.items()]
+        F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.pmod(F.xxhash64(name), F.lit(salts)).alias("salt"), *[e.cast("double").alias(r) for r, e in own.items()]
     )
-    salted = rows.groupBy("lang", "source", "salt").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(r, k).alias(r) for r in ratios])
-    groups = cut(salted.groupBy("lang", "source").agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(r, k).alias(r) for r in ratios]), "sketches")
-    langs = groups.groupBy("lang").agg(F.sum("n").alias("lang_n"), *[F.kll_merge_agg_double(r, k).alias(f"lang_{r}") for r in ratios])
-    whole = groups.agg(*[F.kll_merge_agg_double(r, k).alias(f"all_{r}") for r in ratios])
+    salted = rows.groupBy("lang", "source", "salt").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(r, k).alias(r) for r in own])
+    groups = cut(salted.groupBy("lang", "source").agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(r, k).alias(r) for r in own]), "sketches")
+    langs = groups.groupBy("lang").agg(F.sum("n").alias("lang_n"), *[F.kll_merge_agg_double(r, k).alias(f"lang_{r}") for r in own])
+    whole = groups.agg(*[F.kll_merge_agg_double(r, k).alias(f"all_{r}") for r in own])
     one = groups.join(langs, groups["lang"].eqNullSafe(langs["lang"])).drop(langs["lang"]).join(F.broadcast(whole))  # one row
+    drawn = lambda n, x, towards: (n * x + prior * towards) / (n + prior)
+
+    def quantile(r: str, q: float) -> Column:
+        group, lang, corpus = (F.kll_sketch_get_quantile_double(F.col(f"{level}{r}"), F.lit(q)) for level in ("", "lang_", "all_"))
+        return drawn(F.col("n"), group, drawn(F.col("lang_n"), lang, corpus))
+
     out = []
-    for r, (least_spread, below) in RATIOS.items():
-        sketch = F.when(F.col("n") >= least, F.col(r)).when(F.col("lang_n") >= least, F.col(f"lang_{r}")).otherwise(F.col(f"all_{r}"))
-        mid, low = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.5, 0.25))
-        spread = F.greatest(mid - low, F.lit(least_spread))
-        out.append((mid + reach * spread).alias(f"{r}_high"))
-        out.append((mid - reach * spread if below else F.lit(float("-inf"))).alias(f"{r}_low"))
+    for r, (reach, rate) in MEASURES.items():
+        mid = quantile(r, 0.5)
+        spread = reach * F.greatest(mid - quantile(r, 0.1), F.lit(LEAST_SPREAD))
+        out += [(mid + spread).alias(f"{r}_high"), (F.lit(float("-inf")) if rate else mid - spread).alias(f"{r}_low")]
     return cut(one.select("lang", "source", *out), "fences")
 
 
 def judge(measured: DataFrame, lang_col: str = "lang", source_col: str = "source", name: str = "_m", **how) -> tuple[DataFrame, Column, Column]:
     """Rows of measures() beside their group's fences, and two conditions on them: whether the base rules fail, and the verdict.
 
-    A document is kept if it passes the base rules and every ratio lies within its group's fences. Null and empty texts have
+    A document is kept if it passes the base rules and every measure lies within its group's fences. Null and empty texts have
     no words and fail the base rules. measured must be stored: it is read twice, for the sketches and for the verdict.
     """
     mark = fresh(measured, "_f")
@@ -165,7 +174,7 @@ def judge(measured: DataFrame, lang_col: str = "lang", source_col: str = "source
     f, m = F.col(mark), F.col(name)
     joined = measured.join(fence, F.col(lang_col).eqNullSafe(f["lang"]) & F.col(source_col).eqNullSafe(f["source"]), "left")
     inside = F.lit(True)
-    for r, e in _ratios(m).items():
+    for r, e in judged(m).items():
         inside &= F.coalesce((e >= f[f"{r}_low"]) & (e <= f[f"{r}_high"]), F.lit(True))
     failed = base_failed(m)
     return joined, failed, ~failed & inside

@@ -42,30 +42,47 @@ def test_rule_counts(spark, docs):
 
 
 def test_verdicts_against_exact_quantiles(spark):
-    """Every document that lies clear of its fence, which exact quantiles of its group, language or the corpus give."""
+    """Every document that lies clear of its fence, by exact quantiles of its group, language and the corpus; no floor is needed."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     measured = quality_rules.cut(quality_rules.measures(docs), "measured")
     m = F.col("_m")
-    table = measured.select("doc_id", "lang", "source", quality_rules.base_failed(m).alias("failed"), *[e.alias(r) for r, e in quality_rules._ratios(m).items()]).toPandas()
-    kept = {r.doc_id: r.kept for r in quality_rules.counts(docs, least=40).collect()}
-    live = table[table.chars_per_word.notna()]
-    clear = 0
+    cols = [F.col("_m.c.n_words").alias("words"), F.col("_m.c.word_chars").alias("chars"), F.col("_m.n_symbols").alias("symbols"), F.col("_m.n_marks").alias("marks"), F.col("_m.n_dup_lines").alias("dup_lines"), F.col("_m.c.n_spread_words").alias("spread_words")]
+    table = measured.select("doc_id", "lang", "source", quality_rules.base_failed(m).alias("failed"), *cols).toPandas()
+    kept = {r.doc_id: r.kept for r in quality_rules.counts(docs).collect()}
+    live = table[table.words > 0]
+    quantile = lambda rows, q: np.quantile(rows, q, method="inverted_cdf")
+    clear, fences = 0, set()
     for row in table.to_dict("records"):
-        group = live[(live.lang == row["lang"]) & (live.source == row["source"])]
-        group = group if len(group) >= 40 else live[live.lang == row["lang"]]
-        group = group if len(group) >= 40 else live
+        group, lang = live[(live.lang == row["lang"]) & (live.source == row["source"])], live[live.lang == row["lang"]]
         want, sure = not row["failed"], True
-        for r, (least, below) in quality_rules.RATIOS.items():
-            mid, low = (np.quantile(group[r], q, method="inverted_cdf") for q in (0.5, 0.25))
-            reach = 8 * max(mid - low, least)
-            x = row[r]
-            if x == x:
-                want &= x <= mid + reach and (not below or x >= mid - reach)
-                sure &= abs(x - mid - reach) > 0.05 * reach and (not below or abs(x - mid + reach) > 0.05 * reach)
+        for c in ("symbols", "marks", "dup_lines", "spread_words", "chars"):
+            value = (lambda d, c=c: d.chars / d.words) if c == "chars" else (lambda d, c=c: np.log((d[c] + 1) / (d.words + 1)))
+            blend = lambda q, v=value: (len(group) * quantile(v(group), q) + 50 * (len(lang) * quantile(v(lang), q) + 50 * quantile(v(live), q)) / (len(lang) + 50)) / (len(group) + 50)  # noqa: B023, E731
+            mid, spread = blend(0.5), blend(0.5) - blend(0.1)
+            assert spread > 0.1
+            reach = spread * (6 if c == "chars" else 2)
+            fences.add((c, round(mid + reach, 6)))
+            if row["words"]:
+                x = row["chars"] / row["words"] if c == "chars" else math.log((row[c] - 1) / row["words"]) if row[c] > 1 else -math.inf
+                want &= x <= mid + reach and (c != "chars" or x >= mid - reach)
+                sure &= abs(x - mid - reach) > 0.1 * reach and (c != "chars" or abs(x - mid + reach) > 0.1 * reach)
         if sure or row["failed"]:
             clear += 1
             assert kept[row["doc_id"]] == want
-    assert clear > 0.95 * len(table) and 0 < sum(kept.values()) < len(kept)
+    assert clear > 0.95 * len(table) and 0 < sum(kept.values()) < len(kept) and len(fences) > 100
+
+
+def test_two_sources_get_two_thresholds(spark):
+    """What is usual in a source of code is an outlier in one of prose, and the other way round for long words."""
+    rng = np.random.default_rng(7)
+    prose = lambda k: " ".join([*(f"{'abcdefg'[j % 7]}w{k}x{j}" for j in range(int(rng.integers(60, 300))))])
+    code = lambda k: " ".join(f"v{k}_{j} <{j}>" if rng.random() < 0.4 else f"v{k}_{j}" for j in range(int(rng.integers(60, 300))))
+    rows = [(k, code(k) if k % 2 else prose(k), "en", "code" if k % 2 else "prose") for k in range(600)]
+    docs = spark.createDataFrame([*rows, (1000, code(1000), "en", "prose"), (1001, code(1001), "en", "code"), (1002, code(1002), None, None)], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in quality_rules.counts(docs).collect()}
+    assert not got[1000] and got[1001] and sum(got[k] for k in range(600)) > 590
+    fence = {(r.lang, r.source): r for r in quality_rules.fences(quality_rules.cut(quality_rules.measures(docs), "measured")).collect()}
+    assert math.exp(fence["en", "code"].symbols_high) > 5 * math.exp(fence["en", "prose"].symbols_high)
 
 
 def test_clashing_names(spark, docs):
