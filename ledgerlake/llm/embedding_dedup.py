@@ -3,8 +3,8 @@
 Vectors of one label are compared by cosine: at cosine >= t unit vectors are at most eps = sqrt(2 - 2t) apart.
 
 1. Copies collapse to one representative (an aggregate that combines before the shuffle).
-2. Covariance sums of the unit vectors give the leading principal directions; a vector's grid cell has side
-   eps in those. Rows are range-partitioned and sorted by label and cell: the epsilon grid order.
+2. Two rounds of subspace iteration over the unit vectors give the leading principal directions, in memory of some columns
+   a component; a vector's grid cell has side eps in those. Rows are range-partitioned and sorted by label and cell: the epsilon grid order.
 3. Each run of ``block`` vectors in that order is a sequence interval, stored as one row with the bounding box of
    its projections. Intervals of intervals form a tree. Pairs of intervals are joined from the root
    down; a pair whose boxes are more than eps apart is dropped with everything below it.
@@ -50,29 +50,48 @@ def _by_dim(batch: pa.RecordBatch):
         yield int(d), at, _unit(_matrix(batch.column("v").take(pa.array(at)), int(d)))
 
 
-def _axes(reps: DataFrame, many: int) -> dict[int, np.ndarray]:
-    """Leading principal directions by vector length, from sums of x and of x x' over all unit vectors."""
+def _times_covariance(reps: DataFrame, width: int, basis: dict[int, np.ndarray] | None) -> dict[int, np.ndarray]:
+    """C B by vector length, where C is the covariance of all unit vectors and B a basis of ``width`` columns (none: seeded noise).
+
+    A task keeps, and the driver gets, dim * (width + 1) sums a length, not dim * dim.
+    """
+
+    def columns(d: int) -> np.ndarray:
+        return np.random.default_rng(d).standard_normal((d, min(d, width))) if basis is None else basis[d]
 
     def sums(batches):
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for d, _, x in _by_dim(b):
-                x = np.column_stack([x, np.ones(len(x))])
-                total[d] = total.get(d, 0) + x.T @ x
+                x1 = np.column_stack([x @ columns(d), np.ones(len(x))])
+                total[d] = total.get(d, 0) + np.append((x.T @ x1).ravel(), len(x))
         for d, s in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(s.size, d, np.int32)), pa.array(np.arange(s.size, dtype=np.int32)), pa.array(s.ravel())], ["dim", "cell", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(s.size, d, np.int32)), pa.array(np.arange(s.size, dtype=np.int32)), pa.array(s)], ["dim", "cell", "s"])
+
+    got = reps.select("dim", "v").mapInArrow(sums, "dim int, cell int, s double").groupBy("dim", "cell").agg(F.sum("s").alias("s")).toArrow()
+    dim, cell, value = (got.column(c).to_numpy() for c in ("dim", "cell", "s"))
+    out = {}
+    for d in np.unique(dim).tolist():
+        own = dim == d
+        s = np.zeros(int(own.sum()))
+        s[cell[own]] = value[own]
+        part, n = s[:-1].reshape(d, -1), s[-1]
+        mean = part[:, -1] / n
+        out[d] = part[:, :-1] / n - np.outer(mean, mean @ columns(d))
+    return out
 
-    got = reps.select("dim", "v").mapInArrow(sums, "dim int, cell int, s double").groupBy("dim", "cell").agg(F.sum("s").alias("s")).collect()  # (dim + 1) ** 2 a length
+
+def _axes(reps: DataFrame, many: int) -> dict[int, np.ndarray]:
+    """Leading principal directions by vector length, by two rounds of subspace iteration with some columns to spare.
+
+    They need not be exact: boxes along any orthonormal directions bound distances, better ones prune more.
+    """
+    basis = {d: np.linalg.qr(y)[0] for d, y in _times_covariance(reps, many + 4, None).items()}
     axes = {}
-    for d in {r["dim"] for r in got}:
-        s = np.zeros((d + 1) ** 2)
-        for r in got:
-            if r["dim"] == d:
-                s[r["cell"]] = r["s"]
-        s = s.reshape(d + 1, d + 1)
-        mean = s[:d, d] / s[d, d]
-        _, vecs = np.linalg.eigh(s[:d, :d] / s[d, d] - np.outer(mean, mean))
-        axes[d] = np.pad(vecs[:, ::-1][:, :many], ((0, 0), (0, max(0, many - d))))
+    for d, y in _times_covariance(reps, many + 4, basis).items():
+        t = basis[d].T @ y
+        _, vecs = np.linalg.eigh((t + t.T) / 2)
+        axes[d] = np.pad(basis[d] @ vecs[:, ::-1][:, :many], ((0, 0), (0, max(0, many - d))))
     return axes
 
 

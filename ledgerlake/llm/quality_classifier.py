@@ -46,15 +46,16 @@ def features(texts: pa.Array) -> np.ndarray:
 
 
 class Model:
-    """weights: one per bucket; thresholds: ascending, one fewer than grades."""
+    """weights: one per bucket; thresholds: ascending, one fewer than grades. A text without a word is of the lowest grade."""
 
     def __init__(self, weights: np.ndarray, thresholds: np.ndarray):
         self.weights, self.thresholds = weights.astype(np.float64), thresholds
 
     def above(self, texts: pa.Array) -> np.ndarray:
         """P(grade > j) per text and threshold."""
-        score = features(texts).astype(np.float64) @ self.weights
-        return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -40, 40)))
+        x = features(texts)
+        score = x.astype(np.float64) @ self.weights
+        return np.where(x[:, 1:2] > 0, 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -40, 40))), 0.0)  # no word: the lowest grade
 
 
 def fit_ordinal(rows: list[np.ndarray], cols: list[np.ndarray], grade: np.ndarray, grades: int, rounds: int = 200, ridge: float = 5e-5, rate: float = 0.3) -> Model:
@@ -129,7 +130,8 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str = "doc_id"
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", tail: int | None = None) -> DataFrame:
     """Id, ``expected_grade`` and ``tail_probability`` (of grade ``tail`` or more; by default the highest) per row of docs.
 
-    Null and empty texts are scored by the thresholds alone. Rows repeat as given; other columns are not read.
+    Texts without a word (null, empty or blank) have nothing to be rated by and get the lowest grade, 0, with a tail probability of 0.
+    Rows repeat as given; an empty table gives none; other columns are not read.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # DIMS weights
     kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

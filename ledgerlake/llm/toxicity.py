@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Learning takes a bounded sample of labelled documents of each label (``examples``, those with the smallest hash of
-their id). Every term of the examples is kept: a term is a whole word, and the space of the vectors is spanned by all
-of them. A term weighs (1 + log tf) * idf * relevance, where idf counts the examples that hold it and relevance (the
+their id). Every term of the examples is kept: a term is a whole word. The cosine is that of the whole texts: words that no
+example holds count in a text's length. A term weighs (1 + log tf) * idf * relevance, where idf counts the examples that hold it and relevance (the
 relevance frequency of text categorisation) rises with how much oftener examples of label 1 hold it than others do; it
 is 1 for a term that tells nothing.
 
@@ -39,17 +39,14 @@ def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return textvec.counted(*textvec.word_features(*textvec.lowered(texts)))
 
 
-def term_weights(doc: np.ndarray, term: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted terms of all examples and the weight of each: idf times relevance.
+def term_weight(a: np.ndarray, df: np.ndarray, n: int, toxic: float) -> np.ndarray:
+    """idf times relevance of terms that df of n examples hold, a of the ``toxic`` ones of label 1 among them.
 
     Two examples of label 1 that hold a term may do so by chance: relevance counts those beyond two.
     """
-    names, at, df = np.unique(term, return_inverse=True, return_counts=True)
-    n, toxic = len(labels), labels.sum()
-    a = np.bincount(at, labels[doc], len(names))
-    odds = max(toxic, 1) / max(n - toxic, 1)
+    odds = np.maximum(toxic, 1) / np.maximum(n - toxic, 1)
     relevance = np.log2(2 + np.maximum(a - 2, 0) / odds / np.maximum(df - a, 1))
-    return names, (np.log((1 + n) / (1 + df)) + 1) * relevance**1.5
+    return (np.log((1 + n) / (1 + df)) + 1) * relevance**1.5
 
 
 class Index:
@@ -57,7 +54,10 @@ class Index:
 
     def __init__(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, labels: np.ndarray):
         self.n = len(labels)
-        self.names, self.idf = term_weights(doc, term, labels)
+        self.names, at, self.df = np.unique(term, return_inverse=True, return_counts=True)
+        self.toxic, self.labels = np.bincount(at, labels[doc], len(self.names)), labels
+        self.idf = term_weight(self.toxic, self.df, self.n, labels.sum())
+        self.unseen = float(term_weight(np.zeros(1), np.zeros(1), self.n, labels.sum())[0])
         doc, at, w = self.weigh(doc, term, tf, self.n)
         # examples whose heaviest term is the same share a block, which keeps bounds tight
         main = np.full(self.n, len(self.names))
@@ -79,13 +79,27 @@ class Index:
         self.doc, self.weight = doc[~often][order], w[~often][order]
         self.first = np.searchsorted(at[~often][order], np.arange(len(self.names) + 1))
 
-    def weigh(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Unit vectors (document, place of the term, weight) of n documents over the index's terms."""
+    def weigh(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, n: int, examples: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Unit vectors of n documents: (document, place of the term, weight) of the terms that the index has.
+
+        Terms that no example holds count in a document's length, with the idf of none: they meet nothing, but take their share.
+        examples: the documents are the index's own, in order, each to be held against the others: a term weighs what it would
+        without this document's own count and label.
+        """
         at = np.minimum(np.searchsorted(self.names, term), max(len(self.names) - 1, 0))
         hit = self.names[at] == term if len(self.names) else np.zeros(len(term), bool)
-        doc, at = doc[hit], at[hit]
-        w = (1 + np.log(tf[hit])) * self.idf[at]
-        return doc, at, w / np.maximum(np.sqrt(np.bincount(doc, w * w, n)), 1e-300)[doc]
+        w = np.full(len(term), self.unseen)
+        met = ones = np.ones(int(hit.sum()))
+        if len(ones):
+            here = at[hit]
+            w[hit] = self.idf[here]
+            if examples:
+                y = self.labels[doc[hit]]
+                w[hit] = term_weight(self.toxic[here] - y, self.df[here] - 1, self.n - 1, self.labels.sum() - y)
+                met = w[hit] / self.idf[here]  # the other side's weights hold this document's count too
+        w *= 1 + np.log(tf)
+        w /= np.maximum(np.sqrt(np.bincount(doc, w * w, n)), 1e-300)[doc]
+        return doc[hit], at[hit], w[hit] * met
 
     def nearest(self, doc: np.ndarray, at: np.ndarray, weight: np.ndarray, n: int, k: int, leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Per document the k examples of largest cosine (n by k: their numbers, and cosines; 0 where none is left).
@@ -152,7 +166,7 @@ class Scorer:
         n = len(labels)
         if 0 < labels.sum() < n:
             votes = []
-            doc, at, w = self.index.weigh(doc, term, tf, n)
+            doc, at, w = self.index.weigh(doc, term, tf, n, examples=True)
             begin = np.searchsorted(doc, np.arange(n + 1))
             for lo in range(0, n, _RUN_DOCS):
                 hi = min(lo + _RUN_DOCS, n)

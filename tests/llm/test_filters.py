@@ -119,24 +119,43 @@ def test_spread_repetition_goes_and_one_passage_stays(spark):
     quality_rules.FEW = 24
 
 
-def dense_cosines(texts, labels, queries):
-    """TF-IDF cosines of all queries to all examples by dictionaries of whole words, and the words' weights."""
+def dense_cosines(texts, labels, queries, leave=False):
+    """TF-IDF cosines of all queries to all examples by dictionaries of whole words, those that no example holds included.
+
+    leave: the queries are the examples, each weighed without its own count and label.
+    """
     count = lambda t: Counter(w for w in re.findall(r"[^\W_]+", (t or "").lower()))
     bags, n, toxic = [count(t) for t in texts], len(texts), sum(labels)
     df = Counter(w for b in bags for w in b)
     both = Counter(w for b, y in zip(bags, labels, strict=True) if y for w in b)
-    ratio = {w: max(both[w] - 2, 0) * max(n - toxic, 1) / max(toxic, 1) / max(df[w] - both[w], 1) for w in df}
-    weight = {w: (math.log((1 + n) / (1 + df[w])) + 1) * math.log2(2 + ratio[w]) ** 1.5 for w in df}
-    unit = lambda b: {w: (1 + math.log(m)) * weight[w] for w, m in b.items() if w in weight}
+
+    def weight(w, y=None):
+        less = y is not None
+        a, d, m, t = both[w] - (y or 0), df[w] - less, n - less, toxic - (y or 0)
+        ratio = max(a - 2, 0) * max(m - t, 1) / max(t, 1) / max(d - a, 1)
+        return (math.log((1 + m) / (1 + d)) + 1) * math.log2(2 + ratio) ** 1.5
+
     norm = lambda v: math.sqrt(sum(x * x for x in v.values())) or 1.0
-    known = [unit(b) for b in bags]
+    known = [{w: (1 + math.log(m)) * weight(w) for w, m in b.items()} for b in bags]
     out = np.zeros((len(queries), n))
-    for i, q in enumerate(unit(count(t)) for t in queries):
+    for i, t in enumerate(queries):
+        y = labels[i] if leave else None
+        q = {w: (1 + math.log(m)) * weight(w, y) for w, m in count(t).items()}
         for j, e in enumerate(known):
-            out[i, j] = sum(x * e[w] for w, x in q.items() if w in e) / norm(q) / norm(e)
+            out[i, j] = min(1.0, sum(x * e[w] * (weight(w, y) / weight(w) if leave else 1) for w, x in q.items() if w in e) / norm(q) / norm(e))
     return out
 
 
+def test_unknown_words_count_in_a_texts_length():
+    """A word that stands alone is nearer to an example than the same word among five hundred others."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice([f"w{k}" for k in range(80)], 10)) + (" vile" if k % 3 == 0 else "") for k in range(60)]
+    doc, term, tf = toxicity.terms(pa.array(texts))
+    model = toxicity.Scorer(doc, term, tf, np.array([int(k % 3 == 0) for k in range(60)]), pa.array(range(60)), 0.3)
+    _, _, cosine = model.score(pa.array(["vile", "vile " + " ".join(f"unknown{k}" for k in range(500)), "unknown alone"]))
+    assert cosine[0, 0] > 0.3 and 0 < cosine[1, 0] < 0.25 * cosine[0, 0] and (cosine[2] == 0).all()
+
+
 def test_neighbours_and_scores_against_dense_cosines(spark, docs):
     corpus = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
@@ -147,7 +166,7 @@ def test_neighbours_and_scores_against_dense_cosines(spark, docs):
     assert sorted(ids) == sorted(k for k in own if k in text) and [own[k] for k in ids] == model.labels.tolist()
     rows = docs.where("doc_id IN (1, 2, 3, 4, 9)").select("doc_id", "text").unionByName(corpus.where("doc_id < 40").selectExpr("doc_id + 1000 AS doc_id", "text")).collect()
     cosines = dense_cosines([text[k] for k in ids], [own[k] for k in ids], [r.text for r in rows])
-    votes = dense_cosines([text[k] for k in ids], [own[k] for k in ids], [text[k] for k in ids])
+    votes = dense_cosines([text[k] for k in ids], [own[k] for k in ids], [text[k] for k in ids], leave=True)
     np.fill_diagonal(votes, -1)
     y, share = np.array([own[k] for k in ids], float), sum(own[k] for k in ids) / len(ids)
 
@@ -179,7 +198,7 @@ def test_block_products_and_postings_agree(monkeypatch):
         found.append(model.score(pa.array([*texts, "", None, "nothing known"])))
     for score, _, cosine in found[1:]:
         assert np.allclose(score, found[0][0]) and np.allclose(cosine, found[0][2])
-    assert np.allclose(found[0][2][:300, 0], 1)
+    assert np.allclose(found[0][2][:300, 0], 1) and (found[0][2][300:] == 0).all()
 
 
 def test_whole_words_count():
@@ -293,6 +312,8 @@ def test_ordinal_regression_orders_grades(spark, docs):
     assert sum((r.tail_probability > 0.5) == (r.grade == 2) for r in got) / len(got) > 0.9
     assert quality_classifier.score(docs, model).where("expected_grade BETWEEN 0 AND 2").count() == docs.count()
     assert quality_classifier.score(docs.limit(0), model).count() == 0
+    blank = quality_classifier.score(docs.where("text IS NULL OR trim(text) = ''"), model).collect()
+    assert blank and all(r.expected_grade == r.tail_probability == 0 for r in blank)
     nothing = quality_classifier.fit(frame, frame.limit(0).select("doc_id", "grade"), 3)
     assert quality_classifier.score(docs, nothing).count() == docs.count()
 
@@ -325,7 +346,7 @@ def test_gradient_and_likelihood_of_cumulative_link():
     score = np.array([model.weights[r].sum() for r in rows])
     assert np.corrcoef(score, grade)[0, 1] > 0.8
     above = quality_classifier.Model(model.weights, model.thresholds).above(pa.array(["some text", None]))
-    assert (above[:, 0] > above[:, 1]).all()
+    assert above[0, 0] > above[0, 1] and (above[1] == 0).all()
 
 
 def test_ratings_of_repeated_and_contradicted_ids(spark, monkeypatch):
