@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..registry import Dataset
@@ -86,14 +86,42 @@ def faults(rows: DataFrame, dataset: Dataset) -> DataFrame:
     return rows.agg(*[F.count_if(v).alias(k) for k, v in found.items()]).unpivot([], list(found), "check", "n").where("n > 0")
 
 
+def _error(dataset: Dataset, found: dict[str, int]) -> ContractError:
+    return ContractError(f"{dataset.name}: " + ", ".join(f"{k} {n}" for k, n in sorted(found.items())))
+
+
 def check(rows: DataFrame, dataset: Dataset) -> DataFrame:
-    """rows, if they keep the contract of their dataset; else an error that names what they break, and how often."""
-    found = faults(rows, dataset).collect()  # one row a rule
+    """rows, if they keep the contract of their dataset; else an error that names what they break, and how often. A pass of its own."""
+    found = {r["check"]: r["n"] for r in faults(rows, dataset).collect()}  # one row a rule
     if found:
-        raise ContractError(f"{dataset.name}: " + ", ".join(f"{r['check']} {r['n']}" for r in sorted(found, key=lambda r: r["check"])))
+        raise _error(dataset, found)
     return rows
 
 
+def guarded(rows: DataFrame, dataset: Dataset) -> DataFrame:
+    """rows, each held against the contract as it is delivered: the first that breaks it fails the query, with its key and what it breaks.
+
+    The condition counts as non-deterministic, so that it is not moved before filters and joins that take rows out first.
+    """
+    found = rules(rows, dataset)
+    names = F.concat_ws(", ", *[F.when(v, F.lit(k)) for k, v in found.items()])
+    where = F.concat_ws(" ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in dataset.key if k in rows.columns])
+    bad = reduce(lambda a, b: a | b, found.values()) & (F.rand() >= 0)
+    return rows.where(F.when(bad, F.raise_error(F.concat(F.lit(f"{dataset.name}: "), names, F.lit(" at "), where)).cast("boolean")).otherwise(F.lit(True)))
+
+
+def observed(rows: DataFrame, dataset: Dataset, observation: Observation) -> DataFrame:
+    """rows as they are, their breaks of the contract counted in the pass that delivers them: confirm() tells them afterwards."""
+    return rows.observe(observation, *[F.count_if(v).alias(k) for k, v in rules(rows, dataset).items()])
+
+
+def confirm(observation: Observation, dataset: Dataset) -> None:
+    """Raise if rows that were delivered under an observation broke the contract: the checks and counts that check() would name."""
+    found = {k: n for k, n in observation.get.items() if n}
+    if found:
+        raise _error(dataset, found)
+
+
 def bar_faults() -> dict[str, Column]:
     """Broken bar rules by name; the order of prices counts on traded rows only."""
     live = F.coalesce(F.col("volume") > 0, F.lit(True))

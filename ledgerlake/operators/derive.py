@@ -256,3 +256,32 @@ def ticks_to_bars(ticks: DataFrame, minutes: int) -> DataFrame:
     w = F.window("trade_time", f"{minutes} minutes")
     agg = ticks.groupBy("symbol", w.alias("w")).agg(F.min_by("price", "tick_seq").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", "tick_seq").alias("close"), F.sum("volume").alias("volume"))
     return agg.withColumn("bar_time", F.col("w.end")).drop("w")
+
+
+def touched_days(changed: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Days whose derived rows change with some days' bars: themselves, and the session after each, whose returns start from them."""
+    days = changed.select("trade_date").distinct()
+    after = successors(calendar).join(days.withColumnRenamed("trade_date", "prior_date"), "prior_date", "left_semi").select("trade_date")
+    return days.unionByName(after).distinct()
+
+
+def _needed(rows: DataFrame, days: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Rows of some days and of the session before each: all that their returns need."""
+    before = successors(calendar).join(days, "trade_date", "left_semi").where("prior_date IS NOT NULL").select(F.col("prior_date").alias("trade_date"))
+    return rows.join(days.unionByName(before).distinct(), "trade_date", "left_semi")
+
+
+def breadth_of(days: DataFrame, bars: DataFrame, calendar: DataFrame, status: DataFrame) -> DataFrame:
+    """market_breadth() of some days alone; bars and status of other days are not computed with."""
+    return market_breadth(_needed(bars, days, calendar), calendar, status.join(days, "trade_date", "left_semi")).join(days, "trade_date", "left_semi")
+
+
+def index_of(days: DataFrame, adjusted: DataFrame, calendar: DataFrame, members: DataFrame) -> DataFrame:
+    """industry_index() of some days alone."""
+    returns = hfq_returns(_needed(adjusted, days, calendar), calendar)
+    return industry_index(returns.join(days, "trade_date", "left_semi"), members)
+
+
+def factors_of(keys: DataFrame, events: DataFrame) -> DataFrame:
+    """align_factors() of some keys (symbol, trade_date) alone; events of other symbols are not computed with."""
+    return align_factors(keys, events.join(keys, "symbol", "left_semi"))

@@ -22,10 +22,19 @@ def audit_union(findings: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), findings)
 
 
-def lake_health(findings: DataFrame) -> DataFrame:
-    """Findings by severity, and whether there is no error."""
+def lake_health(findings: DataFrame, marks: DataFrame | None = None, day: str | None = None) -> DataFrame:
+    """Findings by severity, the datasets that are stale on a day and those that are empty, and whether there is no error.
+
+    marks: dataset, watermark, tolerance_days, n_rows, retired. A registry's datasets are some dozens.
+    """
     by = lambda s: F.coalesce(F.sum(F.when(F.col("severity") == s, F.col("n"))), F.lit(0)).alias(f"n_{s}")
-    return findings.agg(by("error"), by("warning"), by("info"), (F.count_if(F.col("severity") == "error") == 0).alias("healthy"))
+    told = findings.agg(by("error"), by("warning"), by("info"), (F.count_if(F.col("severity") == "error") == 0).alias("healthy"))
+    if marks is None:
+        return told
+    empty = F.coalesce(F.col("n_rows"), F.lit(0)) == 0
+    late = ~empty & stats.stale_by(F.lit(day).cast("date"), F.col("watermark"), F.col("tolerance_days"), F.coalesce("retired", F.lit(False)))
+    names = lambda c: F.array_sort(F.collect_set(F.when(c, F.col("dataset"))))
+    return told.join(F.broadcast(marks.agg(names(late).alias("stale"), names(empty).alias("empty"))))  # one row
 
 
 def pk_duplicates(rows: DataFrame, key: list[str], partition: str | None = None) -> DataFrame:
@@ -76,11 +85,16 @@ def calendar_reconcile(bars: DataFrame, calendar: DataFrame) -> DataFrame:
     return odd.unionByName(gone.select("trade_date", F.lit("session_without_bar").alias("check")))
 
 
-def coverage_by_series(bars: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Sessions missing within each series' own span."""
+def coverage_by_series(bars: DataFrame, calendar: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Sessions missing within each series' own span: ``symbol, n_missing, n_known, first_missing``.
+
+    known (symbol, trade_date): gaps that are accounted for are counted apart, and are not the first one missing.
+    """
     span = bars.groupBy("symbol").agg(F.min("trade_date").alias("a"), F.max("trade_date").alias("z"))
     want = span.join(F.broadcast(calendar.where("is_trading").select("trade_date")), F.col("trade_date").between(F.col("a"), F.col("z"))).select("symbol", "trade_date")
-    return want.join(bars, ["symbol", "trade_date"], "left_anti").groupBy("symbol").agg(F.count("*").alias("n_missing"), F.min("trade_date").alias("first_missing"))
+    gaps = want.join(bars, ["symbol", "trade_date"], "left_anti")
+    gaps = gaps.withColumn("_k", F.lit(None).cast("boolean")) if known is None else gaps.join(known.select("symbol", "trade_date", F.lit(True).alias("_k")), ["symbol", "trade_date"], "left")
+    return gaps.groupBy("symbol").agg(F.count_if(F.col("_k").isNull()).alias("n_missing"), F.count("_k").alias("n_known"), F.min(F.when(F.col("_k").isNull(), F.col("trade_date"))).alias("first_missing"))
 
 
 def coverage_ratio(part: DataFrame, whole: DataFrame) -> DataFrame:
@@ -104,19 +118,38 @@ def adjusted_returns(adjusted: DataFrame) -> DataFrame:
     return out.where("raw IS NOT NULL").withColumn("divergence", F.abs(F.col("adj") - F.col("raw")))
 
 
-def adj_reconcile(adjusted: DataFrame, calendar: DataFrame, actions: DataFrame, jump: float = 0.35, calm: float = 0.15, apart: float = 0.11) -> DataFrame:
-    """Errors: a large adjusted move that differs as much from the raw one, between adjacent sessions. Warnings: a calm
-    adjusted move that differs without an ex-date after the bar before.
+def adj_reconcile(adjusted: DataFrame, calendar: DataFrame, actions: DataFrame, jump: float = 0.35, calm: float = 0.15, apart: float = 0.11, restructured: DataFrame | None = None, master: DataFrame | None = None, most: int = 50) -> DataFrame:
+    """``severity, check, symbol, trade_date, n``: adjusted moves that the raw ones contradict.
+
+    adjusted_jump (error): a large adjusted move that differs as much from the raw one, between adjacent sessions. unexplained (warning):
+    a calm adjusted move that differs without an ex-date after the bar before. restructured (symbol, change_date): share restructurings
+    explain a move as an ex-date does, and are listed as info. master: names that it delists are set apart as info too. Of each check
+    the ``most`` largest divergences are listed, and one row without a symbol counts the rest.
     """
     r = adjusted_returns(adjusted)
     s = F.broadcast(derive.successors(calendar).withColumnRenamed("prior_date", "session_before"))
     error = r.join(s, "trade_date").where((F.col("prior_date") == F.col("session_before")) & (F.abs("adj") > jump) & (F.col("divergence") > jump))
     calm_ = r.where((F.abs("adj") <= calm) & (F.col("divergence") > apart)).alias("r")
-    ex = actions.select("symbol", "ex_date").distinct().alias("x")
-    on = (F.col("r.symbol") == F.col("x.symbol")) & (F.col("x.ex_date") > F.col("r.prior_date")) & (F.col("x.ex_date") <= F.col("r.trade_date"))
-    warning = calm_.join(ex, on, "left_anti")
-    cols = ["symbol", "trade_date"]
-    return error.select(*cols, F.lit("error").alias("severity")).unionByName(warning.select(*cols, F.lit("warning").alias("severity")))
+
+    def explained(by: DataFrame, day: str, how: str) -> DataFrame:
+        x = by.select("symbol", F.col(day).alias("_day")).distinct().alias("x")
+        return calm_.join(x, (F.col("r.symbol") == F.col("x.symbol")) & (F.col("x._day") > F.col("r.prior_date")) & (F.col("x._day") <= F.col("r.trade_date")), how)
+
+    calm_ = explained(actions, "ex_date", "left_anti").alias("r")
+    kinds = [error.withColumns({"severity": F.lit("error"), "check": F.lit("adjusted_jump")})]
+    if restructured is not None:
+        kinds.append(explained(restructured, "change_date", "left_semi").withColumns({"severity": F.lit("info"), "check": F.lit("restructured")}))
+        calm_ = explained(restructured, "change_date", "left_anti").alias("r")
+    kinds.append(calm_.withColumns({"severity": F.lit("warning"), "check": F.lit("unexplained")}))
+    found = audit_union([k.select("severity", "check", "symbol", "trade_date", "divergence") for k in kinds])
+    if master is not None:
+        gone = master.where("delist_date IS NOT NULL").select("symbol", F.lit(True).alias("_gone"))
+        found = found.join(gone, "symbol", "left").withColumns({"severity": F.when(F.col("_gone"), "info").otherwise(F.col("severity")), "check": F.when(F.col("_gone"), F.concat("check", F.lit(":delisted"))).otherwise(F.col("check"))}).drop("_gone")
+    rank = F.row_number().over(Window.partitionBy("severity", "check").orderBy(F.col("divergence").desc(), "symbol", "trade_date"))
+    ranked = found.withColumn("_n", rank)
+    shown = ranked.where(F.col("_n") <= most).select("severity", "check", "symbol", "trade_date", F.lit(1).cast("long").alias("n"))
+    rest = found.groupBy("severity", "check").agg((F.count("*") - most).alias("n")).where("n > 0")
+    return shown.unionByName(rest.select("severity", F.concat("check", F.lit(":more")).alias("check"), F.lit(None).cast("string").alias("symbol"), F.lit(None).cast("date").alias("trade_date"), "n"))
 
 
 def adj_coverage(bars: DataFrame, factors: DataFrame) -> DataFrame:
@@ -207,10 +240,11 @@ def date_mismatch(rows: DataFrame, ts: str) -> DataFrame:
     return rows.where(F.to_date(ts) != F.col("trade_date")).groupBy("trade_date").agg(F.count("*").alias("n"))
 
 
-def session_coverage(rows: DataFrame, expected: int, least: float = 0.9) -> DataFrame:
-    """Share of symbol-days with fewer than ``least`` of a session's bars."""
+def session_coverage(rows: DataFrame, expected: int, least: float = 0.9, alert: float = 0.2) -> DataFrame:
+    """Symbol-days, those with fewer than ``least`` of a session's bars, and whether these are at least the share ``alert``."""
     per = rows.groupBy("symbol", "trade_date").count()
-    return per.agg(F.count("*").alias("n_days"), F.count_if(F.col("count") < expected * least).alias("n_short"))
+    n = per.agg(F.count("*").alias("n_days"), F.count_if(F.col("count") < expected * least).alias("n_short"))
+    return n.withColumn("alert", (F.col("n_short") > 0) & (F.col("n_short") >= alert * F.col("n_days")))
 
 
 def reconcile(part: DataFrame, daily: DataFrame, bands: dict[str, tuple[float, float]], least: int = 20) -> DataFrame:
@@ -247,10 +281,16 @@ def calendar_horizon(calendar: DataFrame, day: str) -> DataFrame:
     return calendar.where(F.col("is_trading") & (F.col("trade_date") > F.lit(day).cast("date"))).agg(F.count("*").alias("n"), F.max("trade_date").alias("last"))
 
 
-def authority_labels(status: DataFrame, master: DataFrame, day: str) -> DataFrame:
-    """Labels of a day against the names of the master: how many are compared, how many disagree."""
+def authority_labels(status: DataFrame, master: DataFrame, day: str, most: int = 3) -> DataFrame:
+    """Labels of a day against the names of the master: how many are compared, how many disagree each way, and how bad that is.
+
+    An error if more than ``most`` disagree, a warning if any does; none are compared: info.
+    """
     rows = status.where(F.col("trade_date") == F.lit(day).cast("date")).join(master.select("symbol", "name"), "symbol")
-    return rows.agg(F.count("*").alias("n"), F.count_if(canonical.risk_warned() != F.upper("name").rlike(r"^\*?ST")).alias("n_off"))
+    named = F.coalesce(F.upper("name").rlike(r"^\*?ST"), F.lit(False))
+    n = rows.agg(F.count("*").alias("n"), F.count_if(canonical.risk_warned() & ~named).alias("n_status_only"), F.count_if(~canonical.risk_warned() & named).alias("n_name_only"))
+    off = F.col("n_status_only") + F.col("n_name_only")
+    return n.withColumn("severity", F.when(F.col("n") == 0, "info").when(off > most, "error").when(off > 0, "warning").otherwise("none"))
 
 
 def authority_macro(published: DataFrame, curated: DataFrame, key: str, order: list[str], value: str, apart: float = 0.05) -> DataFrame:
@@ -270,8 +310,8 @@ def latest_by(rows: DataFrame, key: str, date_col: str) -> DataFrame:
 
 
 def stale(latest: DataFrame, key: str, limits: DataFrame, day: str) -> DataFrame:
-    """Series that lag beyond their own limit in days. limits has one row per series and is small."""
-    j = latest.join(F.broadcast(limits), key)
+    """Series that lag beyond their own limit in days."""
+    j = latest.join(limits, key)
     return j.withColumn("lag", F.datediff(F.lit(day).cast("date"), F.col("latest"))).where("lag > max_lag").select(key, "latest", "lag")
 
 
@@ -320,12 +360,18 @@ def missing_sessions(bars: DataFrame, calendar: DataFrame, start: str, end: str)
     return s.join(bars.where("volume > 0"), "trade_date", "left_anti")
 
 
-def exchange_compare(official: DataFrame, curated: DataFrame, bps: float = 10) -> DataFrame:
-    """Official rows against curated ones: missing keys, and closes beyond ``bps``, per day."""
-    c = curated.select("symbol", "trade_date", F.col("close").alias("_c"))
+def exchange_compare(official: DataFrame, curated: DataFrame, bps: float = 10, turnover_bps: float = 100, share: float = 0.15) -> DataFrame:
+    """Official rows against curated ones per day: missing keys, closes beyond ``bps``, turnovers beyond ``turnover_bps``, and severities.
+
+    A missing key or a close that drifts is an error; turnovers are a warning if more than ``share`` of those compared drift.
+    """
+    c = curated.select("symbol", "trade_date", F.col("close").alias("_c"), F.col("amount").alias("_a"), F.lit(True).alias("_there"))
     j = official.where("close > 0").join(c, ["symbol", "trade_date"], "left")
-    drift = F.abs(F.try_divide(F.col("_c"), F.col("close")) - 1) * 10000
-    return j.groupBy("trade_date").agg(F.count("*").alias("n"), F.count_if(F.col("_c").isNull()).alias("n_missing"), F.count_if(drift > bps).alias("n_drift"))
+    drift = lambda mine, theirs: F.abs(F.try_divide(mine, theirs) - 1) * 10000
+    both = (F.col("amount") > 0) & (F.col("_a") > 0)
+    n = j.groupBy("trade_date").agg(F.count("*").alias("n"), F.count_if(F.col("_there").isNull()).alias("n_missing"), F.count_if(drift(F.col("_c"), F.col("close")) > bps).alias("n_drift"), F.count_if(both).alias("n_turnover"), F.count_if(both & (drift(F.col("_a"), F.col("amount")) > turnover_bps)).alias("n_turnover_drift"))
+    severity = F.when((F.col("n_missing") > 0) | (F.col("n_drift") > 0), "error").when(F.col("n_turnover_drift") > share * F.col("n_turnover"), "warning").otherwise("none")
+    return n.withColumn("severity", severity)
 
 
 def worst_drift(a: DataFrame, b: DataFrame, key: list[str], fields: list[str], bps: float) -> DataFrame:
@@ -366,7 +412,7 @@ def diff_gate(findings: DataFrame, n_keys: int, most: float) -> DataFrame:
     return n.withColumn("blocked", F.col("n_drifting") > most * n_keys)
 
 
-def delisting_coverage(catalog: DataFrame, spans: DataFrame, master: DataFrame) -> DataFrame:
+def delisting_match(catalog: DataFrame, spans: DataFrame, master: DataFrame) -> DataFrame:
     """Each catalogued delisting by what is wrong with it; verified if nothing is."""
     j = catalog.select("symbol", F.col("delist_date").alias("gone")).join(spans, "symbol", "left").join(master.select("symbol", "delist_date", F.lit(True).alias("_m")), "symbol", "left")
     kind = F.when(F.col("_m").isNull(), "master_missing").when(F.col("delist_date").isNull() | (F.col("delist_date") != F.col("gone")), "master_wrong").when(F.col("first_date").isNull(), "bars_missing").when(F.col("last_date") > F.col("gone"), "bars_after_end").when(F.datediff("gone", "last_date") > 7, "terminal_gap").otherwise("verified")

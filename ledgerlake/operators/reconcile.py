@@ -71,40 +71,6 @@ def repairable(gaps: DataFrame, by_date: list[str]) -> DataFrame:
     return gaps.where(F.col("dataset").isin(by_date) | F.col("kind").isin("stale", "empty"))
 
 
-def historical_validity(bars: DataFrame, calendar: DataFrame, status: DataFrame, start: str, end: str) -> DataFrame:
-    """Blockers of a window: bars that do not reach it, sessions without bars, no label evidence."""
-    s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
-    span = bars.agg(F.min("trade_date").alias("a"), F.max("trade_date").alias("z"))
-    window = span.where((F.col("a") > s) | (F.col("z") < e) | F.col("a").isNull()).select(F.lit("window_not_covered").alias("blocker"), F.lit(1).cast("long").alias("n"))
-    holes = quality.missing_sessions(bars, calendar, start, end).agg(F.count("*").alias("n")).where("n > 0").select(F.lit("sessions_without_bars").alias("blocker"), "n")
-    labels = status.where(F.col("trade_date").between(s, e)).agg(F.count("risk_warning").alias("n")).where("n = 0").select(F.lit("no_label_evidence").alias("blocker"), "n")
-    return window.unionByName(holes).unionByName(labels)
-
-
-def st_evidence(receipts: DataFrame, scope: DataFrame, counts: DataFrame, start: str, end: str) -> DataFrame:
-    """Per source the best receipt that still holds: it covers scope and window, and its stored row counts match.
-
-    receipts: receipt, source, start, end, symbol, n_rows (one row per symbol). Best: earliest start, then latest end.
-    """
-    n = scope.agg(F.count_distinct("symbol").alias("n_scope"))
-    hit = receipts.join(scope.select("symbol").distinct(), "symbol", "left_semi").join(counts.select("symbol", "source", F.col("n").alias("now")), ["symbol", "source"], "left")
-    g = hit.groupBy("receipt", "source", "start", "end").agg(F.count_distinct("symbol").alias("n_hit"), F.bool_and(F.col("n_rows") == F.coalesce("now", F.lit(0))).alias("same"))
-    ok = g.join(F.broadcast(n)).where((F.col("n_hit") == F.col("n_scope")) & F.col("same") & (F.col("start") <= F.lit(start).cast("date")) & (F.col("end") >= F.lit(end).cast("date")))
-    w = Window.partitionBy("source").orderBy("start", F.col("end").desc(), "receipt")
-    return ok.withColumn("_n", F.row_number().over(w)).where("_n = 1").select("source", "receipt")
-
-
-def compose_receipts(old: DataFrame, tail: DataFrame) -> DataFrame:
-    """A deep receipt and a newer one that overlaps it, of one source: their joint window.
-
-    Both: receipt, source, start, end, symbols (array). The old one's symbols must lie within the tail's.
-    """
-    o = old.select("source", F.col("receipt").alias("old"), F.col("start").alias("start"), F.col("end").alias("_e"), F.col("symbols").alias("_s"))
-    t = tail.select("source", F.col("receipt").alias("tail"), F.col("start").alias("_t"), "end", "symbols")
-    j = o.join(t, "source").where("_t > start AND _t <= _e AND end > _e")
-    return j.where(F.size(F.array_except("_s", "symbols")) == 0).select("source", "old", "tail", "start", "end", F.size(F.array_except("symbols", "_s")).alias("n_added"))
-
-
 def daily_ownership(symbols: DataFrame, spans: DataFrame, master: DataFrame, status: DataFrame, calendar: DataFrame, start: str, end: str) -> DataFrame:
     """Who answers for a symbol's missing days in a window, by the first rule that holds."""
     s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
@@ -120,14 +86,18 @@ def daily_ownership(symbols: DataFrame, spans: DataFrame, master: DataFrame, sta
 
 
 def master_enrich(master: DataFrame, history: DataFrame) -> DataFrame:
-    """List dates from a history source where unknown, and its delisted names that the master lacks."""
-    filled = master.join(history.select("symbol", F.col("list_date").alias("_l")), "symbol", "left").select("symbol", F.coalesce("list_date", "_l").alias("list_date"), "delist_date")
-    return filled.unionByName(history.where("delist_date IS NOT NULL").join(master, "symbol", "left_anti").select("symbol", "list_date", "delist_date"))
+    """List dates from a history source where unknown, and its delisted names that the master lacks; ``ambiguous``: the history has
+    several list dates of the name, and none is taken.
+    """
+    known = history.groupBy("symbol").agg(F.min("list_date").alias("_l"), (F.count_distinct("list_date") > 1).alias("ambiguous"), F.max("delist_date").alias("_d"))
+    taken = F.when(~F.col("ambiguous"), F.col("_l"))
+    filled = master.join(known, "symbol", "left").select("symbol", F.coalesce("list_date", taken).alias("list_date"), "delist_date", (F.coalesce("ambiguous", F.lit(False)) & F.col("list_date").isNull()).alias("ambiguous"))
+    return filled.unionByName(known.where("_d IS NOT NULL").join(master, "symbol", "left_anti").select("symbol", taken.alias("list_date"), F.col("_d").alias("delist_date"), "ambiguous"))
 
 
 def delisting_reconcile(catalog: DataFrame, spans: DataFrame, master: DataFrame) -> DataFrame:
     """What can safely be corrected in the master (a missing or wrong date that the bars do not contradict), and what cannot."""
-    kinds = quality.delisting_coverage(catalog, spans, master)
+    kinds = quality.delisting_match(catalog, spans, master)
     j = kinds.join(catalog.select("symbol", F.col("delist_date").alias("gone")), "symbol").join(spans.select("symbol", "last_date"), "symbol", "left")
     safe = (F.col("kind") == "master_wrong") & F.coalesce(F.col("last_date") <= F.col("gone"), F.lit(True))
     return j.where("kind <> 'verified'").select("symbol", "kind", F.when(safe, "correct").otherwise("unresolved").alias("action"))

@@ -72,7 +72,7 @@ def revision_id(facts: DataFrame, columns: list[str]) -> Column:
     return F.md5(encoded(sorted(columns)))
 
 
-def pit_classify(facts: DataFrame, as_of: str, mode: str = "best_effort", cutoff: str | None = None) -> DataFrame:
+def pit_classify(facts: DataFrame, as_of: str, mode: str = "best_effort") -> DataFrame:
     """Facts visible at as_of, with ``pit_is_exact`` and ``pit_quality``.
 
     Visible: announced by then, and not known to be available or published later. Exact: visible, from a source that is no

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def latest_intervals(intervals: DataFrame, dates: DataFrame, key: str = "symbol") -> DataFrame:
-    """Open intervals as snapshots: per date and key the row with the latest start at or before it. dates are few."""
-    j = intervals.join(F.broadcast(dates), F.col("start_date") <= F.col("as_of"))
+    """Open intervals as snapshots: per date and key the row with the latest start at or before it."""
+    j = intervals.join(dates, F.col("start_date") <= F.col("as_of"))  # sent to all tasks only if small: the planner looks at its size
     w = Window.partitionBy("as_of", key).orderBy(F.col("start_date").desc(), *[F.col(c).desc_nulls_last() for c in intervals.columns if c not in (key, "start_date")])
     return j.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
@@ -16,7 +16,7 @@ def latest_intervals(intervals: DataFrame, dates: DataFrame, key: str = "symbol"
 def members_in_range(intervals: DataFrame, dates: DataFrame) -> DataFrame:
     """Members with start <= date < end (an open end lasts), once each."""
     on = (F.col("start_date") <= F.col("as_of")) & F.coalesce(F.col("as_of") < F.col("end_date"), F.lit(True))
-    return intervals.join(F.broadcast(dates), on).select("index_code", "symbol", "as_of").distinct()
+    return intervals.join(dates, on).select("index_code", "symbol", "as_of").distinct()
 
 
 def statement_unpivot(wide: DataFrame, ids: list[str], items: list[str]) -> DataFrame:
@@ -35,9 +35,11 @@ def borrow_date(rows: DataFrame, twin: DataFrame) -> DataFrame:
 
 
 def invert_factors(rows: DataFrame) -> DataFrame:
-    """A series stored as 1 / f. Values that are not positive and finite have no place: they come back null, for the caller to raise on."""
+    """A series stored as 1 / f, the last row of a date. A value that is not positive and finite is an error, raised as the rows are read."""
     f = F.col("factor")
-    return rows.withColumn("factor", F.when((f > 0) & (f < float("inf")), F.try_divide(F.lit(1.0), f)))
+    bad = F.coalesce(~((f > 0) & (f < float("inf"))), F.lit(True))
+    text = F.concat(F.lit("no factor of "), F.coalesce("symbol", F.lit("?")), F.lit(" on "), F.coalesce(F.col("trade_date").cast("string"), F.lit("?")), F.lit(": "), F.coalesce(f.cast("string"), F.lit("null")))
+    return rows.withColumn("factor", F.when(bad, F.raise_error(text).cast("double")).otherwise(F.try_divide(F.lit(1.0), f)))
 
 
 def gate_membership(rows: DataFrame, group: list[str], least: int, distinct: list[str] = ()) -> DataFrame:
@@ -71,10 +73,20 @@ def missing_keys(rows: DataFrame, symbols: DataFrame, days: DataFrame) -> DataFr
     return want.join(rows, ["symbol", "trade_date"], "left_anti")
 
 
-def families(rows: DataFrame, period: str, family: str, expected: list[str]) -> DataFrame:
-    """Periods and the statement families that they lack."""
+def families(rows: DataFrame, period: str, family: str, expected: list[str], periods: DataFrame | None = None) -> DataFrame:
+    """Periods and how many of the expected statement families they lack. periods: those that must be there; one without any row lacks all."""
     g = rows.groupBy(period).agg(F.collect_set(family).alias("_f"))  # at most the known families
-    return g.select(period, F.size(F.array_except(F.array(*map(F.lit, expected)), "_f")).alias("n_missing")).where("n_missing > 0")
+    if periods is not None:
+        g = periods.select(period).distinct().join(g, period, "left")
+    have = F.coalesce("_f", F.array().cast("array<string>"))
+    return g.select(period, F.size(F.array_except(F.array(*map(F.lit, expected)), have)).alias("n_missing")).where("n_missing > 0")
+
+
+def complete_memberships(rows: DataFrame, date_col: str, group: str, required: list[str], least: int) -> DataFrame:
+    """Snapshot dates on which every required group has at least ``least`` distinct members."""
+    g = rows.where(F.col(group).isin(required)).groupBy(date_col, group).agg(F.count_distinct("symbol").alias("n"))
+    days = g.groupBy(date_col).agg(F.count("*").alias("_g"), F.min("n").alias("least_members"))
+    return days.where((F.col("_g") == len(set(required))) & (F.col("least_members") >= least)).select(date_col, "least_members")
 
 
 def complete_dates(rows: DataFrame, date_col: str, least: int) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import fixtures
 from ..functions import periods
 from ..functions import symbols as S
-from ..operators import asof, audit, canonical, derive, load, quality, reconcile, research, snapshots, stats
+from ..operators import asof, audit, canonical, derive, evidence, load, quality, reconcile, research, snapshots, stats
 from ..registry import DATASETS
 from ..sources import lake, versions
 
@@ -449,8 +449,16 @@ q(
     "SELECT symbol, trade_date, round(adj_close, 9) AS adj_close, adj_is_exact FROM qfq",
     QFQ,
 )
+HALVES = """adjv AS (SELECT c.*, f.factor IS NOT NULL AS adj_is_exact, close * coalesce(factor, 1) AS hfq_close, close * coalesce(factor / anchor, 1) AS qfq_close FROM canon c LEFT JOIN factor_events f USING (symbol, trade_date)
+        LEFT JOIN (SELECT f.symbol, max_by(factor, f.trade_date) AS anchor FROM factor_events f JOIN (SELECT symbol, max(trade_date) AS last FROM canon WHERE trade_date <= DATE '{end}' GROUP BY 1) l ON l.symbol = f.symbol AND f.trade_date <= last GROUP BY 1) a ON a.symbol = c.symbol)"""
 q(
     "daily_bars_adj",
+    lambda x: _sql(x, "SELECT symbol, trade_date, adj_is_exact, round(hfq_close, 9) AS hfq_close, round(qfq_close, 9) AS qfq_close, round(adj_close, 9) AS adj_close FROM daily_bars_adj"),
+    "SELECT symbol, trade_date, adj_is_exact, round(hfq_close, 9) AS hfq_close, round(qfq_close, 9) AS qfq_close, round(qfq_close, 9) AS adj_close FROM adjv",
+    CANON + ", " + HALVES.format(end="2099-01-01"),
+)
+q(
+    "adjust_qfq_exact",
     lambda x: qfq(x).select(*KEYS, "close", r9("adj_close").alias("adj_close"), "adj_is_exact").where("adj_is_exact"),
     "SELECT symbol, trade_date, close, round(adj_close, 9) AS adj_close, adj_is_exact FROM qfq WHERE adj_is_exact",
     QFQ,
@@ -757,9 +765,14 @@ q(
 )
 q(
     "complete_membership_dates",
-    lambda x: snapshots.gate_membership(x.members, ["as_of_date"], 100).where("passed").select("as_of_date", "n_members"),
-    """SELECT as_of_date, count(DISTINCT symbol) AS n_members FROM members GROUP BY 1
-        HAVING count(DISTINCT symbol) >= 100""",
+    lambda x: snapshots.complete_memberships(x.members.withColumn("index_symbol", F.substring("industry_code", 1, 2)), "as_of_date", "index_symbol", ["24", "25", "27"], 15),
+    """SELECT as_of_date, min(n) AS least_members FROM (SELECT as_of_date, substr(industry_code, 1, 2) AS i, count(DISTINCT symbol) AS n FROM members WHERE substr(industry_code, 1, 2) IN ('24', '25', '27') GROUP BY 1, 2)
+        GROUP BY 1 HAVING count(*) = 3 AND min(n) >= 15""",
+)
+q(
+    "complete_membership_dates_all",
+    lambda x: snapshots.complete_memberships(x.members.withColumn("index_symbol", F.substring("industry_code", 1, 2)), "as_of_date", "index_symbol", ["24", "25", "28"], 1),
+    "SELECT as_of_date, min(n) AS least_members FROM (SELECT as_of_date, substr(industry_code, 1, 2) AS i, count(DISTINCT symbol) AS n FROM members WHERE substr(industry_code, 1, 2) IN ('24', '25', '28') GROUP BY 1, 2) GROUP BY 1 HAVING count(*) = 3",
 )
 q(
     "bar_resample",
@@ -845,8 +858,9 @@ q(
 )
 q(
     "index_calendar_coverage",
-    lambda x: quality.coverage_by_series(x.bars, x.calendar),
-    """SELECT symbol, count(*) AS n_missing, min(trade_date) AS first_missing FROM (SELECT s.symbol, c.trade_date
+    lambda x: quality.coverage_by_series(x.bars, x.calendar, x.calendar.where("dayofmonth(trade_date) % 3 = 0").select("trade_date").join(x.instruments.where("list_date > date'2023-01-01'").select("symbol"), how="cross")),
+    """SELECT symbol, count(*) FILTER (NOT known) AS n_missing, count(*) FILTER (known) AS n_known, min(trade_date) FILTER (NOT known) AS first_missing FROM (SELECT s.symbol, c.trade_date,
+        day(c.trade_date) % 3 = 0 AND s.symbol IN (SELECT symbol FROM instruments WHERE list_date > DATE '2023-01-01') AS known
         FROM (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z FROM bars GROUP BY 1) s
         JOIN calendar c ON c.is_trading AND c.trade_date BETWEEN a AND z) w ANTI JOIN bars USING (symbol, trade_date)
         GROUP BY 1""",
@@ -883,12 +897,18 @@ q(
         FROM hfq WINDOW w AS (PARTITION BY symbol ORDER BY trade_date)) WHERE raw IS NOT NULL""",
     HFQ,
 )
+MOVES = HFQ + ", " + SESSIONS + """, ar AS (SELECT * FROM (SELECT symbol, trade_date, lag(trade_date) OVER w AS prior_date, close / nullif(lag(close) OVER w, 0) - 1 AS raw, adj_close / nullif(lag(adj_close) OVER w, 0) - 1 AS adj FROM hfq WINDOW w AS (PARTITION BY symbol ORDER BY trade_date)) WHERE raw IS NOT NULL),
+calm AS (SELECT * FROM ar WHERE abs(adj) <= 1.0 AND abs(adj - raw) > 0.005 AND NOT EXISTS (SELECT 1 FROM actions x WHERE cash_dividend > 0.3 AND x.symbol = ar.symbol AND ex_date > prior_date AND ex_date <= ar.trade_date)),
+mv AS (SELECT 'error' AS severity, 'adjusted_jump' AS "check", symbol, trade_date, abs(adj - raw) AS divergence FROM ar JOIN sess USING (trade_date) WHERE ar.prior_date = sess.prior_date AND abs(adj) > 0.05 AND abs(adj - raw) > 0.05
+ UNION ALL SELECT CASE WHEN r THEN 'info' ELSE 'warning' END, CASE WHEN r THEN 'restructured' ELSE 'unexplained' END, symbol, trade_date, abs(adj - raw)
+ FROM (SELECT *, EXISTS (SELECT 1 FROM actions x WHERE bonus_ratio >= 0.2 AND x.symbol = calm.symbol AND ex_date > prior_date AND ex_date <= calm.trade_date) AS r FROM calm)),
+mg AS (SELECT CASE WHEN g.symbol IS NOT NULL THEN 'info' ELSE severity END AS severity, "check" || CASE WHEN g.symbol IS NOT NULL THEN ':delisted' ELSE '' END AS "check", mv.symbol, trade_date, divergence FROM mv LEFT JOIN (SELECT symbol FROM instruments WHERE delist_date IS NOT NULL) g ON g.symbol = mv.symbol)"""
 q(
     "adj_reconcile",
-    lambda x: quality.adj_reconcile(x.hfq, x.calendar, x.actions.where("cash_dividend > 0.3"), 0.05, 1.0, 0.005),
-    """SELECT symbol, trade_date, 'error' AS severity FROM ar JOIN sess USING (trade_date) WHERE ar.prior_date = sess.prior_date AND abs(adj) > 0.05 AND abs(adj - raw) > 0.05
- UNION ALL SELECT symbol, trade_date, 'warning' FROM ar WHERE abs(adj) <= 1.0 AND abs(adj - raw) > 0.005 AND NOT EXISTS (SELECT 1 FROM actions x WHERE cash_dividend > 0.3 AND x.symbol = ar.symbol AND ex_date > prior_date AND ex_date <= ar.trade_date)""",
-    HFQ + ", " + SESSIONS + ", ar AS (SELECT * FROM (SELECT symbol, trade_date, lag(trade_date) OVER w AS prior_date, close / nullif(lag(close) OVER w, 0) - 1 AS raw, adj_close / nullif(lag(adj_close) OVER w, 0) - 1 AS adj FROM hfq WINDOW w AS (PARTITION BY symbol ORDER BY trade_date)) WHERE raw IS NOT NULL)",
+    lambda x: quality.adj_reconcile(x.hfq, x.calendar, x.actions.where("cash_dividend > 0.3"), 0.05, 1.0, 0.005, x.actions.where("bonus_ratio >= 0.2").select("symbol", F.col("ex_date").alias("change_date")), x.instruments, 5),
+    """SELECT severity, "check", symbol, trade_date, 1 AS n FROM mg QUALIFY row_number() OVER (PARTITION BY severity, "check" ORDER BY divergence DESC, symbol, trade_date) <= 5
+        UNION ALL SELECT severity, "check" || ':more', NULL, NULL, count(*) - 5 FROM mg GROUP BY severity, "check" HAVING count(*) > 5""",
+    MOVES,
 )
 q(
     "adj_coverage",
@@ -976,8 +996,8 @@ q(
 q(
     "minute_session_coverage",
     lambda x: quality.session_coverage(x.minutes, 4),
-    """SELECT count(*) AS n_days, count(*) FILTER (n < 4 * 0.9) AS n_short FROM (SELECT count(*) AS n FROM minutes
-        GROUP BY symbol, trade_date)""",
+    """SELECT *, n_short >= 0.2 * n_days AND n_short > 0 AS alert FROM (SELECT count(*) AS n_days, count(*) FILTER (n < 4 * 0.9) AS n_short FROM (SELECT count(*) AS n FROM minutes
+        GROUP BY symbol, trade_date))""",
 )
 q(
     "minute_reconcile",
@@ -1097,10 +1117,10 @@ q(
 )
 q(
     "exchange_compare",
-    lambda x: quality.exchange_compare(x.bars, x.other_bars),
-    """SELECT trade_date, count(*) AS n, count(*) FILTER (o.close IS NULL) AS n_missing,
-        count(*) FILTER (abs(o.close / b.close - 1) * 10000 > 10) AS n_drift FROM bars b
-        LEFT JOIN other_bars o USING (symbol, trade_date) WHERE b.close > 0 GROUP BY 1""",
+    lambda x: quality.exchange_compare(x.bars, x.other_bars.withColumn("amount", F.when(F.col("volume") % 10 < 2, F.col("amount") * 1.02).otherwise(F.col("amount")))),
+    """SELECT *, CASE WHEN n_missing > 0 OR n_drift > 0 THEN 'error' WHEN n_turnover_drift > 0.15 * n_turnover THEN 'warning' ELSE 'none' END AS severity FROM (SELECT b.trade_date, count(*) AS n, count(*) FILTER (o.symbol IS NULL) AS n_missing,
+        count(*) FILTER (abs(o.close / b.close - 1) * 10000 > 10) AS n_drift, count(*) FILTER (b.amount > 0 AND o.amount > 0) AS n_turnover, count(*) FILTER (b.amount > 0 AND o.amount > 0 AND o.volume % 10 < 2) AS n_turnover_drift FROM bars b
+        LEFT JOIN other_bars o ON o.symbol = b.symbol AND o.trade_date = b.trade_date WHERE b.close > 0 GROUP BY 1)""",
 )
 q(
     "worst_drift",
@@ -1112,9 +1132,9 @@ q(
 q(
     "authority_labels",
     lambda x: quality.authority_labels(x.status, x.instruments, DAY),
-    f"""SELECT count(*) AS n,
-        count(*) FILTER ((coalesce(risk_warning, FALSE) OR status IN ('st', '*st')) <> (name LIKE 'ST%')) AS n_off
-        FROM status JOIN instruments USING (symbol) WHERE trade_date = DATE '{DAY}'""",
+    f"""SELECT *, CASE WHEN n = 0 THEN 'info' WHEN n_status_only + n_name_only > 3 THEN 'error' WHEN n_status_only + n_name_only > 0 THEN 'warning' ELSE 'none' END AS severity
+        FROM (SELECT count(*) AS n, count(*) FILTER (warned AND NOT named) AS n_status_only, count(*) FILTER (named AND NOT warned) AS n_name_only
+        FROM (SELECT coalesce(risk_warning, FALSE) OR status IN ('st', '*st') AS warned, name LIKE 'ST%' AS named FROM status JOIN instruments USING (symbol) WHERE trade_date = DATE '{DAY}'))""",
 )
 q(
     "diff_coverage",
@@ -1159,31 +1179,43 @@ q(
         UNION ALL SELECT 'trading_status', 'error', 'required_missing', count(*) FILTER (is_trading IS NULL) FROM status_raw
         UNION ALL SELECT 'trading_status', 'error', 'duplicate_keys', count(*) - count(DISTINCT (symbol, trade_date)) FROM status_raw) WHERE n > 0""",
 )
+marked = lambda x: x.bars_raw.groupBy(F.col("source").alias("dataset")).agg(F.count("*").alias("n_rows"), F.max("trade_date").alias("watermark")).withColumns({"watermark": F.when(F.col("dataset") == "vendor_b", F.date_sub("watermark", 9)).otherwise(F.col("watermark")), "n_rows": F.when(F.col("dataset") == "vendor_c", 0).otherwise(F.col("n_rows")), "tolerance_days": F.lit(3), "retired": F.lit(False)})
 q(
     "lake_health",
-    lambda x: quality.lake_health(quality.audit_union([quality.finding(x.bars_raw.where("fetched_at IS NULL"), "daily_bars", "warning", "no_fetch_time"), quality.finding(x.bars.where("close < 0"), "daily_bars", "error", "negative")])),
-    """SELECT 0 AS n_error, count(*) AS n_warning, 0 AS n_info, TRUE AS healthy FROM bars_raw
+    lambda x: quality.lake_health(quality.audit_union([quality.finding(x.bars_raw.where("fetched_at IS NULL"), "daily_bars", "warning", "no_fetch_time"), quality.finding(x.bars.where("close < 0"), "daily_bars", "error", "negative")]), marked(x), "2024-02-01").withColumns({c: F.array_join(c, ",") for c in ("stale", "empty")}),
+    """SELECT 0 AS n_error, count(*) AS n_warning, 0 AS n_info, TRUE AS healthy, 'vendor_b' AS stale, 'vendor_c' AS empty FROM bars_raw
         WHERE fetched_at IS NULL""",
 )
-q(
-    "delisting_coverage",
-    lambda x: quality.delisting_coverage(x.bars.select("symbol").distinct().withColumn("delist_date", F.lit("2024-01-20").cast("date")), x.spans, x.instruments).groupBy("kind").agg(F.count("*").alias("n")),
-    """SELECT CASE WHEN m.name IS NULL THEN 'master_missing' WHEN delist_date IS NULL THEN 'master_wrong' WHEN z > DATE '2024-01-20' THEN 'bars_after_end' WHEN DATE '2024-01-20' - z > 7 THEN 'terminal_gap' ELSE 'verified' END AS kind,
-        count(*) AS n FROM (SELECT symbol, max(trade_date) AS z FROM bars GROUP BY 1) b
-        LEFT JOIN instruments m USING (symbol) GROUP BY 1""",
-)
+#: Names that a catalogue says have ended: on the 20th, before the window, or after it.
+ENDED = """ended AS (SELECT symbol, CASE WHEN n % 5 = 0 THEN DATE '2024-03-01' WHEN n % 5 = 1 THEN DATE '2023-12-01' WHEN n % 5 = 2 THEN z ELSE DATE '2024-01-20' END AS last_date FROM (SELECT symbol, sum(volume) AS n, max(trade_date) AS z FROM bars GROUP BY 1)),
+seen AS (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z FROM bars WHERE trade_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-22' AND volume > 0 AND volume % 3 > 0 GROUP BY 1),
+cand AS (SELECT e.symbol, e.last_date AS gone, s.z, i.symbol AS m, i.delist_date AS d FROM ended e LEFT JOIN seen s USING (symbol) LEFT JOIN instruments i ON i.symbol = e.symbol WHERE e.last_date >= DATE '2024-01-10'),
+dk AS (SELECT symbol, CASE WHEN z IS NULL THEN CASE WHEN gone <= DATE '2024-01-22' THEN 'missing_bars' ELSE 'unknown_overlap' END
+    WHEN gone <= DATE '2024-01-22' AND z <> gone THEN CASE WHEN coalesce(d = gone + 1 AND gone - z BETWEEN 1 AND 3, FALSE) THEN 'terminal_nonprinting' ELSE 'terminal_mismatch' END END AS by_bars,
+    CASE WHEN z IS NOT NULL OR gone <= DATE '2024-01-22' THEN CASE WHEN m IS NULL THEN 'missing_instrument' WHEN d IS NULL OR d < gone THEN 'invalid_delist_date' END END AS by_master FROM cand),
+formal AS (SELECT i.symbol, CASE WHEN e.last_date < DATE '2024-01-10' THEN 'formal_no_overlap' WHEN s.z IS NULL THEN 'formal_unresolved' WHEN i.delist_date < s.z THEN 'invalid_delist_date' ELSE 'verified' END AS kind
+    FROM instruments i LEFT JOIN ended e USING (symbol) LEFT JOIN seen s ON s.symbol = i.symbol WHERE i.delist_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-22' AND (e.symbol IS NULL OR e.last_date < DATE '2024-01-10')),
+kinds AS (SELECT symbol, by_bars AS kind FROM dk WHERE by_bars IS NOT NULL UNION ALL SELECT symbol, by_master FROM dk WHERE by_master IS NOT NULL UNION ALL SELECT symbol, 'verified' FROM dk WHERE by_bars IS NULL AND by_master IS NULL UNION ALL SELECT * FROM formal)"""
+
+
+def delisting_kinds(x):
+    ended = x.bars.groupBy("symbol").agg(F.sum("volume").alias("n"), F.max("trade_date").alias("z")).select("symbol", F.expr("CASE WHEN n % 5 = 0 THEN date'2024-03-01' WHEN n % 5 = 1 THEN date'2023-12-01' WHEN n % 5 = 2 THEN z ELSE date'2024-01-20' END").alias("last_date"))
+    return evidence.delisting_coverage(ended, x.bars.where("volume % 3 > 0"), x.instruments, "2024-01-10", "2024-01-22")
+
+
+q("delisting_coverage", delisting_kinds, "SELECT * FROM kinds", ENDED)
 q(
     "st_universe",
-    lambda x: x.bars.where("volume > 0 AND trade_date BETWEEN date'2024-01-10' AND date'2024-01-12'").where(S.in_class(F.col("symbol"), True)).select("symbol").distinct(),
-    f"""SELECT DISTINCT symbol FROM bars
-        WHERE trade_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' AND {CLASS} AND symbol NOT LIKE '%.BJ'""",
+    lambda x: evidence.st_scope(x.bars, "2024-01-10", "2024-01-12", F.when(~F.col("symbol").endswith(".BJ"), "history")),
+    f"""SELECT DISTINCT symbol, CASE WHEN symbol NOT LIKE '%.BJ' THEN 'history' END AS source FROM bars
+        WHERE trade_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' AND {CLASS}""",
 )
 q(
     "st_row_counts",
-    lambda x: canonical.dedupe(x.status.where("source = 'history'"), STATUS).groupBy("symbol").agg(F.count("*").alias("n")),
-    "SELECT symbol, count(*) AS n FROM status WHERE source = 'history' GROUP BY 1",
+    lambda x: evidence.st_row_counts(x.status_raw, STATUS, x.bars.select("symbol").distinct().withColumn("source", F.lit("history")), "2024-01-05", "2024-01-20"),
+    "SELECT 'history' AS source, symbol, coalesce(n, 0) AS n FROM (SELECT DISTINCT symbol FROM bars) LEFT JOIN (SELECT symbol, count(*) AS n FROM scanon WHERE source = 'history' AND trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY 1) USING (symbol)",
+    STATUS_CANON,
 )
-
 # Statistics and reports
 @query(
     "partition_stats",
@@ -1425,9 +1457,9 @@ q(
 )
 q(
     "statement_completeness",
-    lambda x: snapshots.families(x.facts.withColumn("report_period", F.concat_ws("/", "symbol", "report_period")), "report_period", "item_code", ["1-URGENT", "2-HIGH", "3-MEDIUM"]),
-    """SELECT symbol || '/' || report_period AS report_period, 3 - count(DISTINCT item_code) FILTER (item_code IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) AS n_missing
-        FROM facts GROUP BY 1 HAVING n_missing > 0""",
+    lambda x: snapshots.families(x.facts.withColumn("report_period", F.concat_ws("/", "symbol", "report_period")), "report_period", "item_code", ["1-URGENT", "2-HIGH", "3-MEDIUM"], x.facts.select(F.explode(F.array(F.concat_ws("/", "symbol", "report_period"), F.concat_ws("/", "symbol", F.lit("1991Q4")))).alias("report_period"))),
+    """SELECT report_period, 3 - count(DISTINCT item_code) FILTER (item_code IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) AS n_missing
+        FROM (SELECT symbol || '/' || report_period AS report_period, item_code FROM facts UNION ALL SELECT DISTINCT symbol || '/1991Q4', NULL FROM facts) GROUP BY 1 HAVING n_missing > 0""",
 )
 q(
     "margin_complete_dates",
@@ -1651,7 +1683,7 @@ q(
     CANON,
 )
 q(
-    "daily_bars_qfq",
+    "load_qfq",
     lambda x: load.load(sound(x), BARS, None, "2024-01-20", adjust="qfq", factors=raw_factors(x)).select(*KEYS, r9("adj_close").alias("adj_close"), "adj_is_exact"),
     """SELECT c.symbol, c.trade_date,
         round(close * coalesce(factor / anchor, 1), 9) AS adj_close, factor IS NOT NULL AND anchor IS NOT NULL AS adj_is_exact
@@ -1662,6 +1694,12 @@ q(
         WHERE c.trade_date <= DATE '2024-01-20'""",
     CANON,
 )
+q(
+    "daily_bars_qfq",
+    lambda x: _sql(x, "SELECT q.symbol, q.trade_date, q.adj_is_exact, round(q.qfq_close, 9) AS qfq_close, b.close FROM daily_bars_qfq(DATE'2024-01-05', DATE'2024-01-18') q JOIN daily_bars b ON b.symbol = q.symbol AND b.trade_date = q.trade_date"),
+    "SELECT symbol, trade_date, adj_is_exact, round(qfq_close, 9) AS qfq_close, close FROM adjv WHERE trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-18'",
+    CANON + ", " + HALVES.format(end="2024-01-18").replace("FROM canon WHERE trade_date <=", "FROM canon WHERE trade_date >= DATE '2024-01-05' AND trade_date <="),
+)
 q(
     "query_fundamentals",
     lambda x: load.load(x.facts, FACTS, as_of="1997-06-30", items=["1-URGENT", "2-HIGH"]).select("symbol", "report_period", "item_code", "item_value", "pit_is_exact"),
@@ -1690,7 +1728,8 @@ q(
 
 
 def _sql(x, text, limit=10**9):
-    load.views(x.spark, {"daily_bars": x.bars_raw, "trading_status": x.status}, DATASETS)
+    factors = canonical.with_provenance(x.factor_events.select("symbol", "trade_date", F.lit("hfq").alias("adjust_type"), "factor"), "vendor_a", "v1", F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    load.views(x.spark, {"daily_bars": x.bars_raw, "trading_status": x.status, "adj_factors": factors}, DATASETS)
     return load.run_sql(x.spark, text, limit)
 
 
@@ -1817,16 +1856,25 @@ q(
 )
 q(
     "historical_validity",
-    lambda x: reconcile.historical_validity(x.bars.where("trade_date <> date'2024-01-11'"), x.calendar, x.status, "2024-01-05", "2024-02-15"),
-    "SELECT 'window_not_covered' AS blocker, 1 AS n UNION ALL SELECT 'sessions_without_bars', 1",
-)
-q(
-    "delisting_evidence_gate",
-    lambda x: quality.delisting_coverage(x.instruments.where("delist_date IS NOT NULL"), x.spans, x.instruments).agg((F.count_if(F.col("kind") != "verified") == 0).alias("verified"), F.count("*").alias("n")),
-    """SELECT count(*) FILTER (z IS NULL OR z > delist_date OR delist_date - z > 7) = 0 AS verified, count(*) AS n
-        FROM instruments LEFT JOIN (SELECT symbol, max(trade_date) AS z FROM bars GROUP BY 1) USING (symbol)
-        WHERE delist_date IS NOT NULL""",
-)
+    lambda x: evidence.historical_validity(x.bars.where("trade_date <> date'2024-01-11'"), x.calendar, x.status, "2024-01-05", "2024-02-15", delistings=delisting_kinds(x)),
+    f"""SELECT 'window_not_covered' AS blocker, 1 AS n UNION ALL SELECT 'sessions_without_bars', 1
+        UNION ALL SELECT 'delistings_unverified', count(*) FROM kinds WHERE kind IN {evidence.BLOCKING}""",
+    ENDED,
+)
+@query("delisting_evidence_gate", f"SELECT FALSE AS verified, count(*) AS unresolved, TRUE AS refused FROM kinds WHERE kind IN {evidence.BLOCKING}", ENDED)
+def _delisting_evidence_gate(x):
+    """A read that is refused, with the number of names that are not accounted for."""
+    verdict = evidence.delisting_verdict(delisting_kinds(x))
+    n = verdict.first()["unresolved"]
+    try:
+        catalog = x.bars.select("symbol", F.lit("2024-01-12").cast("date").alias("last_date")).distinct()
+        load.load(sound(x), BARS, "2024-01-10", "2024-01-22", master=x.instruments, delistings={"catalog": catalog})
+        refused = False
+    except ValueError as e:
+        refused = "unresolved" in str(e) and n > 0
+    return verdict.withColumn("refused", F.lit(refused))
+
+
 gone = lambda x: x.bars.select("symbol").distinct().withColumn("delist_date", F.lit("2024-01-20").cast("date"))
 q(
     "delisting_reconcile",
@@ -1838,27 +1886,54 @@ q(
         FROM (SELECT symbol, max(trade_date) AS z FROM bars GROUP BY 1) b LEFT JOIN instruments m USING (symbol))
         WHERE kind <> 'verified'""",
 )
+GONE = DATASETS["delisting_events"]
+ENDS = """SELECT symbol, first_trade_date, last_trade_date, final_close, bars FROM (SELECT symbol, source, min(trade_date) AS first_trade_date, max(trade_date) AS last_trade_date, max_by(close, trade_date) AS final_close, CAST(count(*) AS BIGINT) AS bars,
+    max(fetched_at) AS fetched_at FROM bars_raw WHERE volume > 0 GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY fetched_at DESC NULLS LAST, source DESC) = 1"""
 q(
     "delisting_events",
-    lambda x: canonical.dedupe(x.bars_raw.select("symbol", F.col("trade_date").alias("delist_date"), "source", "data_version", "fetched_at"), DATASETS["instruments"]).select("symbol", "delist_date"),
-    """SELECT symbol, trade_date AS delist_date FROM bars_raw QUALIFY row_number() OVER (PARTITION BY symbol
-        ORDER BY fetched_at DESC NULLS LAST, source DESC, data_version DESC, trade_date DESC) = 1""",
+    lambda x: canonical.dedupe(canonical.validate(x.bars_raw.where("volume > 0").groupBy("symbol", "source").agg(F.min("trade_date").alias("first_trade_date"), F.max("trade_date").alias("last_trade_date"), F.max_by("close", "trade_date").alias("final_close"), F.count("*").alias("bars"), F.max("fetched_at").alias("fetched_at")).withColumns({"data_version": F.lit("v1"), **{c: F.lit(None).cast(t) for c, t in GONE.columns.items() if c in ("ending_pattern", "halt_gap_days", "worst_final_return", "final_window_return")}}), GONE), GONE).select("symbol", "first_trade_date", "last_trade_date", "final_close", "bars"),
+    ENDS,
 )
 receipts = lambda x: x.status.where("source <> 'gap'").groupBy((F.col("source")).alias("source"), "symbol").agg(F.count("*").alias("n_rows")).select(F.concat(F.lit("r-"), "source").alias("receipt"), "source", F.lit("2024-01-01").cast("date").alias("start"), F.lit("2024-01-30").cast("date").alias("end"), "symbol", "n_rows")
+scoped = lambda x: x.status.where("source <> 'gap'").select("symbol", "source").distinct().where("NOT (source = 'snapshot' AND symbol LIKE '%.BJ')")
+st_best = lambda x: evidence.best_receipts(receipts(x).withColumns({"version": F.lit("2"), "n_rows": F.when(F.col("source") == "snapshot", F.col("n_rows") + 1).otherwise(F.col("n_rows"))}), scoped(x), x.status.groupBy("symbol", "source").agg(F.count("*").alias("n")), "2024-01-05", "2024-01-25", "2")
 q(
     "st_evidence",
-    lambda x: reconcile.st_evidence(receipts(x), x.status.where("source = 'history'"), x.status.groupBy("symbol", "source").agg(F.count("*").alias("n")), "2024-01-05", "2024-01-25"),
-    """SELECT source, 'r-' || source AS receipt FROM status WHERE source <> 'gap' AND symbol IN (SELECT symbol
-        FROM status WHERE source = 'history') GROUP BY 1
-        HAVING count(DISTINCT symbol) = (SELECT count(DISTINCT symbol) FROM status WHERE source = 'history')""",
+    st_best,
+    """SELECT source, CASE WHEN source = 'history' THEN 'r-history' END AS receipt, CASE WHEN source = 'history' THEN DATE '2024-01-01' END AS start, CASE WHEN source = 'history' THEN DATE '2024-01-30' END AS "end",
+        count(DISTINCT symbol) AS n_scope, TRUE AS covering, source = 'history' AS intact FROM status WHERE source <> 'gap' AND NOT (source = 'snapshot' AND symbol LIKE '%.BJ') GROUP BY 1""",
 )
-receipt = lambda x, name, a, z, cond: x.status.where(cond).groupBy("source").agg(F.lit(name).alias("receipt"), F.lit(a).cast("date").alias("start"), F.lit(z).cast("date").alias("end"), F.collect_set("symbol").alias("symbols"))
 q(
+    "st_verdict",
+    lambda x: evidence.st_verdict(st_best(x), scoped(x).unionByName(x.bars.where("symbol LIKE '%.BJ'").select("symbol", F.lit(None).cast("string").alias("source")).distinct())).unionByName(evidence.st_verdict(st_best(x).where("source = 'history'"), scoped(x).where("source = 'history'"))),
+    """SELECT FALSE AS verified, (SELECT count(DISTINCT symbol) FROM (SELECT symbol FROM status WHERE source <> 'gap' AND NOT (source = 'snapshot' AND symbol LIKE '%.BJ') UNION ALL SELECT symbol FROM bars WHERE symbol LIKE '%.BJ')) AS n_symbols,
+        (SELECT count(DISTINCT symbol) FROM bars WHERE symbol LIKE '%.BJ') AS n_unsupported, 2 AS n_sources, 1 AS n_missing, 'unsupported_symbols' AS reason
+        UNION ALL SELECT TRUE, count(DISTINCT symbol), 0, 1, 0, NULL FROM status WHERE source = 'history'""",
+)
+receipt = lambda x, name, a, z, cond: x.status.where(cond).groupBy("source").agg(F.lit(name).alias("receipt"), F.lit(a).cast("date").alias("start"), F.lit(z).cast("date").alias("end"), F.collect_set("symbol").alias("symbols"))
+def _chain(x):
+    """Three receipts of each source that overlap, of names that traded by some day each; the last of snapshots has another total."""
+    first = x.status.groupBy("source", "symbol").agg(F.min("trade_date").alias("first_date"))
+    made = []
+    for name, a, z, by in (("deep", "2023-12-01", "2024-01-05", "2024-01-02"), ("middle", "2024-01-03", "2024-01-15", "2024-01-06"), ("tail", "2024-01-07", "2024-01-30", "2024-01-31")):
+        names = first.where(F.col("first_date") < F.lit(by).cast("date"))
+        rows = x.status.join(names, ["source", "symbol"]).where(F.col("trade_date").between(F.lit(a).cast("date"), F.lit(z).cast("date"))).groupBy("source").agg(F.count("*").alias("n_rows"))
+        made.append(names.groupBy("source").agg(F.collect_set("symbol").alias("symbols")).join(rows, "source").select(F.lit(name).alias("receipt"), "source", F.lit(a).cast("date").alias("start"), F.lit(z).cast("date").alias("end"), "symbols", (F.col("n_rows") + F.when((F.col("source") == "snapshot") & (F.lit(name) == "tail"), 1).otherwise(0)).alias("n_rows")))
+    return lake.union_by_name(made), first
+
+
+@query(
     "st_receipt_compose",
-    lambda x: reconcile.compose_receipts(receipt(x, "deep", "2024-01-01", "2024-01-15", "trade_date < date'2024-01-03'"), receipt(x, "tail", "2024-01-10", "2024-01-30", "true")),
-    """SELECT source, 'deep' AS "old", 'tail' AS tail, DATE '2024-01-01' AS start, DATE '2024-01-30' AS "end", CAST(count(DISTINCT symbol) - count(DISTINCT symbol) FILTER (trade_date < DATE '2024-01-03') AS INT) AS n_added
-        FROM status GROUP BY 1 HAVING count(*) FILTER (trade_date < DATE '2024-01-03') > 0""",
+    """SELECT source, DATE '2023-12-01' AS start, CASE WHEN source = 'snapshot' THEN DATE '2024-01-15' ELSE DATE '2024-01-30' END AS "end", CASE WHEN source = 'snapshot' THEN 2 ELSE 3 END AS n_links,
+        count(*) FILTER (f >= DATE '2024-01-02' AND (source <> 'snapshot' OR f < DATE '2024-01-06')) AS n_added FROM fst GROUP BY 1 HAVING count(*) FILTER (f < DATE '2024-01-02') > 0""",
+    "fst AS (SELECT source, symbol, CASE WHEN f = DATE '2024-01-02' THEN DATE '2024-01-03' WHEN f = DATE '2024-01-06' THEN DATE '2024-01-07' ELSE f END AS f FROM (SELECT source, symbol, min(trade_date) AS f FROM status GROUP BY 1, 2))",
 )
+def _st_receipt_compose(x):
+    receipts, first = _chain(x)
+    late = first.groupBy("symbol").agg(F.lit("2024-01-31").cast("date").alias("first_date"))  # every name is new when it comes in
+    return evidence.compose_receipts(receipts, x.status, late).drop("symbols")
+
+
 q("sw_complete_dates", lambda x: snapshots.complete_snapshots(x.members, 14), "SELECT as_of_date FROM members GROUP BY 1 HAVING count(*) >= 14")
 q(
     "daily_ownership",
@@ -1866,11 +1941,12 @@ q(
     """SELECT symbol, CASE WHEN i.name IS NULL THEN 'unknown' WHEN list_date > DATE '2024-01-25' OR delist_date < DATE '2024-01-15' THEN 'expected_no_data' WHEN delist_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25' THEN 'delegated' WHEN n_shut >= (SELECT count(*) FROM calendar WHERE is_trading AND trade_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25') THEN 'expected_no_data' WHEN n_open > 0 THEN 'generic' WHEN n_shut > 0 THEN 'unknown' ELSE 'generic' END AS owner
  FROM (SELECT DISTINCT symbol FROM bars) b LEFT JOIN instruments i USING (symbol) LEFT JOIN (SELECT symbol, count(*) FILTER (status IN ('suspended', 'delisted') OR NOT coalesce(is_trading, FALSE)) AS n_shut, count(*) FILTER (NOT (status IN ('suspended', 'delisted') OR NOT coalesce(is_trading, FALSE))) AS n_open FROM status WHERE trade_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25' GROUP BY 1) s USING (symbol)""",
 )
+histories = lambda x: x.spans.select("symbol", F.explode(F.when(F.col("symbol").endswith(".BJ"), F.array("first_date", F.date_add("first_date", 1))).otherwise(F.array("first_date"))).alias("list_date"), F.when(F.col("last_date") < "2024-01-29", F.col("last_date")).alias("delist_date"))
 q(
     "master_enrich",
-    lambda x: reconcile.master_enrich(x.instruments, x.spans.select("symbol", F.col("first_date").alias("list_date"), F.when(F.col("last_date") < "2024-01-29", F.col("last_date")).alias("delist_date"))),
-    """SELECT symbol, coalesce(list_date, a) AS list_date, delist_date FROM instruments LEFT JOIN (SELECT symbol,
-        min(trade_date) AS a FROM bars GROUP BY 1) USING (symbol) UNION ALL SELECT symbol, a, z FROM (SELECT symbol,
+    lambda x: reconcile.master_enrich(x.instruments, histories(x)),
+    """SELECT symbol, coalesce(list_date, CASE WHEN symbol NOT LIKE '%.BJ' THEN a END) AS list_date, delist_date, coalesce(symbol LIKE '%.BJ' AND list_date IS NULL AND a IS NOT NULL, FALSE) AS ambiguous FROM instruments LEFT JOIN (SELECT symbol,
+        min(trade_date) AS a FROM bars GROUP BY 1) USING (symbol) UNION ALL SELECT symbol, CASE WHEN symbol NOT LIKE '%.BJ' THEN a END, z, symbol LIKE '%.BJ' FROM (SELECT symbol,
         min(trade_date) AS a, max(trade_date) AS z FROM bars GROUP BY 1)
         WHERE z < DATE '2024-01-29' AND symbol NOT IN (SELECT symbol FROM instruments)""",
 )
@@ -1909,3 +1985,44 @@ q(
     "SELECT trade_date, count(DISTINCT metric_id) = 7 AS seven FROM breadth GROUP BY 1",
     BREADTH,
 )
+
+
+# Derived rows of changed keys alone
+
+
+def _derived(x, dataset, part, rows, keys):
+    """A derived dataset of all bars but those of two days, refreshed for what these two days touch: its rows, and the versions' changes."""
+    root = versions.shared_folder(x.spark, "derived")
+    daily = replace(dataset, period="day")
+    stamp = lambda rows: canonical.with_provenance(rows, "derived", "v1", F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    versions.commit(root, daily, stamp(part))
+    versions.commit_replace(root, daily, stamp(rows), keys, tag="refresh")
+    changed = versions.receipt(x.spark, root, daily, 2).agg(F.count("*").alias("n_changed"))
+    return versions.read(x.spark, root, daily).join(F.broadcast(changed))  # one row
+
+
+TWO = "trade_date IN (date'2024-01-09', date'2024-01-17')"
+FOUR = "(SELECT count(DISTINCT trade_date) FROM (SELECT trade_date, lag(trade_date) OVER (ORDER BY trade_date) AS p FROM calendar) WHERE trade_date IN (DATE '2024-01-09', DATE '2024-01-17') OR p IN (DATE '2024-01-09', DATE '2024-01-17')) AS n_changed"
+
+
+@query("refresh_breadth", f"SELECT trade_date, metric_id, value, {FOUR} FROM breadth", BREADTH)
+def _refresh_breadth(x):
+    old, days = x.bars.where(f"NOT ({TWO} AND volume % 2 = 0)"), derive.touched_days(x.bars.where(TWO).select("trade_date"), x.calendar)
+    made = _derived(x, DATASETS["market_breadth"], derive.market_breadth(old, x.calendar, x.status), derive.breadth_of(days, x.bars, x.calendar, x.status), days)
+    return made.select("trade_date", "metric_id", "value", "n_changed")
+
+
+@query("refresh_index", f"SELECT trade_date, industry_code, level, weighting, n_members, n_priced, round(ret, 9) AS ret, {FOUR} FROM idx", INDEX)
+def _refresh_index(x):
+    old = x.hfq.where(f"NOT ({TWO} AND volume % 2 = 0)")
+    days = derive.touched_days(x.bars.where(TWO).select("trade_date"), x.calendar)
+    made = _derived(x, DATASETS["industry_index"], derive.industry_index(derive.hfq_returns(old, x.calendar), x.members), derive.index_of(days, x.hfq, x.calendar, x.members), days)
+    return made.select("trade_date", "industry_code", "level", "weighting", "n_members", "n_priced", r9("ret").alias("ret"), "n_changed")
+
+
+@query("refresh_factors", "SELECT symbol, trade_date, factor, 2 AS n_changed FROM factors", FACTORS)
+def _refresh_factors(x):
+    keys = x.bars.where(TWO).select(*KEYS)
+    part = x.factors.where(f"NOT ({TWO})").unionByName(x.factors.where(TWO).withColumn("factor", F.col("factor") + 1))
+    made = _derived(x, DATASETS["adj_factors"], part.withColumn("adjust_type", F.lit("hfq")), derive.factors_of(keys, x.factor_events).withColumn("adjust_type", F.lit("hfq")), keys)
+    return made.select("symbol", "trade_date", "factor", "n_changed")

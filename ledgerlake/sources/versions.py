@@ -228,6 +228,19 @@ def commit_merge(root: str, dataset: Dataset, batch: DataFrame, tag: str | None
     return version
 
 
+def commit_replace(root: str, dataset: Dataset, fresh: DataFrame, keys: DataFrame, tag: str | None = None) -> int:
+    """Publish the current version with its rows of some keys replaced by fresh ones; only the periods of either are read and written.
+
+    keys: some of the dataset's key columns, its date among them (the days, or days and symbols, that were derived anew). Stored rows of
+    these keys go, whether or not fresh rows come for them.
+    """
+    spark = fresh.sparkSession
+    parent = current(spark, root, dataset)
+    labels = sorted(r[0] for r in by_period(keys.select(dataset.date_col), dataset).select(PERIOD).distinct().collect())  # periods that a batch touches
+    kept = read(spark, root, dataset, parent, labels).join(keys.distinct(), keys.columns, "left_anti")
+    return commit(root, dataset, kept.unionByName(fresh, allowMissingColumns=True), parent, tag, labels)
+
+
 def receipt(spark: SparkSession, root: str, dataset: Dataset, version: int) -> DataFrame:
     """What a version changed: ``period, kind, n_rows`` (add, replace or delete) against its parent."""
     entry = _published(spark, root, dataset, version)
