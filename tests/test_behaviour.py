@@ -5,6 +5,8 @@ import datetime as dt
 import shutil
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import periods
@@ -264,8 +266,15 @@ def test_a_read_keeps_its_contract(spark):
         "volume_negative": good.withColumn("volume", F.lit(-1)),
     }
     for rule, rows in broken.items():
-        with pytest.raises(canonical.ContractError, match=rule):
-            load.load(rows, BARS)
+        with pytest.raises(PySparkException, match=rf"daily_bars: .*{rule}.* at 600001.SH 2024-01-0"):
+            load.load(rows, BARS).collect()  # as it is delivered
+        told = Observation()
+        assert load.load(rows, BARS, observation=told).count() == 2
+        with pytest.raises(canonical.ContractError) as observed:
+            canonical.confirm(told, BARS)
+        with pytest.raises(canonical.ContractError) as counted:
+            canonical.check(rows, BARS)
+        assert str(observed.value) == str(counted.value) and f"{rule} 2" in str(counted.value)
     assert [r.trade_date.day for r in load.load(good, BARS).collect()] == [2, 3]
     status = spark.createDataFrame([("600001.SH", D(2024, 1, 2), True, "normal", None)], "symbol string, trade_date date, is_trading boolean, status string, risk_warning boolean")
     master = spark.createDataFrame([("600001.SH", None, None)], "symbol string, list_date date, delist_date date")
