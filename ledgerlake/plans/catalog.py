@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import fixtures
 from ..functions import periods
 from ..functions import symbols as S
-from ..operators import asof, audit, canonical, derive, evidence, load, quality, reconcile, research, snapshots, stats
+from ..operators import asof, audit, canonical, checks, derive, evidence, load, quality, reconcile, research, snapshots, stats
 from ..registry import DATASETS
 from ..sources import lake, versions
 
@@ -2026,3 +2026,67 @@ def _refresh_factors(x):
     part = x.factors.where(f"NOT ({TWO})").unionByName(x.factors.where(TWO).withColumn("factor", F.col("factor") + 1))
     made = _derived(x, DATASETS["adj_factors"], part.withColumn("adjust_type", F.lit("hfq")), derive.factors_of(keys, x.factor_events).withColumn("adjust_type", F.lit("hfq")), keys)
     return made.select("symbol", "trade_date", "factor", "n_changed")
+
+
+# Findings of all checks in one schema, beside what the checks' own queries say in SQL
+
+
+def _audited(x):
+    """Frames as the checks' own queries have them: one call for each group of checks that read the same ones."""
+    at = checks.Limits(minute_spans=MINUTE_SPANS, tick_spans=TICK_SPANS, minutes=4, buy="purchase", sell="view", tick_bands={"volume": (0.998, 1.002)}, volume_band=(0.9, 1.1), adj=(0.05, 1.0, 0.005), first_announce="1996-01-01")
+    told = lambda only, **frames: checks.findings(frames, DAY, only, at)
+    dates = lambda rows, c, day: rows.withColumn("trade_date", F.col("trade_date") + (F.col(c) % day == 0).cast("int"))
+    return quality.audit_union([
+        told(["calendar"], daily_bars=x.bars.where("trade_date <> date'2024-01-09'"), trading_calendar=weekdays(x)),
+        told(["series_gaps"], index_bars=x.bars, trading_calendar=x.calendar),
+        told(["orphans"], valuation_metrics=x.bars, daily_bars=x.instruments),
+        told(["adjustment"], adjusted_bars=x.hfq, trading_calendar=x.calendar, corporate_actions=x.actions.where("cash_dividend > 0.3"), restructurings=x.actions.where("bonus_ratio >= 0.2").select("symbol", F.col("ex_date").alias("change_date")), instruments=x.instruments),
+        told(["factor_coverage"], daily_bars=x.bars, adj_factors=x.factor_events),
+        told(["labels", "authority_labels"], instruments=x.instruments, trading_status=x.status),
+        told(["volume_unit"], bars_by_source=x.bars_raw),
+        told(["exchange_compare"], official_bars=x.bars, daily_bars=x.other_bars.withColumn("amount", F.when(F.col("volume") % 10 < 2, F.col("amount") * 1.02).otherwise(F.col("amount")))),
+        told(["minute_session", "minute_coverage", "minute_sums"], minute_bars=x.minutes, daily_bars=x.bars),
+        told(["minute_dates"], minute_bars=dates(x.minutes, "volume", 10)),
+        told(["tick_sequence", "tick_sums"], trade_ticks=x.holed_ticks, daily_bars=x.bars),
+        told(["tick_session", "tick_direction", "tick_truncation"], trade_ticks=x.ticks),
+        told(["breadth"], market_breadth=x.breadth.where("NOT (metric_id = 'flat' AND dayofmonth(trade_date) % 5 = 0)")),
+        told(["index_groups"], industry_index=x.index.where("NOT (weighting = 'equal' AND level = '4' AND dayofmonth(trade_date) = 16)")),
+        told(["index_coverage"], industry_members=x.members, industry_index=x.index.where("level = '6' AND NOT industry_code LIKE '24%'")),
+        told(["announced"], financial_statement_items=x.facts.withColumn("announce_date", F.when(F.col("fact_id") % 10 != 0, F.col("announce_date")))),
+    ])
+
+
+QUERIES["quality_findings"] = lambda spark, sf_dir: _audited(Shapes(spark, sf_dir)).drop("details")
+#: (dataset, severity, check, count, query of the check, condition): what that query's SQL comes to as a finding
+FOUND = [
+    ("daily_bars", "CASE \"check\" WHEN 'not_a_session' THEN 'warning' ELSE 'error' END", '"check"', "count(*)", "calendar_reconcile", "TRUE"),
+    ("index_bars", "'error'", "'series_gaps'", "count(*)", "series_gaps", "TRUE"),
+    ("valuation_metrics", "'warning'", "'orphans'", "count(*)", "valuation_orphans", "TRUE"),
+    ("adj_factors", "severity", "replace(\"check\", ':more', '')", "CAST(sum(n) AS BIGINT)", "adj_reconcile", "TRUE"),
+    ("adj_factors", "'warning'", "'factors_missing'", "CAST(sum(n_missing) AS BIGINT)", "adj_coverage", "TRUE"),
+    ("trading_status", "'warning'", "'labels:' || side", "count(*)", "st_label_check", "TRUE"),
+    ("trading_status", "severity", "'authority_labels'", "CAST(sum(greatest(1, n_status_only + n_name_only)) AS BIGINT)", "authority_labels", "severity <> 'none'"),
+    ("daily_bars", "'error'", "'volume_unit'", "count(*)", "volume_unit", "outside"),
+    ("daily_bars", "severity", "'exchange_compare'", "count(*)", "exchange_compare", "severity <> 'none'"),
+    ("minute_bars", "'warning'", "'minute_off_session'", "CAST(sum(n) AS BIGINT)", "minute_off_session", "TRUE"),
+    ("minute_bars", "'warning'", "'minute_session_coverage'", "CAST(sum(n_short) AS BIGINT)", "minute_session_coverage", "alert"),
+    ("minute_bars", "severity", "'minute_reconcile:' || measure", "count(*)", "minute_reconcile", "severity <> 'none'"),
+    ("minute_bars", "'error'", "'minute_date_mismatch'", "CAST(sum(n) AS BIGINT)", "minute_date_mismatch", "TRUE"),
+    ("trade_ticks", "'error'", "'tick_seq_gaps'", "count(*)", "tick_seq_gaps", "TRUE"),
+    ("trade_ticks", "severity", "'tick_reconcile:' || measure", "count(*)", "tick_reconcile", "severity <> 'none' AND measure = 'volume'"),
+    ("trade_ticks", "'warning'", "'tick_off_session'", "CAST(sum(n) AS BIGINT)", "tick_off_session", "TRUE"),
+    ("trade_ticks", "'error'", "'tick_direction_unknown'", "CAST(sum(n_unknown) AS BIGINT)", "tick_direction", "n_unknown > 0"),
+    ("trade_ticks", "'warning'", "'tick_direction_share'", "count(*)", "tick_direction", "outside"),
+    ("trade_ticks", "'warning'", "'tick_truncation'", "CAST(sum(n_late) AS BIGINT)", "tick_truncation", "alert"),
+    ("market_breadth", "'error'", "'breadth_incomplete'", "count(*)", "breadth_check", "NOT complete"),
+    ("industry_index", "'error'", "'index_groups'", "count(*)", "industry_index_check", "TRUE"),
+    ("industry_index", "'warning'", "'index_coverage'", "count(*)", "industry_group_coverage", "TRUE"),
+    ("financial_statement_items", "'error'", "'announce_date_missing'", "CAST(sum(n_null) AS BIGINT)", "pit_announce_check", "n_null > 0"),
+    ("financial_statement_items", "'warning'", "'announce_date_early'", "CAST(sum(n_early) AS BIGINT)", "pit_announce_check", "n_early > 0"),
+]
+GAPPED = fixtures.sql("""SELECT DISTINCT symbol FROM (SELECT s.symbol, c.trade_date FROM (SELECT symbol, min(trade_date) AS a, max(trade_date) AS z FROM bars GROUP BY 1) s
+    JOIN calendar c ON c.is_trading AND c.trade_date BETWEEN a AND z) w ANTI JOIN bars USING (symbol, trade_date)""")
+ORACLES["quality_findings"] = "\nUNION ALL\n".join(
+    f"""SELECT * FROM (SELECT '{dataset}' AS dataset, {severity} AS severity, {check} AS "check", {n} AS n FROM ({GAPPED if name == "series_gaps" else ORACLES[name]}) WHERE {where} GROUP BY 2, 3) WHERE n > 0"""
+    for dataset, severity, check, n, name, where in FOUND
+)
