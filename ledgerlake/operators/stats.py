@@ -184,11 +184,15 @@ def bounds(rows: DataFrame, date_col: str, complete: DataFrame | None = None) ->
     return out.join(F.broadcast(safe)).select("first_date", F.least("last_date", "_safe").alias("last_date"))
 
 
-def list_datasets(spark: SparkSession, registry: dict[str, Dataset], found: DataFrame) -> DataFrame:
-    """Every registered dataset with what the registry says of it, and its stored bounds (``found``: dataset, first_date, last_date, revision)."""
-    named = [(d.name, d.layer, d.pit, d.history_mode, d.period, d.tolerance_days) for d in registry.values()]
-    rows = spark.createDataFrame(named, "dataset string, layer string, pit boolean, history_mode string, period string, tolerance_days int")
-    return rows.join(found, "dataset", "left")
+def list_datasets(spark: SparkSession, registry: dict[str, Dataset], found: DataFrame, marks: DataFrame | None = None, root: str | None = None) -> DataFrame:
+    """Every registered dataset with what the registry says of it, its stored bounds (``found``: dataset, first_date, last_date), its
+    watermark (``marks``: dataset, watermark) and the version that a versioned lake at ``root`` holds of it (null: none).
+    """
+    at = lambda d: versions.current(spark, root, d) or None if root else None  # noqa: E731 - names are listed, one small file is read
+    named = [(d.name, d.layer, d.pit, d.history_mode, d.period, d.tolerance_days, at(d)) for d in registry.values()]
+    rows = spark.createDataFrame(named, "dataset string, layer string, pit boolean, history_mode string, period string, tolerance_days int, version long")
+    known = spark.createDataFrame([], "dataset string, watermark date") if marks is None else marks.select("dataset", "watermark")
+    return rows.join(found, "dataset", "left").join(known, "dataset", "left")
 
 
 def row_count(rows: DataFrame) -> DataFrame:
@@ -200,8 +204,9 @@ def mock_row_count(rows: DataFrame, mock: str = "mock") -> DataFrame:
     return rows.agg(F.count_if(F.col("source") == mock).alias("n"))
 
 
-def n_unique(rows: DataFrame, column: str = "symbol") -> DataFrame:
-    return rows.agg(F.count_distinct(column).alias("n"))
+def n_unique(rows: DataFrame, column: str = "symbol", error: float | None = None) -> DataFrame:
+    """Distinct values: exact, or with ``error`` (say 0.02) as the relative standard deviation that is allowed, in bounded memory."""
+    return rows.agg((F.count_distinct(column) if error is None else F.approx_count_distinct(column, error)).alias("n"))
 
 
 def coverage(bars: DataFrame, dataset: Dataset) -> DataFrame:

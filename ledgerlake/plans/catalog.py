@@ -1951,13 +1951,24 @@ q(
         WHERE z < DATE '2024-01-29' AND symbol NOT IN (SELECT symbol FROM instruments)""",
 )
 bounds = lambda name, rows, d: stats.bounds(rows, d).select(F.lit(name).alias("dataset"), "first_date", "last_date")
-q(
+
+
+@query(
     "list_datasets",
-    lambda x: stats.list_datasets(x.spark, DATASETS, lake.union_by_name([bounds("daily_bars", x.bars_raw, "trade_date"), bounds("financial_statement_items", x.facts, "announce_date"), bounds("industry_members", x.members, "as_of_date")])).where("last_date IS NOT NULL").select("dataset", "layer", "pit", "history_mode", "period", "first_date", "last_date"),
-    """SELECT 'daily_bars' AS dataset, 'curated' AS layer, FALSE AS pit, 'by_date' AS history_mode, 'month' AS period, min(trade_date) AS first_date, max(trade_date) AS last_date FROM bars_raw
-        UNION ALL SELECT 'financial_statement_items', 'curated', TRUE, 'by_date', 'quarter', min(announce_date), max(announce_date) FROM facts
-        UNION ALL SELECT 'industry_members', 'curated', FALSE, 'snapshot_with_backfill', 'month', min(as_of_date), max(as_of_date) FROM members""",
+    "SELECT r.*, first_date, last_date, CASE WHEN r.dataset IN ('daily_bars', 'industry_members') THEN last_date - 1 END AS watermark, CASE WHEN r.dataset = 'industry_members' THEN 1 END AS version FROM (VALUES "
+    + ", ".join(f"('{d.name}', '{d.layer}', {d.pit}, '{d.history_mode}', {repr(d.period) if d.period else 'NULL'})" for d in DATASETS.values())
+    + """) r(dataset, layer, pit, history_mode, period) LEFT JOIN (SELECT 'daily_bars' AS dataset, min(trade_date) AS first_date, max(trade_date) AS last_date FROM bars_raw
+        UNION ALL SELECT 'financial_statement_items', min(announce_date), max(announce_date) FROM facts UNION ALL SELECT 'industry_members', min(as_of_date), max(as_of_date) FROM members) f ON f.dataset = r.dataset""",
 )
+def _list_datasets(x):
+    """All registered ones, three of which hold rows, two have a watermark and one a version."""
+    root = versions.shared_folder(x.spark, "listed")
+    versions.commit(root, DATASETS["industry_members"], stamped(x))
+    found = lake.union_by_name([bounds("daily_bars", x.bars_raw, "trade_date"), bounds("financial_statement_items", x.facts, "announce_date"), bounds("industry_members", x.members, "as_of_date")])
+    marks = found.where("dataset <> 'financial_statement_items'").select("dataset", F.date_sub("last_date", 1).alias("watermark"))
+    return stats.list_datasets(x.spark, DATASETS, found, marks, root).drop("tolerance_days")
+
+
 q(
     "dataset_schema",
     lambda x: quality.schema_report(x.bars_raw, BARS),
