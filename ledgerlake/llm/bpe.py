@@ -173,9 +173,37 @@ class Codec:
             self.flat = np.concatenate([self.flat, flat])
         return row
 
-    def encode(self, texts: pa.Array) -> Encoded:
-        """Encode each text (null: empty) of a string array."""
+    def encode(self, texts: pa.Array, most: int | None = None) -> Encoded:
+        """Encode each text (null: empty) of a string array.
+
+        A text of more than ``most`` bytes (by default twice RUN_BYTES) goes in pieces that end where a match ends whatever comes next,
+        so what is kept per character is small however long it is.
+        """
+        most = 2 * RUN_BYTES if most is None else most
         plain = texts.cast(pa.large_binary()).fill_null(b"")
+        sizes = np.diff(np.frombuffer(plain.buffers()[1], np.int64)[plain.offset : plain.offset + len(plain) + 1]) if len(plain) else np.zeros(0, np.int64)
+        if not (sizes > most).any():
+            return self._encode(plain)
+        coded, of = [], [0]  # pieces, and where those of each text end
+        for k in range(len(plain)):
+            coded += self.pieces(plain[k], most)
+            of.append(len(coded))
+        whole = lambda name, base: np.concatenate([getattr(e, name)[:-1] + at for e, at in zip(coded, base[:-1], strict=True)] + [[base[-1]]])
+        total = lambda name: np.append(0, np.cumsum([getattr(e, name)[-1] for e in coded]))
+        slices = np.append(0, np.cumsum([e.doc_slices[-1] for e in coded]))
+        ids, octets, points = total("docs"), total("slice_bytes"), total("slice_points")
+        return Encoded(np.concatenate([e.ids for e in coded]), ids[of], whole("slice_bytes", octets), whole("slice_points", points), whole("slice_ids", ids), slices[of])
+
+    def pieces(self, text: pa.Scalar, most: int):
+        """Encoded pieces of one binary text, in order; each is of one text, and has what the whole would have there."""
+        raw = np.frombuffer(text.as_buffer(), np.uint8)
+        at = 0
+        for end in [*safe_ends(raw, most), len(raw)]:
+            yield self._encode(pa.array([memoryview(text.as_buffer())[at:end]], pa.large_binary()))
+            at = end
+
+    def _encode(self, plain: pa.Array) -> Encoded:
+        """Encode binary texts without nulls in one piece."""
         offsets = np.frombuffer(plain.buffers()[1], np.int64)[plain.offset : plain.offset + len(plain) + 1]
         data = (plain.buffers()[2] or pa.py_buffer(b""))[int(offsets[0]) : int(offsets[-1])].to_pybytes()
         offsets = offsets - offsets[0]
@@ -213,6 +241,28 @@ def _joined(table: pa.Array, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     return memoryview(got.buffers()[2] or b""), at
 
 
+def safe_ends(raw: np.ndarray, most: int):
+    """Where to part a long text: before a single blank between two visible characters of ASCII, about every ``most`` bytes.
+
+    There a match ends and the next one begins, and what follows does not change the matches before, nor the other way round. Where
+    there is no such blank (a script without blanks, one endless word) the piece goes on to the next one.
+    """
+    at = 0
+    while len(raw) - at > most:
+        lo = at + 1
+        found = None
+        while found is None and lo < len(raw) - 1:
+            hi = min(lo + most, len(raw) - 1)
+            here = np.flatnonzero((raw[lo:hi] == 32) & (raw[lo - 1 : hi - 1] > 32) & (raw[lo - 1 : hi - 1] < 127) & (raw[lo + 1 : hi + 1] > 32) & (raw[lo + 1 : hi + 1] < 127))
+            if len(here):
+                found = lo + int(here[-1] if lo == at + 1 else here[0])
+            lo = hi
+        if found is None:
+            return
+        yield found
+        at = found
+
+
 _codecs: dict[str, Codec] = {}
 
 
@@ -283,6 +333,27 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "id", ids_col: str
     return kept.mapInArrow(run, f"id {dict(kept.dtypes)['id']}, bytes binary")
 
 
+def _digests(codec: Codec, texts: pa.Array) -> list[tuple[int, str, str]]:
+    """How many ids each of some texts has, the digest of these as text, and that of the bytes that they decode to."""
+    e, sha = codec.encode(texts), hashlib.sha256
+    text, text_at = codec.texts(e.ids)
+    back, back_at = codec.decode(e.ids)
+    t, d = text_at[e.docs].tolist(), back_at[e.docs].tolist()
+    return [(n, sha(text[a : max(a, z - 1)]).hexdigest(), sha(back[c:f]).hexdigest()) for n, a, z, c, f in zip(np.diff(e.docs).tolist(), t, t[1:], d, d[1:], strict=False)]
+
+
+def _one_digest(codec: Codec, text: pa.Scalar) -> tuple[int, str, str]:
+    """_digests() of one text of any length, in pieces: neither its ids nor its bytes are held at once."""
+    n, ids, back = 0, hashlib.sha256(), hashlib.sha256()
+    for e in codec.pieces(text.cast(pa.large_binary()) if text.is_valid else pa.scalar(b"", pa.large_binary()), RUN_BYTES):
+        told, _ = codec.texts(e.ids)
+        if len(e.ids):
+            ids.update(told[:-1] if not n else b" " + bytes(told[:-1]))
+        back.update(codec.decode(e.ids)[0])
+        n += len(e.ids)
+    return n, ids.hexdigest(), back.hexdigest()
+
+
 def round_trip(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode, decode, and digest both: ``id_col, n_tokens, ids_sha256, decoded_sha256`` per row of docs.
 
@@ -292,22 +363,13 @@ def round_trip(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_co
     kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        codec, sha = codec_of(raw.value), hashlib.sha256
+        codec = codec_of(raw.value)
         for b in batches:
             for lo, hi in runs(b.column(1)):
-                e = codec.encode(b.column(1).slice(lo, hi - lo))
-                text, text_at = codec.texts(e.ids)
-                back, back_at = codec.decode(e.ids)
-                t, d = text_at[e.docs].tolist(), back_at[e.docs].tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column(0).slice(lo, hi - lo),
-                        pa.array(np.diff(e.docs)),
-                        pa.array([sha(text[a : max(a, z - 1)]).hexdigest() for a, z in zip(t, t[1:], strict=False)]),
-                        pa.array([sha(back[a:z]).hexdigest() for a, z in zip(d, d[1:], strict=False)]),
-                    ],
-                    ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                texts = b.column(1).slice(lo, hi - lo)
+                rows = [_one_digest(codec, texts[0])] if hi - lo == 1 else _digests(codec, texts)
+                n, ids, back = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(ids), pa.array(back)], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     made = kept.mapInArrow(run, f"id {dict(kept.dtypes)['id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return made.withColumnRenamed("id", id_col)

@@ -30,8 +30,29 @@ def _runs(texts: pa.Array):
         yield from ((a, min(a + _RUN_DOCS, hi)) for a in range(lo, hi, _RUN_DOCS))
 
 
-def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of hashed n-grams (rows by DIMS), and whether the text has a letter."""
+def grams(texts: pa.Array, most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of hashed n-grams (rows by DIMS), and whether the text has a letter.
+
+    A text of more than ``most`` characters is counted in pieces that overlap by the two characters that a gram may reach beyond its first;
+    grams within an overlap are counted by both pieces and taken off once.
+    """
+    out = []
+    for lo, hi in _runs(texts):
+        part = texts.slice(lo, hi - lo)
+        text = part[0].as_py() if hi - lo == 1 else None
+        if text is None or len(text) <= most:
+            out.append(_grams(part))
+            continue
+        counts, letter = np.zeros((1, DIMS), np.int64), np.zeros(1, bool)
+        for at in range(0, len(text), most):
+            piece, both = text[at : at + most + 2], text[at + most : at + most + 2]
+            more, found = _grams(pa.array([piece, both], pa.large_string()))
+            counts, letter = counts + more[:1] - more[1:], letter | found[:1]
+        out.append((counts, letter))
+    return (np.concatenate([c for c, _ in out]), np.concatenate([x for _, x in out])) if out else _grams(texts)
+
+
+def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     points, at = textvec.lowered(texts)
     n = len(at) - 1
     letter = _LETTER[points]
@@ -110,12 +131,24 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
         df[r["bucket"]] = r["n"]
     idf = np.log((1 + df[DIMS]) / (1 + df[:DIMS])) + 1
     share = F.broadcast(rows.groupBy("lang").count().select("lang", (F.lit(2.0**32 * per_lang) / F.col("count")).alias("below")))  # one row a language
-    sample = rows.join(share, "lang").where(F.pmod("h", F.lit(1 << 32)) < F.col("below")).select("lang", "h", "text").dropDuplicates(["lang", "h"])
+    sample = rows.join(share, "lang").where(F.pmod("h", F.lit(1 << 32)) < F.col("below")).select("lang", "h", "text")
+
+    def count(batches):  # a sampled text travels as its counts
+        for b in batches:
+            for lo, hi in _runs(b.column(2)):
+                c = grams(b.column(2).slice(lo, hi - lo))[0]
+                at, of = np.nonzero(c)[::-1], pa.array(np.append(0, np.cumsum((c > 0).sum(1))), pa.int32())
+                lists = [pa.ListArray.from_arrays(of, pa.array(v)) for v in (at[0].astype(np.int32), c[c > 0])]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), *lists], ["lang", "h", "bucket", "n"])
+
+    sample = sample.mapInArrow(count, "lang string, h long, bucket array<int>, n array<long>").dropDuplicates(["lang", "h"])
 
     def cluster(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("h", "ascending"), ("text", "ascending")])
-        texts = table.column("text").combine_chunks()
-        x = np.concatenate([vectors(grams(texts.slice(lo, hi - lo))[0], idf) for lo, hi in _runs(texts)])
+        table = table.sort_by("h").combine_chunks()
+        bucket, n = (table.column(k).combine_chunks() for k in ("bucket", "n"))
+        counts = np.zeros((len(table), DIMS), np.int64)
+        counts[np.repeat(np.arange(len(table)), bucket.value_lengths().to_numpy()), bucket.flatten().to_numpy()] = n.flatten().to_numpy()
+        x = vectors(counts, idf)
         x = x[x.any(1)] if x.any() else x
         c = spherical_kmeans(x, clusters)
         near = x @ c.T

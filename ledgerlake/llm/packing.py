@@ -88,6 +88,9 @@ def ids_of(codec: bpe.Codec, texts: pa.Array, added: dict[str, int]):
     """Ids of each text (null: none): one for each added token in it, the longest where several begin, and ordinary ids between."""
     plain = texts.to_pylist() if added else []
     if not any(t in x for x in plain if x for t in added):
+        if len(texts) == 1 and texts[0].is_valid:  # it may be a very long one: of its pieces only the ids are kept
+            yield np.concatenate([e.ids for e in codec.pieces(texts[0].cast(pa.large_binary()), bpe.RUN_BYTES)])
+            return
         e = codec.encode(texts)
         yield from (e.ids[a:z] for a, z in zip(e.docs[:-1].tolist(), e.docs[1:].tolist(), strict=True))
         return

@@ -184,3 +184,27 @@ def test_recount_query_against_full_counts(spark, docs):
         assert r.n_tokens == count(before[r.id]) and r.n_tokens_edited == count(texts[r.id]) and r.n_chars_edited == len(texts[r.id])
     none = token_counts.recount(trees.limit(0).selectExpr("id", "text", "starts", "tree", "null AS edits"), "edits", RANKS)
     assert none.count() == 0 and none.columns[-3:] == ["text", "starts", "tree"]
+
+
+def test_long_texts_in_pieces_are_encoded_alike(monkeypatch):
+    """Parts at safe blanks, or the whole: the same ids, slices and places."""
+    import random
+
+    import public_tokenizers
+
+    rng = random.Random(6)
+    words = ["it's", "we'll", "they'r", "'", "a", "straße", "中文", "😀", "12", "\n", "\n\n", "  ", "\t", "x.", "'s", "\u00a0", "don't", "long" * 9, "\u3000y"]
+    texts = ["", None, "short", "no-blank" * 40, "中 " * 50, *("".join(rng.choice(words) + rng.choice([" ", " ", "", "  "]) for _ in range(200)) for _ in range(40))]
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        codec = bpe.codec_of(f.read())
+    for some in (texts, texts[5:6], texts[:1]):
+        whole, parts = codec.encode(pa.array(some, pa.string())), codec.encode(pa.array(some, pa.string()), most=48)
+        for name in ("ids", "docs", "slice_bytes", "slice_points", "slice_ids", "doc_slices"):
+            assert np.array_equal(getattr(whole, name), getattr(parts, name)), name
+    monkeypatch.setattr(bpe, "RUN_BYTES", 48)
+    for text in texts:
+        one = pa.array([text], pa.string())
+        assert bpe._one_digest(codec, one[0]) == bpe._digests(codec, one)[0]
+        assert np.array_equal(next(packing.ids_of(codec, one, {})), codec.encode(one).ids)
+    raw = np.frombuffer((" a b" * 300).encode(), np.uint8)
+    assert all(raw[k] == 32 for k in bpe.safe_ends(raw, 100)) and len(list(bpe.safe_ends(raw, 100))) == 11

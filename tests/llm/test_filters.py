@@ -361,3 +361,12 @@ def test_ratings_of_repeated_and_contradicted_ids(spark, monkeypatch):
 @pytest.mark.parametrize("text", ["", None, "x" * 50_000, "1 2 3"])
 def test_features_of_odd_texts(text):
     assert np.isfinite(quality_classifier.features(pa.array([text], pa.string()))).all()
+
+
+def test_grams_of_long_texts_in_pieces():
+    texts = ["", "a", "Ein Satz, noch einer; 中文 und mehr! " * 30, "x" * 500, "12 34 " * 50]
+    for text in texts:
+        whole, letter = langid.grams(pa.array([text]))
+        for most in (1, 2, 3, 7, 100):
+            got, found = langid.grams(pa.array([text]), most)
+            assert np.array_equal(got, whole) and np.array_equal(found, letter)
