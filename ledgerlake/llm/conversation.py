@@ -135,14 +135,21 @@ def unroll(runs, state: int, togo: tuple) -> tuple[str, int]:
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def _symbols(rows: DataFrame) -> DataFrame:
-    """rows plus ``fault`` (blank, duplicate, truncated or null) of the first of its equal turns."""
-    text = F.rtrim(F.col("text"), F.lit(BLANKS))
-    when = F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn").alias("turn"))  # nulls first
-    seen = rows.where("n > 0").groupBy("id", "role", F.sha2("text", 256).alias("digest")).agg(F.min(when).alias("first"), F.count("*").alias("times")).where("times > 1")
+def _when() -> Column:
+    """What orders turns of a conversation: their numbers, null first."""
+    return F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn").alias("turn"))
+
+
+def _symbols(rows: DataFrame, equal: DataFrame) -> DataFrame:
+    """equal (distinct turns) plus ``fault`` (blank, duplicate, truncated or null) of the first of each.
+
+    Where role and text come more than once is told by digests of rows, which combine before they travel: no text is sent for it.
+    """
+    digest = F.unhex(F.sha2("text", 256))
+    seen = rows.where("n > 0").groupBy("id", "role", digest.alias("digest")).agg(F.min(_when()).alias("first"), F.count("*").alias("times")).where("times > 1")
     seen = seen.select(F.col("id").alias("_id"), F.col("role").alias("_role"), "digest", "first")
-    j = rows.join(seen, F.col("id").eqNullSafe(F.col("_id")) & (F.col("role") == F.col("_role")) & (F.sha2("text", 256) == F.col("digest")), "left")
-    later = F.coalesce(when != F.col("first"), F.lit(False))
+    j = equal.join(seen, F.col("id").eqNullSafe(F.col("_id")) & (F.col("role") == F.col("_role")) & (digest == F.col("digest")), "left")
+    text, later = F.rtrim(F.col("text"), F.lit(BLANKS)), F.coalesce(_when() != F.col("first"), F.lit(False))
     fault = F.when(text == "", "blank").when(later, "duplicate").when(~F.right(text, F.lit(1)).isin(".", "!", "?"), "truncated")
     return j.select("id", "turn", "role", "text", "n", fault.alias("fault"))
 
@@ -355,7 +362,7 @@ def _streamed(turns: DataFrame, run, columns: str, id_col: str, turn_col: str, r
     n = F.lit(1) if copies is None else copies
     there = lambda c: F.when(n > 0, c)
     rows = turns.select(F.col(id_col).alias("id"), there(F.col(turn_col).cast("long")).alias("turn"), F.coalesce(there(blank(role_col)), F.lit("")).alias("role"), F.coalesce(there(blank(text_col)), F.lit("")).alias("text"), n.cast("long").alias("n"))
-    rows = _symbols(rows.groupBy("id", "turn", "role", "text").agg(F.sum("n").alias("n")))
+    rows = _symbols(rows, rows.groupBy("id", "turn", "role", "text").agg(F.sum("n").alias("n")))
     width, order = tasks_for(turns.sparkSession), ["id", "turn", "role", "text"]
     pieces = _pieces(rows.repartitionByRange(width, *order).sortWithinPartitions(*order))
     met = pieces.repartition(width, "id").sortWithinPartitions("id", "phase", "place")
