@@ -70,10 +70,18 @@ def refresh_version(spark: SparkSession, root: str, dataset: Dataset, version: i
 
 
 def provenance_stats(rows: DataFrame, date_col: str, period: str) -> DataFrame:
-    """Rows and fetch bounds per period, source and version. Rows are counted by their day as it is stored; periods are made of days."""
+    """Rows and fetch bounds per period, source and version.
+
+    Rows of a table's folders have their period already, which is one value a file. Others are counted by their day as it is stored, and
+    periods are made of days.
+    """
+    stored = lake.PERIOD in rows.columns
+    by = lake.PERIOD if stored else date_col
     one = lambda r, n: r.agg(n.alias("n_rows"), F.min("first_fetch").alias("first_fetch"), F.max("last_fetch").alias("last_fetch"))
-    days = one(rows.select(date_col, "source", "data_version", F.col("fetched_at").alias("first_fetch"), F.col("fetched_at").alias("last_fetch")).groupBy(date_col, "source", "data_version"), F.count("*"))
-    agg = one(days.groupBy(periods.first_day(F.col(date_col), period).alias("_d"), "source", "data_version"), F.sum("n_rows"))
+    agg = one(rows.select(by, "source", "data_version", F.col("fetched_at").alias("first_fetch"), F.col("fetched_at").alias("last_fetch")).groupBy(by, "source", "data_version"), F.count("*"))
+    if stored:
+        return agg.withColumnRenamed(by, "period")
+    agg = one(agg.groupBy(periods.first_day(F.col(date_col), period).alias("_d"), "source", "data_version"), F.sum("n_rows"))
     return agg.select(periods.label(F.col("_d"), period).alias("period"), "source", "data_version", "n_rows", "first_fetch", "last_fetch")
 
 
