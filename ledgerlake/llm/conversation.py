@@ -8,7 +8,8 @@ time the first edit in ASCII order that stays on a cheapest way. Unrolled halves
 
 Plan: equal turns combine to one row with a count before they travel, so a turn that is repeated a million times is two runs.
 Rows are sorted by a range of conversation and turn, which parts a conversation of any size among tasks, and cut into pieces of
-bounded bytes, each with its matrix. Pieces meet by conversation: first their matrices, last one first, for the costs
+bounded bytes, each with its matrix. A conversation that lies within one task's rows and one piece is settled there; the others'
+pieces meet by conversation: first their matrices, last one first, for the costs
 to go at each piece's end, then their texts, one piece at a time. A digest of a whole conversation is serial by nature; that
 task holds a piece, a few numbers per piece and the letters of the audit.
 """
@@ -16,6 +17,7 @@ task holds a piece, a few numbers per piece and the letters of the audit.
 from __future__ import annotations
 
 import hashlib
+import json
 from functools import lru_cache
 from itertools import chain, repeat
 
@@ -154,6 +156,7 @@ def _symbols(rows: DataFrame, equal: DataFrame) -> DataFrame:
     return j.select("id", "turn", "role", "text", "n", fault.alias("fault"))
 
 
+_NAMES = "id phase place runs moves roles texts blank duplicate truncated illegal ends first last turns".split()
 _PIECE = "phase int, place long, runs string, moves array<long>, roles array<string>, texts array<string>, blank long, duplicate long, truncated long, illegal long, ends string, first long, last long, turns long"
 
 
@@ -202,20 +205,37 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _pieces(sorted_rows: DataFrame) -> DataFrame:
-    """Two rows a piece: its matrix, to be met from the last piece to the first, and its turns, from the first to the last."""
+def _settled(piece: _Piece, lines: bool) -> str:
+    """What a conversation of one piece comes to: its repaired turns, or its counts, audit and digest."""
+    one = _Conversation(piece.own)
+    head, body = piece.rows(0)
+    one.step(head[4])
+    turns = [*one.repaired(dict(zip(_NAMES, body, strict=True))), *one.completed()]
+    return json.dumps(turns if lines else [*one.counts(), hashlib.sha256("\n".join(f"{r}:{t}" for r, t, _ in turns).encode("utf-8", "surrogatepass")).hexdigest()])
+
+
+def _pieces(sorted_rows: DataFrame, lines: bool) -> DataFrame:
+    """Two rows a piece: its matrix, to be met from the last piece to the first, and its turns, from the first to the last.
+
+    A conversation of one piece that begins and ends within a task's rows is settled there: one row of phase 2, so that its texts
+    need not travel again. Only a task's first and last conversation, and those of several pieces, go on as pieces.
+    """
     kind = dict(sorted_rows.dtypes)["id"]
 
     def run(batches):
         base, made, piece, out, schema = TaskContext.get().partitionId() << 40, 0, None, [], None
-        size = 0
+        size, whole = 0, False  # whole: the piece is the first of its conversation, which is not the task's first
         for b in batches:
             schema = schema or pa.schema([("id", b.schema.field("id").type), ("phase", pa.int32()), ("place", pa.int64()), ("runs", pa.string()), ("moves", pa.list_(pa.int64())), ("roles", pa.list_(pa.string())), ("texts", pa.list_(pa.string())), *[(c, pa.int64()) for c in ("blank", "duplicate", "truncated", "illegal")], ("ends", pa.string()), *[(c, pa.int64()) for c in ("first", "last", "turns")]])
             for own, turn, role, text, n, fault in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 if piece is None or piece.own != own or piece.chars >= PIECE_CHARS or len(piece.roles) >= PIECE_TURNS:
-                    if piece:
+                    if piece and whole and piece.own != own:
+                        out.append((piece.own, 2, 0, _settled(piece, lines), *[None] * 11))
+                        size += len(out[-1][3])
+                    elif piece:
                         out += piece.rows(base + made)
                         size += piece.chars
+                    whole = piece is not None and piece.own != own
                     made, piece = made + 1, _Piece(own)
                     if size >= PIECE_CHARS or len(out) >= PIECE_TURNS:
                         yield _batch(out, schema)
@@ -236,6 +256,7 @@ class _Conversation:
         self.faults, self.illegal, self.turns = {"blank": 0, "duplicate": 0, "truncated": 0}, 0, 0
         self.first = self.last = self.ends = None
         self.audit = []
+        self.settled = None  # what _settled() has told of it
 
     def step(self, moves: list[int]) -> None:
         """The matrix of the next piece from the end."""
@@ -289,20 +310,25 @@ class _Conversation:
 def _met(batches):
     """Each conversation with its pieces' texts, one after another: (conversation, turns or None once it is complete)."""
     now = None
+
+    def ended_one():
+        if now and now.settled is None:
+            yield now, now.completed()
+        if now:
+            yield now, None
+
     for b in batches:
         for r in b.to_pylist():
             if now is None or now.own != r["id"]:
-                if now:
-                    yield now, now.completed()
-                    yield now, None
+                yield from ended_one()
                 now = _Conversation(r["id"])
-            if r["phase"]:
+            if r["phase"] == 2:
+                now.settled = json.loads(r["runs"])
+            elif r["phase"]:
                 yield now, now.repaired(r)
             else:
                 now.step(r["moves"])
-    if now:
-        yield now, now.completed()
-        yield now, None
+    yield from ended_one()
 
 
 def _reports(batches):
@@ -313,7 +339,7 @@ def _reports(batches):
             digest.update((f"{role}:{text}" if empty else f"\n{role}:{text}").encode("utf-8", "surrogatepass"))
             empty = False
         if turns is None:
-            out.append((now.own, *now.counts(), digest.hexdigest()))
+            out.append((now.own, *(now.settled or (*now.counts(), digest.hexdigest()))))
             digest, empty, size = hashlib.sha256(), True, size + 200 + len(out[-1][7])
             if size > PIECE_CHARS:
                 yield _batch(out, _schema(schema, _REPORT))
@@ -326,7 +352,7 @@ def _turns(batches):
     """A row per turn that is left."""
     out, place, size, schema = [], 0, 0, {}
     for now, turns in _met(map(_kept(schema), batches)):
-        for role, text, edit in turns or ():
+        for role, text, edit in (now.settled or ()) if turns is None else turns:
             out.append((now.own, place, role, text, edit))
             place, size = place + 1, size + 100 + len(text)
             if size > PIECE_CHARS:
@@ -364,7 +390,7 @@ def _streamed(turns: DataFrame, run, columns: str, id_col: str, turn_col: str, r
     rows = turns.select(F.col(id_col).alias("id"), there(F.col(turn_col).cast("long")).alias("turn"), F.coalesce(there(blank(role_col)), F.lit("")).alias("role"), F.coalesce(there(blank(text_col)), F.lit("")).alias("text"), n.cast("long").alias("n"))
     rows = _symbols(rows, rows.groupBy("id", "turn", "role", "text").agg(F.sum("n").alias("n")))
     width, order = tasks_for(turns.sparkSession), ["id", "turn", "role", "text"]
-    pieces = _pieces(rows.repartitionByRange(width, *order).sortWithinPartitions(*order))
+    pieces = _pieces(rows.repartitionByRange(width, *order).sortWithinPartitions(*order), run is _turns)
     met = pieces.repartition(width, "id").sortWithinPartitions("id", "phase", "place")
     return met.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, {columns}").withColumnRenamed("id", id_col)
 

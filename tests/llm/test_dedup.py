@@ -199,3 +199,17 @@ def test_query_against_its_sql(spark):
     con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
     told, got = con.sql(queries.ORACLES["op4_embedding_dedup"]), queries.op4_embedding_dedup(spark, SF)
     assert got.columns == told.columns and sorted(map(tuple, got.collect())) == sorted(told.fetchall())
+
+
+def test_principal_directions_by_subspace_iteration(spark):
+    """Nearly the variance of the exact leading directions, orthonormal, from sums of some columns a component."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(600, 48)) * (0.7 ** np.arange(48))
+    x = (x @ np.linalg.qr(rng.normal(size=(48, 48)))[0]) + 0.3
+    rows = spark.createDataFrame([(48, v.tolist()) for v in x] + [(3, [1.0, 0.0, float(k)]) for k in range(5)], "dim int, v array<double>")
+    axes = embedding_dedup._axes(rows, 6)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    exact = np.sort(np.linalg.eigvalsh(np.cov(unit.T, bias=True)))[::-1][:6].sum()
+    assert np.allclose(axes[48].T @ axes[48], np.eye(6), atol=1e-9)
+    assert np.var(unit @ axes[48], axis=0).sum() > 0.97 * exact
+    assert axes[3].shape == (3, 6) and (axes[3][:, 3:] == 0).all()
