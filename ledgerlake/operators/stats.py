@@ -17,7 +17,7 @@ def partition_stats(spark: SparkSession, paths: list[str]) -> DataFrame:
     No data column is read: the count of rows per file comes from the footers, files and bytes from the listing. A file that
     cannot be read counts with its bytes and no rows. Loose files have no period.
     """
-    listed = lake.files(spark, paths)
+    listed, paths = lake.files(spark, paths), lake.present(spark, paths)
     if not paths:
         return _by_period(listed.withColumn("n_rows", F.lit(0)))
     counted = spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").schema("_none boolean").parquet(*paths)
@@ -42,6 +42,7 @@ SKETCH_BITS = 14
 
 def distinct_sketches(spark: SparkSession, paths: list[str], column: str = "symbol") -> DataFrame:
     """``period, sketch``: a mergeable sketch of the distinct values of each stored folder; only this column is read."""
+    paths = lake.present(spark, paths)
     if not paths:
         return spark.createDataFrame([], "period string, sketch binary")
     rows = spark.read.option("recursiveFileLookup", "true").schema(f"`{column}` string").parquet(*paths)

@@ -61,6 +61,11 @@ def _children(spark: SparkSession, path: str) -> list[tuple[str, str, bool]]:
     return [(f.getPath().getName(), f.getPath().toString(), f.isDirectory()) for f in fs.listStatus(where)] if fs.exists(where) else []
 
 
+def present(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of some folders that are there."""
+    return [p for p in paths for where, fs in [_where(spark, p)] if fs.exists(where)]
+
+
 def folders(spark: SparkSession, path: str) -> DataFrame:
     """``period, start, end`` of a table's period folders, by their names alone; no file is opened and odd names are skipped."""
     found = [(name.split("=", 1)[1],) for name, _, is_dir in _children(spark, path) if is_dir and "=" in name]
@@ -68,7 +73,11 @@ def folders(spark: SparkSession, path: str) -> DataFrame:
 
 
 def files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``file, period, n_bytes`` of the Parquet files below some folders (period: null for loose ones). They are listed, none is opened."""
+    """``file, period, n_bytes`` of the Parquet files below some folders (period: null for loose ones). They are listed, none is opened.
+
+    Folders that are absent have none.
+    """
+    paths = present(spark, paths)
     if not paths:
         return spark.createDataFrame([], "file string, period string, n_bytes long")
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(paths)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import audit, derive, evidence, load, quality, snapshots, stats
+from ledgerlake.operators import audit, checks, derive, evidence, load, quality, snapshots, stats
 from ledgerlake.registry import DATASETS
 from ledgerlake.sources import lake, versions
 
@@ -41,7 +41,7 @@ def test_folders_outside_the_window_are_not_opened(spark, days, tmp_path):
     told = [f.split("/")[-2] for f in some.inputFiles()]
     assert sorted(told) == ["__period=2024-01-03", "__period=2024-01-04", "__period=2024-01-05", "days"]
     assert lake.scan(some, DAILY, "2024-01-03", "2024-01-05").count() == 7
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="__period=2024-01-07"):
         lake.open_table(spark, days, DAILY).count()
     assert lake.open_table(spark, days, DAILY, lenient=True).count() == 15
 
@@ -94,7 +94,7 @@ def test_statistics_of_files(spark, days, tmp_path):
         assert (r.n_rows, r.n_files, r.n_bytes, r.period_start) == (2, len(files), sum(f.stat().st_size for f in files), D(2024, 1, d))
     plan = plan_of(stats.partition_stats(spark, [days]))
     assert "ReadSchema: struct<>" in plan.replace("struct<_none:boolean>", "struct<>") and "symbol" not in plan
-    assert stats.partition_stats(spark, []).count() == 0
+    assert stats.partition_stats(spark, []).count() == 0 and stats.partition_stats(spark, [f"{days}-none"]).count() == 0
 
 
 def test_distinct_sketches_and_a_refresh(spark, tmp_path):
@@ -258,3 +258,12 @@ def test_known_gaps_and_findings(spark):
     none = quality.finding(rows.where("false"), "d", "error", "c")
     told = quality.lake_health(none, marks, "2024-01-09").first()
     assert (told.healthy, told.stale, told.empty) == (True, ["x"], ["y"])
+
+
+def test_checks_run_where_their_datasets_are(spark):
+    rows = bars(spark, [("600001.SH", D(2024, 1, d), 1.0, 1, "x", 9) for d in (2, 4)])
+    calendar = spark.createDataFrame([(D(2024, 1, d), d != 4) for d in (2, 3, 4)], "trade_date date, is_trading boolean")
+    got = {(r.dataset, r.severity, r.check): (r.n, r.details) for r in checks.findings({"daily_bars": rows, "trading_calendar": calendar}, "2024-01-03").collect()}
+    assert got == {("daily_bars", "warning", "not_a_session"): (1, "2024-01-04"), ("daily_bars", "error", "session_without_bar"): (1, "2024-01-03"), ("trading_calendar", "error", "calendar_ends"): (1, None)}
+    with pytest.raises(ValueError):
+        checks.findings({"nothing": rows}, "2024-01-03")
