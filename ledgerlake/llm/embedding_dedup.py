@@ -146,6 +146,19 @@ def _blocks(reps: DataFrame, eps: float, block: int, leading: int, n: int) -> Da
     return cut(placed.mapInArrow(gather, "block long, label string, dim int, ids array<long>, copies array<long>, v binary, low array<double>, high array<double>"), "blocks")
 
 
+def _numbered(blocks: DataFrame, n: int) -> DataFrame:
+    """blocks without vectors, with ``node``: 0, 1, ... along each label and length.
+
+    A task's blocks of a label are numbered in a row already, so only the tasks' counts are summed up: one row a task and label.
+    """
+    rows = blocks.select("label", "dim", "block", "low", "high", F.size("ids").alias("held"), F.shiftright("block", 32).alias("task"))
+    rows = cut(rows, "placed", n)
+    tasks = rows.groupBy("label", "dim", "task").agg(F.min("block").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("label", "dim").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    shift = tasks.select("label", "dim", "task", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    return rows.join(shift, ["label", "dim", "task"]).select("label", "dim", "block", "low", "high", "held", (F.col("block") + F.col("shift")).cast("int").alias("node"))
+
+
 def _interval_pairs(leaf: DataFrame, eps: float, leading: int, n: int) -> DataFrame:
     """``label, dim, a, b``: pairs of nodes (a not after b in the order) that the recursive interval join could not part."""
     top = leaf.agg(F.max("node")).first()[0]
@@ -172,9 +185,7 @@ def _interval_pairs(leaf: DataFrame, eps: float, leading: int, n: int) -> DataFr
 def _compared(blocks: DataFrame, eps: float, leading: int, cosine: float, itemsize: int, tile_bytes: int) -> DataFrame:
     """``a, b, n``: what _compare() finds in all pairs of blocks that the interval join leaves."""
     n = blocks.count()
-    own = Window.partitionBy("label", "dim").orderBy("block")  # one row per block of up to `block` vectors
-    numbered = blocks.select("label", "dim", "block", "low", "high", F.size("ids").alias("held")).withColumn("node", (F.row_number().over(own) - 1).cast("int"))
-    leaf = cut(numbered, "intervals", n)
+    leaf = cut(_numbered(blocks, n), "intervals", n)
     pairs = _interval_pairs(leaf.select("label", "dim", "node", "low", "high"), eps, leading, n)
     most = leaf.groupBy("label", "dim").agg(F.max(F.col("held") * F.col("dim") * itemsize).alias("bytes"))
     size = most.select("label", "dim", F.greatest(F.lit(1), F.least(F.lit(TILE_BLOCKS), (tile_bytes / F.col("bytes")).cast("int"))).alias("per"))  # one row a label
