@@ -42,6 +42,8 @@ from .scratch import cut, fresh, tasks_for
 SEED = 42
 #: (bands, bands that must agree for radius 4): bands - match = radius, key bits about 64 * match / bands.
 SCHEMES = ((5, 1), (6, 2), (7, 3), (8, 4), (9, 5))
+#: Fingerprints of a bucket that are compared as one chunk. Each row of a bucket of n is copied n / CHUNK times; a pair of chunks is a second's work.
+CHUNK = 8192
 _ONE = np.uint64(1)
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -217,7 +219,7 @@ def _dealt(rows: DataFrame, keys: list[str], by: str, chunk: int, load: Column |
     return out.repartition(tasks_for(rows.sparkSession), *keys, "c", "d").sortWithinPartitions(*keys, "c", "d", by)
 
 
-def links(reps: DataFrame, radius: int = 4, chunk: int = 512, bucket: int = 64, scheme: int | None = None, n: int | None = None) -> DataFrame:
+def links(reps: DataFrame, radius: int = 4, chunk: int = CHUNK, bucket: int = 64, scheme: int | None = None, n: int | None = None) -> DataFrame:
     """Forest edges ``a, b`` between distinct fingerprints (column fp) within radius bits.
 
     scheme: index into SCHEMES; by default the first whose expected bucket holds at most ``bucket``.
@@ -359,7 +361,7 @@ def _alike(similarity: float, buffer: int = 512, step: int = 4096):
     return _groups(forest, buffer, 3)
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, chunk: int = 512, exact_chunk: int = 1024, exact_load: int = 1 << 20) -> DataFrame:
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, chunk: int = CHUNK, exact_chunk: int = 1024, exact_load: int = 1 << 20) -> DataFrame:
     """``id, set, component_id`` per row of docs: a digest of its set of shingles, and the smallest id reachable by links.
 
     Texts link when their sets have a Jaccard similarity of ``similarity`` or more; texts of fewer than ``width`` words have

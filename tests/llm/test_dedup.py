@@ -70,6 +70,17 @@ def test_links_lose_nothing_in_any_scheme(spark):
         assert sizes == want
 
 
+def test_a_hot_bucket_is_copied_a_few_times_only(spark):
+    """Rows of one key go to one group up to CHUNK of them; beyond it each row meets every chunk, and every pair of rows some group."""
+    rows = spark.range(20_000).select(F.lit(0).alias("band"), F.lit(1).alias("key"), F.col("id").alias("fp"))
+    dealt = simhash._dealt(rows, ["band", "key"], "fp", simhash.CHUNK)
+    assert dealt.count() == 60_000
+    few = rows.where("fp < 60")
+    dealt = simhash._dealt(few, ["band", "key"], "fp", 16).groupBy("c", "d").agg(F.collect_set("fp").alias("fps")).collect()
+    met = {(a, b) for r in dealt for a in r.fps for b in r.fps}
+    assert len(met) == 60 * 60 and len(dealt) > 1
+
+
 def test_counters_hold_exact_distances():
     rng = np.random.default_rng(3)
     fp = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
@@ -187,6 +198,22 @@ def test_embedding_join_against_all_pairs(spark, kind, tile_bytes):
     assert embedding_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_blocks_are_numbered_along_each_label(spark):
+    """Numbers without gaps in the order of the blocks, whatever tasks hold them, and no window over the blocks themselves."""
+    rng = np.random.default_rng(5)
+    rows, want = [], {}
+    for task in range(12):
+        number = task << 32
+        for label, dim in ((("a", 8),) if task < 4 else (("a", 8), ("b", 4), ("b", 8)) if task == 4 else (("b", 8),)):
+            for _ in range(int(rng.integers(1, 5))):
+                want.setdefault((label, dim), []).append(number)
+                rows.append((number, label, dim, [1, 2], [0.0], [1.0]))
+                number += 1
+    blocks = spark.createDataFrame(rows, "block long, label string, dim int, ids array<long>, low array<double>, high array<double>").repartition(5)
+    got = {(r.label, r.dim, r.block): (r.node, r.held) for r in embedding_dedup._numbered(blocks, len(rows)).collect()}
+    assert got == {(*k, b): (n, 2) for k, v in want.items() for n, b in enumerate(v)}
+
+
 def test_labels_of_any_type(spark):
     rows = [(1, [1.0, 2.0], "a"), (2, [1.0, 2.1], "a"), (3, [1.0, 2.0], "b"), (4, [1.0, 2.0], None)]
     for kind, label in (("string", str), ("double", lambda x: {"a": 1.5, "b": 1.0}[x])):
