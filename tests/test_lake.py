@@ -267,3 +267,13 @@ def test_checks_run_where_their_datasets_are(spark):
     assert got == {("daily_bars", "warning", "not_a_session"): (1, "2024-01-04"), ("daily_bars", "error", "session_without_bar"): (1, "2024-01-03"), ("trading_calendar", "error", "calendar_ends"): (1, None)}
     with pytest.raises(ValueError):
         checks.findings({"nothing": rows}, "2024-01-03")
+
+
+def test_exact_symbols_of_stored_periods(spark, days):
+    told = stats.with_symbols(spark, stats.partition_stats(spark, [days]), [days])
+    assert {(r.n_rows, r.n_symbols) for r in told.collect()} == {(2, lake.open_table(spark, days, DAILY).where("dayofmonth(trade_date) = 1").select("symbol").distinct().count())}
+    put(lake.open_table(spark, days, DAILY).drop(lake.PERIOD).where("dayofmonth(trade_date) = 1"), days)  # the same symbols again
+    r = stats.with_symbols(spark, stats.partition_stats(spark, [days]), [days]).where("period = '2024-01-01'").first()
+    assert (r.n_rows, r.n_symbols) == (4, 2)
+    assert "symbol:string>" in plan_of(told)
+    assert stats.with_symbols(spark, stats.partition_stats(spark, []), []).count() == 0
