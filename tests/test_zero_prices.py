@@ -19,7 +19,7 @@ def zeros(tmp_path_factory):
     return str(path), con
 
 
-@pytest.mark.parametrize("name", ["load_qfq", "query_bars"])
+@pytest.mark.parametrize("name", ["load_qfq", "query_bars", "read_validated"])
 def test_zero_prices(spark, zeros, name):
     path, con = zeros
     ours, theirs = catalog.QUERIES[name](spark, path), con.sql(catalog.ORACLES[name])
