@@ -1,5 +1,7 @@
 """Queries give their SQL's rows on ticks with prices of 0, which sf0.001 lacks and larger tables hold."""
 
+import datetime
+
 import duckdb
 import pytest
 
@@ -24,3 +26,15 @@ def test_zero_prices(spark, zeros, name):
     path, con = zeros
     ours, theirs = catalog.QUERIES[name](spark, path), con.sql(catalog.ORACLES[name])
     assert str(rows(ours.columns, ours.collect())) == str(rows(theirs.columns, theirs.fetchall()))  # as text: NaN equals itself
+
+
+def test_a_gate_that_no_day_reaches(spark, tmp_path):
+    """watermark_reconcile where the other source has no close on any day, so no day reaches the gate."""
+    con = duckdb.connect()
+    con.sql(f"COPY (SELECT * FROM '{SF}/orders.parquet') TO '{tmp_path}/orders.parquet' (FORMAT parquet)")
+    con.sql(f"COPY (SELECT i * 100 AS event_id, TIMESTAMP '2024-01-01 10:00:00' + INTERVAL (i // 15) DAY AS ts, i % 15 AS user_id, 'view' AS event_type, 5.0::DOUBLE AS value, '' AS props FROM range(450) r(i)) TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    for t in ("orders", "events"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    ours, theirs = catalog.QUERIES["watermark_reconcile"](spark, str(tmp_path)), con.sql(catalog.ORACLES["watermark_reconcile"])
+    found = rows(theirs.columns, theirs.fetchall())
+    assert rows(ours.columns, ours.collect()) == found and ("1-URGENT", datetime.date(2024, 1, 25)) in found
