@@ -21,7 +21,7 @@ def zeros(tmp_path_factory):
     return str(path), con
 
 
-@pytest.mark.parametrize("name", ["load_qfq", "query_bars", "read_validated", "load", "diff_gate", "diff_fields", "survivorship_return", "row_audit", "lake_audit"])
+@pytest.mark.parametrize("name", ["load_qfq", "query_bars", "read_validated", "load", "diff_gate", "diff_fields", "survivorship_return", "row_audit", "lake_audit", "schema_contract"])
 def test_zero_prices(spark, zeros, name):
     path, con = zeros
     ours, theirs = catalog.QUERIES[name](spark, path), con.sql(catalog.ORACLES[name])
