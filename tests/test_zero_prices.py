@@ -5,7 +5,9 @@ import datetime
 import duckdb
 import pytest
 
+from ledgerlake.operators import audit
 from ledgerlake.plans import catalog
+from ledgerlake.registry import DATASETS
 from tests.test_oracles import SF, TABLES, rows
 
 ZEROS = "CASE WHEN event_id % 13 = 0 OR CAST(ts AS DATE) = DATE '2024-01-02' AND user_id % 5 = 1 THEN 0.0 ELSE value END"
@@ -21,7 +23,7 @@ def zeros(tmp_path_factory):
     return str(path), con
 
 
-@pytest.mark.parametrize("name", ["load_qfq", "query_bars", "read_validated", "load", "diff_gate", "diff_fields", "survivorship_return", "row_audit", "lake_audit", "schema_contract"])
+@pytest.mark.parametrize("name", ["load_qfq", "query_bars", "read_validated", "load", "diff_gate", "diff_fields", "survivorship_return", "row_audit", "lake_audit", "schema_contract", "dataset_audit"])
 def test_zero_prices(spark, zeros, name):
     path, con = zeros
     ours, theirs = catalog.QUERIES[name](spark, path), con.sql(catalog.ORACLES[name])
@@ -38,3 +40,10 @@ def test_a_gate_that_no_day_reaches(spark, tmp_path):
     ours, theirs = catalog.QUERIES["watermark_reconcile"](spark, str(tmp_path)), con.sql(catalog.ORACLES["watermark_reconcile"])
     found = rows(theirs.columns, theirs.fetchall())
     assert rows(ours.columns, ours.collect()) == found and ("1-URGENT", datetime.date(2024, 1, 25)) in found
+
+
+def test_audits_still_hold_bar_rules(spark, zeros):
+    """The operators' default: the queries above leave the bar rules out, as their SQL does."""
+    shapes = catalog.Shapes(spark, zeros[0])
+    audits = audit.row_audit(shapes.bars_raw, catalog.BARS), audit.lake_audit({"daily_bars": shapes.bars_raw}, DATASETS)
+    assert all("price_not_positive" in {r.check for r in told.collect()} for told in audits)
