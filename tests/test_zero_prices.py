@@ -47,3 +47,11 @@ def test_audits_still_hold_bar_rules(spark, zeros):
     shapes = catalog.Shapes(spark, zeros[0])
     audits = audit.row_audit(shapes.bars_raw, catalog.BARS), audit.lake_audit({"daily_bars": shapes.bars_raw}, DATASETS)
     assert all("price_not_positive" in {r.check for r in told.collect()} for told in audits)
+
+
+def test_kept_shapes_are_not_made_again(spark):
+    shapes = catalog.Shapes(spark, SF)
+    made = sorted(map(tuple, shapes.status.collect()), key=str)
+    shapes.keep("ticks", "bars")
+    assert sorted(map(tuple, shapes.status.collect()), key=str) == made
+    assert all("events.parquet" not in part.inputFiles()[0] for part in (shapes.status, shapes.calendar))
